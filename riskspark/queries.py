@@ -76,3 +76,140 @@ def w1_ntile(spark, sf_dir):
     base = application(spark, sf_dir).select(
         "SK_ID_CURR", P.credit_income_ratio().alias("CREDIT_INCOME_RATIO"))
     return ntile(base, "CREDIT_INCOME_RATIO", "SK_ID_CURR", 5, "RATIO_CATEGORY")
+
+
+# --- G9-G12 -----------------------------------------------------------------
+
+@query("g9_portfolio_report")
+def g9_portfolio_report(spark, sf_dir):
+    from riskspark.plans.report import portfolio_report
+    return portfolio_report(application(spark, sf_dir))
+
+
+@query("g10_filter_options")
+def g10_filter_options(spark, sf_dir):
+    return G.filter_options(application(spark, sf_dir))
+
+
+@query("g11_heatmap")
+def g11_heatmap(spark, sf_dir):
+    return G.family_children_matrix(G.by_family_and_children(application(spark, sf_dir)))
+
+
+@query("g12_kpis")
+def g12_kpis(spark, sf_dir):
+    return G.portfolio_kpis(application(spark, sf_dir))
+
+
+# --- A: aggregate building blocks ------------------------------------------
+
+@query("a1_count")
+def a1_count(spark, sf_dir):
+    return application(spark, sf_dir).groupBy("NAME_HOUSING_TYPE").agg(P.client_count().alias("CLIENT_COUNT"))
+
+
+@query("a2_default_rate")
+def a2_default_rate(spark, sf_dir):
+    return application(spark, sf_dir).groupBy("CODE_GENDER").agg(P.default_rate().alias("DEFAULT_RATE"))
+
+
+@query("a3_rounded_mean")
+def a3_rounded_mean(spark, sf_dir):
+    return application(spark, sf_dir).groupBy("NAME_EDUCATION_TYPE").agg(
+        P.rounded_mean("AMT_ANNUITY", 0).alias("AVG_ANNUITY"),
+        P.rounded_mean("EXT_SOURCE_2", 2).alias("AVG_EXT_SOURCE_2"))
+
+
+# --- F: filters (each under G1 unless stated) ------------------------------
+
+FILTER_CASES = {
+    "f1_min_credit": PortfolioFilters(min_credit=100000.0),
+    "f2_max_credit": PortfolioFilters(max_credit=250000.0),
+    "f3_min_income": PortfolioFilters(min_income=30000.0),
+    "f4_family_status": PortfolioFilters(family_statuses=["Married", "Widow"]),
+    "f5_income_type": PortfolioFilters(income_types=["Working", "Pensioner", "Student"]),
+    "f6_realty_yes": PortfolioFilters(realty_status="Oui"),
+    "f6_realty_no": PortfolioFilters(realty_status="Non"),
+}
+
+
+def _g1_under(filters):
+    return lambda spark, sf_dir: G.by_age(application(spark, sf_dir), filters)
+
+
+for _name, _filters in FILTER_CASES.items():
+    QUERIES[_name] = _g1_under(_filters)
+
+ALL_FILTERS = PortfolioFilters(min_credit=50000.0, max_credit=400000.0, min_income=10000.0,
+                               family_statuses=["Married", "Single / not married", "Civil marriage"],
+                               income_types=["Working", "Commercial associate", "Pensioner"],
+                               realty_status="Oui")
+
+
+@query("f7_all_filters")
+def f7_all_filters(spark, sf_dir):
+    return G.by_enquiries(application(spark, sf_dir), ALL_FILTERS)
+
+
+@query("f8_having_income_type")
+def f8_having_income_type(spark, sf_dir):
+    return G.by_income_type(application(spark, sf_dir), PortfolioFilters(min_income=30000.0))
+
+
+@query("f9_having_family_children")
+def f9_having_family_children(spark, sf_dir):
+    return G.by_family_and_children(application(spark, sf_dir), PortfolioFilters(max_credit=250000.0))
+
+
+def requested_ids(spark, sf_dir) -> DataFrame:
+    """A batch of requested client ids derived from ``lineitem`` (ten times each part key):
+    roughly a quarter of them are not application ids at any scale factor."""
+    from riskspark.sources.tables import read_table
+    return read_table(spark, sf_dir, "lineitem").select((F.col("l_partkey") * 10).alias("SK_ID_CURR")).distinct()
+
+
+@query("f10_lookup")
+def f10_lookup(spark, sf_dir):
+    from riskspark.operators.filters import lookup_ids
+    return lookup_ids(application(spark, sf_dir), requested_ids(spark, sf_dir)).select(
+        "SK_ID_CURR", "AMT_CREDIT", "NAME_INCOME_TYPE")
+
+
+@query("f11_non_null_options")
+def f11_non_null_options(spark, sf_dir):
+    return application(spark, sf_dir).select("NAME_FAMILY_STATUS") \
+        .where(F.col("NAME_FAMILY_STATUS").isNotNull()).distinct()
+
+
+@query("f12_missing_client")
+def f12_missing_client(spark, sf_dir):
+    from riskspark.operators.filters import missing_ids
+    return missing_ids(requested_ids(spark, sf_dir), application(spark, sf_dir))
+
+
+# --- P: scalar functions (id + computed column over the whole table) -------
+
+def _scalar(expr_fn, name):
+    return lambda spark, sf_dir: application(spark, sf_dir).select("SK_ID_CURR", expr_fn().alias(name))
+
+
+for _key, _fn, _col in [
+    ("p1_age", P.age_years, "AGE"),
+    ("p2_age_group", P.age_group, "AGE_GROUP"),
+    ("p3_ratio", P.credit_income_ratio, "CREDIT_INCOME_RATIO"),
+    ("p4_years_employed", P.years_employed, "YEARS_EMPLOYED"),
+    ("p5_employment_length", P.employment_length, "EMPLOYMENT_LENGTH"),
+    ("p6_total_enquiries", P.total_enquiries, "TOTAL_ENQUIRIES"),
+    ("p7_enquiry_group", P.enquiry_group, "ENQUIRY_GROUP"),
+    ("p8_ownership_label", P.ownership_label, "OWNERSHIP_LABEL"),
+    ("p9_weekday_order", P.weekday_order, "WEEKDAY_ORDER"),
+    ("p10_default_flag", P.default_flag, "DEFAULT_FLAG"),
+]:
+    QUERIES[_key] = _scalar(_fn, _col)
+
+
+@query("p11_rounding")
+def p11_rounding(spark, sf_dir):
+    return application(spark, sf_dir).select(
+        "SK_ID_CURR", F.round("AMT_ANNUITY", 0).alias("ROUND0"),
+        F.round(F.col("EXT_SOURCE_2") * 100, 2).alias("ROUND2"))

@@ -151,3 +151,115 @@ oracle("w1_ntile", with_app(f"""
 SELECT SK_ID_CURR, {RATIO} AS CREDIT_INCOME_RATIO,
        CAST(ntile(5) OVER (ORDER BY {RATIO} NULLS FIRST, SK_ID_CURR) AS INT) AS RATIO_CATEGORY
 FROM application"""))
+
+
+# --- G9-G12 -----------------------------------------------------------------
+_OWNERSHIP = ("CASE FLAG_OWN_REALTY WHEN 'Y' THEN 'Propriétaire' WHEN 'N' THEN 'Non propriétaire' "
+              "ELSE FLAG_OWN_REALTY END")
+
+oracle("g9_portfolio_report", with_app(f"""
+SELECT 1 AS ANALYSIS, {AGE_GROUP} AS KEY1, NULL::VARCHAR AS KEY2, count(*) AS CLIENT_COUNT,
+       {DEFAULT_RATE} AS DEFAULT_RATE, NULL::DOUBLE AS AVG_VALUE FROM application GROUP BY 2
+UNION ALL
+SELECT 2, CAST(RATIO_CATEGORY AS VARCHAR), NULL, count(*), {DEFAULT_RATE}, round(avg(r), 2)
+FROM (SELECT *, {RATIO} AS r, ntile(5) OVER (ORDER BY {RATIO} NULLS FIRST, SK_ID_CURR) AS RATIO_CATEGORY
+      FROM application) t GROUP BY RATIO_CATEGORY
+UNION ALL
+SELECT 3, NAME_INCOME_TYPE, NULL, count(*), {DEFAULT_RATE}, round(avg(AMT_INCOME_TOTAL), 0)
+FROM application GROUP BY NAME_INCOME_TYPE HAVING count(*) > 100
+UNION ALL
+SELECT 4, {EMPLOYMENT_LENGTH}, NULL, count(*), {DEFAULT_RATE}, NULL FROM application GROUP BY 2
+UNION ALL
+SELECT 5, {ENQUIRY_GROUP}, NULL, count(*), {DEFAULT_RATE}, NULL FROM application GROUP BY 2
+UNION ALL
+SELECT 6, NAME_CONTRACT_TYPE, {_OWNERSHIP}, count(*), {DEFAULT_RATE}, round(avg(AMT_CREDIT), 0)
+FROM application GROUP BY NAME_CONTRACT_TYPE, FLAG_OWN_REALTY
+UNION ALL
+SELECT 7, NAME_FAMILY_STATUS, CAST(CNT_CHILDREN AS VARCHAR), count(*), {DEFAULT_RATE}, NULL
+FROM application GROUP BY NAME_FAMILY_STATUS, CNT_CHILDREN HAVING count(*) > 50
+UNION ALL
+SELECT 8, WEEKDAY_APPR_PROCESS_START, NULL, count(*), {DEFAULT_RATE}, round(avg(AMT_CREDIT), 0)
+FROM application GROUP BY WEEKDAY_APPR_PROCESS_START"""))
+
+oracle("g10_filter_options", with_app("""
+SELECT list_sort(list_distinct(list(NAME_FAMILY_STATUS) FILTER (WHERE NAME_FAMILY_STATUS IS NOT NULL)))
+         AS family_status_options,
+       list_sort(list_distinct(list(NAME_INCOME_TYPE) FILTER (WHERE NAME_INCOME_TYPE IS NOT NULL)))
+         AS income_type_options
+FROM application"""))
+
+_STATUSES = ["Civil marriage", "Married", "Separated", "Single / not married", "Unknown", "Widow"]
+oracle("g11_heatmap", with_app(
+    "SELECT CNT_CHILDREN, " + ", ".join(
+        f"max(CASE WHEN st = '{s}' THEN DEFAULT_RATE END) AS \"{s}\"" for s in _STATUSES) + f"""
+FROM (SELECT CNT_CHILDREN, coalesce(NAME_FAMILY_STATUS, 'Unknown') AS st, {DEFAULT_RATE} AS DEFAULT_RATE
+      FROM application GROUP BY CNT_CHILDREN, NAME_FAMILY_STATUS HAVING count(*) > 50) g
+GROUP BY CNT_CHILDREN"""))
+
+oracle("g12_kpis", with_app(f"""
+SELECT count(*) AS CLIENT_COUNT, {DEFAULT_RATE} AS DEFAULT_RATE, round(avg(AMT_CREDIT), 0) AS AVG_CREDIT,
+       round(avg(AMT_INCOME_TOTAL), 0) AS AVG_INCOME, round(sum(AMT_CREDIT), 0) AS TOTAL_CREDIT
+FROM application"""))
+
+# --- A ------------------------------------------------------------------------
+oracle("a1_count", with_app("SELECT NAME_HOUSING_TYPE, count(*) AS CLIENT_COUNT FROM application GROUP BY 1"))
+oracle("a2_default_rate", with_app(f"SELECT CODE_GENDER, {DEFAULT_RATE} AS DEFAULT_RATE FROM application GROUP BY 1"))
+oracle("a3_rounded_mean", with_app("""
+SELECT NAME_EDUCATION_TYPE, round(avg(AMT_ANNUITY), 0) AS AVG_ANNUITY, round(avg(EXT_SOURCE_2), 2) AS AVG_EXT_SOURCE_2
+FROM application GROUP BY 1"""))
+
+# --- F ------------------------------------------------------------------------
+def _g1_where(cond: str) -> str:
+    return with_app(f"""
+SELECT {AGE_GROUP} AS AGE_GROUP, count(*) AS CLIENT_COUNT, {DEFAULT_RATE} AS DEFAULT_RATE
+FROM application WHERE {cond} GROUP BY 1""")
+
+
+oracle("f1_min_credit", _g1_where("AMT_CREDIT >= 100000.0"))
+oracle("f2_max_credit", _g1_where("AMT_CREDIT <= 250000.0"))
+oracle("f3_min_income", _g1_where("AMT_INCOME_TOTAL >= 30000.0"))
+oracle("f4_family_status", _g1_where("NAME_FAMILY_STATUS IN ('Married', 'Widow')"))
+oracle("f5_income_type", _g1_where("NAME_INCOME_TYPE IN ('Working', 'Pensioner', 'Student')"))
+oracle("f6_realty_yes", _g1_where("FLAG_OWN_REALTY = 'Y'"))
+oracle("f6_realty_no", _g1_where("FLAG_OWN_REALTY = 'N'"))
+oracle("f7_all_filters", with_app(f"""
+SELECT {ENQUIRY_GROUP} AS ENQUIRY_GROUP, count(*) AS CLIENT_COUNT, {DEFAULT_RATE} AS DEFAULT_RATE
+FROM application
+WHERE AMT_CREDIT >= 50000.0 AND AMT_CREDIT <= 400000.0 AND AMT_INCOME_TOTAL >= 10000.0
+  AND NAME_FAMILY_STATUS IN ('Married', 'Single / not married', 'Civil marriage')
+  AND NAME_INCOME_TYPE IN ('Working', 'Commercial associate', 'Pensioner') AND FLAG_OWN_REALTY = 'Y'
+GROUP BY 1"""))
+oracle("f8_having_income_type", with_app(f"""
+SELECT NAME_INCOME_TYPE, count(*) AS CLIENT_COUNT, round(avg(AMT_INCOME_TOTAL), 0) AS AVG_INCOME,
+       {DEFAULT_RATE} AS DEFAULT_RATE
+FROM application WHERE AMT_INCOME_TOTAL >= 30000.0 GROUP BY NAME_INCOME_TYPE HAVING count(*) > 100"""))
+oracle("f9_having_family_children", with_app(f"""
+SELECT NAME_FAMILY_STATUS, CNT_CHILDREN, count(*) AS CLIENT_COUNT, {DEFAULT_RATE} AS DEFAULT_RATE
+FROM application WHERE AMT_CREDIT <= 250000.0 GROUP BY NAME_FAMILY_STATUS, CNT_CHILDREN HAVING count(*) > 50"""))
+REQUESTED = "SELECT DISTINCT l_partkey * 10 AS SK_ID_CURR FROM lineitem"
+oracle("f10_lookup", with_app(f"""
+SELECT SK_ID_CURR, AMT_CREDIT, NAME_INCOME_TYPE FROM application
+WHERE SK_ID_CURR IN ({REQUESTED})"""))
+oracle("f11_non_null_options", with_app(
+    "SELECT DISTINCT NAME_FAMILY_STATUS FROM application WHERE NAME_FAMILY_STATUS IS NOT NULL"))
+oracle("f12_missing_client", with_app(f"""
+SELECT r.SK_ID_CURR, 'Client ID ' || CAST(r.SK_ID_CURR AS VARCHAR) || ' non trouvé dans les données' AS error
+FROM ({REQUESTED}) r WHERE r.SK_ID_CURR NOT IN (SELECT SK_ID_CURR FROM application)"""))
+
+# --- P ------------------------------------------------------------------------
+def _p(col_sql: str, name: str) -> str:
+    return with_app(f"SELECT SK_ID_CURR, {col_sql} AS {name} FROM application")
+
+
+oracle("p1_age", _p("-DAYS_BIRTH / 365.25::DOUBLE", "AGE"))
+oracle("p2_age_group", _p(AGE_GROUP, "AGE_GROUP"))
+oracle("p3_ratio", _p(RATIO, "CREDIT_INCOME_RATIO"))
+oracle("p4_years_employed", _p(YEARS_EMPLOYED, "YEARS_EMPLOYED"))
+oracle("p5_employment_length", _p(EMPLOYMENT_LENGTH, "EMPLOYMENT_LENGTH"))
+oracle("p6_total_enquiries", _p(TOTAL_ENQUIRIES, "TOTAL_ENQUIRIES"))
+oracle("p7_enquiry_group", _p(ENQUIRY_GROUP, "ENQUIRY_GROUP"))
+oracle("p8_ownership_label", _p(_OWNERSHIP, "OWNERSHIP_LABEL"))
+oracle("p9_weekday_order", _p(WEEKDAY_ORDER, "WEEKDAY_ORDER"))
+oracle("p10_default_flag", _p(DEFAULT_FLAG, "DEFAULT_FLAG"))
+oracle("p11_rounding", with_app(
+    "SELECT SK_ID_CURR, round(AMT_ANNUITY, 0) AS ROUND0, round(EXT_SOURCE_2 * 100, 2) AS ROUND2 FROM application"))
