@@ -213,3 +213,342 @@ def p11_rounding(spark, sf_dir):
     return application(spark, sf_dir).select(
         "SK_ID_CURR", F.round("AMT_ANNUITY", 0).alias("ROUND0"),
         F.round(F.col("EXT_SOURCE_2") * 100, 2).alias("ROUND2"))
+
+
+# --- P12-P28: scoring preprocessing and client response ---------------------
+
+@query("p12_numeric_repair")
+def p12_numeric_repair(spark, sf_dir):
+    from riskspark.operators.preprocess import preprocess
+    from riskspark.schema import NUMERIC_COLS
+    return preprocess(application(spark, sf_dir)).select("SK_ID_CURR", *NUMERIC_COLS)
+
+
+@query("p13_categorical_repair")
+def p13_categorical_repair(spark, sf_dir):
+    from riskspark.operators.preprocess import preprocess
+    from riskspark.schema import CATEGORICAL_COLS
+    return preprocess(application(spark, sf_dir)).select("SK_ID_CURR", *CATEGORICAL_COLS)
+
+
+@query("p14_flag_encoding")
+def p14_flag_encoding(spark, sf_dir):
+    from riskspark.operators.preprocess import preprocess
+    from riskspark.schema import FLAG_COLS
+    return preprocess(application(spark, sf_dir)).select("SK_ID_CURR", *FLAG_COLS)
+
+
+def _client_info(spark, sf_dir) -> DataFrame:
+    """P18 ``client_info`` over the preprocessed table (no model needed)."""
+    from riskspark.functions import client as C
+    from riskspark.operators.preprocess import preprocess
+    return preprocess(application(spark, sf_dir)).select(
+        F.col("SK_ID_CURR").alias("client_id"), C.client_info().alias("client_info"))
+
+
+@query("p16_client_age")
+def p16_client_age(spark, sf_dir):
+    from riskspark.functions import client as C
+    return application(spark, sf_dir).select("SK_ID_CURR", C.client_age().alias("CLIENT_AGE"))
+
+
+@query("p17_client_years_employed")
+def p17_client_years_employed(spark, sf_dir):
+    from riskspark.functions import client as C
+    return application(spark, sf_dir).select("SK_ID_CURR", C.client_years_employed().alias("YEARS_EMPLOYED"))
+
+
+@query("p18_nested_response")
+def p18_nested_response(spark, sf_dir):
+    return _client_info(spark, sf_dir).select("client_id", "client_info.*")
+
+
+@query("p19_years_display")
+def p19_years_display(spark, sf_dir):
+    from riskspark.functions import client as C
+    return _client_info(spark, sf_dir).select(
+        "client_id", C.years_employed_display(F.col("client_info.years_employed")).alias("years_employed"))
+
+
+@query("p20_amounts")
+def p20_amounts(spark, sf_dir):
+    from riskspark.functions import client as C
+    return _client_info(spark, sf_dir).select(
+        "client_id", F.col("client_info.age").cast("int").alias("age"),
+        C.whole_amount(F.col("client_info.income")).alias("income"),
+        C.whole_amount(F.col("client_info.credit_amount")).alias("credit_amount"))
+
+
+@query("p21_labels")
+def p21_labels(spark, sf_dir):
+    from riskspark.functions import client as C
+    return _client_info(spark, sf_dir).select(
+        "client_id", C.formatted_client_info("client_info").alias("i")).select(
+        "client_id", "i.gender", "i.income_type", "i.education_type", "i.family_status", "i.housing_type")
+
+
+# P22, P24, P25 take a score in [0, 1); the model-free queries use EXT_SOURCE_2 as that score
+# so they can be checked against SQL. m5_batch_score applies them to model scores.
+@query("p22_recommendation")
+def p22_recommendation(spark, sf_dir):
+    from riskspark.functions import client as C
+    return application(spark, sf_dir).select(
+        "SK_ID_CURR", C.recommendation(F.col("EXT_SOURCE_2")).alias("r")).select("SK_ID_CURR", "r.*")
+
+
+@query("p23_feedback_defaults")
+def p23_feedback_defaults(spark, sf_dir):
+    from riskspark.sources.fixtures import feedback_from_events
+    from riskspark.sources.tables import read_table
+    from riskspark.streaming.feedback import feedback_records
+    return _feedback_columns(feedback_records(feedback_from_events(read_table(spark, sf_dir, "events"))))
+
+
+def _feedback_columns(records: DataFrame) -> DataFrame:
+    return records.select(
+        "event_id", "message", "is_positive", "level",
+        F.col("custom_dimensions").getItem("k").alias("dim_k"),
+        F.size("custom_dimensions").alias("n_dims"))
+
+
+@query("p24_risk_level")
+def p24_risk_level(spark, sf_dir):
+    from riskspark.functions import client as C
+    return application(spark, sf_dir).select("SK_ID_CURR", C.risk_tag(F.col("EXT_SOURCE_2")).alias("RISK_TAG"))
+
+
+@query("p25_score_percent")
+def p25_score_percent(spark, sf_dir):
+    from riskspark.functions import client as C
+    return application(spark, sf_dir).select(
+        "SK_ID_CURR", C.score_percent_text(F.col("EXT_SOURCE_2")).alias("SCORE_TEXT"))
+
+
+@query("p26_display_ratio")
+def p26_display_ratio(spark, sf_dir):
+    from riskspark.functions import client as C
+    info = _client_info(spark, sf_dir).select(
+        "client_id", C.formatted_client_info("client_info").alias("i"))
+    return info.select("client_id", C.displayed_ratio("i.credit_amount", "i.income").alias("RATIO"))
+
+
+@query("p27_stamps")
+def p27_stamps(spark, sf_dir):
+    from riskspark.functions import client as C
+    from riskspark.sources.tables import read_table
+    return read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("SK_ID_CURR"), C.result_stamps(F.col("o_orderdate")).alias("m")) \
+        .select("SK_ID_CURR", "m.*")
+
+
+@query("p28_amount_label")
+def p28_amount_label(spark, sf_dir):
+    from riskspark.functions import client as C
+    return application(spark, sf_dir).select(
+        "SK_ID_CURR", C.amount_label(C.whole_amount("AMT_CREDIT")).alias("AMOUNT_LABEL"))
+
+
+# --- O: orderings -------------------------------------------------------------
+
+@query("o1_label_order")
+def o1_label_order(spark, sf_dir):
+    return G.by_employment_length(application(spark, sf_dir), PortfolioFilters(realty_status="Oui"))
+
+
+@query("o2_weekday_order")
+def o2_weekday_order(spark, sf_dir):
+    return G.by_weekday(application(spark, sf_dir), PortfolioFilters(min_credit=100000.0))
+
+
+@query("o3_sorted_options")
+def o3_sorted_options(spark, sf_dir):
+    return G.filter_options(PortfolioFilters(max_credit=250000.0).apply(application(spark, sf_dir)))
+
+
+@query("o4_first_row")
+def o4_first_row(spark, sf_dir):
+    from riskspark.plans.scoring import first_per_key
+    apps = application(spark, sf_dir).select("CUST_ID", "SK_ID_CURR", "AMT_CREDIT", "NAME_CONTRACT_TYPE")
+    return first_per_key(apps, "CUST_ID", "SK_ID_CURR")
+
+
+# --- S: sources and sinks ----------------------------------------------------
+
+@query("s1_read_portfolio")
+def s1_read_portfolio(spark, sf_dir):
+    from riskspark.session import scratch_path
+    from riskspark.sources.tables import read_application, write_application
+    path = scratch_path(spark, "portfolio-csv")
+    write_application(application(spark, sf_dir), path)
+    return G.by_age(read_application(spark, path, with_target=True))
+
+
+@query("s2_read_scoring")
+def s2_read_scoring(spark, sf_dir):
+    from riskspark.session import scratch_path
+    from riskspark.sources.tables import read_application, write_application
+    path = scratch_path(spark, "scoring-csv")
+    write_application(application(spark, sf_dir).drop("TARGET"), path)
+    return read_application(spark, path, with_target=False).select(
+        "SK_ID_CURR", "AMT_CREDIT", "CODE_GENDER", "DAYS_EMPLOYED", "EXT_SOURCE_1")
+
+
+@query("s3_keep_hot")
+def s3_keep_hot(spark, sf_dir):
+    from riskspark.sources.cache import materialize
+    hot = materialize(application(spark, sf_dir), "application",
+                      ["SK_ID_CURR", "TARGET", "DAYS_EMPLOYED", "AMT_CREDIT", "FLAG_OWN_REALTY"])
+    return G.by_employment_length(hot)
+
+
+@query("s6_profiles")
+def s6_profiles(spark, sf_dir):
+    from riskspark.operators.profile import unified_profiles
+    from riskspark.sources.fixtures import users_data
+    return unified_profiles(users_data(spark, sf_dir))
+
+
+@query("s7_feedback_stream")
+def s7_feedback_stream(spark, sf_dir):
+    from riskspark.session import scratch_path
+    from riskspark.streaming.feedback import run_feedback_stream
+    base = scratch_path(spark, "feedback")
+    sink = run_feedback_stream(spark, sf_dir, f"{base}/sink", f"{base}/checkpoint", pattern="events.parquet")
+    return _feedback_columns(sink)
+
+
+@query("s8_export")
+def s8_export(spark, sf_dir):
+    from riskspark.session import scratch_path
+    from riskspark.sources.cache import export
+    result = G.by_contract_and_realty(application(spark, sf_dir))
+    path = export(result, scratch_path(spark, "g6-json"), "json")
+    return spark.read.schema(result.schema).json(path)
+
+
+# --- J: client card -----------------------------------------------------------
+
+@query("j1_client_card")
+def j1_client_card(spark, sf_dir):
+    from riskspark.operators.profile import client_card
+    from riskspark.sources.fixtures import users_data
+    apps = application(spark, sf_dir).select("SK_ID_CURR", "CUST_ID")
+    return client_card(apps, users_data(spark, sf_dir))
+
+
+@query("j2_missing_card")
+def j2_missing_card(spark, sf_dir):
+    from riskspark.operators.profile import missing_cards
+    from riskspark.sources.fixtures import users_data
+    apps = application(spark, sf_dir).select("SK_ID_CURR", "CUST_ID")
+    return missing_cards(apps, users_data(spark, sf_dir))
+
+
+# --- M: model fit and batch scoring (rows-only checks) -----------------------
+
+_MODELS: dict[tuple[int, str], tuple[object, str]] = {}
+
+
+def fitted_model(spark, sf_dir):
+    """M6 once per session and scale factor; saved under the checkpoint folder (S4/S5 read it back)."""
+    from riskspark.plans.scoring import fit
+    from riskspark.session import scratch_path
+    key = (id(spark), sf_dir)
+    if key not in _MODELS:
+        model = fit(application(spark, sf_dir))
+        path = scratch_path(spark, "risk-model")
+        model.save(path)
+        _MODELS[key] = (model, path)
+    return _MODELS[key]
+
+
+def scoring_table(spark, sf_dir) -> DataFrame:
+    return application(spark, sf_dir).drop("TARGET")
+
+
+@query("m6_fit")
+def m6_fit(spark, sf_dir):
+    model, _ = fitted_model(spark, sf_dir)
+    coef = model.classifier.coefficients.toArray().tolist()
+    rows = [(-1, float(model.classifier.intercept))] + [(i, float(c)) for i, c in enumerate(coef)]
+    return spark.createDataFrame(rows, "feature_index int, coefficient double")
+
+
+@query("m1_prepare")
+def m1_prepare(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+    from riskspark.plans.scoring import prepare
+    model, _ = fitted_model(spark, sf_dir)
+    return prepare(scoring_table(spark, sf_dir), model).select(
+        "SK_ID_CURR", vector_to_array("features").alias("features"))
+
+
+@query("m2_classify")
+def m2_classify(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+    from riskspark.plans.scoring import classify, prepare
+    model, _ = fitted_model(spark, sf_dir)
+    return classify(prepare(scoring_table(spark, sf_dir), model), model).select(
+        "SK_ID_CURR", "prediction", vector_to_array("probability").alias("probability"))
+
+
+@query("m3_risk_score")
+def m3_risk_score(spark, sf_dir):
+    from riskspark.plans.scoring import score
+    model, _ = fitted_model(spark, sf_dir)
+    return score(scoring_table(spark, sf_dir), model).select("SK_ID_CURR", "risk_score", "prediction")
+
+
+@query("m4_fallback_score")
+def m4_fallback_score(spark, sf_dir):
+    from riskspark.plans.scoring import classify, prepare, risk_score
+    model, _ = fitted_model(spark, sf_dir)
+    no_prob = classify(prepare(scoring_table(spark, sf_dir), model), model).drop("probability")
+    return no_prob.select("SK_ID_CURR", "prediction", risk_score(no_prob).alias("risk_score"))
+
+
+@query("m5_batch_score")
+def m5_batch_score(spark, sf_dir):
+    from riskspark.plans.scoring import flatten_response, score_clients
+    model, _ = fitted_model(spark, sf_dir)
+    return flatten_response(score_clients(scoring_table(spark, sf_dir), model))
+
+
+@query("m5_client_card")
+def m5_client_card(spark, sf_dir):
+    """M5 then J1: scored clients that also have a personal profile (the page's full card)."""
+    from riskspark.operators.profile import client_card
+    from riskspark.plans.scoring import flatten_response, score_clients
+    from riskspark.sources.fixtures import users_data
+    model, _ = fitted_model(spark, sf_dir)
+    apps = scoring_table(spark, sf_dir)
+    scored = flatten_response(score_clients(apps, model)).join(
+        apps.select(F.col("SK_ID_CURR").alias("client_id"), "CUST_ID"), "client_id")
+    return client_card(scored, users_data(spark, sf_dir))
+
+
+@query("s4_load_preprocessor")
+def s4_load_preprocessor(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+    from riskspark.operators.preprocess import preprocess
+    from riskspark.plans.scoring import load_preprocessor
+    _, path = fitted_model(spark, sf_dir)
+    pre = load_preprocessor(f"{path}/preprocessor")
+    return pre.transform(preprocess(scoring_table(spark, sf_dir))).select(
+        "SK_ID_CURR", vector_to_array("features").alias("features"))
+
+
+@query("s5_load_classifier")
+def s5_load_classifier(spark, sf_dir):
+    from riskspark.plans.scoring import RiskModel, score
+    _, path = fitted_model(spark, sf_dir)
+    return score(scoring_table(spark, sf_dir), RiskModel.load(path)).select("SK_ID_CURR", "risk_score")
+
+
+@query("p15_profile_projection")
+def p15_profile_projection(spark, sf_dir):
+    from riskspark.operators.preprocess import profile_projection
+    from riskspark.plans.scoring import score
+    model, _ = fitted_model(spark, sf_dir)
+    scored = score(scoring_table(spark, sf_dir), model)
+    return profile_projection(scored)

@@ -43,15 +43,20 @@ def parse_requests(raw: DataFrame, body: str = "body") -> DataFrame:
     return raw.select(*keep, F.from_json(F.col(body), schema).alias("_r")).select(*keep, "_r.*")
 
 
-def start_feedback_stream(spark: SparkSession, events_path: str, sink_path: str, checkpoint_path: str,
-                          *, available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """``events`` files -> feedback records -> parquet sink (append, checkpointed).
+def start_feedback_stream(spark: SparkSession, source_dir: str, sink_path: str, checkpoint_path: str,
+                          *, pattern: str = "*.parquet", available_now: bool = True,
+                          processing_time: str | None = None) -> StreamingQuery:
+    """Event files in ``source_dir`` (matching ``pattern``) -> feedback records -> parquet sink.
 
-    ``available_now`` processes what is there and stops (batch-like, restartable);
-    otherwise the query keeps running with ``processing_time`` triggers.
+    Append mode with a checkpoint: the sink commits each micro-batch once.
+    ``available_now`` processes what is there and stops (restartable: a new
+    run picks up only files it has not seen); otherwise the query keeps
+    running with ``processing_time`` triggers.
     """
-    schema = spark.read.parquet(events_path).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(events_path)
+    base = source_dir.rstrip("/")
+    schema = spark.read.option("pathGlobFilter", pattern).parquet(base).schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+              .option("maxFilesPerTrigger", 64).parquet(base))
     records = feedback_records(feedback_from_events(stream))
     writer = (records.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint_path))
@@ -60,9 +65,11 @@ def start_feedback_stream(spark: SparkSession, events_path: str, sink_path: str,
     return writer.start(sink_path)
 
 
-def run_feedback_stream(spark: SparkSession, events_path: str, sink_path: str, checkpoint_path: str) -> DataFrame:
+def run_feedback_stream(spark: SparkSession, source_dir: str, sink_path: str, checkpoint_path: str,
+                        pattern: str = "*.parquet") -> DataFrame:
     """Run S7 until the available input is consumed; return the sink as a batch DataFrame."""
-    q = start_feedback_stream(spark, events_path, sink_path, checkpoint_path, available_now=True)
+    q = start_feedback_stream(spark, source_dir, sink_path, checkpoint_path, pattern=pattern,
+                              available_now=True)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

@@ -263,3 +263,185 @@ oracle("p9_weekday_order", _p(WEEKDAY_ORDER, "WEEKDAY_ORDER"))
 oracle("p10_default_flag", _p(DEFAULT_FLAG, "DEFAULT_FLAG"))
 oracle("p11_rounding", with_app(
     "SELECT SK_ID_CURR, round(AMT_ANNUITY, 0) AS ROUND0, round(EXT_SOURCE_2 * 100, 2) AS ROUND2 FROM application"))
+
+
+# --- P12-P28 ------------------------------------------------------------------
+_NUMERIC = ["CNT_CHILDREN", "AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE",
+            "REGION_POPULATION_RELATIVE", "DAYS_BIRTH", "DAYS_EMPLOYED", "DAYS_REGISTRATION",
+            "DAYS_ID_PUBLISH", "OWN_CAR_AGE", "CNT_FAM_MEMBERS", "EXT_SOURCE_1", "EXT_SOURCE_2",
+            "EXT_SOURCE_3", "OBS_30_CNT_SOCIAL_CIRCLE", "DEF_30_CNT_SOCIAL_CIRCLE",
+            "OBS_60_CNT_SOCIAL_CIRCLE", "DEF_60_CNT_SOCIAL_CIRCLE", "DAYS_LAST_PHONE_CHANGE"]
+_CATEGORICAL = ["NAME_CONTRACT_TYPE", "CODE_GENDER", "NAME_TYPE_SUITE", "NAME_INCOME_TYPE",
+                "NAME_EDUCATION_TYPE", "NAME_FAMILY_STATUS", "NAME_HOUSING_TYPE", "OCCUPATION_TYPE",
+                "WEEKDAY_APPR_PROCESS_START", "ORGANIZATION_TYPE", "FONDKAPREMONT_MODE", "HOUSETYPE_MODE",
+                "WALLSMATERIAL_MODE", "EMERGENCYSTATE_MODE"]
+
+oracle("p12_numeric_repair", with_app(
+    "SELECT SK_ID_CURR, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _NUMERIC) + " FROM application"))
+oracle("p13_categorical_repair", with_app(
+    "SELECT SK_ID_CURR, " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'Unknown') AS {c}" for c in _CATEGORICAL)
+    + " FROM application"))
+oracle("p14_flag_encoding", with_app(
+    "SELECT SK_ID_CURR, " + ", ".join(
+        f"CASE WHEN {c} IN ('Y', '1') THEN 1 ELSE 0 END AS {c}" for c in ["FLAG_OWN_CAR", "FLAG_OWN_REALTY"])
+    + " FROM application"))
+
+CLIENT_AGE = "-CAST(trunc(DAYS_BIRTH / 365.25::DOUBLE) AS INT)"
+CLIENT_YEARS = ("CASE WHEN DAYS_EMPLOYED IS NULL OR DAYS_EMPLOYED = 365243 THEN 0.0::DOUBLE "
+                "ELSE -DAYS_EMPLOYED / 365.25::DOUBLE END")
+CLIENT_INFO = f"""SELECT SK_ID_CURR AS client_id, coalesce(CODE_GENDER, 'Unknown') AS gender,
+  {CLIENT_AGE} AS age, CAST(CNT_CHILDREN AS INT) AS children_count,
+  CAST(AMT_INCOME_TOTAL AS DOUBLE) AS income, CAST(AMT_CREDIT AS DOUBLE) AS credit_amount,
+  coalesce(NAME_INCOME_TYPE, 'Unknown') AS income_type, coalesce(NAME_EDUCATION_TYPE, 'Unknown') AS education_type,
+  coalesce(NAME_FAMILY_STATUS, 'Unknown') AS family_status, coalesce(NAME_HOUSING_TYPE, 'Unknown') AS housing_type,
+  {CLIENT_YEARS} AS years_employed
+FROM application"""
+
+
+def _tr(col: str, pairs: dict[str, str]) -> str:
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in pairs.items())
+    return f"CASE {col} {whens} ELSE {col} END"
+
+
+_GENDER = {"M": "Homme", "F": "Femme"}
+_INCOME = {"Working": "Salarié", "Commercial associate": "Commercial", "Pensioner": "Retraité",
+           "State servant": "Fonctionnaire", "Entrepreneur": "Entrepreneur"}
+_EDUCATION = {"Higher education": "Enseignement supérieur", "Secondary / secondary special": "Secondaire",
+              "Incomplete higher": "Supérieur incomplet", "Lower secondary": "Premier cycle secondaire",
+              "Academic degree": "Diplôme universitaire"}
+_FAMILY = {"Married": "Marié(e)", "Single / not married": "Célibataire", "Civil marriage": "Pacs",
+           "Separated": "Séparé(e)", "Widow": "Veuf/veuve"}
+_HOUSING = {"House / apartment": "Maison / appartement", "Rented apartment": "Location",
+            "With parents": "Chez les parents", "Municipal apartment": "Logement social",
+            "Office apartment": "Logement de fonction", "Co-op apartment": "Coopérative"}
+
+oracle("p16_client_age", with_app(f"SELECT SK_ID_CURR, {CLIENT_AGE} AS CLIENT_AGE FROM application"))
+oracle("p17_client_years_employed", with_app(f"SELECT SK_ID_CURR, {CLIENT_YEARS} AS YEARS_EMPLOYED FROM application"))
+oracle("p18_nested_response", with_app(CLIENT_INFO))
+oracle("p19_years_display", with_app(f"""
+SELECT client_id, round(CASE WHEN years_employed > 100 THEN fmod(years_employed, 100) ELSE years_employed END, 1)
+  AS years_employed FROM ({CLIENT_INFO}) i"""))
+oracle("p20_amounts", with_app(f"""
+SELECT client_id, age, CAST(round_even(income, 0) AS BIGINT) AS income,
+       CAST(round_even(credit_amount, 0) AS BIGINT) AS credit_amount FROM ({CLIENT_INFO}) i"""))
+oracle("p21_labels", with_app(f"""
+SELECT client_id, {_tr('gender', _GENDER)} AS gender, {_tr('income_type', _INCOME)} AS income_type,
+       {_tr('education_type', _EDUCATION)} AS education_type, {_tr('family_status', _FAMILY)} AS family_status,
+       {_tr('housing_type', _HOUSING)} AS housing_type FROM ({CLIENT_INFO}) i"""))
+
+_REC = {
+    "refuse": ("Refus recommandé",
+               "Le niveau de risque est trop élevé pour accorder le crédit aux conditions demandées.",
+               "Proposer un montant réduit avec garanties supplémentaires.", "Élevé",
+               ["Refuser le crédit aux conditions demandées", "Proposer un montant réduit (max 30% du revenu)",
+                "Exiger des garanties supplémentaires (caution, hypothèque)",
+                "Orienter le client vers un accompagnement budgétaire"]),
+    "conditional": ("Acceptation conditionnelle",
+                    "Le dossier présente un risque modéré qui nécessite des garanties supplémentaires.",
+                    "Envisager un co-emprunteur ou une caution solidaire.", "Moyen",
+                    ["Accepter sous réserve de garanties supplémentaires",
+                     "Ajuster le taux d'intérêt pour compenser le risque",
+                     "Proposer une durée d'emprunt plus courte", "Mettre en place un suivi trimestriel"]),
+    "accept": ("Acceptation recommandée", "Le profil présente un faible risque de défaut.",
+               "Procéder à l'octroi du crédit aux conditions standards.", "Faible",
+               ["Accorder le crédit aux conditions standards",
+                "Proposer des produits complémentaires (assurance, épargne)",
+                "Appliquer le processus de suivi standard", "Réévaluer le risque annuellement"]),
+}
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _rec_field(i: int, score: str) -> str:
+    def val(k):
+        v = _REC[k][i]
+        return "[" + ", ".join(_q(x) for x in v) + "]" if isinstance(v, list) else _q(v)
+    return (f"CASE WHEN {score} IS NULL THEN NULL WHEN {score} >= 0.70 THEN {val('refuse')} "
+            f"WHEN {score} >= 0.40 THEN {val('conditional')} ELSE {val('accept')} END")
+
+
+oracle("p22_recommendation", with_app(
+    "SELECT SK_ID_CURR, " + ", ".join(
+        f"{_rec_field(i, 'EXT_SOURCE_2')} AS {name}"
+        for i, name in enumerate(["decision", "explanation", "alternative", "risk_level", "action_plan"]))
+    + " FROM application"))
+
+FEEDBACK_SQL = """
+SELECT event_id,
+       coalesce(CASE WHEN event_type = 'signup' THEN NULL ELSE event_type END, 'Message vide') AS message,
+       coalesce(CASE WHEN event_type = 'error' THEN false WHEN event_type = 'view' THEN NULL ELSE true END, true)
+         AS is_positive,
+       CASE WHEN coalesce(CASE WHEN event_type = 'error' THEN false WHEN event_type = 'view' THEN NULL
+                          ELSE true END, true) THEN 'INFO' ELSE 'ERROR' END AS level,
+       json_extract_string(props, '$.k') AS dim_k,
+       CAST(coalesce(json_array_length(json_keys(props)), 0) AS INT) AS n_dims
+FROM events"""
+oracle("p23_feedback_defaults", FEEDBACK_SQL)
+oracle("p24_risk_level", with_app("""
+SELECT SK_ID_CURR, CASE WHEN EXT_SOURCE_2 IS NULL THEN NULL WHEN EXT_SOURCE_2 < 0.4 THEN 'Risque Faible'
+  WHEN EXT_SOURCE_2 < 0.7 THEN 'Risque Moyen' ELSE 'Risque Élevé' END AS RISK_TAG FROM application"""))
+# Spark formats with HALF_UP; rounding first gives the same text in DuckDB for these exact binary values.
+oracle("p25_score_percent", with_app(
+    "SELECT SK_ID_CURR, printf('%.1f%%', round(EXT_SOURCE_2 * 100, 1)) AS SCORE_TEXT FROM application"))
+oracle("p26_display_ratio", with_app(f"""
+SELECT client_id, round(CAST(round_even(credit_amount, 0) AS BIGINT)
+                        / nullif(CAST(round_even(income, 0) AS BIGINT), 0), 2) AS RATIO
+FROM ({CLIENT_INFO}) i"""))
+oracle("p27_stamps", """
+SELECT o_orderkey AS SK_ID_CURR, strftime(o_orderdate, '%d/%m/%Y') AS analysis_date,
+       strftime(o_orderdate, '%H:%M') AS analysis_time, '1.2.3' AS version,
+       'Régression logistique' AS model_type, 'Historique clients 2020-2024' AS data_source
+FROM orders""")
+oracle("p28_amount_label", with_app(
+    "SELECT SK_ID_CURR, CAST(CAST(round_even(AMT_CREDIT, 0) AS BIGINT) AS VARCHAR) || ' €' AS AMOUNT_LABEL "
+    "FROM application"))
+
+# --- O ------------------------------------------------------------------------
+oracle("o1_label_order", with_app(f"""
+SELECT {EMPLOYMENT_LENGTH} AS EMPLOYMENT_LENGTH, count(*) AS CLIENT_COUNT, {DEFAULT_RATE} AS DEFAULT_RATE
+FROM application WHERE FLAG_OWN_REALTY = 'Y' GROUP BY 1 ORDER BY 1"""))
+oracle("o2_weekday_order", with_app(f"""
+SELECT WEEKDAY_APPR_PROCESS_START, count(*) AS APPLICATION_COUNT, {DEFAULT_RATE} AS DEFAULT_RATE,
+       round(avg(AMT_CREDIT), 0) AS AVG_CREDIT, {WEEKDAY_ORDER} AS WEEKDAY_ORDER
+FROM application WHERE AMT_CREDIT >= 100000.0 GROUP BY WEEKDAY_APPR_PROCESS_START ORDER BY WEEKDAY_ORDER"""))
+oracle("o3_sorted_options", with_app("""
+SELECT list_sort(list_distinct(list(NAME_FAMILY_STATUS) FILTER (WHERE NAME_FAMILY_STATUS IS NOT NULL)))
+         AS family_status_options,
+       list_sort(list_distinct(list(NAME_INCOME_TYPE) FILTER (WHERE NAME_INCOME_TYPE IS NOT NULL)))
+         AS income_type_options
+FROM application WHERE AMT_CREDIT <= 250000.0"""))
+oracle("o4_first_row", with_app("""
+SELECT CUST_ID, SK_ID_CURR, AMT_CREDIT, NAME_CONTRACT_TYPE FROM (
+  SELECT *, row_number() OVER (PARTITION BY CUST_ID ORDER BY SK_ID_CURR) AS rn FROM application) t
+WHERE rn = 1"""))
+
+# --- S ------------------------------------------------------------------------
+oracle("s1_read_portfolio", ORACLE_SQL["g1_age"])
+oracle("s2_read_scoring", with_app(
+    "SELECT SK_ID_CURR, AMT_CREDIT, CODE_GENDER, DAYS_EMPLOYED, EXT_SOURCE_1 FROM application"))
+oracle("s3_keep_hot", ORACLE_SQL["g4_employment"])
+PROFILES_SQL = f"""
+SELECT PROFILE_KEY, SK_CURR_ID, LastName, FirstName, PhotoURL FROM (
+  SELECT *, row_number() OVER (PARTITION BY PROFILE_KEY
+                               ORDER BY prio, LastName, FirstName, PhotoURL NULLS FIRST, SK_CURR_ID) AS rn
+  FROM (SELECT SK_CURR_ID_INT AS PROFILE_KEY, 0 AS prio, CAST(SK_CURR_ID_INT AS VARCHAR) AS SK_CURR_ID,
+               LastName, FirstName, PhotoURL FROM users WHERE SK_CURR_ID_INT IS NOT NULL
+        UNION ALL
+        SELECT TRY_CAST(SK_CURR_ID_STR AS BIGINT), 1, SK_CURR_ID_STR, LastName, FirstName, PhotoURL
+        FROM users WHERE CAST(TRY_CAST(SK_CURR_ID_STR AS BIGINT) AS VARCHAR) = SK_CURR_ID_STR) u) r
+WHERE rn = 1"""
+oracle("s6_profiles", f"WITH users AS ({USERS_SQL}) {PROFILES_SQL}")
+oracle("s7_feedback_stream", FEEDBACK_SQL)
+oracle("s8_export", ORACLE_SQL["g6_contract_realty"])
+
+# --- J ------------------------------------------------------------------------
+oracle("j1_client_card", with_app(f"""
+SELECT a.SK_ID_CURR, a.CUST_ID, p.SK_CURR_ID, p.LastName, p.FirstName, p.PhotoURL
+FROM application a JOIN ({PROFILES_SQL}) p ON a.CUST_ID = p.PROFILE_KEY""", f"users AS ({USERS_SQL})"))
+oracle("j2_missing_card", with_app(f"""
+SELECT SK_ID_CURR, 'Impossible de récupérer les informations complètes pour le client ID : '
+       || CAST(SK_ID_CURR AS VARCHAR) || '. Veuillez vérifier l''identifiant et que l''API est bien lancée.' AS error
+FROM application a WHERE NOT EXISTS (SELECT 1 FROM ({PROFILES_SQL}) p WHERE p.PROFILE_KEY = a.CUST_ID)""",
+    f"users AS ({USERS_SQL})"))
