@@ -6,20 +6,19 @@ no row is ever shuffled for the bucket:
 1. ``histogram``: ``groupBy(value).count()`` (partial aggregation; distinct
    values, not rows, leave the map side).
 2. ``start`` rank of each value: exclusive running count, computed level by
-   level over coarse monotone keys (default ``floor(v / 1e4)``, ``floor(v)``,
-   then ``v``). Each window partition holds one coarse group: <= 1e4 keys at
-   the middle level, <= 100 values at the last for a 2-decimal value; only the
-   top level (``range / 1e4`` keys) is one window.
+   level over coarse monotone keys (default ``floor(v / 1e4)``, then ``v``).
+   Each window partition holds one coarse group: <= 1e6 distinct values of a
+   2-decimal value; only the top level (``range / 1e4`` keys) is one window.
+   Pass finer ``levels`` for values with more distinct values per unit.
 3. A value whose rank range ``[start, start + n)`` crosses a bucket boundary
    straddles it; there are at most ``k - 1`` boundaries. The row at each
    boundary rank is found by ranking the ties of that value inside id blocks
    of ``2^20`` (window partitions of at most that many rows), so a hot value
    holding a third of the table never lands on one task.
-4. The ``k - 1`` boundary keys ``(value, tie)`` form a sorted array delivered
-   as a scalar subquery (bounded size, computed once). Each row's bucket is
-   ``1 + #boundaries <= (value, tie)``: a projection, no join, no shuffle.
-   The boundary slots are unrolled, so ``k`` should stay small (quantiles,
-   deciles, percentiles).
+4. The ``k - 1`` boundary keys ``(value, tie)`` come back to the driver (a
+   set bounded by ``k``, like a range partitioner's bounds). Each row's bucket
+   is ``1 + #boundaries <= (value, tie)``: a projection over literals, no
+   join, no shuffle. ``k`` should stay small (quantiles, deciles, percentiles).
 
 Rows with equal ``(value, tie)`` must not exist: ``tie`` is a unique key.
 """
@@ -35,7 +34,6 @@ Level = Callable[[Column], Column]
 
 DEFAULT_LEVELS: Sequence[Level] = (
     lambda v: F.floor(v / F.lit(10000.0)),
-    lambda v: F.floor(v),
 )
 TIE_BLOCK_BITS = 20
 
@@ -105,11 +103,22 @@ def _order_key(df: DataFrame, value: str, tie: str) -> Column:
     )
 
 
-def boundaries(df: DataFrame, value: str, tie: str, buckets: int,
-               levels: Sequence[Level] = DEFAULT_LEVELS) -> DataFrame:
-    """The (<= k - 1) rows that open buckets 2..k: columns ``_b`` and ``_key``."""
-    if buckets < 1:
-        raise ValueError("buckets must be >= 1")
+def _is(value: str, v) -> Column:
+    """``value <=> v`` for a Python value (None matches null)."""
+    return F.col(value).isNull() if v is None else (F.col(value) == F.lit(v))
+
+
+def _any(conds: list[Column]) -> Column:
+    out = conds[0]
+    for c in conds[1:]:
+        out = out | c
+    return out
+
+
+def straddling_values(df: DataFrame, value: str, buckets: int,
+                      levels: Sequence[Level] = DEFAULT_LEVELS) -> DataFrame:
+    """``(value, _b, _j)``: boundary ``_b`` (first rank of bucket ``_b + 1``) falls on the
+    ``_j``-th row (0-based, by tie) of ``value``. At most ``buckets - 1`` rows."""
     # q = N div k exactly (long arithmetic), m = N mod k.
     ranks = value_ranks(df, value, levels).select(
         value, "_n", "_start",
@@ -121,7 +130,7 @@ def boundaries(df: DataFrame, value: str, tie: str, buckets: int,
     # (rank 0 is always in bucket 1, and no boundary has rank 0).
     ranks = ranks.withColumn("_b_lo", _bucket_of("_before", "_q", "_m")) \
         .withColumn("_b_hi", _bucket_of("_last", "_q", "_m"))
-    straddle = (
+    return (
         ranks.filter(F.col("_b_hi") > F.col("_b_lo"))
         .select(value, "_start", "_q", "_m",
                 F.explode(F.sequence(F.col("_b_lo"), F.col("_b_hi") - 1)).alias("_b"))
@@ -132,46 +141,87 @@ def boundaries(df: DataFrame, value: str, tie: str, buckets: int,
              - F.col("_start")).alias("_j"),
         )
     )
-    # straddle has at most k - 1 rows: broadcasting it is bounded by the bucket count.
-    hot = F.broadcast(straddle)
-    rows = _null_safe_join(
-        df.select(value, F.col(tie).cast("long").alias("_t")),
-        hot.select(value).distinct(), [value], "left_semi",
-    ).withColumn("_tb", F.shiftright(F.col("_t"), TIE_BLOCK_BITS))
+
+
+def boundaries(df: DataFrame, value: str, tie: str, buckets: int,
+               levels: Sequence[Level] = DEFAULT_LEVELS) -> list[tuple]:
+    """The keys ``(value is not null, value, tie)`` of the rows that open buckets 2..k, in order.
+
+    Three Spark jobs, each returning at most ``k - 1`` rows to the driver (a
+    bound set by the bucket count, not by the data): the straddling values,
+    the id block holding each boundary row, and the boundary rows themselves.
+    Rows of a straddling value are ranked inside id blocks of ``2^20``, so a
+    value holding a third of the table is still spread over many tasks.
+    """
+    if buckets < 1:
+        raise ValueError("buckets must be >= 1")
+    hot = straddling_values(df, value, buckets, levels).collect()
+    if not hot:
+        return []
+    hot_values = list({r[value] for r in hot})
+    rows = (df.select(value, F.col(tie).cast("long").alias("_t"))
+            .filter(_any([_is(value, v) for v in hot_values]))
+            .withColumn("_tb", F.shiftright(F.col("_t"), TIE_BLOCK_BITS)))
     blocks = rows.groupBy(value, "_tb").agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(value).orderBy("_tb").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     blocks = blocks.withColumn("_s", F.sum("_c").over(w) - F.col("_c"))
-    chosen = _null_safe_join(blocks, hot, [value]).filter(
-        (F.col("_s") <= F.col("_j")) & (F.col("_j") < F.col("_s") + F.col("_c"))
-    ).select(value, "_tb", "_b", (F.col("_j") - F.col("_s")).alias("_jj"))
-    chosen = F.broadcast(chosen)
-    in_blocks = _null_safe_join(rows, chosen.select(value, "_tb"), [value, "_tb"], "left_semi")
-    rn = Window.partitionBy(value, "_tb").orderBy("_t")
-    ranked = in_blocks.withColumn("_rn", F.row_number().over(rn) - 1)
-    picked = _null_safe_join(ranked, chosen, [value, "_tb"]).filter(F.col("_rn") == F.col("_jj")) \
-        .withColumnRenamed("_t", tie)
-    return picked.select("_b", _order_key(picked, value, tie).alias("_key"))
+    in_block = [_is(value, r[value]) & (F.col("_s") <= r["_j"]) & (F.lit(r["_j"]) < F.col("_s") + F.col("_c"))
+                for r in hot]
+    chosen = blocks.filter(_any(in_block)).select(value, "_tb", "_s", "_c").collect()
+    # (value, block) -> list of (boundary, offset inside the block)
+    targets = []
+    for r in hot:
+        for c in chosen:
+            same = (c[value] is None and r[value] is None) or c[value] == r[value]
+            if same and c["_s"] <= r["_j"] < c["_s"] + c["_c"]:
+                targets.append((r["_b"], r[value], c["_tb"], r["_j"] - c["_s"]))
+    block_cond = _any([_is(value, v) & (F.col("_tb") == tb) for _, v, tb, _ in targets])
+    ranked = rows.filter(block_cond).withColumn(
+        "_rn", F.row_number().over(Window.partitionBy(value, "_tb").orderBy("_t")) - 1)
+    pick_cond = _any([_is(value, v) & (F.col("_tb") == tb) & (F.col("_rn") == jj) for _, v, tb, jj in targets])
+    picked = {(r[value], r["_tb"], r["_rn"]): r["_t"]
+              for r in ranked.filter(pick_cond).select(value, "_tb", "_rn", "_t").collect()}
+    keys = []
+    for b, v, tb, jj in sorted(targets, key=lambda x: x[0]):
+        keys.append((v is not None, v if v is not None else 0, picked[(v, tb, jj)]))
+    return keys
+
+
+# Inputs of at most this many rows (checked by a count) use the plain window:
+# one task sorting two million rows is fast, and the plan has fewer stages.
+WINDOW_MAX_ROWS = 2_000_000
 
 
 def ntile(df: DataFrame, value: str, tie: str, buckets: int, out: str = "ntile",
-          levels: Sequence[Level] = DEFAULT_LEVELS) -> DataFrame:
-    """``df`` plus ``out`` = ``ntile(buckets) OVER (ORDER BY value NULLS FIRST, tie)``."""
-    bounds = boundaries(df, value, tie, buckets, levels) \
-        .agg(F.sort_array(F.collect_list("_key")).alias("_bounds")).scalar()
+          levels: Sequence[Level] = DEFAULT_LEVELS, strategy: str = "auto") -> DataFrame:
+    """``df`` plus ``out`` = ``ntile(buckets) OVER (ORDER BY value NULLS FIRST, tie)``.
+
+    ``strategy``: ``"distributed"`` (no row is shuffled), ``"window"`` (Spark's
+    window; every row goes to one task) or ``"auto"``: the window only when a
+    row count proves the input small (<= ``WINDOW_MAX_ROWS``), else distributed.
+    """
+    if strategy == "auto":
+        # Size probe only (stops after WINDOW_MAX_ROWS + 1 rows); the result keeps every row.
+        strategy = "window" if df.limit(WINDOW_MAX_ROWS + 1).count() <= WINDOW_MAX_ROWS else "distributed"
+    if strategy == "window":
+        w = Window.orderBy(F.asc_nulls_first(value), F.col(tie))
+        return df.withColumn(out, F.ntile(buckets).over(w))
+    if strategy != "distributed":
+        raise ValueError(f"unknown strategy {strategy!r}")
+    dtype = df.schema[value].dataType
     key = _order_key(df, value, tie)
-    # 1 + number of boundaries <= key. Unrolled over the k - 1 slots (a subquery may
-    # not sit inside a lambda); Spark evaluates the subquery once and reuses it.
+    # Bucket = 1 + number of boundary keys <= the row's key: a projection over literals.
     bucket = F.lit(1)
-    for i in range(buckets - 1):
-        bucket = bucket + F.when(F.get(bounds, i) <= key, F.lit(1)).otherwise(F.lit(0))
-    bucket = bucket.cast("int")
-    return df.withColumn(out, bucket)
+    for nn, v, t in boundaries(df, value, tie, buckets, levels):
+        bound = F.struct(F.lit(nn).alias("nn"), F.lit(v).cast(dtype).alias("v"), F.lit(t).cast("long").alias("t"))
+        bucket = bucket + F.when(bound <= key, F.lit(1)).otherwise(F.lit(0))
+    return df.withColumn(out, bucket.cast("int"))
 
 
 def ntile_summary(df: DataFrame, value: str, tie: str, buckets: int, bucket_col: str,
-                  flag: str) -> DataFrame:
+                  flag: str, strategy: str = "auto") -> DataFrame:
     """G2 shape: per bucket ``COUNT``, ``AVG_RATIO`` (2 places), ``DEFAULT_RATE`` (% of ``flag``)."""
-    with_bucket = ntile(df, value, tie, buckets, bucket_col)
+    with_bucket = ntile(df, value, tie, buckets, bucket_col, strategy=strategy)
     return with_bucket.groupBy(bucket_col).agg(
         F.count(F.lit(1)).alias("COUNT"),
         F.round(F.avg(value), 2).alias("AVG_RATIO"),

@@ -34,11 +34,11 @@ def by_age(df: DataFrame, filters: PortfolioFilters | None = None) -> DataFrame:
 
 
 def by_credit_income_quintile(df: DataFrame, filters: PortfolioFilters | None = None,
-                              buckets: int = 5) -> DataFrame:
+                              buckets: int = 5, strategy: str = "auto") -> DataFrame:
     """``ntile(5)`` over the credit/income ratio, then count, mean ratio, rate.
 
-    The quintile is computed without a single-partition window (see
-    ``operators.ntile``); rows are never shuffled for it.
+    Above a checked size the quintile is computed without a single-partition
+    window (see ``operators.ntile``): rows are never shuffled for it.
     """
     base = _filtered(df, filters).select(
         "SK_ID_CURR", P.credit_income_ratio().alias("CREDIT_INCOME_RATIO"),
@@ -46,7 +46,7 @@ def by_credit_income_quintile(df: DataFrame, filters: PortfolioFilters | None =
     )
     return ntile_summary(
         base, value="CREDIT_INCOME_RATIO", tie="SK_ID_CURR", buckets=buckets,
-        bucket_col="RATIO_CATEGORY", flag="_d",
+        bucket_col="RATIO_CATEGORY", flag="_d", strategy=strategy,
     )
 
 

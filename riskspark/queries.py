@@ -71,11 +71,26 @@ def g8_weekday(spark, sf_dir):
     return G.by_weekday(application(spark, sf_dir))
 
 
+def _ratio_table(spark, sf_dir):
+    return application(spark, sf_dir).select(
+        "SK_ID_CURR", P.credit_income_ratio().alias("CREDIT_INCOME_RATIO"))
+
+
 @query("w1_ntile")
 def w1_ntile(spark, sf_dir):
-    base = application(spark, sf_dir).select(
-        "SK_ID_CURR", P.credit_income_ratio().alias("CREDIT_INCOME_RATIO"))
-    return ntile(base, "CREDIT_INCOME_RATIO", "SK_ID_CURR", 5, "RATIO_CATEGORY")
+    return ntile(_ratio_table(spark, sf_dir), "CREDIT_INCOME_RATIO", "SK_ID_CURR", 5, "RATIO_CATEGORY")
+
+
+@query("w1_ntile_distributed")
+def w1_ntile_distributed(spark, sf_dir):
+    """W1 forced onto the distributed plan (the one used above the size check)."""
+    return ntile(_ratio_table(spark, sf_dir), "CREDIT_INCOME_RATIO", "SK_ID_CURR", 5, "RATIO_CATEGORY",
+                 strategy="distributed")
+
+
+@query("g2_credit_income_distributed")
+def g2_credit_income_distributed(spark, sf_dir):
+    return G.by_credit_income_quintile(application(spark, sf_dir), strategy="distributed")
 
 
 # --- G9-G12 -----------------------------------------------------------------

@@ -19,6 +19,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Small local files: let a scan split them over the cores (no effect on
+        # large files, where spark.sql.files.maxPartitionBytes decides).
+        .config("spark.sql.files.openCostInBytes", str(512 * 1024))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

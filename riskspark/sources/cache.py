@@ -17,7 +17,11 @@ from riskspark.session import scratch_path
 
 def materialize(df: DataFrame, name: str, columns: list[str] | None = None,
                 partitions: int | None = None) -> DataFrame:
-    """Write ``df`` (optionally only ``columns``) as parquet under ``spark.checkpoint.dir``."""
+    """Write ``df`` (optionally only ``columns``) as parquet under ``spark.checkpoint.dir``.
+
+    ``partitions`` spreads the rows evenly over that many files (one shuffle,
+    paid once) when the source arrives in too few, large files.
+    """
     spark = df.sparkSession
     out = df.select(*columns) if columns else df
     if partitions:

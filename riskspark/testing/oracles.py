@@ -445,3 +445,6 @@ SELECT SK_ID_CURR, 'Impossible de récupérer les informations complètes pour l
        || CAST(SK_ID_CURR AS VARCHAR) || '. Veuillez vérifier l''identifiant et que l''API est bien lancée.' AS error
 FROM application a WHERE NOT EXISTS (SELECT 1 FROM ({PROFILES_SQL}) p WHERE p.PROFILE_KEY = a.CUST_ID)""",
     f"users AS ({USERS_SQL})"))
+
+oracle("w1_ntile_distributed", ORACLE_SQL["w1_ntile"])
+oracle("g2_credit_income_distributed", ORACLE_SQL["g2_credit_income"])

@@ -16,7 +16,7 @@ def _reference(df, k):
 
 def _check(spark, values, k):
     df = spark.createDataFrame([(i * 7 + 3, v) for i, v in enumerate(values)], "id long, v double")
-    got = ntile(df, "v", "id", k, "got")
+    got = ntile(df, "v", "id", k, "got", strategy="distributed")
     joined = _reference(got, k)
     bad = joined.filter(F.col("got") != F.col("want")).count()
     assert bad == 0
@@ -42,7 +42,7 @@ def test_all_null_and_small_inputs(spark):
     _check(spark, [1.0, 2.0, 3.0], 5)     # fewer rows than buckets
     _check(spark, [4.0], 1)
     df = spark.createDataFrame([], "id long, v double")
-    assert ntile(df, "v", "id", 5, "b").count() == 0
+    assert ntile(df, "v", "id", 5, "b", strategy="distributed").count() == 0
 
 
 def test_wide_value_range(spark):
@@ -55,7 +55,7 @@ def test_quintile_sizes_differ_by_at_most_one(spark):
     rnd = random.Random(5)
     df = spark.createDataFrame([(i, round(rnd.random() * 10, 2), rnd.randint(0, 1)) for i in range(1003)],
                                "id long, v double, d int")
-    summary = ntile_summary(df, "v", "id", 5, "b", "d").collect()
+    summary = ntile_summary(df, "v", "id", 5, "b", "d", strategy="distributed").collect()
     sizes = sorted(r.COUNT for r in summary)
     assert sum(sizes) == 1003 and sizes[-1] - sizes[0] <= 1
     assert all(0 <= r.DEFAULT_RATE <= 100 for r in summary)
@@ -63,9 +63,15 @@ def test_quintile_sizes_differ_by_at_most_one(spark):
 
 def test_plan_has_no_row_level_exchange(spark):
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 37 / 4).alias("v"))
-    plan = ntile(df, "v", "id", 5, "b")._jdf.queryExecution().executedPlan().toString()
+    plan = ntile(df, "v", "id", 5, "b", strategy="distributed")._jdf.queryExecution().executedPlan().toString()
     # Lines of the main plan (not of the boundary subquery, which are prefixed by ':')
     # hold no exchange: the rows are never shuffled for their bucket.
     main = [ln for ln in plan.splitlines() if not ln.lstrip().startswith(":")]
     assert any("Range" in ln for ln in main)
     assert not any("Exchange" in ln for ln in main)
+
+
+def test_auto_uses_window_when_small(spark):
+    df = spark.range(10).select(F.col("id"), (F.col("id") % 3).cast("double").alias("v"))
+    plan = ntile(df, "v", "id", 3, "b")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan
