@@ -199,10 +199,12 @@ def ntile(df: DataFrame, value: str, tie: str, buckets: int, out: str = "ntile",
     ``strategy``: ``"distributed"`` (no row is shuffled), ``"window"`` (Spark's
     window; every row goes to one task) or ``"auto"``: the window only when a
     row count proves the input small (<= ``WINDOW_MAX_ROWS``), else distributed.
+    ``"auto"`` and ``"distributed"`` run small Spark jobs when called (the count,
+    the boundary search); the returned DataFrame is lazy.
     """
     if strategy == "auto":
-        # Size probe only (stops after WINDOW_MAX_ROWS + 1 rows); the result keeps every row.
-        strategy = "window" if df.limit(WINDOW_MAX_ROWS + 1).count() <= WINDOW_MAX_ROWS else "distributed"
+        # Size check: a distributed count (partial aggregation per partition).
+        strategy = "window" if df.count() <= WINDOW_MAX_ROWS else "distributed"
     if strategy == "window":
         w = Window.orderBy(F.asc_nulls_first(value), F.col(tie))
         return df.withColumn(out, F.ntile(buckets).over(w))
