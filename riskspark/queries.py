@@ -567,3 +567,18 @@ def p15_profile_projection(spark, sf_dir):
     model, _ = fitted_model(spark, sf_dir)
     scored = score(scoring_table(spark, sf_dir), model)
     return profile_projection(scored)
+
+
+@query("s7_feedback_json_stream")
+def s7_feedback_json_stream(spark, sf_dir):
+    """S7 over JSON request bodies derived from ``events`` (written as text, then streamed)."""
+    from riskspark.session import scratch_path
+    from riskspark.sources.fixtures import feedback_from_events
+    from riskspark.sources.tables import read_table
+    from riskspark.streaming.feedback import request_bodies, start_request_stream
+    base = scratch_path(spark, "feedback-json")
+    bodies = request_bodies(feedback_from_events(read_table(spark, sf_dir, "events")), carry=["event_id"])
+    bodies.write.mode("overwrite").text(f"{base}/bodies")
+    q = start_request_stream(spark, f"{base}/bodies", f"{base}/sink", f"{base}/checkpoint", extra="event_id long")
+    q.awaitTermination()
+    return _feedback_columns(spark.read.parquet(f"{base}/sink"))

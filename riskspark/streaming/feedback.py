@@ -36,9 +36,15 @@ def feedback_records(requests: DataFrame) -> DataFrame:
     )
 
 
-def parse_requests(raw: DataFrame, body: str = "body") -> DataFrame:
-    """JSON request bodies (one per row) -> ``message``, ``custom_dimensions``, ``is_positive``."""
-    schema = "message string, custom_dimensions map<string,string>, is_positive boolean"
+REQUEST_SCHEMA = "message string, custom_dimensions map<string,string>, is_positive boolean"
+
+
+def parse_requests(raw: DataFrame, body: str = "body", extra: str = "") -> DataFrame:
+    """JSON request bodies (one per row) -> ``message``, ``custom_dimensions``, ``is_positive``.
+
+    ``extra`` adds fields carried in the body (DDL, e.g. ``"event_id long"``).
+    """
+    schema = f"{extra}, {REQUEST_SCHEMA}" if extra else REQUEST_SCHEMA
     keep = [c for c in raw.columns if c != body]
     return raw.select(*keep, F.from_json(F.col(body), schema).alias("_r")).select(*keep, "_r.*")
 
@@ -74,3 +80,27 @@ def run_feedback_stream(spark: SparkSession, source_dir: str, sink_path: str, ch
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return spark.read.parquet(sink_path)
+
+
+def start_request_stream(spark: SparkSession, bodies_dir: str, sink_path: str, checkpoint_path: str,
+                         *, extra: str = "", available_now: bool = True) -> StreamingQuery:
+    """S7 from raw request bodies: text files with one JSON body per line.
+
+    A key missing from a body takes its default, as the reference's
+    ``data.get(key, default)`` does.
+    """
+    raw = spark.readStream.option("maxFilesPerTrigger", 64).text(bodies_dir).withColumnRenamed("value", "body")
+    records = feedback_records(parse_requests(raw, extra=extra))
+    writer = (records.writeStream.format("parquet").outputMode("append")
+              .option("checkpointLocation", checkpoint_path))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+    return writer.start(sink_path)
+
+
+def request_bodies(requests: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """Feedback requests -> one JSON body per row; null fields are left out of the body.
+
+    ``carry`` names extra columns to put in the body (e.g. an event id).
+    """
+    fields = [*(carry or []), "message", "custom_dimensions", "is_positive"]
+    return requests.select(F.to_json(F.struct(*fields)).alias("body"))
