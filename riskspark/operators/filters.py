@@ -6,10 +6,11 @@ Catalyst merges it with any other condition and pushes it to the scan.
 
 from __future__ import annotations
 
+import json
 import operator
 from dataclasses import dataclass
 from functools import reduce
-from typing import Sequence
+from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,26 @@ class PortfolioFilters:
     income_types: Sequence[str] | None = None
     realty_status: str | None = None
 
+    @staticmethod
+    def from_params(params: Mapping[str, str | None]) -> "PortfolioFilters":
+        """Build from request-style parameters: numbers as text, lists as JSON text.
+
+        Keys: ``min_credit``, ``max_credit``, ``min_income`` (float text),
+        ``family_statuses``, ``income_types`` (JSON arrays), ``realty_status``.
+        Missing or empty values leave the filter off.
+        """
+        def num(key):
+            v = params.get(key)
+            return float(v) if v not in (None, "") else None
+
+        def lst(key):
+            v = params.get(key)
+            return list(json.loads(v)) if v else None
+
+        return PortfolioFilters(min_credit=num("min_credit"), max_credit=num("max_credit"),
+                                min_income=num("min_income"), family_statuses=lst("family_statuses"),
+                                income_types=lst("income_types"), realty_status=params.get("realty_status"))
+
     def realty_code(self) -> str | None:
         """``Tous`` / empty -> off, ``Oui`` -> ``Y``, anything else -> ``N``."""
         if not self.realty_status or self.realty_status == REALTY_ALL:

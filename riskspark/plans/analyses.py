@@ -138,6 +138,12 @@ def analysis(df: DataFrame, number: int, filters: PortfolioFilters | None = None
     return fn(df, filters)
 
 
+def analysis_from_params(df: DataFrame, params) -> DataFrame:
+    """``analysis_type`` (default 1) and the filter parameters of a request, as text."""
+    number = int(params.get("analysis_type") or 1)
+    return analysis(df, number, PortfolioFilters.from_params(params))
+
+
 def filter_options(df: DataFrame) -> DataFrame:
     """Sorted distinct family statuses and income types, one pass, nulls dropped.
 

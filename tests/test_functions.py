@@ -127,3 +127,15 @@ def test_filters(spark):
     assert ids(PortfolioFilters(realty_status="anything")) == [1]
     many = ["Widow"] + [f"s{i}" for i in range(2000)]               # broadcast semi join path
     assert ids(PortfolioFilters(family_statuses=many)) == [1]
+
+
+def test_filters_from_request_params(spark):
+    f = PortfolioFilters.from_params({"min_credit": "100.5", "max_credit": "", "family_statuses": '["Widow"]',
+                                      "income_types": None, "realty_status": "Oui"})
+    assert f == PortfolioFilters(min_credit=100.5, family_statuses=["Widow"], realty_status="Oui")
+    from riskspark.plans.analyses import analysis_from_params
+    rows = [{"SK_ID_CURR": 0, "AMT_CREDIT": 200.0, "NAME_INCOME_TYPE": "Working", "TARGET": 1},
+            {"SK_ID_CURR": 1, "AMT_CREDIT": 50.0, "NAME_INCOME_TYPE": "Working", "TARGET": 0}]
+    out = analysis_from_params(app_rows(spark, rows), {"analysis_type": "3", "min_credit": "100"})
+    # one client left, below the HAVING limit of G3
+    assert out.count() == 0
