@@ -107,10 +107,16 @@ def lookup_ids(df: DataFrame, ids: DataFrame | Sequence[int] | int, key: str = "
     by size (broadcast when small, sort-merge otherwise).
     """
     if isinstance(ids, DataFrame):
-        return df.join(ids.select(F.col(ids.columns[0]).alias(key)).distinct(), on=key, how="left_semi")
+        # A semi join never repeats a left row, so the ids need no distinct (no extra shuffle).
+        return df.join(ids.select(F.col(ids.columns[0]).alias(key)), on=key, how="left_semi")
     if isinstance(ids, int):
         return df.filter(F.col(key) == F.lit(ids))
-    return df.filter(F.col(key).isin(list(ids)))
+    ids = list(ids)
+    if len(ids) <= ISIN_LIMIT:
+        return df.filter(F.col(key).isin(ids))
+    # A long driver-side list: its size is known, so broadcasting it is bounded.
+    keys = df.sparkSession.createDataFrame([(int(i),) for i in ids], f"{key} long")
+    return df.join(F.broadcast(keys), on=key, how="left_semi")
 
 
 def missing_ids(ids: DataFrame, df: DataFrame, key: str = "SK_ID_CURR",

@@ -139,3 +139,14 @@ def test_filters_from_request_params(spark):
     out = analysis_from_params(app_rows(spark, rows), {"analysis_type": "3", "min_credit": "100"})
     # one client left, below the HAVING limit of G3
     assert out.count() == 0
+
+
+def test_lookup_forms(spark):
+    from riskspark.operators.filters import lookup_ids, missing_ids
+    df = spark.range(5000).withColumnRenamed("id", "SK_ID_CURR")
+    assert lookup_ids(df, 7).count() == 1
+    assert lookup_ids(df, [1, 2, 99999]).count() == 2
+    assert lookup_ids(df, list(range(0, 10000, 2))).count() == 2500       # broadcast path
+    ids = spark.createDataFrame([(1,), (1,), (6000,)], "x long")
+    assert lookup_ids(df, ids).count() == 1                                 # no duplicates
+    assert [r.SK_ID_CURR for r in missing_ids(ids, df).collect()] == [6000]
