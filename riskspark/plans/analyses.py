@@ -147,16 +147,13 @@ def analysis_from_params(df: DataFrame, params) -> DataFrame:
 def filter_options(df: DataFrame) -> DataFrame:
     """Sorted distinct family statuses and income types, one pass, nulls dropped.
 
-    Each side is de-duplicated with its own partial aggregate before the
-    one-row ``collect_set``, so the final task only sees distinct values.
+    ``collect_set`` aggregates partially on each partition, so the final
+    one-row step only merges sets of distinct values (bounded by the number
+    of categories), never the rows.
     """
-    fam = df.select(F.col("NAME_FAMILY_STATUS").alias("v")).where(F.col("v").isNotNull()).distinct()
-    inc = df.select(F.col("NAME_INCOME_TYPE").alias("v")).where(F.col("v").isNotNull()).distinct()
-    return (
-        fam.select(F.lit(0).alias("k"), "v").unionByName(inc.select(F.lit(1).alias("k"), "v"))
-        .groupBy()
-        .agg(F.sort_array(F.collect_set(F.when(F.col("k") == 0, F.col("v")))).alias("family_status_options"),
-             F.sort_array(F.collect_set(F.when(F.col("k") == 1, F.col("v")))).alias("income_type_options"))
+    return df.agg(
+        F.sort_array(F.collect_set("NAME_FAMILY_STATUS")).alias("family_status_options"),
+        F.sort_array(F.collect_set("NAME_INCOME_TYPE")).alias("income_type_options"),
     )
 
 

@@ -180,7 +180,7 @@ def requested_ids(spark, sf_dir) -> DataFrame:
     """A batch of requested client ids derived from ``lineitem`` (ten times each part key):
     roughly a quarter of them are not application ids at any scale factor."""
     from riskspark.sources.tables import read_table
-    return read_table(spark, sf_dir, "lineitem").select((F.col("l_partkey") * 10).alias("SK_ID_CURR")).distinct()
+    return read_table(spark, sf_dir, "lineitem").select((F.col("l_partkey") * 10).alias("SK_ID_CURR"))
 
 
 @query("f10_lookup")
