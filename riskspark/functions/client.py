@@ -167,8 +167,13 @@ def risk_tag(score: str | Column = "risk_score") -> Column:
 
 
 def score_percent_text(score: str | Column = "risk_score") -> Column:
-    """P25: score in percent as text with one decimal, e.g. ``42.5%``."""
-    return F.format_string("%.1f%%", _col(score) * 100)
+    """P25: score in percent as text with one decimal, e.g. ``42.5%``.
+
+    ``format_number`` rounds half-even on the exact binary value, as Python's
+    ``f"{x:.1f}"`` in the reference does (``format_string`` would round 6.25 up).
+    Scores are in [0, 1], so no thousands separator appears.
+    """
+    return F.concat(F.format_number(_col(score) * 100, 1), F.lit("%"))
 
 
 def displayed_ratio(credit: str | Column = "credit_amount", income: str | Column = "income") -> Column:

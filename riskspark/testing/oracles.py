@@ -382,9 +382,8 @@ oracle("p23_feedback_defaults", FEEDBACK_SQL)
 oracle("p24_risk_level", with_app("""
 SELECT SK_ID_CURR, CASE WHEN EXT_SOURCE_2 IS NULL THEN NULL WHEN EXT_SOURCE_2 < 0.4 THEN 'Risque Faible'
   WHEN EXT_SOURCE_2 < 0.7 THEN 'Risque Moyen' ELSE 'Risque Élevé' END AS RISK_TAG FROM application"""))
-# Spark formats with HALF_UP; rounding first gives the same text in DuckDB for these exact binary values.
 oracle("p25_score_percent", with_app(
-    "SELECT SK_ID_CURR, printf('%.1f%%', round(EXT_SOURCE_2 * 100, 1)) AS SCORE_TEXT FROM application"))
+    "SELECT SK_ID_CURR, printf('%.1f%%', EXT_SOURCE_2 * 100) AS SCORE_TEXT FROM application"))
 oracle("p26_display_ratio", with_app(f"""
 SELECT client_id, round(CAST(round_even(credit_amount, 0) AS BIGINT)
                         / nullif(CAST(round_even(income, 0) AS BIGINT), 0), 2) AS RATIO

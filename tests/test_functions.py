@@ -87,6 +87,8 @@ def test_display_helpers(spark):
                   C.whole_amount("half").alias("h"), C.years_employed_display("years").alias("y"),
                   C.amount_label(C.whole_amount("credit")).alias("lab")).first()
     assert r.pct == "42.6%"
+    tie = spark.createDataFrame([(0.0625,)], "s double").select(C.score_percent_text("s")).first()[0]
+    assert tie == f"{0.0625 * 100:.1f}%" == "6.2%"          # half-even on the exact value, as Python
     assert r.w == 123456 and r.h == 2           # half-even, as Python round()
     assert r.y == 50.3                          # > 100 wraps modulo 100
     assert r.lab == "123456 €"
