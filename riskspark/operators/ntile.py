@@ -105,7 +105,14 @@ def _order_key(df: DataFrame, value: str, tie: str) -> Column:
 
 def _is(value: str, v) -> Column:
     """``value <=> v`` for a Python value (None matches null)."""
-    return F.col(value).isNull() if v is None else (F.col(value) == F.lit(v))
+    if v is None:
+        return F.col(value).isNull()
+    return F.isnan(F.col(value)) if isinstance(v, float) and v != v else (F.col(value) == F.lit(v))
+
+
+def _norm(v):
+    """Python-side key of a value: NaN equals NaN, as in Spark SQL."""
+    return ("NaN",) if isinstance(v, float) and v != v else v
 
 
 def _any(conds: list[Column]) -> Column:
@@ -172,18 +179,17 @@ def boundaries(df: DataFrame, value: str, tie: str, buckets: int,
     targets = []
     for r in hot:
         for c in chosen:
-            same = (c[value] is None and r[value] is None) or c[value] == r[value]
-            if same and c["_s"] <= r["_j"] < c["_s"] + c["_c"]:
+            if _norm(c[value]) == _norm(r[value]) and c["_s"] <= r["_j"] < c["_s"] + c["_c"]:
                 targets.append((r["_b"], r[value], c["_tb"], r["_j"] - c["_s"]))
     block_cond = _any([_is(value, v) & (F.col("_tb") == tb) for _, v, tb, _ in targets])
     ranked = rows.filter(block_cond).withColumn(
         "_rn", F.row_number().over(Window.partitionBy(value, "_tb").orderBy("_t")) - 1)
     pick_cond = _any([_is(value, v) & (F.col("_tb") == tb) & (F.col("_rn") == jj) for _, v, tb, jj in targets])
-    picked = {(r[value], r["_tb"], r["_rn"]): r["_t"]
+    picked = {(_norm(r[value]), r["_tb"], r["_rn"]): r["_t"]
               for r in ranked.filter(pick_cond).select(value, "_tb", "_rn", "_t").collect()}
     keys = []
     for b, v, tb, jj in sorted(targets, key=lambda x: x[0]):
-        keys.append((v is not None, v if v is not None else 0, picked[(v, tb, jj)]))
+        keys.append((v is not None, v if v is not None else 0, picked[(_norm(v), tb, jj)]))
     return keys
 
 

@@ -45,6 +45,11 @@ def test_all_null_and_small_inputs(spark):
     assert ntile(df, "v", "id", 5, "b", strategy="distributed").count() == 0
 
 
+def test_nan_values(spark):
+    values = [float("nan") if i % 4 == 0 else (None if i % 7 == 0 else float(i % 5)) for i in range(300)]
+    _check(spark, values, 6)
+
+
 def test_wide_value_range(spark):
     rnd = random.Random(11)
     values = [round(rnd.choice([1e-2, 1.0, 1e3, 1e6, 1e8]) * rnd.random(), 2) for _ in range(1500)]
