@@ -70,9 +70,8 @@ class CreditRiskService:
         if self.users is None:
             raise ValueError("no personal profiles were given")
         table = self.scoring if self.scoring is not None else self.portfolio.drop("TARGET")
-        keyed = table.select(F.col("SK_ID_CURR").alias("client_id"),
-                             F.col(self.profile_key).alias("_profile_key"))
-        scored = self.predict(client_ids).join(keyed, "client_id")
+        keyed = table.withColumn("_profile_key", F.col(self.profile_key))
+        scored = score_clients(keyed, self.fitted(), client_ids, carry=["_profile_key"])
         return client_card(scored, self.users, key="_profile_key").drop("_profile_key")
 
     def cards_missing(self) -> DataFrame:

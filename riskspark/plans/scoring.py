@@ -126,26 +126,31 @@ def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def score_clients(applications: DataFrame, model: RiskModel, ids=None, *,
-                  at: Column | None = None, dedupe: bool = False) -> DataFrame:
+                  at: Column | None = None, dedupe: bool = False,
+                  carry: list[str] | None = None) -> DataFrame:
     """M5: batch client response.
 
     ``ids`` (int, list or DataFrame) restricts the table (F10); ``dedupe``
     keeps the first row per id (O4) when the source may repeat ids. Output:
     ``client_id``, ``client_info`` (P16-P21 formatted), ``prediction``
     (risk score, predicted default), ``recommendation`` (P22), ``risk_tag``
-    (P24), ``score_text`` (P25), ``metadata`` (P27).
+    (P24), ``score_text`` (P25), ``metadata`` (P27), plus the ``carry``
+    columns of the input (e.g. a profile key), so no join back is needed.
     """
     apps = applications if ids is None else lookup_ids(applications, ids)
     if dedupe:
         apps = first_per_key(apps, "SK_ID_CURR", "SK_ID_CURR")
     scored = score(apps, model)
+    extra = list(carry or [])
     raw = scored.select(
+        *extra,
         F.col("SK_ID_CURR").alias("client_id"),
         C.client_info().alias("client_info"),
         F.struct(F.col("risk_score").cast("double").alias("risk_score"),
                  F.col("prediction").cast("int").alias("predicted_default")).alias("prediction"),
     )
     return raw.select(
+        *extra,
         "client_id",
         C.formatted_client_info("client_info").alias("client_info"),
         "prediction",
@@ -158,8 +163,10 @@ def score_clients(applications: DataFrame, model: RiskModel, ids=None, *,
 
 def flatten_response(resp: DataFrame) -> DataFrame:
     """P18 flattened: one column per leaf of ``client_info`` and ``prediction``."""
+    nested = {"client_id", "client_info", "prediction", "recommendation", "risk_tag", "score_text", "metadata"}
+    extra = [c for c in resp.columns if c not in nested]
     return resp.select(
-        "client_id", "client_info.*", "prediction.*",
+        *extra, "client_id", "client_info.*", "prediction.*",
         F.col("recommendation.decision").alias("decision"),
         F.col("recommendation.risk_level").alias("risk_level"),
         "risk_tag", "score_text",

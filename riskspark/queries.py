@@ -536,9 +536,7 @@ def m5_client_card(spark, sf_dir):
     from riskspark.plans.scoring import flatten_response, score_clients
     from riskspark.sources.fixtures import users_data
     model, _ = fitted_model(spark, sf_dir)
-    apps = scoring_table(spark, sf_dir)
-    scored = flatten_response(score_clients(apps, model)).join(
-        apps.select(F.col("SK_ID_CURR").alias("client_id"), "CUST_ID"), "client_id")
+    scored = flatten_response(score_clients(scoring_table(spark, sf_dir), model, carry=["CUST_ID"]))
     return client_card(scored, users_data(spark, sf_dir))
 
 
