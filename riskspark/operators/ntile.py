@@ -199,7 +199,8 @@ WINDOW_MAX_ROWS = 2_000_000
 
 
 def ntile(df: DataFrame, value: str, tie: str, buckets: int, out: str = "ntile",
-          levels: Sequence[Level] = DEFAULT_LEVELS, strategy: str = "auto") -> DataFrame:
+          levels: Sequence[Level] = DEFAULT_LEVELS, strategy: str = "auto",
+          checkpoint_input: bool = True) -> DataFrame:
     """``df`` plus ``out`` = ``ntile(buckets) OVER (ORDER BY value NULLS FIRST, tie)``.
 
     ``strategy``: ``"distributed"`` (no row is shuffled), ``"window"`` (Spark's
@@ -207,6 +208,10 @@ def ntile(df: DataFrame, value: str, tie: str, buckets: int, out: str = "ntile",
     row count proves the input small (<= ``WINDOW_MAX_ROWS``), else distributed.
     ``"auto"`` and ``"distributed"`` run small Spark jobs when called (the count,
     the boundary search); the returned DataFrame is lazy.
+
+    The distributed path reads its input several times; ``checkpoint_input``
+    first writes it once to ``spark.checkpoint.dir`` (a reliable checkpoint,
+    lineage cut), so an expensive input (joins) is not recomputed per pass.
     """
     if strategy == "auto":
         # Size check: a distributed count (partial aggregation per partition).
@@ -216,6 +221,10 @@ def ntile(df: DataFrame, value: str, tie: str, buckets: int, out: str = "ntile",
         return df.withColumn(out, F.ntile(buckets).over(w))
     if strategy != "distributed":
         raise ValueError(f"unknown strategy {strategy!r}")
+    if checkpoint_input:
+        from riskspark.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     dtype = df.schema[value].dataType
     key = _order_key(df, value, tie)
     # Bucket = 1 + number of boundary keys <= the row's key: a projection over literals.

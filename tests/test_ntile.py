@@ -68,12 +68,12 @@ def test_quintile_sizes_differ_by_at_most_one(spark):
 
 def test_plan_has_no_row_level_exchange(spark):
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 37 / 4).alias("v"))
-    plan = ntile(df, "v", "id", 5, "b", strategy="distributed")._jdf.queryExecution().executedPlan().toString()
-    # Lines of the main plan (not of the boundary subquery, which are prefixed by ':')
-    # hold no exchange: the rows are never shuffled for their bucket.
-    main = [ln for ln in plan.splitlines() if not ln.lstrip().startswith(":")]
-    assert any("Range" in ln for ln in main)
-    assert not any("Exchange" in ln for ln in main)
+    for ckpt, source in ((False, "Range"), (True, "ExistingRDD")):
+        plan = ntile(df, "v", "id", 5, "b", strategy="distributed", checkpoint_input=ckpt) \
+            ._jdf.queryExecution().executedPlan().toString()
+        # The rows are read (from the source or the checkpoint) and projected: no exchange.
+        assert source in plan
+        assert "Exchange" not in plan
 
 
 def test_auto_uses_window_when_small(spark):
