@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -82,12 +83,20 @@ def fit(portfolio: DataFrame, *, max_iter: int = 50, reg_param: float = 0.01) ->
     column statistics, gradient sums); logistic regression persists its own
     training instances while it iterates.
     """
+    numeric, categorical, flags = _feature_columns(portfolio)
     train = preprocess(portfolio).filter(F.col("TARGET").isNotNull()) \
-        .withColumn("label", F.col("TARGET").cast("double"))
-    pre = preprocessor_pipeline(train).fit(train)
-    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter,
-                            regParam=reg_param, elasticNetParam=0.0)
-    return RiskModel(pre, lr.fit(pre.transform(train)))
+        .select(*numeric, *categorical, *flags, F.col("TARGET").cast("double").alias("label"))
+    # Each stage fit is a pass over the input: keep the pruned training rows for the
+    # duration of the fit (memory, spilling to disk), then release them.
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        pre = preprocessor_pipeline(train).fit(train)
+        lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter,
+                                regParam=reg_param, elasticNetParam=0.0)
+        model = RiskModel(pre, lr.fit(pre.transform(train)))
+    finally:
+        train.unpersist()
+    return model
 
 
 def prepare(applications: DataFrame, model: RiskModel) -> DataFrame:
