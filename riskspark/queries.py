@@ -108,7 +108,9 @@ def g10_filter_options(spark, sf_dir):
 
 @query("g11_heatmap")
 def g11_heatmap(spark, sf_dir):
-    return G.family_children_matrix(G.by_family_and_children(application(spark, sf_dir)))
+    from riskspark.sources.fixtures import FAMILY_STATUSES
+    return G.family_children_matrix(G.by_family_and_children(application(spark, sf_dir)),
+                                    statuses=sorted(FAMILY_STATUSES + ["Unknown"]))
 
 
 @query("g12_kpis")

@@ -23,6 +23,10 @@ from riskspark.schema import APPLICATION_COLUMNS, EMPLOYMENT_SENTINEL
 from riskspark.sources.tables import read_table
 
 
+# Family statuses of the derived table, by nation key modulo 6 (5 -> null).
+FAMILY_STATUSES = ["Married", "Single / not married", "Civil marriage", "Separated", "Widow"]
+
+
 def _case(key: Column, values: list, default=None) -> Column:
     """``CASE key WHEN 0 THEN values[0] WHEN 1 THEN values[1] ... ELSE default``."""
     out = None
@@ -73,8 +77,7 @@ def application_from_tables(orders: DataFrame, customer: DataFrame, lineitem: Da
         .when(seg == "HOUSEHOLD", F.lit("Pensioner"))
         .when(seg == "MACHINERY", F.lit("State servant"))
         .otherwise(F.lit("Entrepreneur")),
-        "NAME_FAMILY_STATUS": _case(nk % 6, ["Married", "Single / not married", "Civil marriage",
-                                            "Separated", "Widow"]).cast("string"),
+        "NAME_FAMILY_STATUS": _case(nk % 6, FAMILY_STATUSES).cast("string"),
         "NAME_EDUCATION_TYPE": _case(ck % 5, ["Higher education", "Secondary / secondary special",
                                               "Incomplete higher", "Lower secondary"], "Academic degree"),
         "NAME_HOUSING_TYPE": _case(ck % 7, ["House / apartment", "Rented apartment", "With parents",
