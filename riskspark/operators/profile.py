@@ -43,9 +43,17 @@ def unified_profiles(users: DataFrame) -> DataFrame:
                        *[F.col(f"_best._p.{c}").alias(c) for c in PROFILE_FIELDS])
 
 
-def client_card(clients: DataFrame, users: DataFrame, key: str = "CUST_ID") -> DataFrame:
-    """Clients that have a profile, with the profile fields (both sides required)."""
+def client_card(clients: DataFrame, users: DataFrame, key: str = "CUST_ID",
+                salt_hot_keys: bool = False) -> DataFrame:
+    """Clients that have a profile, with the profile fields (both sides required).
+
+    By default AQE splits a skewed client key at run time; ``salt_hot_keys``
+    salts keys holding over 1% of the clients explicitly (see ``operators.skew``).
+    """
     prof = unified_profiles(users)
+    if salt_hot_keys:
+        from riskspark.operators.skew import salted_join
+        return salted_join(clients, prof, key, "PROFILE_KEY", "inner").drop("PROFILE_KEY")
     return clients.join(prof, F.col(key) == F.col("PROFILE_KEY"), "inner").drop("PROFILE_KEY")
 
 

@@ -67,3 +67,24 @@ def test_card_join_with_hot_customer(spark):
     assert total == n
     assert got == n // 3 + sum(1 for i in range(n) if i % 3 != 0 and i % 1000 == 7)
     assert "skew=true" in final
+
+
+def test_salted_card_join_equals_plain_join(spark):
+    from riskspark.operators.profile import client_card
+    from riskspark.operators.skew import hot_keys, salted_join
+    n = 20000
+    clients = spark.range(n).select(F.col("id").alias("SK_ID_CURR"),
+                                    F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500)
+                                    .alias("CUST_ID"))
+    users = spark.range(0, 500, 2).select(F.col("id").alias("SK_CURR_ID_INT"),
+                                          F.lit(None).cast("string").alias("SK_CURR_ID_STR"),
+                                          F.lit("F").alias("FirstName"),
+                                          F.concat(F.lit("L"), F.col("id").cast("string")).alias("LastName"),
+                                          F.lit(None).cast("string").alias("PhotoURL"))
+    assert hot_keys(clients, "CUST_ID", 0.05) == [7]
+    plain = sorted(tuple(r) for r in client_card(clients, users).collect())
+    salted = sorted(tuple(r) for r in client_card(clients, users, salt_hot_keys=True).collect())
+    assert plain == salted
+    small = users.select(F.col("SK_CURR_ID_INT").alias("k"), "LastName")
+    left = salted_join(clients, small, "CUST_ID", "k", "left")
+    assert left.count() == n                       # left rows kept once, hot or not
