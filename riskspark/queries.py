@@ -582,3 +582,12 @@ def s7_feedback_json_stream(spark, sf_dir):
     q = start_request_stream(spark, f"{base}/bodies", f"{base}/sink", f"{base}/checkpoint", extra="event_id long")
     q.awaitTermination()
     return _feedback_columns(spark.read.parquet(f"{base}/sink"))
+
+
+@query("j1_client_card_salted")
+def j1_client_card_salted(spark, sf_dir):
+    """J1 with explicit hot-key salting (keys above 1% of the clients)."""
+    from riskspark.operators.profile import client_card
+    from riskspark.sources.fixtures import users_data
+    apps = application(spark, sf_dir).select("SK_ID_CURR", "CUST_ID")
+    return client_card(apps, users_data(spark, sf_dir), salt_hot_keys=True)
