@@ -1,7 +1,7 @@
 """Benchmark of the headline queries; prints one JSON line.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
-(default 8), ``BENCH_RUNS`` (default 3; the median is reported).
+(default 8), ``BENCH_RUNS`` (default 5; the median is reported).
 
 Set-up mirrors how the reference is used: the application table is built
 once (here: derived from the driver's tables and written to the checkpoint
@@ -26,7 +26,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
 
     from pyspark.sql import Window
     from pyspark.sql import functions as F
