@@ -106,6 +106,17 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def python_round(x: str | Column, places: int) -> Column:
+    """Python's ``round(x, places)`` for doubles: half-even on the exact binary value.
+
+    ``F.round`` rounds half-up on the printed decimal, so 1122.965 (stored as
+    1122.96499...) gives 1122.97 where Python gives 1122.96. ``format_number``
+    rounds the exact value half-even; its text (without grouping commas) is
+    read back as a double.
+    """
+    return F.regexp_replace(F.format_number(_col(x), places), ",", "").cast("double")
+
+
 def client_age(days_birth: str | Column = "DAYS_BIRTH") -> Column:
     """``-int(DAYS_BIRTH / 365.25)``, truncating toward zero; null stays null."""
     return -((_col(days_birth) / F.lit(DAYS_PER_YEAR)).cast("int"))
@@ -118,14 +129,14 @@ def client_years_employed(days_employed: str | Column = "DAYS_EMPLOYED") -> Colu
 
 
 def years_employed_display(years: str | Column = "years_employed") -> Column:
-    """Values above 100 wrap modulo 100, then 1 decimal."""
+    """Values above 100 wrap modulo 100, then Python's ``round(y, 1)``."""
     y = _col(years)
-    return F.round(F.when(y > 100, y % 100).otherwise(y), 1)
+    return python_round(F.when(y > 100, y % 100).otherwise(y), 1)
 
 
 def whole_amount(x: str | Column) -> Column:
-    """P20: amount rounded half-even to a whole number (Python ``round``); null kept."""
-    return F.bround(_col(x), 0).cast("long")
+    """P20: amount rounded to a whole number as Python's ``round(x)`` (half-even); null kept."""
+    return python_round(_col(x), 0).cast("long")
 
 
 def translate(field: str, c: str | Column) -> Column:
@@ -177,8 +188,11 @@ def score_percent_text(score: str | Column = "risk_score") -> Column:
 
 
 def displayed_ratio(credit: str | Column = "credit_amount", income: str | Column = "income") -> Column:
-    """Both amounts truncated to whole numbers, then ``round(credit / income, 2)``; zero income -> null."""
-    return F.round(F.try_divide(_col(credit).cast("long"), _col(income).cast("long")), 2)
+    """Both amounts truncated to whole numbers, then Python's ``round(credit / income, 2)``.
+
+    A zero or null income gives null (the reference raises).
+    """
+    return python_round(F.try_divide(_col(credit).cast("long"), _col(income).cast("long")), 2)
 
 
 def amount_label(credit: str | Column = "credit_amount") -> Column:

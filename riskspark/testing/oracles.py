@@ -318,12 +318,18 @@ _HOUSING = {"House / apartment": "Maison / appartement", "Rented apartment": "Lo
 oracle("p16_client_age", with_app(f"SELECT SK_ID_CURR, {CLIENT_AGE} AS CLIENT_AGE FROM application"))
 oracle("p17_client_years_employed", with_app(f"SELECT SK_ID_CURR, {CLIENT_YEARS} AS YEARS_EMPLOYED FROM application"))
 oracle("p18_nested_response", with_app(CLIENT_INFO))
+# Python's round(): printf rounds the exact binary value half-even, as Python does.
+def py_round(x: str, places: int) -> str:
+    return f"CAST(printf('%.{places}f', {x}) AS DOUBLE)"
+
+
 oracle("p19_years_display", with_app(f"""
-SELECT client_id, round(CASE WHEN years_employed > 100 THEN fmod(years_employed, 100) ELSE years_employed END, 1)
+SELECT client_id,
+       {py_round("CASE WHEN years_employed > 100 THEN fmod(years_employed, 100) ELSE years_employed END", 1)}
   AS years_employed FROM ({CLIENT_INFO}) i"""))
 oracle("p20_amounts", with_app(f"""
-SELECT client_id, age, CAST(round_even(income, 0) AS BIGINT) AS income,
-       CAST(round_even(credit_amount, 0) AS BIGINT) AS credit_amount FROM ({CLIENT_INFO}) i"""))
+SELECT client_id, age, CAST({py_round("income", 0)} AS BIGINT) AS income,
+       CAST({py_round("credit_amount", 0)} AS BIGINT) AS credit_amount FROM ({CLIENT_INFO}) i"""))
 oracle("p21_labels", with_app(f"""
 SELECT client_id, {_tr('gender', _GENDER)} AS gender, {_tr('income_type', _INCOME)} AS income_type,
        {_tr('education_type', _EDUCATION)} AS education_type, {_tr('family_status', _FAMILY)} AS family_status,
@@ -384,9 +390,10 @@ SELECT SK_ID_CURR, CASE WHEN EXT_SOURCE_2 IS NULL THEN NULL WHEN EXT_SOURCE_2 <
   WHEN EXT_SOURCE_2 < 0.7 THEN 'Risque Moyen' ELSE 'Risque Élevé' END AS RISK_TAG FROM application"""))
 oracle("p25_score_percent", with_app(
     "SELECT SK_ID_CURR, printf('%.1f%%', EXT_SOURCE_2 * 100) AS SCORE_TEXT FROM application"))
+# Python's round(x, 2): printf rounds the exact binary value half-even, as Python does.
 oracle("p26_display_ratio", with_app(f"""
-SELECT client_id, round(CAST(round_even(credit_amount, 0) AS BIGINT)
-                        / nullif(CAST(round_even(income, 0) AS BIGINT), 0), 2) AS RATIO
+SELECT client_id, CAST(printf('%.2f', CAST({py_round("credit_amount", 0)} AS BIGINT)
+                        / nullif(CAST({py_round("income", 0)} AS BIGINT), 0)) AS DOUBLE) AS RATIO
 FROM ({CLIENT_INFO}) i"""))
 oracle("p27_stamps", """
 SELECT o_orderkey AS SK_ID_CURR, strftime(o_orderdate, '%d/%m/%Y') AS analysis_date,
@@ -394,7 +401,7 @@ SELECT o_orderkey AS SK_ID_CURR, strftime(o_orderdate, '%d/%m/%Y') AS analysis_d
        'Régression logistique' AS model_type, 'Historique clients 2020-2024' AS data_source
 FROM orders""")
 oracle("p28_amount_label", with_app(
-    "SELECT SK_ID_CURR, CAST(CAST(round_even(AMT_CREDIT, 0) AS BIGINT) AS VARCHAR) || ' €' AS AMOUNT_LABEL "
+    f"SELECT SK_ID_CURR, CAST(CAST({py_round('AMT_CREDIT', 0)} AS BIGINT) AS VARCHAR) || ' €' AS AMOUNT_LABEL "
     "FROM application"))
 
 # --- O ------------------------------------------------------------------------

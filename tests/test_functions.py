@@ -152,3 +152,11 @@ def test_lookup_forms(spark):
     ids = spark.createDataFrame([(1,), (1,), (6000,)], "x long")
     assert lookup_ids(df, ids).count() == 1                                 # no duplicates
     assert [r.SK_ID_CURR for r in missing_ids(ids, df).collect()] == [6000]
+
+
+def test_python_round_matches_python(spark):
+    pairs = [(224593, 200), (9, 8), (247673, 40), (571089, 111432), (77079, 200), (1, 3)]
+    df = spark.createDataFrame(pairs, "a long, b long")
+    got = [r[0] for r in df.select(C.displayed_ratio("a", "b")).collect()]
+    assert got == [round(a / b, 2) for a, b in pairs]
+    assert spark.createDataFrame([(1, 0)], "a long, b long").select(C.displayed_ratio("a", "b")).first()[0] is None
