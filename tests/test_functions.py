@@ -90,7 +90,7 @@ def test_display_helpers(spark):
     tie = spark.createDataFrame([(0.0625,)], "s double").select(C.score_percent_text("s")).first()[0]
     assert tie == f"{0.0625 * 100:.1f}%" == "6.2%"          # half-even on the exact value, as Python
     assert r.w == 123456 and r.h == 2           # half-even, as Python round()
-    assert r.y == 50.3                          # > 100 wraps modulo 100
+    assert r.y == round(150.25 % 100, 1) == 50.2   # > 100 wraps modulo 100; Python rounding
     assert r.lab == "123456 €"
 
 
