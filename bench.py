@@ -32,6 +32,7 @@ def main() -> None:
     from pyspark.sql import functions as F
 
     from riskspark.functions import portfolio as P
+    from riskspark.operators.filters import PortfolioFilters
     from riskspark.operators.ntile import ntile
     from riskspark.operators.profile import client_card
     from riskspark.plans import analyses as G
@@ -74,6 +75,8 @@ def main() -> None:
 
     headline = {
         "g1_age": lambda: sink(G.by_age(app)),
+        "g1_age_filtered": lambda: sink(G.by_age(app, PortfolioFilters(
+            min_credit=100000.0, family_statuses=["Married", "Widow"], realty_status="Oui"))),
         "g2_credit_income": lambda: sink(G.by_credit_income_quintile(app)),
         "g3_income_type": lambda: sink(G.by_income_type(app)),
         "g4_employment": lambda: sink(G.by_employment_length(app)),

@@ -88,3 +88,19 @@ def test_salted_card_join_equals_plain_join(spark):
     small = users.select(F.col("SK_CURR_ID_INT").alias("k"), "LastName")
     left = salted_join(clients, small, "CUST_ID", "k", "left")
     assert left.count() == n                       # left rows kept once, hot or not
+
+
+def test_materialized_layout_prunes(spark):
+    from riskspark.operators.filters import PortfolioFilters
+    from riskspark.plans.analyses import by_age
+    from riskspark.sources.cache import materialize
+    from riskspark.sources.fixtures import application
+    app = application(spark, SF_SMALL)
+    hot = materialize(app, "layout-test", partitions=4, partition_by=["FLAG_OWN_REALTY"],
+                      sort_within=["AMT_CREDIT"])
+    q = by_age(hot, PortfolioFilters(realty_status="Oui", min_credit=100000.0))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(FLAG_OWN_REALTY" in plan and "(FLAG_OWN_REALTY#" in plan
+    assert "GreaterThanOrEqual(AMT_CREDIT,100000.0)" in plan
+    want = {tuple(r) for r in by_age(app, PortfolioFilters(realty_status="Oui", min_credit=100000.0)).collect()}
+    assert {tuple(r) for r in q.collect()} == want
