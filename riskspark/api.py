@@ -74,6 +74,13 @@ class CreditRiskService:
         scored = score_clients(keyed, self.fitted(), client_ids, carry=["_profile_key"])
         return client_card(scored, self.users, key="_profile_key").drop("_profile_key")
 
+    # --- /feedback ------------------------------------------------------------
+    @staticmethod
+    def feedback(spark, bodies_dir: str, sink_path: str, checkpoint_path: str, *, available_now: bool = True):
+        """Start the feedback stream over JSON request bodies (S7); returns the StreamingQuery."""
+        from riskspark.streaming.feedback import start_request_stream
+        return start_request_stream(spark, bodies_dir, sink_path, checkpoint_path, available_now=available_now)
+
     def cards_missing(self) -> DataFrame:
         if self.users is None:
             raise ValueError("no personal profiles were given")

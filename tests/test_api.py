@@ -32,3 +32,14 @@ def test_filters_metadata_like_reference():
     assert filters_metadata(PortfolioFilters(realty_status="Tous", family_statuses=[])) == {}
     assert filters_metadata(PortfolioFilters(min_income=1.0, realty_status="Non")) == \
         {"min_income": 1.0, "realty_status": "N"}
+
+
+def test_feedback_entry_point(spark, tmp_path):
+    from riskspark.session import scratch_path
+    base = scratch_path(spark, "api-feedback")
+    spark.createDataFrame([('{"message": "x", "is_positive": false}',), ("{}",)], "value string") \
+        .write.text(f"{base}/bodies")
+    q = CreditRiskService.feedback(spark, f"{base}/bodies", f"{base}/sink", f"{base}/ckpt")
+    q.awaitTermination()
+    levels = sorted(r.level for r in spark.read.parquet(f"{base}/sink").collect())
+    assert levels == ["ERROR", "INFO"]
