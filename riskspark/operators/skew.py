@@ -1,8 +1,10 @@
-"""Explicit salting of hot join keys (complements AQE's skew-join split).
+"""Explicit salting of hot join keys.
 
-AQE splits a skewed sort-merge partition at run time when it crosses its
-thresholds. When AQE is off, or a plan is not a sort-merge join, a key that
-holds a large share of the rows still lands on one task. ``salted_join``
+AQE splits a skewed sort-merge partition at run time, but only when both
+join inputs are plain shuffles. When one side comes out of an aggregate on
+the join key (its partitioning is reused, as for de-duplicated profiles),
+or AQE is off, a key that holds a large share of the rows still lands on
+one task. ``salted_join``
 finds such keys with one aggregate and spreads only their rows over
 ``buckets`` salts. It replicates only the matching rows of the other side,
 which has one row per key here.
@@ -36,11 +38,12 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
 
     Rows of a hot key get a salt from a hash of the whole row, spread over
     ``buckets``. The small side's row for that key is repeated once per salt.
-    Other keys keep salt 0 and are not repeated. The result equals the plain
-    join for ``inner`` and ``left`` joins.
+    Other keys keep salt 0 and are not repeated. Each big row meets exactly
+    one copy of its match, so the result equals the plain join for ``inner``,
+    ``left``, ``left_semi`` and ``left_anti``.
     """
-    if how not in ("inner", "left"):
-        raise ValueError("salted_join supports inner and left joins")
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError("salted_join supports inner, left, left_semi and left_anti joins")
     hot = [k for k in hot_keys(big, big_key, fraction) if k is not None]
     if not hot:
         return big.join(small, F.col(big_key) == F.col(small_key), how)
@@ -52,4 +55,5 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     salts = F.when(F.col(small_key).isin(hot), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
     salted_small = small.withColumn("_salt_s", F.explode(salts))
     cond = (F.col(big_key) == F.col(small_key)) & (F.col("_salt") == F.col("_salt_s"))
-    return salted_big.join(salted_small, cond, how).drop("_salt", "_salt_s")
+    joined = salted_big.join(salted_small, cond, how)
+    return joined.drop("_salt", "_salt_s") if how in ("inner", "left") else joined.drop("_salt")

@@ -586,8 +586,17 @@ def s7_feedback_json_stream(spark, sf_dir):
 
 @query("j1_client_card_salted")
 def j1_client_card_salted(spark, sf_dir):
-    """J1 with explicit hot-key salting (keys above 1% of the clients)."""
+    """J1 with explicit hot-key salting (keys above 1% of the clients; the default)."""
     from riskspark.operators.profile import client_card
     from riskspark.sources.fixtures import users_data
     apps = application(spark, sf_dir).select("SK_ID_CURR", "CUST_ID")
     return client_card(apps, users_data(spark, sf_dir), salt_hot_keys=True)
+
+
+@query("j1_client_card_plain")
+def j1_client_card_plain(spark, sf_dir):
+    """J1 as a plain equi-join (no hot-key salting), for comparison with the default."""
+    from riskspark.operators.profile import client_card
+    from riskspark.sources.fixtures import users_data
+    apps = application(spark, sf_dir).select("SK_ID_CURR", "CUST_ID")
+    return client_card(apps, users_data(spark, sf_dir), salt_hot_keys=False)

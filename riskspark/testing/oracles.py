@@ -456,3 +456,4 @@ oracle("w1_ntile_distributed", ORACLE_SQL["w1_ntile"])
 oracle("g2_credit_income_distributed", ORACLE_SQL["g2_credit_income"])
 oracle("s7_feedback_json_stream", FEEDBACK_SQL)
 oracle("j1_client_card_salted", ORACLE_SQL["j1_client_card"])
+oracle("j1_client_card_plain", ORACLE_SQL["j1_client_card"])

@@ -34,38 +34,74 @@ def test_scan_is_pruned_and_filtered(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_totalprice:double>" in plan
 
 
-def test_card_join_with_hot_customer(spark):
-    """One customer holds a third of the applications; AQE splits it, results stay exact."""
-    from riskspark.operators.profile import client_card
-    n = 30000
-    clients = spark.range(n).select(F.col("id").alias("SK_ID_CURR"),
-                                    F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000)
-                                    .alias("CUST_ID"))
-    users = spark.range(1000).select(F.col("id").alias("SK_CURR_ID_INT"), F.lit(None).cast("string").alias(
-        "SK_CURR_ID_STR"), F.lit("F").alias("FirstName"), F.concat(F.lit("L"), F.col("id").cast("string"))
-        .alias("LastName"), F.lit(None).cast("string").alias("PhotoURL"))
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+SKEW_CONF = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+def _with_conf(spark, conf, fn):
     old = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        card = client_card(clients, users)
-        rows = card.collect()
-        final = card._jdf.queryExecution().executedPlan().toString()   # final adaptive plan
-        got = sum(1 for r in rows if r.LastName == "L7")
-        total = len(rows)
+        return fn()
     finally:
         for k, v in old.items():
             if v is None:
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
-    assert total == n
-    assert got == n // 3 + sum(1 for i in range(n) if i % 3 != 0 and i % 1000 == 7)
+
+
+def test_card_join_with_hot_customer(spark):
+    """One customer holds a third of the applications: its rows are salted over many tasks."""
+    from riskspark.operators.profile import client_card
+    n = 30000
+    clients = spark.range(n).select(F.col("id").alias("SK_ID_CURR"),
+                                    F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000)
+                                    .alias("CUST_ID"))
+    users = spark.range(1000).select(F.col("id").alias("SK_CURR_ID_INT"), F.lit(None).cast("string").alias(
+        "SK_CURR_ID_STR"), F.lit("F").alias("FirstName"), F.concat(F.lit("L"), F.col("id").cast("string"))
+        .alias("LastName"), F.lit(None).cast("string").alias("PhotoURL"))
+
+    def run():
+        card = client_card(clients, users)
+        tasks = card.where("LastName = 'L7'").select(F.spark_partition_id().alias("p")).distinct().count()
+        return card.collect(), tasks
+
+    rows, tasks = _with_conf(spark, SKEW_CONF, run)
+    assert len(rows) == n
+    assert sum(1 for r in rows if r.LastName == "L7") == n // 3 + sum(
+        1 for i in range(n) if i % 3 != 0 and i % 1000 == 7)
+    assert tasks > 1                     # the hot key is spread, not on one task
+
+
+def test_fixture_join_skew_is_split_by_aqe(spark):
+    """orders x customers joins two plain shuffles: AQE splits a customer with a third of the orders."""
+    from riskspark.sources.fixtures import application_from_tables
+    n = 30000
+    orders = spark.range(n).select(
+        F.col("id").alias("o_orderkey"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).cast("long").alias("o_custkey"),
+        F.lit("F").alias("o_orderstatus"), (F.col("id") * 1.5).alias("o_totalprice"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("o_orderdate"),
+        F.lit("3-MEDIUM").alias("o_orderpriority"))
+    customer = spark.range(1000).select(
+        F.col("id").alias("c_custkey"), F.concat(F.lit("Customer#"), F.col("id").cast("string")).alias("c_name"),
+        (F.col("id") % 25).cast("int").alias("c_nationkey"), F.lit(100.0).alias("c_acctbal"),
+        F.lit("BUILDING").alias("c_mktsegment"))
+    lineitem = spark.range(n).select(F.col("id").alias("l_orderkey"), F.lit("A").alias("l_returnflag"),
+                                     F.lit("F").alias("l_linestatus"))
+
+    def run():
+        app = application_from_tables(orders, customer, lineitem).select("SK_ID_CURR", "CUST_ID")
+        rows = app.collect()
+        return rows, app._jdf.queryExecution().executedPlan().toString()
+
+    rows, final = _with_conf(spark, SKEW_CONF, run)
+    assert len(rows) == n
     assert "skew=true" in final
 
 
@@ -82,9 +118,13 @@ def test_salted_card_join_equals_plain_join(spark):
                                           F.concat(F.lit("L"), F.col("id").cast("string")).alias("LastName"),
                                           F.lit(None).cast("string").alias("PhotoURL"))
     assert hot_keys(clients, "CUST_ID", 0.05) == [7]
-    plain = sorted(tuple(r) for r in client_card(clients, users).collect())
-    salted = sorted(tuple(r) for r in client_card(clients, users, salt_hot_keys=True).collect())
+    plain = sorted(tuple(r) for r in client_card(clients, users, salt_hot_keys=False).collect())
+    salted = sorted(tuple(r) for r in client_card(clients, users).collect())
     assert plain == salted
+    from riskspark.operators.profile import missing_cards
+    miss_plain = sorted(tuple(r) for r in missing_cards(clients, users, salt_hot_keys=False).collect())
+    miss_salted = sorted(tuple(r) for r in missing_cards(clients, users).collect())
+    assert miss_plain == miss_salted and len(miss_plain) > n // 3     # hot key 7 has no profile
     small = users.select(F.col("SK_CURR_ID_INT").alias("k"), "LastName")
     left = salted_join(clients, small, "CUST_ID", "k", "left")
     assert left.count() == n                       # left rows kept once, hot or not
