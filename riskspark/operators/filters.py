@@ -107,8 +107,9 @@ def lookup_ids(df: DataFrame, ids: DataFrame | Sequence[int] | int, key: str = "
     by size (broadcast when small, sort-merge otherwise).
     """
     if isinstance(ids, DataFrame):
-        # A semi join never repeats a left row, so the ids need no distinct (no extra shuffle).
-        return df.join(ids.select(F.col(ids.columns[0]).alias(key)), on=key, how="left_semi")
+        # distinct() combines repeated requests on each partition before the shuffle, so an
+        # id requested very many times does not pile up in one join task.
+        return df.join(ids.select(F.col(ids.columns[0]).alias(key)).distinct(), on=key, how="left_semi")
     if isinstance(ids, int):
         return df.filter(F.col(key) == F.lit(ids))
     ids = list(ids)
