@@ -8,14 +8,27 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskspark.functions import client as C
 from riskspark.functions import portfolio as P
-from riskspark.operators.filters import PortfolioFilters
+from riskspark.operators.filters import PortfolioFilters, lookup_ids, missing_ids
 from riskspark.operators.ntile import ntile
+from riskspark.operators.preprocess import preprocess, profile_projection
+from riskspark.operators.profile import client_card, missing_cards, unified_profiles
 from riskspark.plans import analyses as G
-from riskspark.sources.fixtures import application
+from riskspark.plans.report import portfolio_report
+from riskspark.plans.scoring import (RiskModel, classify, first_per_key, fit, flatten_response,
+                                     load_preprocessor, prepare, risk_score, score, score_clients)
+from riskspark.schema import CATEGORICAL_COLS, FLAG_COLS, NUMERIC_COLS
+from riskspark.session import scratch_path
+from riskspark.sources.cache import export, materialize
+from riskspark.sources.fixtures import FAMILY_STATUSES, application, feedback_from_events, users_data
+from riskspark.sources.tables import read_application, read_table, write_application
+from riskspark.streaming.feedback import (feedback_records, request_bodies, run_feedback_stream,
+                                         start_request_stream)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,7 +110,6 @@ def g2_credit_income_distributed(spark, sf_dir):
 
 @query("g9_portfolio_report")
 def g9_portfolio_report(spark, sf_dir):
-    from riskspark.plans.report import portfolio_report
     return portfolio_report(application(spark, sf_dir))
 
 
@@ -108,7 +120,6 @@ def g10_filter_options(spark, sf_dir):
 
 @query("g11_heatmap")
 def g11_heatmap(spark, sf_dir):
-    from riskspark.sources.fixtures import FAMILY_STATUSES
     return G.family_children_matrix(G.by_family_and_children(application(spark, sf_dir)),
                                     statuses=sorted(FAMILY_STATUSES + ["Unknown"]))
 
@@ -181,13 +192,11 @@ def f9_having_family_children(spark, sf_dir):
 def requested_ids(spark, sf_dir) -> DataFrame:
     """A batch of requested client ids derived from ``lineitem`` (ten times each part key):
     roughly a quarter of them are not application ids at any scale factor."""
-    from riskspark.sources.tables import read_table
     return read_table(spark, sf_dir, "lineitem").select((F.col("l_partkey") * 10).alias("SK_ID_CURR"))
 
 
 @query("f10_lookup")
 def f10_lookup(spark, sf_dir):
-    from riskspark.operators.filters import lookup_ids
     return lookup_ids(application(spark, sf_dir), requested_ids(spark, sf_dir)).select(
         "SK_ID_CURR", "AMT_CREDIT", "NAME_INCOME_TYPE")
 
@@ -200,7 +209,6 @@ def f11_non_null_options(spark, sf_dir):
 
 @query("f12_missing_client")
 def f12_missing_client(spark, sf_dir):
-    from riskspark.operators.filters import missing_ids
     return missing_ids(requested_ids(spark, sf_dir), application(spark, sf_dir))
 
 
@@ -236,42 +244,32 @@ def p11_rounding(spark, sf_dir):
 
 @query("p12_numeric_repair")
 def p12_numeric_repair(spark, sf_dir):
-    from riskspark.operators.preprocess import preprocess
-    from riskspark.schema import NUMERIC_COLS
     return preprocess(application(spark, sf_dir)).select("SK_ID_CURR", *NUMERIC_COLS)
 
 
 @query("p13_categorical_repair")
 def p13_categorical_repair(spark, sf_dir):
-    from riskspark.operators.preprocess import preprocess
-    from riskspark.schema import CATEGORICAL_COLS
     return preprocess(application(spark, sf_dir)).select("SK_ID_CURR", *CATEGORICAL_COLS)
 
 
 @query("p14_flag_encoding")
 def p14_flag_encoding(spark, sf_dir):
-    from riskspark.operators.preprocess import preprocess
-    from riskspark.schema import FLAG_COLS
     return preprocess(application(spark, sf_dir)).select("SK_ID_CURR", *FLAG_COLS)
 
 
 def _client_info(spark, sf_dir) -> DataFrame:
     """P18 ``client_info`` over the preprocessed table (no model needed)."""
-    from riskspark.functions import client as C
-    from riskspark.operators.preprocess import preprocess
     return preprocess(application(spark, sf_dir)).select(
         F.col("SK_ID_CURR").alias("client_id"), C.client_info().alias("client_info"))
 
 
 @query("p16_client_age")
 def p16_client_age(spark, sf_dir):
-    from riskspark.functions import client as C
     return application(spark, sf_dir).select("SK_ID_CURR", C.client_age().alias("CLIENT_AGE"))
 
 
 @query("p17_client_years_employed")
 def p17_client_years_employed(spark, sf_dir):
-    from riskspark.functions import client as C
     return application(spark, sf_dir).select("SK_ID_CURR", C.client_years_employed().alias("YEARS_EMPLOYED"))
 
 
@@ -282,14 +280,12 @@ def p18_nested_response(spark, sf_dir):
 
 @query("p19_years_display")
 def p19_years_display(spark, sf_dir):
-    from riskspark.functions import client as C
     return _client_info(spark, sf_dir).select(
         "client_id", C.years_employed_display(F.col("client_info.years_employed")).alias("years_employed"))
 
 
 @query("p20_amounts")
 def p20_amounts(spark, sf_dir):
-    from riskspark.functions import client as C
     return _client_info(spark, sf_dir).select(
         "client_id", F.col("client_info.age").cast("int").alias("age"),
         C.whole_amount(F.col("client_info.income")).alias("income"),
@@ -298,7 +294,6 @@ def p20_amounts(spark, sf_dir):
 
 @query("p21_labels")
 def p21_labels(spark, sf_dir):
-    from riskspark.functions import client as C
     return _client_info(spark, sf_dir).select(
         "client_id", C.formatted_client_info("client_info").alias("i")).select(
         "client_id", "i.gender", "i.income_type", "i.education_type", "i.family_status", "i.housing_type")
@@ -308,16 +303,12 @@ def p21_labels(spark, sf_dir):
 # so they can be checked against SQL. m5_batch_score applies them to model scores.
 @query("p22_recommendation")
 def p22_recommendation(spark, sf_dir):
-    from riskspark.functions import client as C
     return application(spark, sf_dir).select(
         "SK_ID_CURR", C.recommendation(F.col("EXT_SOURCE_2")).alias("r")).select("SK_ID_CURR", "r.*")
 
 
 @query("p23_feedback_defaults")
 def p23_feedback_defaults(spark, sf_dir):
-    from riskspark.sources.fixtures import feedback_from_events
-    from riskspark.sources.tables import read_table
-    from riskspark.streaming.feedback import feedback_records
     return _feedback_columns(feedback_records(feedback_from_events(read_table(spark, sf_dir, "events"))))
 
 
@@ -330,20 +321,17 @@ def _feedback_columns(records: DataFrame) -> DataFrame:
 
 @query("p24_risk_level")
 def p24_risk_level(spark, sf_dir):
-    from riskspark.functions import client as C
     return application(spark, sf_dir).select("SK_ID_CURR", C.risk_tag(F.col("EXT_SOURCE_2")).alias("RISK_TAG"))
 
 
 @query("p25_score_percent")
 def p25_score_percent(spark, sf_dir):
-    from riskspark.functions import client as C
     return application(spark, sf_dir).select(
         "SK_ID_CURR", C.score_percent_text(F.col("EXT_SOURCE_2")).alias("SCORE_TEXT"))
 
 
 @query("p26_display_ratio")
 def p26_display_ratio(spark, sf_dir):
-    from riskspark.functions import client as C
     info = _client_info(spark, sf_dir).select(
         "client_id", C.formatted_client_info("client_info").alias("i"))
     return info.select("client_id", C.displayed_ratio("i.credit_amount", "i.income").alias("RATIO"))
@@ -351,8 +339,6 @@ def p26_display_ratio(spark, sf_dir):
 
 @query("p27_stamps")
 def p27_stamps(spark, sf_dir):
-    from riskspark.functions import client as C
-    from riskspark.sources.tables import read_table
     return read_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("SK_ID_CURR"), C.result_stamps(F.col("o_orderdate")).alias("m")) \
         .select("SK_ID_CURR", "m.*")
@@ -360,7 +346,6 @@ def p27_stamps(spark, sf_dir):
 
 @query("p28_amount_label")
 def p28_amount_label(spark, sf_dir):
-    from riskspark.functions import client as C
     return application(spark, sf_dir).select(
         "SK_ID_CURR", C.amount_label(C.whole_amount("AMT_CREDIT")).alias("AMOUNT_LABEL"))
 
@@ -384,7 +369,6 @@ def o3_sorted_options(spark, sf_dir):
 
 @query("o4_first_row")
 def o4_first_row(spark, sf_dir):
-    from riskspark.plans.scoring import first_per_key
     apps = application(spark, sf_dir).select("CUST_ID", "SK_ID_CURR", "AMT_CREDIT", "NAME_CONTRACT_TYPE")
     return first_per_key(apps, "CUST_ID", "SK_ID_CURR")
 
@@ -393,8 +377,6 @@ def o4_first_row(spark, sf_dir):
 
 @query("s1_read_portfolio")
 def s1_read_portfolio(spark, sf_dir):
-    from riskspark.session import scratch_path
-    from riskspark.sources.tables import read_application, write_application
     path = scratch_path(spark, "portfolio-csv")
     write_application(application(spark, sf_dir), path)
     return G.by_age(read_application(spark, path, with_target=True))
@@ -402,8 +384,6 @@ def s1_read_portfolio(spark, sf_dir):
 
 @query("s2_read_scoring")
 def s2_read_scoring(spark, sf_dir):
-    from riskspark.session import scratch_path
-    from riskspark.sources.tables import read_application, write_application
     path = scratch_path(spark, "scoring-csv")
     write_application(application(spark, sf_dir).drop("TARGET"), path)
     return read_application(spark, path, with_target=False).select(
@@ -412,7 +392,6 @@ def s2_read_scoring(spark, sf_dir):
 
 @query("s3_keep_hot")
 def s3_keep_hot(spark, sf_dir):
-    from riskspark.sources.cache import materialize
     hot = materialize(application(spark, sf_dir), "application",
                       ["SK_ID_CURR", "TARGET", "DAYS_EMPLOYED", "AMT_CREDIT", "FLAG_OWN_REALTY"])
     return G.by_employment_length(hot)
@@ -420,15 +399,11 @@ def s3_keep_hot(spark, sf_dir):
 
 @query("s6_profiles")
 def s6_profiles(spark, sf_dir):
-    from riskspark.operators.profile import unified_profiles
-    from riskspark.sources.fixtures import users_data
     return unified_profiles(users_data(spark, sf_dir))
 
 
 @query("s7_feedback_stream")
 def s7_feedback_stream(spark, sf_dir):
-    from riskspark.session import scratch_path
-    from riskspark.streaming.feedback import run_feedback_stream
     base = scratch_path(spark, "feedback")
     sink = run_feedback_stream(spark, sf_dir, f"{base}/sink", f"{base}/checkpoint", pattern="events.parquet")
     return _feedback_columns(sink)
@@ -436,8 +411,6 @@ def s7_feedback_stream(spark, sf_dir):
 
 @query("s8_export")
 def s8_export(spark, sf_dir):
-    from riskspark.session import scratch_path
-    from riskspark.sources.cache import export
     result = G.by_contract_and_realty(application(spark, sf_dir))
     path = export(result, scratch_path(spark, "g6-json"), "json")
     return spark.read.schema(result.schema).json(path)
@@ -447,16 +420,12 @@ def s8_export(spark, sf_dir):
 
 @query("j1_client_card")
 def j1_client_card(spark, sf_dir):
-    from riskspark.operators.profile import client_card
-    from riskspark.sources.fixtures import users_data
     apps = application(spark, sf_dir).select("SK_ID_CURR", "CUST_ID")
     return client_card(apps, users_data(spark, sf_dir))
 
 
 @query("j2_missing_card")
 def j2_missing_card(spark, sf_dir):
-    from riskspark.operators.profile import missing_cards
-    from riskspark.sources.fixtures import users_data
     apps = application(spark, sf_dir).select("SK_ID_CURR", "CUST_ID")
     return missing_cards(apps, users_data(spark, sf_dir))
 
@@ -468,8 +437,6 @@ _MODELS: dict[tuple[int, str], tuple[object, str]] = {}
 
 def fitted_model(spark, sf_dir):
     """M6 once per session and scale factor; saved under the checkpoint folder (S4/S5 read it back)."""
-    from riskspark.plans.scoring import fit
-    from riskspark.session import scratch_path
     key = (id(spark), sf_dir)
     if key not in _MODELS:
         model = fit(application(spark, sf_dir))
@@ -493,8 +460,6 @@ def m6_fit(spark, sf_dir):
 
 @query("m1_prepare")
 def m1_prepare(spark, sf_dir):
-    from pyspark.ml.functions import vector_to_array
-    from riskspark.plans.scoring import prepare
     model, _ = fitted_model(spark, sf_dir)
     return prepare(scoring_table(spark, sf_dir), model).select(
         "SK_ID_CURR", vector_to_array("features").alias("features"))
@@ -502,8 +467,6 @@ def m1_prepare(spark, sf_dir):
 
 @query("m2_classify")
 def m2_classify(spark, sf_dir):
-    from pyspark.ml.functions import vector_to_array
-    from riskspark.plans.scoring import classify, prepare
     model, _ = fitted_model(spark, sf_dir)
     return classify(prepare(scoring_table(spark, sf_dir), model), model).select(
         "SK_ID_CURR", "prediction", vector_to_array("probability").alias("probability"))
@@ -511,14 +474,12 @@ def m2_classify(spark, sf_dir):
 
 @query("m3_risk_score")
 def m3_risk_score(spark, sf_dir):
-    from riskspark.plans.scoring import score
     model, _ = fitted_model(spark, sf_dir)
     return score(scoring_table(spark, sf_dir), model).select("SK_ID_CURR", "risk_score", "prediction")
 
 
 @query("m4_fallback_score")
 def m4_fallback_score(spark, sf_dir):
-    from riskspark.plans.scoring import classify, prepare, risk_score
     model, _ = fitted_model(spark, sf_dir)
     no_prob = classify(prepare(scoring_table(spark, sf_dir), model), model).drop("probability")
     return no_prob.select("SK_ID_CURR", "prediction", risk_score(no_prob).alias("risk_score"))
@@ -526,7 +487,6 @@ def m4_fallback_score(spark, sf_dir):
 
 @query("m5_batch_score")
 def m5_batch_score(spark, sf_dir):
-    from riskspark.plans.scoring import flatten_response, score_clients
     model, _ = fitted_model(spark, sf_dir)
     return flatten_response(score_clients(scoring_table(spark, sf_dir), model))
 
@@ -534,9 +494,6 @@ def m5_batch_score(spark, sf_dir):
 @query("m5_client_card")
 def m5_client_card(spark, sf_dir):
     """M5 then J1: scored clients that also have a personal profile (the page's full card)."""
-    from riskspark.operators.profile import client_card
-    from riskspark.plans.scoring import flatten_response, score_clients
-    from riskspark.sources.fixtures import users_data
     model, _ = fitted_model(spark, sf_dir)
     scored = flatten_response(score_clients(scoring_table(spark, sf_dir), model, carry=["CUST_ID"]))
     return client_card(scored, users_data(spark, sf_dir))
@@ -544,9 +501,6 @@ def m5_client_card(spark, sf_dir):
 
 @query("s4_load_preprocessor")
 def s4_load_preprocessor(spark, sf_dir):
-    from pyspark.ml.functions import vector_to_array
-    from riskspark.operators.preprocess import preprocess
-    from riskspark.plans.scoring import load_preprocessor
     _, path = fitted_model(spark, sf_dir)
     pre = load_preprocessor(f"{path}/preprocessor")
     return pre.transform(preprocess(scoring_table(spark, sf_dir))).select(
@@ -555,15 +509,12 @@ def s4_load_preprocessor(spark, sf_dir):
 
 @query("s5_load_classifier")
 def s5_load_classifier(spark, sf_dir):
-    from riskspark.plans.scoring import RiskModel, score
     _, path = fitted_model(spark, sf_dir)
     return score(scoring_table(spark, sf_dir), RiskModel.load(path)).select("SK_ID_CURR", "risk_score")
 
 
 @query("p15_profile_projection")
 def p15_profile_projection(spark, sf_dir):
-    from riskspark.operators.preprocess import profile_projection
-    from riskspark.plans.scoring import score
     model, _ = fitted_model(spark, sf_dir)
     scored = score(scoring_table(spark, sf_dir), model)
     return profile_projection(scored)
@@ -572,10 +523,6 @@ def p15_profile_projection(spark, sf_dir):
 @query("s7_feedback_json_stream")
 def s7_feedback_json_stream(spark, sf_dir):
     """S7 over JSON request bodies derived from ``events`` (written as text, then streamed)."""
-    from riskspark.session import scratch_path
-    from riskspark.sources.fixtures import feedback_from_events
-    from riskspark.sources.tables import read_table
-    from riskspark.streaming.feedback import request_bodies, start_request_stream
     base = scratch_path(spark, "feedback-json")
     bodies = request_bodies(feedback_from_events(read_table(spark, sf_dir, "events")), carry=["event_id"])
     bodies.write.mode("overwrite").text(f"{base}/bodies")
@@ -587,8 +534,6 @@ def s7_feedback_json_stream(spark, sf_dir):
 @query("j1_client_card_salted")
 def j1_client_card_salted(spark, sf_dir):
     """J1 with explicit hot-key salting (keys above 1% of the clients; the default)."""
-    from riskspark.operators.profile import client_card
-    from riskspark.sources.fixtures import users_data
     apps = application(spark, sf_dir).select("SK_ID_CURR", "CUST_ID")
     return client_card(apps, users_data(spark, sf_dir), salt_hot_keys=True)
 
@@ -596,7 +541,5 @@ def j1_client_card_salted(spark, sf_dir):
 @query("j1_client_card_plain")
 def j1_client_card_plain(spark, sf_dir):
     """J1 as a plain equi-join (no hot-key salting), for comparison with the default."""
-    from riskspark.operators.profile import client_card
-    from riskspark.sources.fixtures import users_data
     apps = application(spark, sf_dir).select("SK_ID_CURR", "CUST_ID")
     return client_card(apps, users_data(spark, sf_dir), salt_hot_keys=False)
