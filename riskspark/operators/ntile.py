@@ -6,10 +6,11 @@ no row is ever shuffled for the bucket:
 1. ``histogram``: ``groupBy(value).count()`` (partial aggregation; distinct
    values, not rows, leave the map side).
 2. ``start`` rank of each value: exclusive running count, computed level by
-   level over coarse monotone keys (default ``floor(v / 1e4)``, then ``v``).
-   Each window partition holds one coarse group: <= 1e6 distinct values of a
-   2-decimal value; only the top level (``range / 1e4`` keys) is one window.
-   Pass finer ``levels`` for values with more distinct values per unit.
+   level over coarse monotone keys taken from the binary form of the value
+   (class and exponent, two 16-bit mantissa slices, then ``v``). Each window
+   partition holds one coarse group, bounded for any data: the only
+   unpartitioned window sees at most ~12,600 keys, the deepest level at most
+   2^20 distinct values.
 3. A value whose rank range ``[start, start + n)`` crosses a bucket boundary
    straddles it; there are at most ``k - 1`` boundaries. The row at each
    boundary rank is found by ranking the ties of that value inside id blocks
@@ -32,9 +33,52 @@ from pyspark.sql import functions as F
 
 Level = Callable[[Column], Column]
 
-DEFAULT_LEVELS: Sequence[Level] = (
-    lambda v: F.floor(v / F.lit(10000.0)),
-)
+def _radix_levels() -> tuple[Level, ...]:
+    """Coarse keys of a number by its binary form: class and exponent, then 16 + 16 mantissa bits.
+
+    Class orders null (null key) < -inf < negative < 0 < positive < +inf < NaN.
+    For finite non-zero ``v`` = sign * 2^e * (1 + m) the top key is
+    ``class * 10000 + 5000 + sign * e`` (|e| <= 1075), then two 16-bit slices of
+    ``m`` (negated for negatives, so every key rises with ``v``). Scaling by
+    powers of two is exact; if ``log2`` misses by one next to a power of two,
+    ``m`` leaves [0, 1) and the slice goes out of range in the direction that
+    keeps the keys monotone. Bounds for any data: <= ~12,600 top keys (the
+    one unpartitioned window), <= 2^16 (+ slack) keys per slice, <= 2^20
+    values under the last slice.
+    """
+    inf = float("inf")
+
+    def parts(v: Column):
+        d = v.cast("double")
+        finite = d.isNotNull() & ~F.isnan(d) & (d != 0) & (F.abs(d) != inf)
+        a = F.abs(d)
+        e = F.floor(F.log2(a))
+        m = a / F.pow(F.lit(2.0), e) - 1
+        hi = F.floor(m * 65536)
+        lo = F.floor((m * 65536 - hi) * 65536)
+        sign = F.when(d > 0, F.lit(1)).otherwise(F.lit(-1))
+        cls = (F.when(F.isnan(d), F.lit(5)).when(d == inf, F.lit(4)).when(d > 0, F.lit(3))
+               .when(d == 0, F.lit(2)).when(d == -inf, F.lit(0)).otherwise(F.lit(1)))
+        return d, finite, sign, e, hi, lo, cls
+
+    def top(v: Column) -> Column:
+        d, finite, sign, e, _, _, cls = parts(v)
+        inner = F.when(finite, F.lit(5000) + sign * e).otherwise(F.lit(0))
+        return F.when(d.isNull(), F.lit(None)).otherwise(cls * 10000 + inner).cast("long")
+
+    def mantissa(i: int) -> Level:
+        def key(v: Column) -> Column:
+            _, finite, sign, _, hi, lo, _ = parts(v)
+            return F.when(finite, sign * [hi, lo][i]).otherwise(F.lit(0)).cast("long")
+        return key
+
+    return (top, mantissa(0), mantissa(1))
+
+
+# Default: bounded for any numeric data (see _radix_levels).
+DEFAULT_LEVELS: Sequence[Level] = _radix_levels()
+# Cheaper alternative for values with a known modest range (one coarse level).
+COARSE_LEVELS: Sequence[Level] = (lambda v: F.floor(v / F.lit(10000.0)),)
 TIE_BLOCK_BITS = 20
 
 

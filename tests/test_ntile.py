@@ -45,6 +45,23 @@ def test_all_null_and_small_inputs(spark):
     assert ntile(df, "v", "id", 5, "b", strategy="distributed").count() == 0
 
 
+def test_powers_of_two_infinities_and_signs(spark):
+    values = [2.0 ** k for k in range(-8, 40)] + [-(2.0 ** k) for k in range(-8, 40)] \
+        + [2.0 ** k - 1e-9 for k in range(1, 30)] + [2.0 ** k + 2.0 ** (k - 40) for k in range(1, 30)] \
+        + [0.0, -0.0, float("inf"), float("-inf"), None, 3.5, 3.5, 3.5]
+    for k in (3, 7, 13):
+        _check(spark, values, k)
+
+
+def test_coarse_levels_option(spark):
+    from riskspark.operators.ntile import COARSE_LEVELS
+    rnd = random.Random(9)
+    values = [round(rnd.uniform(0, 5e5), 2) for _ in range(800)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, v double")
+    got = ntile(df, "v", "id", 5, "got", levels=COARSE_LEVELS, strategy="distributed")
+    assert _reference(got, 5).filter(F.col("got") != F.col("want")).count() == 0
+
+
 def test_nan_values(spark):
     values = [float("nan") if i % 4 == 0 else (None if i % 7 == 0 else float(i % 5)) for i in range(300)]
     _check(spark, values, 6)
