@@ -13,9 +13,9 @@ no row is ever shuffled for the bucket:
    2^20 distinct values.
 3. A value whose rank range ``[start, start + n)`` crosses a bucket boundary
    straddles it; there are at most ``k - 1`` boundaries. The row at each
-   boundary rank is found by ranking the ties of that value inside id blocks
-   of ``2^20`` (window partitions of at most that many rows), so a hot value
-   holding a third of the table never lands on one task.
+   boundary rank is found by ranking the ties of that value with the same
+   bounded prefix levels (grouped by value), so a hot value holding a third
+   of the table never lands on one task.
 4. The ``k - 1`` boundary keys ``(value, tie)`` come back to the driver (a
    set bounded by ``k``, like a range partitioner's bounds). Each row's bucket
    is ``1 + #boundaries <= (value, tie)``: a projection over literals, no
@@ -79,7 +79,6 @@ def _radix_levels() -> tuple[Level, ...]:
 DEFAULT_LEVELS: Sequence[Level] = _radix_levels()
 # Cheaper alternative for values with a known modest range (one coarse level).
 COARSE_LEVELS: Sequence[Level] = (lambda v: F.floor(v / F.lit(10000.0)),)
-TIE_BLOCK_BITS = 20
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -93,25 +92,29 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def value_ranks(df: DataFrame, value: str, levels: Sequence[Level] = DEFAULT_LEVELS) -> DataFrame:
-    """Per distinct ``value``: ``_n`` rows, ``_start`` (rows before it, nulls first), ``_total``."""
+def value_ranks(df: DataFrame, value: str, levels: Sequence[Level] = DEFAULT_LEVELS,
+                within: Sequence[str] = ()) -> DataFrame:
+    """Per distinct ``value`` (inside each group of the ``within`` columns): ``_n`` rows,
+    ``_start`` (rows before it in the group, nulls first) and ``_total`` (rows in the group)."""
+    within = list(within)
     v = F.col(value)
     keys = [f"_k{i}" for i in range(len(levels))]
     hist = (
-        df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-        .select(value, "_n", *[lvl(v).alias(k) for lvl, k in zip(levels, keys)])
+        df.groupBy(*within, value).agg(F.count(F.lit(1)).alias("_n"))
+        .select(*within, value, "_n", *[lvl(v).alias(k) for lvl, k in zip(levels, keys)])
     )
-    # Top level: the only window without a partition key; one row per coarse key.
-    top = hist.groupBy(keys[0]).agg(F.sum("_n").alias("_c"))
-    run = Window.orderBy(F.asc_nulls_first(keys[0])).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Top level: one window per group (the whole table when ``within`` is empty) over coarse keys.
+    top = hist.groupBy(*within, keys[0]).agg(F.sum("_n").alias("_c"))
+    run = Window.partitionBy(*within).orderBy(F.asc_nulls_first(keys[0])) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prev = top.select(
-        keys[0],
+        *within, keys[0],
         (F.sum("_c").over(run) - F.col("_c")).alias("_s"),
-        F.sum("_c").over(Window.partitionBy()).alias("_total"),
+        F.sum("_c").over(Window.partitionBy(*within)).alias("_total"),
     )
     chain = keys[1:] + [value]
     for i, key in enumerate(chain):
-        parents = keys[: i + 1]
+        parents = within + keys[: i + 1]
         if key == value:
             tab = hist
             count_col = "_n"
@@ -124,7 +127,7 @@ def value_ranks(df: DataFrame, value: str, levels: Sequence[Level] = DEFAULT_LEV
         joined = _null_safe_join(tab, prev.withColumnRenamed("_s", "_s_parent"), parents)
         joined = joined.withColumn("_s", F.col("_s_parent") + F.col("_s_local"))
         if key == value:
-            return joined.select(value, "_n", F.col("_s").alias("_start"), "_total")
+            return joined.select(*within, value, "_n", F.col("_s").alias("_start"), "_total")
         prev = joined.select(*parents, key, "_s", "_total")
     raise AssertionError("unreachable")
 
@@ -198,42 +201,30 @@ def boundaries(df: DataFrame, value: str, tie: str, buckets: int,
                levels: Sequence[Level] = DEFAULT_LEVELS) -> list[tuple]:
     """The keys ``(value is not null, value, tie)`` of the rows that open buckets 2..k, in order.
 
-    Three Spark jobs, each returning at most ``k - 1`` rows to the driver (a
+    Two Spark jobs, each returning at most ``k - 1`` rows to the driver (a
     bound set by the bucket count, not by the data): the straddling values,
-    the id block holding each boundary row, and the boundary rows themselves.
-    Rows of a straddling value are ranked inside id blocks of ``2^20``, so a
-    value holding a third of the table is still spread over many tasks.
+    then the boundary rows. The ties of a straddling value are ranked with
+    the same bounded prefix levels, grouped by value, so a value holding a
+    third of the table is spread over many tasks whatever its ids look like.
     """
     if buckets < 1:
         raise ValueError("buckets must be >= 1")
     hot = straddling_values(df, value, buckets, levels).collect()
     if not hot:
         return []
-    hot_values = list({r[value] for r in hot})
+    hot_values = list({_norm(r[value]): r[value] for r in hot}.values())
     rows = (df.select(value, F.col(tie).cast("long").alias("_t"))
-            .filter(_any([_is(value, v) for v in hot_values]))
-            .withColumn("_tb", F.shiftright(F.col("_t"), TIE_BLOCK_BITS)))
-    blocks = rows.groupBy(value, "_tb").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(value).orderBy("_tb").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    blocks = blocks.withColumn("_s", F.sum("_c").over(w) - F.col("_c"))
-    in_block = [_is(value, r[value]) & (F.col("_s") <= r["_j"]) & (F.lit(r["_j"]) < F.col("_s") + F.col("_c"))
-                for r in hot]
-    chosen = blocks.filter(_any(in_block)).select(value, "_tb", "_s", "_c").collect()
-    # (value, block) -> list of (boundary, offset inside the block)
-    targets = []
-    for r in hot:
-        for c in chosen:
-            if _norm(c[value]) == _norm(r[value]) and c["_s"] <= r["_j"] < c["_s"] + c["_c"]:
-                targets.append((r["_b"], r[value], c["_tb"], r["_j"] - c["_s"]))
-    block_cond = _any([_is(value, v) & (F.col("_tb") == tb) for _, v, tb, _ in targets])
-    ranked = rows.filter(block_cond).withColumn(
-        "_rn", F.row_number().over(Window.partitionBy(value, "_tb").orderBy("_t")) - 1)
-    pick_cond = _any([_is(value, v) & (F.col("_tb") == tb) & (F.col("_rn") == jj) for _, v, tb, jj in targets])
-    picked = {(_norm(r[value]), r["_tb"], r["_rn"]): r["_t"]
-              for r in ranked.filter(pick_cond).select(value, "_tb", "_rn", "_t").collect()}
+            .filter(_any([_is(value, v) for v in hot_values])))
+    tie_ranks = value_ranks(rows, "_t", DEFAULT_LEVELS, within=[value])
+    at_boundary = _any([_is(value, r[value]) & (F.col("_start") <= r["_j"])
+                        & (F.lit(r["_j"]) < F.col("_start") + F.col("_n")) for r in hot])
+    found = tie_ranks.filter(at_boundary).select(value, "_t", "_start", "_n").collect()
     keys = []
-    for b, v, tb, jj in sorted(targets, key=lambda x: x[0]):
-        keys.append((v is not None, v if v is not None else 0, picked[(_norm(v), tb, jj)]))
+    for r in sorted(hot, key=lambda x: x["_b"]):
+        t = next(f["_t"] for f in found
+                 if _norm(f[value]) == _norm(r[value]) and f["_start"] <= r["_j"] < f["_start"] + f["_n"])
+        v = r[value]
+        keys.append((v is not None, v if v is not None else 0, t))
     return keys
 
 
