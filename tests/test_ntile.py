@@ -62,6 +62,15 @@ def test_coarse_levels_option(spark):
     assert _reference(got, 5).filter(F.col("got") != F.col("want")).count() == 0
 
 
+def test_sparse_64bit_ids_with_hot_value(spark):
+    rnd = random.Random(21)
+    ids = rnd.sample(range(-(2 ** 62), 2 ** 62), 2400)
+    rows = [(i, 7.25 if n % 3 == 0 else round(rnd.uniform(0, 50), 2)) for n, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "id long, v double")
+    got = ntile(df, "v", "id", 6, "got", strategy="distributed")
+    assert _reference(got, 6).filter(F.col("got") != F.col("want")).count() == 0
+
+
 def test_nan_values(spark):
     values = [float("nan") if i % 4 == 0 else (None if i % 7 == 0 else float(i % 5)) for i in range(300)]
     _check(spark, values, 6)
