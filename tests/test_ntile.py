@@ -64,7 +64,7 @@ def test_coarse_levels_option(spark):
 
 def test_sparse_64bit_ids_with_hot_value(spark):
     rnd = random.Random(21)
-    ids = rnd.sample(range(-(2 ** 62), 2 ** 62), 2400)
+    ids = list({rnd.randint(-(2 ** 62), 2 ** 62) for _ in range(2400)})
     rows = [(i, 7.25 if n % 3 == 0 else round(rnd.uniform(0, 50), 2)) for n, i in enumerate(ids)]
     df = spark.createDataFrame(rows, "id long, v double")
     got = ntile(df, "v", "id", 6, "got", strategy="distributed")
