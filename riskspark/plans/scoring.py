@@ -123,14 +123,16 @@ def score(applications: DataFrame, model: RiskModel) -> DataFrame:
 
 
 def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """One row per ``key``, the one with the smallest ``order``.
+    """One row per ``key``, the one with the smallest ``order`` (then the smallest row).
 
     An aggregate (partial on the map side), not a window: a key holding a
     third of the table is reduced before the shuffle instead of being sorted
     in one task.
     """
     others = [c for c in df.columns if c != key]
-    picked = df.groupBy(key).agg(F.min_by(F.struct(*others), F.col(order)).alias("_row"))
+    # Ties on ``order`` are broken by the rest of the row, so the pick is defined.
+    row = F.struct(F.col(order).alias("_order"), *[F.col(c) for c in others])
+    picked = df.groupBy(key).agg(F.min(row).alias("_row"))
     return picked.select(key, *[F.col("_row")[c].alias(c) for c in others])
 
 

@@ -52,3 +52,16 @@ def test_fallback_without_probability(spark, model):
     no_prob = classify(prepare(application(spark, SF_SMALL).drop("TARGET"), model), model).drop("probability")
     vals = {r[0] for r in no_prob.select(risk_score(no_prob)).distinct().collect()}
     assert vals <= {0.25, 0.75}
+
+
+def test_dedupe_keeps_one_row_per_id(spark, model):
+    apps = application(spark, SF_SMALL).drop("TARGET")
+    doubled = apps.unionByName(apps.withColumn("AMT_CREDIT", F.col("AMT_CREDIT") + 1))
+    out = score_clients(doubled, model, dedupe=True)
+    assert out.count() == apps.count()
+    assert out.select("client_id").distinct().count() == apps.count()
+    # ties on the id are broken by the rest of the row: the lower credit wins, every time
+    from riskspark.plans.scoring import first_per_key
+    firsts = first_per_key(doubled.select("SK_ID_CURR", "AMT_CREDIT"), "SK_ID_CURR", "SK_ID_CURR")
+    base = {r.SK_ID_CURR: r.AMT_CREDIT for r in apps.select("SK_ID_CURR", "AMT_CREDIT").collect()}
+    assert all(base[r.SK_ID_CURR] == r.AMT_CREDIT for r in firsts.collect())
