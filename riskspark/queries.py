@@ -543,3 +543,10 @@ def j1_client_card_plain(spark, sf_dir):
     """J1 as a plain equi-join (no hot-key salting), for comparison with the default."""
     apps = application(spark, sf_dir).select("SK_ID_CURR", "CUST_ID")
     return client_card(apps, users_data(spark, sf_dir), salt_hot_keys=False)
+
+
+@query("m3_risk_score_pipeline")
+def m3_risk_score_pipeline(spark, sf_dir):
+    """M1-M3 applying the fitted stages one by one (the compiled path is the default)."""
+    model, _ = fitted_model(spark, sf_dir)
+    return score(scoring_table(spark, sf_dir), model, compiled=False).select("SK_ID_CURR", "risk_score", "prediction")
