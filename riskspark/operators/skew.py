@@ -4,10 +4,9 @@ AQE splits a skewed sort-merge partition at run time, but only when both
 join inputs are plain shuffles. When one side comes out of an aggregate on
 the join key (its partitioning is reused, as for de-duplicated profiles),
 or AQE is off, a key that holds a large share of the rows still lands on
-one task. ``salted_join``
-finds such keys with one aggregate and spreads only their rows over
-``buckets`` salts. It replicates only the matching rows of the other side,
-which has one row per key here.
+one task. ``salted_join`` finds such keys in one pass (frequent-items
+sketch) and spreads only their rows over ``buckets`` salts. It replicates
+only the matching rows of the other side, which has one row per key here.
 """
 
 from __future__ import annotations
@@ -18,18 +17,17 @@ from pyspark.sql import types as T
 
 
 def hot_keys(df: DataFrame, key: str, fraction: float) -> list:
-    """Keys holding more than ``fraction`` of the rows of ``df``.
+    """Keys that may hold more than ``fraction`` of the rows of ``df``.
 
-    At most ``1 / fraction`` keys can qualify, so the list is bounded by the
-    parameter, not by the data. Two light passes over the key column: a count,
-    then per-key counts (partial on each partition) filtered by the limit.
+    One pass with Spark's frequent-items sketch (``DataFrame.stat.freqItems``):
+    every key above the fraction is returned, plus possibly a few below it
+    (salting those too is harmless). At most about ``1 / fraction`` keys
+    come back, a bound set by the parameter, not by the data.
     """
-    if not 0 < fraction < 1:
-        raise ValueError("fraction must be in (0, 1)")
-    keys = df.select(key)
-    limit = keys.count() * fraction
-    counts = keys.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return [r[key] for r in counts.filter(F.col("_n") > F.lit(limit)).select(key).collect()]
+    if not 1e-4 <= fraction < 1:
+        raise ValueError("fraction must be in [1e-4, 1)")
+    items = df.select(key).stat.freqItems([key], support=fraction).first()[0]
+    return [k for k in items if k is not None]
 
 
 def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, how: str = "inner",

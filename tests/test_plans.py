@@ -117,7 +117,8 @@ def test_salted_card_join_equals_plain_join(spark):
                                           F.lit("F").alias("FirstName"),
                                           F.concat(F.lit("L"), F.col("id").cast("string")).alias("LastName"),
                                           F.lit(None).cast("string").alias("PhotoURL"))
-    assert hot_keys(clients, "CUST_ID", 0.05) == [7]
+    hot = hot_keys(clients, "CUST_ID", 0.05)
+    assert 7 in hot and len(hot) <= 20            # all keys above 5%, at most ~1/0.05 candidates
     plain = sorted(tuple(r) for r in client_card(clients, users, salt_hot_keys=False).collect())
     salted = sorted(tuple(r) for r in client_card(clients, users).collect())
     assert plain == salted
