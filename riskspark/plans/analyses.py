@@ -24,11 +24,15 @@ def _filtered(df: DataFrame, filters: PortfolioFilters | None) -> DataFrame:
     return (filters or NO_FILTERS).apply(df)
 
 
-def by_age(df: DataFrame, filters: PortfolioFilters | None = None) -> DataFrame:
-    """G1: clients and default rate per age group."""
+def by_age(df: DataFrame, filters: PortfolioFilters | None = None, null_label: str | None = None) -> DataFrame:
+    """G1: clients and default rate per age group.
+
+    A null birth date counts in the oldest group, as in the reference;
+    ``null_label`` gives it a group of its own instead.
+    """
     return (
         _filtered(df, filters)
-        .groupBy(P.age_group().alias("AGE_GROUP"))
+        .groupBy(P.age_group(null_label=null_label).alias("AGE_GROUP"))
         .agg(P.client_count().alias("CLIENT_COUNT"), P.default_rate().alias("DEFAULT_RATE"))
     )
 
@@ -62,11 +66,16 @@ def by_income_type(df: DataFrame, filters: PortfolioFilters | None = None) -> Da
     )
 
 
-def by_employment_length(df: DataFrame, filters: PortfolioFilters | None = None) -> DataFrame:
-    """Per seniority group, ordered by the label text (O1)."""
+def by_employment_length(df: DataFrame, filters: PortfolioFilters | None = None,
+                         null_label: str | None = None) -> DataFrame:
+    """Per seniority group, ordered by the label text (O1).
+
+    A null employment counts as ``> 10 ans``, as in the reference;
+    ``null_label`` gives it a group of its own instead.
+    """
     return (
         _filtered(df, filters)
-        .groupBy(P.employment_length().alias("EMPLOYMENT_LENGTH"))
+        .groupBy(P.employment_length(null_label=null_label).alias("EMPLOYMENT_LENGTH"))
         .agg(P.client_count().alias("CLIENT_COUNT"), P.default_rate().alias("DEFAULT_RATE"))
         .orderBy("EMPLOYMENT_LENGTH")
     )

@@ -45,3 +45,14 @@ def test_unknown_analysis_number_is_an_error(spark):
     import pytest
     with pytest.raises(ValueError):
         G.analysis(application(spark, SF_SMALL), 9)
+
+
+def test_null_label_gives_nulls_their_own_group(spark):
+    app = application(spark, SF_SMALL)
+    default = {r.AGE_GROUP: r.CLIENT_COUNT for r in G.by_age(app).collect()}
+    split = {r.AGE_GROUP: r.CLIENT_COUNT for r in G.by_age(app, null_label="Inconnu").collect()}
+    nulls = app.filter(F.col("DAYS_BIRTH").isNull()).count()
+    assert nulls > 0 and split["Inconnu"] == nulls
+    assert default.get("> 55 ans", 0) == split.get("> 55 ans", 0) + nulls
+    emp = {r.EMPLOYMENT_LENGTH: r.CLIENT_COUNT for r in G.by_employment_length(app, null_label="Inconnu").collect()}
+    assert emp.get("Inconnu", 0) == app.filter(F.col("DAYS_EMPLOYED").isNull()).count()
