@@ -43,7 +43,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="riskspark-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return path
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
