@@ -36,18 +36,23 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared file system; it is only filled
-    in here when nothing set it (local tests).
+    On a cluster the setting names a shared file system. Only when nothing
+    set it (local tests) is a folder chosen here; the setting itself cannot
+    change at run time, so the SparkContext's checkpoint folder is set instead.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="riskspark-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, path)
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: the server owns the checkpoint folder
+        sc = None
+    if path:
+        if sc is not None and sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(path)
         return path
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    path = tempfile.mkdtemp(prefix="riskspark-ckpt-")
+    if sc is not None:
         sc.setCheckpointDir(path)
     return path
 
