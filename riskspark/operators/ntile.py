@@ -12,10 +12,11 @@ no row is ever shuffled for the bucket:
    unpartitioned window sees at most ~12,600 keys, the deepest level at most
    2^20 distinct values.
 3. A value whose rank range ``[start, start + n)`` crosses a bucket boundary
-   straddles it; there are at most ``k - 1`` boundaries. The row at each
-   boundary rank is found by ranking the ties of that value with the same
-   bounded prefix levels (grouped by value), so a hot value holding a third
-   of the table never lands on one task.
+   straddles it; there are at most ``k - 1`` boundaries. Its rows are only
+   counted per radix bucket of the tie (partial aggregate), the bucket holding
+   each boundary is found with the same bounded prefix levels, and only the
+   rows of those at most ``k - 1`` buckets (<= 2^20 ties each) are ranked. A
+   hot value holding a third of the table is never shuffled row by row.
 4. The ``k - 1`` boundary keys ``(value, tie)`` come back to the driver (a
    set bounded by ``k``, like a range partitioner's bounds). Each row's bucket
    is ``1 + #boundaries <= (value, tie)``: a projection over literals, no
@@ -197,15 +198,33 @@ def straddling_values(df: DataFrame, value: str, buckets: int,
     )
 
 
+def _tie_bucket(t: Column) -> Column:
+    """One long per radix bucket of a tie (class+exponent, 16 high mantissa bits, 16 low),
+    ordered like the tie itself. A bucket holds at most 2^20 distinct ties."""
+    top, hi, lo = (lvl(t) for lvl in DEFAULT_LEVELS)
+    return (top * F.lit(1 << 35) + (hi + F.lit(1 << 17)) * F.lit(1 << 17) + (lo + F.lit(1 << 16))).cast("long")
+
+
+_BUCKET_LEVELS: tuple[Level, ...] = (
+    lambda b: F.shiftright(b, 35),
+    lambda b: F.shiftright(b, 17),
+)
+
+
 def boundaries(df: DataFrame, value: str, tie: str, buckets: int,
                levels: Sequence[Level] = DEFAULT_LEVELS) -> list[tuple]:
     """The keys ``(value is not null, value, tie)`` of the rows that open buckets 2..k, in order.
 
-    Two Spark jobs, each returning at most ``k - 1`` rows to the driver (a
-    bound set by the bucket count, not by the data): the straddling values,
-    then the boundary rows. The ties of a straddling value are ranked with
-    the same bounded prefix levels, grouped by value, so a value holding a
-    third of the table is spread over many tasks whatever its ids look like.
+    Three Spark jobs, each returning at most ``k - 1`` rows to the driver (a
+    bound set by the bucket count, not by the data):
+    1. the straddling values;
+    2. for each boundary, the tie bucket that holds it. Rows of the straddling
+       values are only counted per (value, tie bucket), a partial aggregate,
+       and the bucket counts are prefixed with bounded levels;
+    3. the boundary rows, ranked inside those at most ``k - 1`` buckets only
+       (<= 2^20 ties each).
+
+    A value holding a third of the table is therefore never shuffled row by row.
     """
     if buckets < 1:
         raise ValueError("buckets must be >= 1")
@@ -214,17 +233,26 @@ def boundaries(df: DataFrame, value: str, tie: str, buckets: int,
         return []
     hot_values = list({_norm(r[value]): r[value] for r in hot}.values())
     rows = (df.select(value, F.col(tie).cast("long").alias("_t"))
-            .filter(_any([_is(value, v) for v in hot_values])))
-    tie_ranks = value_ranks(rows, "_t", DEFAULT_LEVELS, within=[value])
-    at_boundary = _any([_is(value, r[value]) & (F.col("_start") <= r["_j"])
-                        & (F.lit(r["_j"]) < F.col("_start") + F.col("_n")) for r in hot])
-    found = tie_ranks.filter(at_boundary).select(value, "_t", "_start", "_n").collect()
+            .filter(_any([_is(value, v) for v in hot_values]))
+            .withColumn("_bk", _tie_bucket(F.col("_t"))))
+    bucket_ranks = value_ranks(rows, "_bk", _BUCKET_LEVELS, within=[value])
+    holds = [_is(value, r[value]) & (F.col("_start") <= r["_j"]) & (F.lit(r["_j"]) < F.col("_start") + F.col("_n"))
+             for r in hot]
+    chosen = bucket_ranks.filter(_any(holds)).select(value, "_bk", "_start", "_n").collect()
+    targets = []   # (boundary, value, bucket, offset inside the bucket)
+    for r in hot:
+        for c in chosen:
+            if _norm(c[value]) == _norm(r[value]) and c["_start"] <= r["_j"] < c["_start"] + c["_n"]:
+                targets.append((r["_b"], r[value], c["_bk"], r["_j"] - c["_start"]))
+    in_buckets = _any([_is(value, v) & (F.col("_bk") == bk) for _, v, bk, _ in targets])
+    ranked = rows.filter(in_buckets).withColumn(
+        "_rn", F.row_number().over(Window.partitionBy(value, "_bk").orderBy("_t")) - 1)
+    pick = _any([_is(value, v) & (F.col("_bk") == bk) & (F.col("_rn") == off) for _, v, bk, off in targets])
+    found = {(_norm(r[value]), r["_bk"], r["_rn"]): r["_t"]
+             for r in ranked.filter(pick).select(value, "_bk", "_rn", "_t").collect()}
     keys = []
-    for r in sorted(hot, key=lambda x: x["_b"]):
-        t = next(f["_t"] for f in found
-                 if _norm(f[value]) == _norm(r[value]) and f["_start"] <= r["_j"] < f["_start"] + f["_n"])
-        v = r[value]
-        keys.append((v is not None, v if v is not None else 0, t))
+    for b, v, bk, off in sorted(targets, key=lambda x: x[0]):
+        keys.append((v is not None, v if v is not None else 0, found[(_norm(v), bk, off)]))
     return keys
 
 
