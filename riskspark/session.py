@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -36,9 +37,11 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared file system. Only when nothing
-    set it (local tests) is a folder chosen here; the setting itself cannot
-    change at run time, so the SparkContext's checkpoint folder is set instead.
+    On a cluster the setting names a shared file system. Only in ``local[...]``
+    mode (tests), when nothing set it, is a folder chosen here; the setting
+    itself cannot change at run time, so the SparkContext's checkpoint folder
+    is set instead. Anywhere else an unset folder is an error: a folder on one
+    machine is not seen by the others.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     try:
@@ -51,9 +54,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return path
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
+    if sc is None or not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise ValueError(f"{CHECKPOINT_CONF} is not set: name a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="riskspark-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
 
 
