@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskspark.llm.decontaminate import find_benchmark
+from riskspark.llm.packing import pack
+from riskspark.llm.quality_rules import judge
 from riskspark.llm.substring_dedup import remove_repeats
 from riskspark.llm.suffix_dedup import remove_repeated_bytes
 from riskspark.sources.tables import read_table
@@ -18,6 +21,27 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pack(docs).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents against all 13-word windows of the benchmark."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = F.col("items")
+    return find_benchmark(docs, read_table(spark, sf_dir, "benchmark"), slop=2).select(
+        "doc_id", "n_words", "n_hit", F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        "contaminated", F.size("near_items").cast("long").alias("n_near_items"))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules over every document; the source is the host."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return judge(docs).drop("source", "text")
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes in 400-byte strings that start anywhere else go."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -26,6 +50,9 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_packing": op5_packing,
+    "op6_decontamination": op6_decontamination,
+    "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
 }
 
