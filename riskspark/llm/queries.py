@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.llm.decontaminate import find_benchmark
+from riskspark.llm.minhash_dedup import near_duplicates
 from riskspark.llm.packing import pack
 from riskspark.llm.quality_rules import judge
 from riskspark.llm.substring_dedup import remove_repeats
@@ -15,6 +16,12 @@ from riskspark.llm.suffix_dedup import remove_repeated_bytes
 from riskspark.sources.tables import read_table
 
 
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near copies of each document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs).select("doc_id", "class_id", "copies", "keep")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words in 20-word windows that start earlier elsewhere go."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -49,6 +56,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_minhash_dedup": op3_minhash_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_packing": op5_packing,
     "op6_decontamination": op6_decontamination,
