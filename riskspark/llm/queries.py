@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskspark.llm.decontaminate import find_benchmark
 from riskspark.llm.minhash_dedup import near_duplicates
 from riskspark.llm.packing import pack
+from riskspark.llm.quality_classifier import fit, score
 from riskspark.llm.quality_rules import judge
 from riskspark.llm.substring_dedup import remove_repeats
 from riskspark.llm.suffix_dedup import remove_repeated_bytes
@@ -55,6 +56,14 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_bytes(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned from four fifths of the labels' ids."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = fit(docs, read_table(spark, sf_dir, "labels"), ~held_out)
+    return score(docs.select("doc_id", "text", held_out.alias("held_out")), model).select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_substring_dedup": op4_substring_dedup,
@@ -62,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": op6_decontamination,
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {}
