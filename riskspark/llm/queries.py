@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.llm.decontaminate import find_benchmark
+from riskspark.llm.maxent_lm import language_scores
 from riskspark.llm.minhash_dedup import near_duplicates
 from riskspark.llm.packing import pack
 from riskspark.llm.quality_classifier import fit, score
@@ -44,6 +45,14 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "contaminated", F.size("near_items").cast("long").alias("n_near_items"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log10 probability of every document, learned from six sevenths of the ids."""
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    return language_scores(docs, ~F.coalesce("held_out", F.lit(False))).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rules over every document; the source is the host."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -69,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_packing": op5_packing,
     "op6_decontamination": op6_decontamination,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_classifier": op10_quality_classifier,
