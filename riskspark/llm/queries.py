@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.llm.decontaminate import find_benchmark
+from riskspark.llm.license_scan import scan
 from riskspark.llm.maxent_lm import language_scores
 from riskspark.llm.minhash_dedup import near_duplicates
 from riskspark.llm.packing import pack
@@ -15,9 +16,26 @@ from riskspark.llm.quality_classifier import fit, score
 from riskspark.llm.quality_rules import judge
 from riskspark.llm.substring_dedup import remove_repeats
 from riskspark.llm.suffix_dedup import remove_repeated_bytes
+from riskspark.llm.url_filter import filter_urls
 from riskspark.sources.tables import read_table
 
 
+#: The rules of the URL filter's query.
+URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on the URL of every page."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    return filter_urls(pages, URL_RULES).drop("url")
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licences that every document names."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan(docs).select("doc_id", "n_sentences", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licences", ",").alias("licences"))
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of near copies of each document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -74,6 +92,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": op1_url_filter,
+    "op2_license_scan": op2_license_scan,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_packing": op5_packing,
