@@ -1,28 +1,54 @@
-"""The training-data pipeline: stages over ``documents``, each on all that the stage before kept."""
+"""The training-data pipeline: stages over ``documents``, each on all that the stage before kept.
+
+Every stage but the last returns the columns of ``documents``; the last returns the packed pieces.
+The tables between the stages are Parquet in the folder of ``spark.checkpoint.dir``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from riskspark.llm.decontaminate import find_benchmark
+from riskspark.llm.minhash_dedup import one_of_each
+from riskspark.llm.packing import pack
+from riskspark.llm.quality_rules import judge
 from riskspark.llm.stage import staged
 from riskspark.llm.substring_dedup import remove_repeats
 from riskspark.sources.tables import read_table
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules reject go; the source is the host."""
+    return judge(docs).where("kept").select(*docs.columns)
 
-def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages go; a text that loses some is its other words, joined by one space."""
-    from pyspark.sql import functions as F
 
-    out = remove_repeats(docs)
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies stays: the one with the smallest id."""
+    return one_of_each(docs)
+
+
+def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated passages go. A text that loses words is its other words, joined by one space; ``n_chars`` follows."""
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    return out.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    size = F.when(F.col("n_removed") > 0, F.char_length("kept_text").cast("long")).otherwise(F.col("n_chars"))
+    return remove_repeats(docs).withColumns({"text": text, "n_chars": size}).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are contaminated by the benchmark go."""
+    return find_benchmark(docs, read_table(spark, sf_dir, "benchmark")).where("not contaminated").select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, in sequences of at most 1024 tokens."""
+    return pack(docs).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-STAGES = [("substring_dedup", substrings)]
+STAGES = [("quality_rules", quality_rules), ("minhash_dedup", near_duplicates), ("substring_dedup", substrings),
+          ("decontamination", decontamination), ("packing", packing)]
 
-#: The stages use methods that SQL does not express; the tests hold them against brute force.
+#: SQL does not express the signatures and the packing; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
