@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from riskspark.llm.marks import MARKS, by_row, cells, slotted
 from riskspark.llm.stage import dropped, power_of_two, staged
 from riskspark.llm.words import U64, Words, as_bytes, in_chunks, mix, runs, windows
 
@@ -41,7 +42,6 @@ BUCKET_BYTES = 8 << 20  # of text for each bucket of the index
 _PROBES = "bucket int, rolls binary, blocks binary, owners binary, keys binary, places binary"
 _HITS = "id long, key int, place int"
 _WINDOWS = "bucket int, hashes binary, checks binary, ids binary, rows binary, places binary"
-_MARKS = "row long, places array<int>"
 
 
 def _buckets(h: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
@@ -81,11 +81,11 @@ def _probes(block: int, buckets: int):
                 full, rb = _buckets(rolls, shift)
                 bb = np.append(np.searchsorted(h >> U64(shift), full.astype(U64)), len(h))
                 ids, keys, no = ids.astype("<i8"), keys.astype("<i4"), no.astype("<i4")
-                cells = [[low(rolls[rb[i]:rb[i + 1]]) for i in range(len(full))],
+                parts = [[low(rolls[rb[i]:rb[i + 1]]) for i in range(len(full))],
                          # A block met twice in the chunk is a hit already: its hash is sent as all ones.
                          [_flagged(low(h[bb[i]:bb[i + 1]]), again[bb[i]:bb[i + 1]]) for i in range(len(full))],
                          *([x[bb[i]:bb[i + 1]].tobytes() for i in range(len(full))] for x in (ids, keys, no))]
-                yield pa.RecordBatch.from_arrays([pa.array(full), *(pa.array(c, pa.binary()) for c in cells)],
+                yield pa.RecordBatch.from_arrays([pa.array(full), *(pa.array(c, pa.binary()) for c in parts)],
                                                  names=["bucket", "rolls", "blocks", "owners", "keys", "places"])
     return run
 
@@ -104,10 +104,6 @@ def _wide(column) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _cells(column, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind)
-
-
 def _hits(table: pa.Table) -> pa.Table:
     """The blocks of a bucket whose hash comes from two chunks, or twice from one."""
     rolls, blocks = _wide(table.column("rolls")), _wide(table.column("blocks"))
@@ -117,8 +113,8 @@ def _hits(table: pa.Table) -> pa.Table:
     if len(repeated):
         near = np.searchsorted(repeated, blocks)
         hit |= repeated[np.minimum(near, len(repeated) - 1)] == blocks
-    return pa.table({"id": _cells(table.column("owners"), "<i8")[hit], "key": _cells(table.column("keys"), "<i4")[hit],
-                     "place": _cells(table.column("places"), "<i4")[hit]})
+    return pa.table({"id": cells(table.column("owners"), "<i8")[hit], "key": cells(table.column("keys"), "<i4")[hit],
+                     "place": cells(table.column("places"), "<i4")[hit]})
 
 
 def _candidates(block: int, window: int, buckets: int):
@@ -154,39 +150,32 @@ def _candidates(block: int, window: int, buckets: int):
                 later = (ids != ids[lead]) | (place != place[lead])
                 send = ~later
                 full, b = _buckets(h[send], shift)
-                cells = [x[send] for x in (h.astype("<u8"), check.astype("<u4"), ids.astype("<i8"), rows.astype("<i8"), place.astype("<i4"))]
-                out = [pa.array(full), *(pa.array([c[b[i]:b[i + 1]].tobytes() for i in range(len(full))], pa.binary()) for c in cells)]
-                # Marks known here travel in a bucket of their own, -1 - (row mod buckets), as they need no comparison.
-                known, whose = place[later], rows[later]
-                own = (whose % buckets).astype(np.int32)
-                o = np.argsort(own, kind="stable")
-                have, cut = np.unique(own[o], return_index=True)
-                cut = np.append(cut, len(o))
-                whose, known = whose[o].astype("<i8"), known[o].astype("<i4")
-                extra = [pa.array((-1 - have).astype(np.int32)), *(pa.array([b""] * len(have), pa.binary()) for _ in range(3)),
-                         *(pa.array([x[cut[i]:cut[i + 1]].tobytes() for i in range(len(have))], pa.binary()) for x in (whose, known))]
+                parts = [x[send] for x in (h.astype("<u8"), check.astype("<u4"), ids.astype("<i8"), rows.astype("<i8"), place.astype("<i4"))]
+                out = [pa.array(full), *(pa.array([c[b[i]:b[i + 1]].tobytes() for i in range(len(full))], pa.binary()) for c in parts)]
+                # Marks known here travel in buckets of their own, -1 - slot, as they need no comparison.
+                slot, whose, known = slotted(rows[later], place[later], buckets)
+                extra = [pa.array(-1 - slot.to_numpy()), *(pa.array([b""] * len(slot), pa.binary()) for _ in range(3)), whose, known]
                 names = ["bucket", "hashes", "checks", "ids", "rows", "places"]
                 yield pa.RecordBatch.from_arrays(out, names=names)
                 yield pa.RecordBatch.from_arrays(extra, names=names)
     return run
 
 
-def _marks(table: pa.Table) -> pa.Table:
-    """The windows of a bucket that are not the earliest of their words, by row."""
-    rows, place = _cells(table.column("rows"), "<i8"), _cells(table.column("places"), "<i4")
-    if table.column("bucket")[0].as_py() >= 0:
-        h, check, ids = _cells(table.column("hashes"), "<u8"), _cells(table.column("checks"), "<u4"), _cells(table.column("ids"), "<i8")
-        order = np.lexsort((place, ids, check, h))
-        h, check, ids, place, rows = (x[order] for x in (h, check, ids, place, rows))
-        first = np.ones(len(h), bool)
-        first[1:] = (h[1:] != h[:-1]) | (check[1:] != check[:-1])
-        lead = np.flatnonzero(first)[np.cumsum(first) - 1]
-        later = (ids != ids[lead]) | (place != place[lead])
-        rows, place = rows[later], place[later]
-    order = np.argsort(rows, kind="stable")
-    rows, place = rows[order], place[order]
-    cut = np.flatnonzero(np.diff(rows, prepend=rows[0] - 1 if len(rows) else 0))
-    return pa.table({"row": pa.array(rows[cut]), "places": pa.ListArray.from_arrays(pa.array(np.append(cut, len(rows)).astype(np.int32)), pa.array(place.astype(np.int32)))})
+def _marks(slots: int):
+    """The windows of a bucket that are not the earliest of their words, by slots of rows."""
+    def run(table: pa.Table) -> pa.Table:
+        rows, place = cells(table.column("rows"), "<i8"), cells(table.column("places"), "<i4")
+        if table.column("bucket")[0].as_py() >= 0:
+            h, check, ids = cells(table.column("hashes"), "<u8"), cells(table.column("checks"), "<u4"), cells(table.column("ids"), "<i8")
+            order = np.lexsort((place, ids, check, h))
+            h, check, ids, place, rows = (x[order] for x in (h, check, ids, place, rows))
+            first = np.ones(len(h), bool)
+            first[1:] = (h[1:] != h[:-1]) | (check[1:] != check[:-1])
+            lead = np.flatnonzero(first)[np.cumsum(first) - 1]
+            later = (ids != ids[lead]) | (place != place[lead])
+            rows, place = rows[later], place[later]
+        return pa.table(slotted(rows, place, slots), names=["slot", "rows", "places"])
+    return run
 
 
 def _kept(window: int):
@@ -237,9 +226,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marked = staged(base.join(hits, ["id", "key"], "left").withColumn("row", F.monotonically_increasing_id()), "texts")
     marks = (marked.where("blocks is not null").select("id", "row", "text", "blocks")
              .mapInArrow(_candidates(block, window, buckets), _WINDOWS)
-             .groupBy("bucket").applyInArrow(_marks, _MARKS)
-             .groupBy("row").agg(F.flatten(F.collect_list("places")).alias("marks")))
-    marks = staged(marks, "marks")
+             .groupBy("bucket").applyInArrow(_marks(buckets), MARKS))
+    marks = staged(by_row(marks), "marks")
     dropped(hits)
     found = marked.where("blocks is not null").join(marks, "row", "left").select("others", "text", "marks")
     rest = marked.where("blocks is null").select("others", "text", F.lit(None).cast("array<int>").alias("marks"))
