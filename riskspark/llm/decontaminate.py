@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.stage import staged
+from riskspark.llm.stage import carried, staged
 from riskspark.llm.words import ALNUM, Words, as_bytes, in_chunks, runs
 
 CHUNK_BYTES = 1 << 20
@@ -160,8 +160,9 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
     (a hit, and a twentieth of the words or more are hit). Jobs over the benchmark run when it is called."""
     spark = docs.sparkSession
     new = ("n_words", "hits", "n_hit", "items", "near_items", "contaminated")
-    others = [c for c in docs.columns if c not in new]
-    out = docs.select(F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in others if c != text_col)).alias("others"), F.col(f"`{text_col}`").alias("text"),
+    names, others = carried(docs, new, (text_col,))
+    order = [c for c in docs.columns if c == text_col or c in names]
+    out = docs.select(others, F.col(f"`{text_col}`").alias("text"),
                       *(F.lit(None).cast(kind).alias(n) for n, kind in _FOUND.items()))
     pieces = (benchmark.select(F.col(f"`{item_col}`").cast("string").alias("item"), F.col(f"`{item_text_col}`").alias("text"))
               .where("item is not null and text is not null").mapInArrow(_pieces(window), "item string, piece string"))
@@ -174,5 +175,5 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
         if (k + 1) % PASSES == 0 and k + 1 < shards:
             out = staged(out, "found")
     n_hit = F.expr("aggregate(hits, 0L, (s, x) -> s + x.hi - x.lo)")
-    return out.select(*(F.col("text" if c == text_col else f"others.`{c}`").alias(c) for c in others), "n_words", "hits", n_hit.alias("n_hit"), "items", F.col("near").alias("near_items"),
+    return out.select(*(F.col("text" if c == text_col else f"others.`{c}`").alias(c) for c in order), "n_words", "hits", n_hit.alias("n_hit"), "items", F.col("near").alias("near_items"),
                       ((n_hit > 0) & (n_hit * 20 >= F.col("n_words"))).alias("contaminated"))

@@ -22,6 +22,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskspark.llm.stage import carried
+
 WRAP = 4
 
 #: Sentences of public licences and notices, by identifier.
@@ -83,7 +85,7 @@ def _let(value: Column, body) -> Column:
 def scan(docs: DataFrame, text_col: str = "text", sentences: dict[str, list[str]] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES) -> DataFrame:
     """``docs`` with ``n_sentences``, ``sentence_ids`` (the known ones, in order) and ``licences`` (in the rules' order)."""
     new = ("n_sentences", "sentence_ids", "licences")
-    others = [c for c in docs.columns if c not in new]
+    names, others = carried(docs, new)
     known = {normalised(s): name for name, forms in sentences.items() for s in forms}
     table = F.create_map(*(x for s, name in known.items() for x in (F.xxhash64(F.lit(s)), F.lit(name))))
 
@@ -112,6 +114,6 @@ def scan(docs: DataFrame, text_col: str = "text", sentences: dict[str, list[str]
 
     start = lambda ids: F.struct(F.array_join(F.transform(ids, lambda x: F.concat(F.lit(","), x, F.lit(","))), "").alias("left"), F.array().cast("array<string>").alias("names"))
     found = _let(parts, looked_up)
-    out = docs.select(*(F.col(f"`{c}`") for c in others), found.alias("_found"))
-    named = F.aggregate(steps, start(F.col("_found.ids")), tried, lambda acc: F.array_distinct(acc["names"]))
-    return out.select(*(F.col(f"`{c}`") for c in others), F.col("_found.n").alias("n_sentences"), F.col("_found.ids").alias("sentence_ids"), named.alias("licences"))
+    out = docs.select(others, found.alias("found"))
+    named = F.aggregate(steps, start(F.col("found.ids")), tried, lambda acc: F.array_distinct(acc["names"]))
+    return out.select(*(F.col(f"others.`{c}`").alias(c) for c in names), F.col("found.n").alias("n_sentences"), F.col("found.ids").alias("sentence_ids"), named.alias("licences"))

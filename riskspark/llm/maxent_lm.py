@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from riskspark.llm.marks import cells
-from riskspark.llm.stage import dropped, staged
+from riskspark.llm.stage import carried, dropped, staged
 from riskspark.llm.words import U64, Words, as_bytes, in_chunks, mix
 
 COUNT_BYTES, CHUNK_BYTES, BATCH = 4 << 20, 1 << 20, 8192
@@ -222,12 +222,13 @@ def _scored(model):
     return run
 
 
-def language_scores(docs: DataFrame, learn: Column, text_col: str = "text") -> DataFrame:
+def language_scores(docs: DataFrame, learn: Column, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``n_tokens``, ``n_known`` (tokens with a count), ``train_tokens``, ``base_score`` (add-one unigram) and
-    ``score`` (log10 probability of the text). ``learn``: the rows to learn from. Jobs run when it is called."""
+    ``score`` (log10 probability of the text). ``learn``: the rows to learn from; ``keep``: the columns
+    to return (all of them without it). Jobs run when it is called."""
     spark = docs.sparkSession
     new = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
-    others = [c for c in docs.columns if c not in new]
+    names, others = carried(docs if keep is None else docs.select(*(F.col(f"`{c}`") for c in keep)), new)
     text = F.col(f"`{text_col}`")
     train = docs.where(F.coalesce(learn, F.lit(False))).select(text.alias("text"), F.pmod(F.xxhash64(text), F.lit(ROUNDS)).alias("round"))
 
@@ -266,7 +267,7 @@ def language_scores(docs: DataFrame, learn: Column, text_col: str = "text") -> D
         sent.unpersist()
         model.weights = weights
 
-    base = docs.select(F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in others)).alias("others"), text.alias("text"))
+    base = docs.select(others, text.alias("text"))
     fields = [base.schema["others"], StructField("n_tokens", LongType()), StructField("n_known", LongType()), StructField("base_score", DoubleType()), StructField("score", DoubleType()),
               StructField("rare", ArrayType(LongType()))]
     scored = staged(base.mapInArrow(_scored(spark.sparkContext.broadcast(model)), StructType(fields)).withColumn("row", F.monotonically_increasing_id()), "scores")
@@ -279,5 +280,5 @@ def language_scores(docs: DataFrame, learn: Column, text_col: str = "text") -> D
     else:
         out = out.withColumn("known", F.lit(0)).withColumn("up", F.lit(0.0))
     up = F.coalesce("up", F.lit(0.0))
-    return out.select(*(F.col(f"others.`{c}`").alias(c) for c in others), "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).cast("long").alias("n_known"), "train_tokens",
+    return out.select(*(F.col(f"others.`{c}`").alias(c) for c in names), "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).cast("long").alias("n_known"), "train_tokens",
                       (F.col("base_score") + up).alias("base_score"), (F.col("score") + up).alias("score"))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.stage import dropped, staged
+from riskspark.llm.stage import carried, dropped, staged
 from riskspark.llm.words import U64, Words, as_bytes, in_chunks, mix, windows
 
 CHUNK_BYTES = 1 << 20
@@ -213,7 +213,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
     """``docs`` with one document of each class of near copies."""
     keep = near_duplicates(docs, id_col, text_col, **parameters).where("keep").select(F.col(id_col).alias("_id"), F.col("node").alias("_node")).distinct()
+    names, others = carried(docs, ())
     node = F.unhex(F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
-    return (docs.withColumn("_node", node).withColumn("_id", F.col(f"`{id_col}`").cast("long"))
-            .join(keep.select(F.col("_id").alias("_kept"), "_node"), "_node").where(F.col("_id").eqNullSafe(F.col("_kept")))
-            .dropDuplicates(["_node"]).select(*(F.col(f"`{c}`") for c in docs.columns)))
+    rows = docs.select(others, node.alias("_node"), F.col(f"`{id_col}`").cast("long").alias("_id"))
+    return (rows.join(keep.select(F.col("_id").alias("_kept"), "_node"), "_node").where(F.col("_id").eqNullSafe(F.col("_kept")))
+            .dropDuplicates(["_node"]).select(*(F.col(f"others.`{c}`").alias(c) for c in names)))

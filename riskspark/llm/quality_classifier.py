@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from riskspark.llm.stage import carried
 from riskspark.llm.words import Words, as_bytes, in_chunks, span_hashes
 
 CHUNK_BYTES = 1 << 20
@@ -161,9 +162,9 @@ def _scored(model):
     return run
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text", threshold: float = 0.3) -> DataFrame:
-    """``docs`` with ``score``, the probability of label 1, and ``predicted``."""
-    others = [c for c in docs.columns if c not in ("score", "predicted")]
-    rows = docs.select(F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in others)).alias("row"), F.col(f"`{text_col}`").alias("text"))
+def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text", threshold: float = 0.3, keep: list[str] | None = None) -> DataFrame:
+    """``docs`` with ``score``, the probability of label 1, and ``predicted``; ``keep``: the columns to return (all without it)."""
+    names, others = carried(docs if keep is None else docs.select(*(F.col(f"`{c}`") for c in keep)), ("score", "predicted"))
+    rows = docs.select(others.alias("row"), F.col(f"`{text_col}`").alias("text"))
     out = rows.mapInArrow(_scored(docs.sparkSession.sparkContext.broadcast(model)), StructType([rows.schema["row"], StructField("score", DoubleType())]))
-    return out.select(*(F.col(f"row.`{c}`").alias(c) for c in others), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return out.select(*(F.col(f"row.`{c}`").alias(c) for c in names), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

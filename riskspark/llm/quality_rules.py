@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.stage import staged
+from riskspark.llm.stage import carried, staged
 
 #: ASCII white space, and the symbols that are counted.
 SPACE = " \t\n\x0b\f\r"
@@ -79,7 +79,7 @@ def judge(docs: DataFrame, host_col: str = "source", text_col: str = "text", lin
     """``docs`` with ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``,
     ``n_removed_words`` (in lines over the limits) and ``kept``. One job runs when it is called."""
     new = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_removed_words", "kept")
-    others = [c for c in docs.columns if c not in new]
+    names, others = carried(docs, new)
     text, host = F.col(f"`{text_col}`"), F.col(f"`{host_col}`").cast("string")
     key = F.struct(host.alias("host"), F.xxhash64(text).alias("a"), F.hash(text).alias("b"))
     # A line over the limits has more than ``limit`` documents, so texts without a short line need not be kept.
@@ -93,7 +93,7 @@ def judge(docs: DataFrame, host_col: str = "source", text_col: str = "text", lin
     removed = (lines.alias("l").join(frequent.alias("f"), F.col("l.host").eqNullSafe(F.col("f.host")) & (F.col("l.line") == F.col("f.line")))
                .groupBy(F.col("l._key").alias("_of")).agg(F.sum("words").cast("long").alias("_gone")))
     ws = words(text)
-    base = docs.select(*(F.col(f"`{c}`") for c in others), key.alias("_key"),
+    base = docs.select(others, key.alias("_key"),
                        _let(ws, lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).alias("again"))).alias("_words"),
                        F.coalesce(F.char_length(_bare(text)), F.lit(0)).cast("long").alias("word_chars"),
                        F.coalesce(F.char_length(text) - F.char_length(F.translate(text, SYMBOLS, "")), F.lit(0)).cast("long").alias("n_symbols"),
@@ -101,5 +101,5 @@ def judge(docs: DataFrame, host_col: str = "source", text_col: str = "text", lin
     n, again, gone = F.col("_words.n"), F.col("_words.again"), F.coalesce("_gone", F.lit(0))
     failed = (n < 50) | (again * 100 > n * 50)
     out = base.join(removed, F.col("_key").eqNullSafe(F.col("_of")), "left")
-    return out.select(*(F.col(f"`{c}`") for c in others), n.alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", again.alias("n_repeat_words"),
+    return out.select(*(F.col(f"others.`{c}`").alias(c) for c in names), n.alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", again.alias("n_repeat_words"),
                       failed.alias("base_failed"), gone.alias("n_removed_words"), (~failed & (gone * 2 <= n)).alias("kept"))

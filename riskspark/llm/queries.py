@@ -67,7 +67,7 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log10 probability of every document, learned from six sevenths of the ids."""
     held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
-    return language_scores(docs, ~F.coalesce("held_out", F.lit(False))).select(
+    return language_scores(docs, ~F.coalesce("held_out", F.lit(False)), keep=["doc_id", "held_out"]).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
@@ -88,7 +88,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     model = fit(docs, read_table(spark, sf_dir, "labels"), ~held_out)
-    return score(docs.select("doc_id", "text", held_out.alias("held_out")), model).select("doc_id", "held_out", "score", "predicted")
+    return score(docs.select("doc_id", "text", held_out.alias("held_out")), model, keep=["doc_id", "held_out"])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

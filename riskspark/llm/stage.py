@@ -6,7 +6,8 @@ operator) and lets Spark drop the shuffle files of the job that wrote it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from riskspark.session import scratch_path
 
@@ -35,6 +36,14 @@ def dropped(*tables: DataFrame) -> None:
             path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def carried(docs: DataFrame, new: tuple[str, ...], but: tuple[str, ...] = ()) -> tuple[list[str], Column]:
+    """The columns that an operator returns as they are (all but those with the name of a new one, and ``but``),
+    and one column that holds them, so that no name of theirs meets a name of the operator's own."""
+    taken = {n.lower() for n in new}
+    names = [c for c in docs.columns if c.lower() not in taken and c not in but]
+    return names, F.struct(*(F.col(f"`{c}`") for c in names) if names else (F.lit(0).alias("_"),)).alias("others")
+
+
 def power_of_two(n: float) -> int:
     """The smallest power of two that is at least ``n``."""
     return 1 << max(0, int(-(-n // 1)) - 1).bit_length()

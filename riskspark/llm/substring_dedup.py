@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from riskspark.llm.marks import MARKS, by_row, cells, slotted
-from riskspark.llm.stage import dropped, power_of_two, staged
+from riskspark.llm.stage import carried, dropped, power_of_two, staged
 from riskspark.llm.words import U64, Words, as_bytes, in_chunks, mix, runs, windows
 
 CHUNK_BYTES = 2 << 20
@@ -214,9 +214,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError("a window has 2 words at least")
     block = (window + 1) // 2
     new = ("n_words", "n_removed", "kept_text")
-    others = [c for c in docs.columns if c not in new]
+    names, others = carried(docs, new, (text_col,))
+    order = [c for c in docs.columns if c == text_col or c in names]
     base = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63))).alias("id"), F.hash(F.col(f"`{text_col}`")).alias("key"),
-                       F.col(f"`{text_col}`").alias("text"), F.struct(*(F.col(f"`{c}`") for c in others if c != text_col)).alias("others"))
+                       F.col(f"`{text_col}`").alias("text"), others)
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = power_of_two(max(16, size / BUCKET_BYTES))
     hits = (base.select("id", "key", "text").mapInArrow(_probes(block, buckets), _PROBES)
@@ -234,4 +235,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     fields = [StructField("others", marked.schema["others"].dataType), StructField("text", StringType()),
               StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_text", StringType())]
     out = found.unionByName(rest).mapInArrow(_kept(window), StructType(fields))
-    return out.select(*(F.col("text" if c == text_col else f"others.`{c}`").alias(c) for c in others), *new)
+    return out.select(*(F.col("text" if c == text_col else f"others.`{c}`").alias(c) for c in order), *new)

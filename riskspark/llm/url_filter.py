@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.stage import staged
+from riskspark.llm.stage import carried, staged
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -82,9 +82,9 @@ def filter_urls(pages: DataFrame, rules: dict[str, str], url_col: str = "url", d
     """``pages`` with ``host``, ``path``, ``rule``, ``template``, ``purity`` and ``verdict`` (the rule's, else the template's).
     ``rules``: ``host/path-begin`` to ``allow`` or ``block``. Jobs run when it is called."""
     new = ("host", "path", "rule", "template", "purity", "verdict")
-    others = [c for c in pages.columns if c not in new]
+    names, others = carried(pages, new)
     host, path = host_and_path(F.col(f"`{url_col}`"))
-    base = pages.select(F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in others)).alias("others"), host.alias("host"), path.alias("path"))
+    base = pages.select(others, host.alias("host"), path.alias("path"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     paths = base.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n")).withColumn("verdict", verdict)
     t = paths.select("host", "path", "n", F.when(F.col("verdict").isNotNull(), F.col("n")).otherwise(0).alias("labelled"),
@@ -98,4 +98,4 @@ def filter_urls(pages: DataFrame, rules: dict[str, str], url_col: str = "url", d
     judged = t.join(pure, ["host", "template"]).select("host", "path", "template", "purity")
     out = base.withColumns({"rule": name, "by_rule": verdict}).join(judged, ["host", "path"], "left")
     by_tree = F.when(F.col("purity") > limit, "block").otherwise("allow")
-    return out.select(*(F.col(f"others.`{c}`").alias(c) for c in others), "host", "path", "rule", "template", "purity", F.coalesce("by_rule", by_tree).alias("verdict"))
+    return out.select(*(F.col(f"others.`{c}`").alias(c) for c in names), "host", "path", "rule", "template", "purity", F.coalesce("by_rule", by_tree).alias("verdict"))
