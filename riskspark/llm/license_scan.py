@@ -1,6 +1,6 @@
 """Licence scan by sentence rules. DataFrame functions only.
 
-A text is cut into sentences at line ends and after ``.``, ``!`` and ``?`` before white space.
+A text is cut into sentences at line ends and after ``.``, ``!``, ``?``, ``:`` and ``;`` before white space.
 Sentences are normalised (A-Z lower-cased, all but letters and digits to one space) and looked up
 in a table of known licence sentences by hash; a sentence that lines wrap is found as up to
 ``WRAP`` parts of which only the last has an end. Then the rules are tried in order on a text's
@@ -66,7 +66,7 @@ RULES = [
     ("All-rights-reserved", ["reserved"]),
 ]
 
-_CUT = r"\n|(?<=[.!?])[\x20\x09-\x0D]+"
+_CUT = r"\n|(?<=[.!?:;])[\x20\x09-\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _OTHER = r"[^0-9a-z\x{80}-\x{10FFFF}]+"
 
@@ -91,7 +91,7 @@ def scan(docs: DataFrame, text_col: str = "text", sentences: dict[str, list[str]
 
     parts = F.filter(F.split(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), _CUT), lambda s: F.trim(s) != "")
     parts = F.transform(parts, lambda s: F.struct(
-        F.trim(F.regexp_replace(F.translate(s, _UPPER, _LOWER), _OTHER, " ")).alias("s"), s.rlike(r"[.!?][^0-9A-Za-z]*$").alias("end")))
+        F.trim(F.regexp_replace(F.translate(s, _UPPER, _LOWER), _OTHER, " ")).alias("s"), s.rlike(r"[.!?:;][^0-9A-Za-z]*$").alias("end")))
 
     def looked_up(p):
         def at(i):

@@ -2,9 +2,9 @@
 
 The tree, per host and level by level to ``depth``: a path segment stays as it is if it has at least
 ``support`` pages and ``share`` of its parent's pages; all others become ``*``. So a parent has at most
-1 / ``share`` named branches. A branch merges with its parent's largest one if the shapes of what
-follows (digits, letters, marks) are spread alike, up to ``spread`` in total variation, and their
-labelled pages are alike (both have none, or the shares of bad ones differ by at most ``spread``).
+1 / ``share`` named branches. A branch merges with the largest of its parent's branches that is
+labelled alike (both have no labelled pages, or mostly good, mixed, or mostly bad ones) if the shapes
+of what follows (digits, letters, marks) are spread alike, up to ``spread`` in total variation.
 Paths below ``depth`` end in ``**``.
 
 Pages that a rule decides are the labelled ones. A template's purity is the share of blocked pages
@@ -55,20 +55,20 @@ def _level(t: DataFrame, k: int, support: int, share: float, spread: float) -> D
     here = t.where(F.size("segments") > k).withColumn("segment", F.get("segments", F.lit(k)))
     kids = here.groupBy("host", "template", "segment").agg(*(F.sum(c).alias(c) for c in ("n", "labelled", "bad")))
     total = kids.groupBy("host", "template").agg(F.sum("n").alias("total"))
-    named = staged(kids.join(total, ["host", "template"]).where((F.col("n") >= support) & (F.col("n") >= share * F.col("total"))).drop("total"), "named")
-    chief = named.groupBy("host", "template").agg(F.max_by(F.struct("segment", "labelled", "bad"), F.struct("n", "segment")).alias("chief"))
+    named = staged(kids.join(total, ["host", "template"]).where((F.col("n") >= support) & (F.col("n") >= share * F.col("total")))
+                   .withColumn("band", F.when(F.col("labelled") > 0, F.round(F.col("bad") / F.col("labelled") * 2)).otherwise(-1.0)).drop("total"), "named")
+    chief = named.groupBy("host", "template", "band").agg(F.max_by("segment", F.struct("n", "segment")).alias("chief"))
     tail = _shape(F.array_join(F.slice("segments", k + 2, F.greatest(F.size("segments"), F.lit(1))), "/"))
     shapes = (here.join(named.select("host", "template", "segment"), ["host", "template", "segment"])
               .groupBy("host", "template", "segment", tail.alias("shape")).agg(F.sum("n").alias("count"))
-              .join(named, ["host", "template", "segment"]).select("host", "template", "segment", "shape", (F.col("count") / F.col("n")).alias("part")))
+              .join(named, ["host", "template", "segment"]).select("host", "template", "band", "segment", "shape", (F.col("count") / F.col("n")).alias("part")))
     shapes = staged(shapes, "shapes")
-    of_chief = (shapes.join(chief, ["host", "template"]).where(F.col("segment") == F.col("chief.segment"))
-                .select("host", "template", "shape", F.col("part").alias("chief_part")))
-    common = shapes.join(of_chief, ["host", "template", "shape"]).groupBy("host", "template", "segment").agg(F.sum(F.least("part", "chief_part")).alias("common"))
-    rate = [F.when(F.col(f"{x}labelled") > 0, F.col(f"{x}bad") / F.col(f"{x}labelled")) for x in ("", "chief.")]
-    alike = (F.coalesce("common", F.lit(0.0)) >= 1 - spread) & (rate[0].eqNullSafe(rate[1]) | F.coalesce(F.abs(rate[0] - rate[1]) <= spread, F.lit(False)))
-    branch = (named.join(chief, ["host", "template"]).join(common, ["host", "template", "segment"], "left")
-              .select("host", "template", "segment", F.when(alike, F.lit("")).otherwise(F.col("segment")).alias("with")))
+    of_chief = (shapes.join(chief, ["host", "template", "band"]).where(F.col("segment") == F.col("chief"))
+                .select("host", "template", "band", "shape", F.col("part").alias("chief_part")))
+    common = shapes.join(of_chief, ["host", "template", "band", "shape"]).groupBy("host", "template", "segment").agg(F.sum(F.least("part", "chief_part")).alias("common"))
+    alike = F.coalesce("common", F.lit(0.0)) >= 1 - spread
+    branch = (named.join(chief, ["host", "template", "band"]).join(common, ["host", "template", "segment"], "left")
+              .select("host", "template", "segment", F.when(alike, F.col("chief")).otherwise(F.col("segment")).alias("with")))
     names = branch.groupBy("host", "template", "with").agg(F.sort_array(F.collect_set("segment")).alias("all"))  # 1 / share names at most
     branch = branch.join(names, ["host", "template", "with"]).select(
         "host", "template", "segment", F.when(F.size("all") > 1, F.concat(F.lit("{"), F.array_join("all", "|"), F.lit("}"))).otherwise(F.get("all", F.lit(0))).alias("name"))
