@@ -31,7 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from riskspark.llm.stage import dropped, power_of_two, staged
+from riskspark.llm.marks import MARKS, by_row, cells, slotted
+from riskspark.llm.stage import carried, dropped, power_of_two, staged
 from riskspark.llm.words import U64, as_bytes, in_chunks, runs, span_hashes
 
 CHUNK_BYTES = 1 << 20
@@ -41,7 +42,6 @@ _PLACE = 22  # bits for a place in a chunk
 
 _ANCHORS = "id long, key int, digit long, stretch long, lo int, hi int"
 _SUFFIXES = "bucket int, first binary, second binary, rows binary, places binary"
-_MARKS = "row long, places array<int>"
 
 
 def _least(v: np.ndarray, width: int) -> np.ndarray:
@@ -135,52 +135,56 @@ def _suffixes(depth: int, buckets: int):
                 new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
                 group = np.cumsum(new) - 1
                 size = np.bincount(group)
-                # Of a string met once, its place; of one met more often here, a row of 0 says that it is repeated.
-                send = new
+                # A string met once goes with its place, if that is still to be judged; one met more often goes as two without.
                 known = lone & (size[group] > 1)
-                whose_sent, place_sent = np.where(lone & (size[group] == 1), whose, -1)[send], place[send]
-                twice = (size > 1).astype(np.int8)
-                place_sent = np.where(twice > 0, -1, place_sent)
+                own = lone & (size[group] == 1)
+                send = np.flatnonzero(new)
+                send = np.concatenate((send, send[size > 1]))
                 top = a[send] >> U64(shift)
+                order = np.lexsort((~own[send], top))  # in each bucket, those with a place first
+                send, top = send[order], top[order]
                 cut = np.append(np.flatnonzero(np.diff(top, prepend=top[0] + U64(1))), len(top))
-                cells = [a[send].astype("<u8"), b[send].astype("<u8"), whose_sent.astype("<i8"), place_sent.astype("<i4")]
+                owned = np.concatenate(([0], np.cumsum(own[send])))[cut]
+                whose_own, place_own = whose[send][own[send]].astype("<i8"), place[send][own[send]].astype("<i4")
+                parts = [*((x[send].astype(k), cut) for x, k in ((a, "<u8"), (b, "<u4"))), (whose_own, owned), (place_own, owned)]
+                names = ["bucket", "first", "second", "rows", "places"]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(top[cut[:-1]].astype(np.int32)), *(pa.array([c[cut[i]:cut[i + 1]].tobytes() for i in range(len(cut) - 1)], pa.binary()) for c in cells)],
-                    names=["bucket", "first", "second", "rows", "places"])
-                if known.any():
-                    w, p = whose[known].astype("<i8"), place[known].astype("<i4")
-                    yield pa.RecordBatch.from_arrays([pa.array([-1 - int(w[0] % buckets)], pa.int32()), pa.array([b""]), pa.array([b""]), pa.array([w.tobytes()]), pa.array([p.tobytes()])],
-                                                     names=["bucket", "first", "second", "rows", "places"])
+                    [pa.array(top[cut[:-1]].astype(np.int32)), *(pa.array([x[c[i]:c[i + 1]].tobytes() for i in range(len(c) - 1)], pa.binary()) for x, c in parts)], names=names)
+                if known.any():  # marks already, in buckets of their own, -1 - slot
+                    slot, rows_known, places_known = slotted(whose[known], place[known], buckets)
+                    empty = pa.array([b""] * len(slot), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(-1 - slot.to_numpy()), empty, empty, rows_known, places_known], names=names)
     return run
 
 
-def _repeated(table: pa.Table) -> pa.Table:
-    """The suffixes of a bucket that are in a group of two or more after both digits, by row."""
-    def of(name, kind):
-        return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-
-    rows, place = of("rows", "<i8"), of("places", "<i4")
-    if table.column("bucket")[0].as_py() >= 0:
-        a, b = of("first", "<u8"), of("second", "<u8")
-        order = np.argsort(a, kind="stable")  # the first digit; groups of one end here
-        s = a[order]
-        same = np.zeros(len(s), bool)
-        same[1:] = s[1:] == s[:-1]
-        same[:-1] |= s[1:] == s[:-1]
-        single = place[order] >= 0
-        order = order[same | ~single]
-        order = order[np.lexsort((b[order], a[order]))]  # the second digit
-        s, t = a[order], b[order]
-        equal = (s[1:] == s[:-1]) & (t[1:] == t[:-1])
-        hit = np.zeros(len(order), bool)
-        hit[1:] = equal
-        hit[:-1] |= equal
-        hit &= rows[order] >= 0
-        rows, place = rows[order][hit], place[order][hit]
-    order = np.argsort(rows, kind="stable")
-    rows, place = rows[order], place[order]
-    cut = np.flatnonzero(np.diff(rows, prepend=rows[0] - 1 if len(rows) else 0))
-    return pa.table({"row": pa.array(rows[cut]), "places": pa.ListArray.from_arrays(pa.array(np.append(cut, len(rows)).astype(np.int32)), pa.array(place.astype(np.int32)))})
+def _repeated(slots: int):
+    """The suffixes of a bucket that are in a group of two or more after both digits, by slots of rows."""
+    def run(table: pa.Table) -> pa.Table:
+        rows, place = cells(table.column("rows"), "<i8"), cells(table.column("places"), "<i4")
+        if table.column("bucket")[0].as_py() >= 0:
+            a, b = cells(table.column("first"), "<u8"), cells(table.column("second"), "<u4")
+            # Where in the bucket the suffixes with a place are: the first ones of each cell.
+            n = np.array([len(x) // 8 for x in table.column("first").to_pylist()])
+            own = np.array([len(x) // 8 for x in table.column("rows").to_pylist()])
+            at = np.full(len(a), -1)
+            at[np.repeat(np.cumsum(n) - n - np.cumsum(own) + own, own) + np.arange(len(rows))] = np.arange(len(rows))
+            order = np.argsort(a, kind="stable")  # the first digit; groups of one end here
+            s = a[order]
+            same = np.zeros(len(s), bool)
+            same[1:] = s[1:] == s[:-1]
+            same[:-1] |= s[1:] == s[:-1]
+            order = order[same]
+            order = order[np.lexsort((b[order], a[order]))]  # the second digit
+            s, t = a[order], b[order]
+            equal = (s[1:] == s[:-1]) & (t[1:] == t[:-1])
+            hit = np.zeros(len(order), bool)
+            hit[1:] = equal
+            hit[:-1] |= equal
+            found = at[order[hit]]
+            found = found[found >= 0]
+            rows, place = rows[found], place[found]
+        return pa.table(slotted(rows, place, slots), names=["slot", "rows", "places"])
+    return run
 
 
 def _kept(depth: int):
@@ -219,34 +223,39 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     if depth < 4:
         raise ValueError("a string has 4 bytes at least")
     new = ("n_bytes", "n_removed", "n_spans", "kept_bytes")
-    others = [c for c in docs.columns if c not in new]
+    names, others = carried(docs, new, (text_col,))
+    order = [c for c in docs.columns if c == text_col or c in names]
     base = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63))).alias("id"), F.hash(F.col(f"`{text_col}`")).alias("key"),
-                       F.col(f"`{text_col}`").alias("text"), F.struct(*(F.col(f"`{c}`") for c in others if c != text_col)).alias("others"))
+                       F.col(f"`{text_col}`").alias("text"), others)
     anchors = staged(base.select("id", "key", "text").mapInArrow(_anchors(depth, depth // 4), _ANCHORS), "anchors")
     # Pass 1: groups by the digit at the anchor; pass 2: by the whole stretch, where a group has different ones.
-    digits = anchors.groupBy("digit").agg(F.count(F.lit(1)).alias("n"), (F.min("stretch") == F.max("stretch")).alias("alike")).where("n > 1")
-    again = staged(anchors.join(digits.select("digit", "alike"), "digit"), "groups")
+    # The groups are staged, so that Spark can split the rows of a frequent digit in the joins.
+    digits = staged(anchors.groupBy("digit").agg(F.count(F.lit(1)).alias("n"), (F.min("stretch") == F.max("stretch")).alias("alike"))
+                    .where("n > 1").select("digit", "alike"), "digits")
+    again = staged(anchors.join(digits, "digit"), "groups")
+    dropped(anchors, digits)
     mixed = again.where("not alike").groupBy("digit", "stretch").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "key", "lo")).alias("chief"))
-    open_digits = mixed.groupBy("digit").agg(F.min("n").alias("least")).where("least = 1").select("digit", F.lit(True).alias("open"))
-    mixed = mixed.join(open_digits, "digit", "left")
-    seen = (again.join(mixed, ["digit", "stretch"], "left")
+    mixed = staged(mixed, "stretches")
+    lone = mixed.groupBy("digit").agg(F.min("n").alias("least")).where("least = 1").select("digit", F.lit(True).alias("open"))
+    stretches = staged(mixed.join(lone, "digit", "left"), "stretches")
+    seen = (again.join(stretches, ["digit", "stretch"], "left")
             .select("id", "key", "lo", "hi", (F.col("alike") | (F.col("n") > 1)).alias("settled"),
                     (F.coalesce("open", F.lit(False)) & (F.struct("id", "key", "lo") == F.col("chief"))).alias("end")))
     span = F.struct("lo", "hi")
     each = staged(seen.where("settled or end").groupBy("id", "key").agg(
         F.collect_set(F.when(F.col("settled"), span)).alias("ranges"),
         F.collect_set(F.when(F.col("end"), F.struct("lo", "hi", (~F.col("settled")).alias("lone")))).alias("ends")), "spans")
+    dropped(again, mixed, stretches)
     texts = staged(base.join(each, ["id", "key"], "left").withColumn("row", F.monotonically_increasing_id()), "texts")
     todo = each.agg(F.sum(F.expr("aggregate(ends, 0L, (s, x) -> s + x.hi - x.lo + 1)"))).first()[0] or 0
+    dropped(each)
     buckets = power_of_two(max(16, todo / BUCKET_ROWS))
     marks = (texts.where("size(ends) > 0").select("row", "text", "ends").mapInArrow(_suffixes(depth, buckets), _SUFFIXES)
-             .groupBy("bucket").applyInArrow(_repeated, _MARKS)
-             .groupBy("row").agg(F.flatten(F.collect_list("places")).alias("marks")))
-    marks = staged(marks, "marks")
-    dropped(anchors, again, each)
+             .groupBy("bucket").applyInArrow(_repeated(buckets), MARKS))
+    marks = staged(by_row(marks), "marks")
     columns = ["others", "text", "ranges", "marks"]
     out = (texts.where("ranges is not null").join(marks, "row", "left").select(*columns)
            .unionByName(texts.where("ranges is null").withColumn("marks", F.lit(None).cast("array<int>")).select(*columns)))
     fields = [StructField("others", texts.schema["others"].dataType), StructField("text", StringType()), *(StructField(n, LongType()) for n in new[:3]), StructField(new[3], BinaryType())]
     out = out.mapInArrow(_kept(depth), StructType(fields))
-    return out.select(*(F.col("text" if c == text_col else f"others.`{c}`").alias(c) for c in others), *new)
+    return out.select(*(F.col("text" if c == text_col else f"others.`{c}`").alias(c) for c in order), *new)
