@@ -136,7 +136,7 @@ def years_employed_display(years: str | Column = "years_employed") -> Column:
 
 def whole_amount(x: str | Column) -> Column:
     """P20: amount rounded to a whole number as Python's ``round(x)`` (half-even); null kept."""
-    return python_round(_col(x), 0).cast("long")
+    return F.rint(_col(x)).cast("long")
 
 
 def translate(field: str, c: str | Column) -> Column:

@@ -15,9 +15,6 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Lists longer than this are applied as a broadcast semi join instead of IN.
-ISIN_LIMIT = 1000
-
 # Realty choice as sent by the page ("Tous" = all, "Oui" = yes).
 REALTY_ALL = "Tous"
 REALTY_YES = "Oui"
@@ -40,11 +37,13 @@ class PortfolioFilters:
 
         Keys: ``min_credit``, ``max_credit``, ``min_income`` (float text),
         ``family_statuses``, ``income_types`` (JSON arrays), ``realty_status``.
-        Missing or empty values leave the filter off.
+        Missing or empty values, and numbers that are none, leave the filter off.
         """
         def num(key):
-            v = params.get(key)
-            return float(v) if v not in (None, "") else None
+            try:
+                return float(params.get(key) or "")
+            except ValueError:
+                return None
 
         def lst(key):
             v = params.get(key)
@@ -68,9 +67,9 @@ class PortfolioFilters:
             preds.append(F.col("AMT_CREDIT") <= F.lit(float(self.max_credit)))
         if self.min_income is not None:                     # F3
             preds.append(F.col("AMT_INCOME_TOTAL") >= F.lit(float(self.min_income)))
-        if self.family_statuses and len(self.family_statuses) <= ISIN_LIMIT:   # F4
+        if self.family_statuses:                            # F4
             preds.append(F.col("NAME_FAMILY_STATUS").isin(list(self.family_statuses)))
-        if self.income_types and len(self.income_types) <= ISIN_LIMIT:        # F5
+        if self.income_types:                               # F5
             preds.append(F.col("NAME_INCOME_TYPE").isin(list(self.income_types)))
         code = self.realty_code()
         if code is not None:                                # F6
@@ -85,15 +84,7 @@ class PortfolioFilters:
     def apply(self, df: DataFrame) -> DataFrame:
         """Filter ``df``. Apply before any persist so the filter reaches the scan."""
         pred = self.predicate()
-        out = df.filter(pred) if pred is not None else df
-        spark = df.sparkSession
-        for column, values in (("NAME_FAMILY_STATUS", self.family_statuses),
-                               ("NAME_INCOME_TYPE", self.income_types)):
-            if values and len(values) > ISIN_LIMIT:
-                # The list lives on the driver, so its size is known: broadcast is bounded.
-                keys = spark.createDataFrame([(v,) for v in values], f"{column} string")
-                out = out.join(F.broadcast(keys.distinct()), on=column, how="left_semi")
-        return out
+        return df.filter(pred) if pred is not None else df
 
 
 NO_FILTERS = PortfolioFilters()
@@ -102,22 +93,18 @@ NO_FILTERS = PortfolioFilters()
 def lookup_ids(df: DataFrame, ids: DataFrame | Sequence[int] | int, key: str = "SK_ID_CURR") -> DataFrame:
     """rows of ``df`` whose ``key`` is requested.
 
-    One id is a plain filter (pushed to the scan); a list of ids is a driver-side
-    value of known size; a DataFrame of ids is a left semi join that Spark plans
-    by size (broadcast when small, sort-merge otherwise).
+    One id or a list of ids is a plain filter, pushed to the scan (Spark turns a long list
+    into a hash set); for very many ids pass a DataFrame: a left semi join that Spark plans by
+    size. The columns keep their order.
     """
     if isinstance(ids, DataFrame):
         # distinct() combines repeated requests on each partition before the shuffle, so an
         # id requested very many times does not pile up in one join task.
-        return df.join(ids.select(F.col(ids.columns[0]).alias(key)).distinct(), on=key, how="left_semi")
+        wanted = ids.select(F.col(ids.columns[0]).alias("_wanted")).distinct()
+        return df.join(wanted, F.col(key) == F.col("_wanted"), "left_semi")
     if isinstance(ids, int):
         return df.filter(F.col(key) == F.lit(ids))
-    ids = list(ids)
-    if len(ids) <= ISIN_LIMIT:
-        return df.filter(F.col(key).isin(ids))
-    # A long driver-side list: its size is known, so broadcasting it is bounded.
-    keys = df.sparkSession.createDataFrame([(int(i),) for i in ids], f"{key} long")
-    return df.join(F.broadcast(keys), on=key, how="left_semi")
+    return df.filter(F.col(key).isin([int(i) for i in ids]))
 
 
 def missing_ids(ids: DataFrame, df: DataFrame, key: str = "SK_ID_CURR",

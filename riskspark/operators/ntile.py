@@ -1,307 +1,98 @@
 """Exact ``ntile(k) OVER (ORDER BY value NULLS FIRST, tie)`` without a global window.
 
-``Window.orderBy`` without a partition key moves every row to one task. Here
-no row is ever shuffled for the bucket:
-
-1. ``histogram``: ``groupBy(value).count()`` (partial aggregation; distinct
-   values, not rows, leave the map side).
-2. ``start`` rank of each value: exclusive running count, computed level by
-   level over coarse monotone keys taken from the binary form of the value
-   (class and exponent, two 16-bit mantissa slices, then ``v``). Each window
-   partition holds one coarse group, bounded for any data: the only
-   unpartitioned window sees at most ~12,600 keys, the deepest level at most
-   2^20 distinct values.
-3. A value whose rank range ``[start, start + n)`` crosses a bucket boundary
-   straddles it; there are at most ``k - 1`` boundaries. Its rows are only
-   counted per radix bucket of the tie (partial aggregate), the bucket holding
-   each boundary is found with the same bounded prefix levels, and only the
-   rows of those at most ``k - 1`` buckets (<= 2^20 ties each) are ranked. A
-   hot value holding a third of the table is never shuffled row by row.
-4. The ``k - 1`` boundary keys ``(value, tie)`` come back to the driver (a
-   set bounded by ``k``, like a range partitioner's bounds). Each row's bucket
-   is ``1 + #boundaries <= (value, tie)``: a projection over literals, no
-   join, no shuffle. ``k`` should stay small (quantiles, deciles, percentiles).
-
-Rows with equal ``(value, tie)`` must not exist: ``tie`` is a unique key.
+``Window.orderBy`` without a partition key moves every row to one task. Here one
+plan serves every size:
+
+1. The two key columns alone are dealt by range (``repartitionByRange``: Spark samples the
+   bounds) and written once to the shared folder. ``tie`` is part of the range key, so a hot
+   value, or a null one, is spread like any other.
+2. The rows of each range partition are counted: one number a partition comes back.
+3. The counts place each of the ``k - 1`` boundary ranks in a partition, and only those
+   partitions are sorted, each by itself, to pick the boundary's key.
+4. A row's bucket is ``1 + #boundaries <= (value, tie)``: a projection over literals, no
+   join and no shuffle of whole rows. ``k`` should stay small (quintiles, percentiles).
+
+``tie`` is a unique key of any type that Spark orders: numbers, text, dates and so on.
 """
 
 from __future__ import annotations
 
-from typing import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-Level = Callable[[Column], Column]
-
-def _radix_levels() -> tuple[Level, ...]:
-    """Coarse keys of a number by its binary form: class and exponent, then 16 + 16 mantissa bits.
-
-    Class orders null (null key) < -inf < negative < 0 < positive < +inf < NaN.
-    For finite non-zero ``v`` = sign * 2^e * (1 + m) the top key is
-    ``class * 10000 + 5000 + sign * e`` (|e| <= 1075), then two 16-bit slices of
-    ``m`` (negated for negatives, so every key rises with ``v``). Scaling by
-    powers of two is exact; if ``log2`` misses by one next to a power of two,
-    ``m`` leaves [0, 1) and the slice goes out of range in the direction that
-    keeps the keys monotone. Bounds for any data: <= ~12,600 top keys (the
-    one unpartitioned window), <= 2^16 (+ slack) keys per slice, <= 2^20
-    values under the last slice.
-    """
-    inf = float("inf")
-
-    def parts(v: Column):
-        d = v.cast("double")
-        finite = d.isNotNull() & ~F.isnan(d) & (d != 0) & (F.abs(d) != inf)
-        a = F.abs(d)
-        e = F.floor(F.log2(a))
-        m = a / F.pow(F.lit(2.0), e) - 1
-        hi = F.floor(m * 65536)
-        lo = F.floor((m * 65536 - hi) * 65536)
-        sign = F.when(d > 0, F.lit(1)).otherwise(F.lit(-1))
-        cls = (F.when(F.isnan(d), F.lit(5)).when(d == inf, F.lit(4)).when(d > 0, F.lit(3))
-               .when(d == 0, F.lit(2)).when(d == -inf, F.lit(0)).otherwise(F.lit(1)))
-        return d, finite, sign, e, hi, lo, cls
-
-    def top(v: Column) -> Column:
-        d, finite, sign, e, _, _, cls = parts(v)
-        inner = F.when(finite, F.lit(5000) + sign * e).otherwise(F.lit(0))
-        return F.when(d.isNull(), F.lit(None)).otherwise(cls * 10000 + inner).cast("long")
-
-    def mantissa(i: int) -> Level:
-        def key(v: Column) -> Column:
-            _, finite, sign, _, hi, lo, _ = parts(v)
-            return F.when(finite, sign * [hi, lo][i]).otherwise(F.lit(0)).cast("long")
-        return key
-
-    return (top, mantissa(0), mantissa(1))
-
+from riskspark.session import remove_path, scratch_path
 
-# Default: bounded for any numeric data (see _radix_levels).
-DEFAULT_LEVELS: Sequence[Level] = _radix_levels()
-# Cheaper alternative for values with a known modest range (one coarse level).
-COARSE_LEVELS: Sequence[Level] = (lambda v: F.floor(v / F.lit(10000.0)),)
+_UNORDERED = (T.MapType, T.VariantType, T.CalendarIntervalType)
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join on ``keys`` where null equals null; the right key columns are dropped."""
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-        cond = c if cond is None else cond & c
-    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
-
-
-def value_ranks(df: DataFrame, value: str, levels: Sequence[Level] = DEFAULT_LEVELS,
-                within: Sequence[str] = ()) -> DataFrame:
-    """Per distinct ``value`` (inside each group of the ``within`` columns): ``_n`` rows,
-    ``_start`` (rows before it in the group, nulls first) and ``_total`` (rows in the group)."""
-    within = list(within)
-    v = F.col(value)
-    keys = [f"_k{i}" for i in range(len(levels))]
-    hist = (
-        df.groupBy(*within, value).agg(F.count(F.lit(1)).alias("_n"))
-        .select(*within, value, "_n", *[lvl(v).alias(k) for lvl, k in zip(levels, keys)])
-    )
-    # Top level: one window per group (the whole table when ``within`` is empty) over coarse keys.
-    top = hist.groupBy(*within, keys[0]).agg(F.sum("_n").alias("_c"))
-    run = Window.partitionBy(*within).orderBy(F.asc_nulls_first(keys[0])) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev = top.select(
-        *within, keys[0],
-        (F.sum("_c").over(run) - F.col("_c")).alias("_s"),
-        F.sum("_c").over(Window.partitionBy(*within)).alias("_total"),
-    )
-    chain = keys[1:] + [value]
-    for i, key in enumerate(chain):
-        parents = within + keys[: i + 1]
-        if key == value:
-            tab = hist
-            count_col = "_n"
-        else:
-            tab = hist.groupBy(*parents, key).agg(F.sum("_n").alias("_c"))
-            count_col = "_c"
-        w = Window.partitionBy(*parents).orderBy(F.asc_nulls_first(key)) \
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        tab = tab.withColumn("_s_local", F.sum(count_col).over(w) - F.col(count_col))
-        joined = _null_safe_join(tab, prev.withColumnRenamed("_s", "_s_parent"), parents)
-        joined = joined.withColumn("_s", F.col("_s_parent") + F.col("_s_local"))
-        if key == value:
-            return joined.select(*within, value, "_n", F.col("_s").alias("_start"), "_total")
-        prev = joined.select(*parents, key, "_s", "_total")
-    raise AssertionError("unreachable")
-
-
-def _bucket_of(rank: str, q: str, m: str) -> Column:
-    """1-based ntile bucket of the 0-based ``rank`` with ``q = N div k``, ``m = N mod k``."""
-    return F.expr(
-        f"CASE WHEN {rank} < {m} * ({q} + 1) THEN {rank} div ({q} + 1) + 1 "
-        f"ELSE {m} + ({rank} - {m} * ({q} + 1)) div {q} + 1 END"
-    )
-
-
-def _order_key(df: DataFrame, value: str, tie: str) -> Column:
-    """Sort key ``(value is not null, value, tie)``: null values first, then by value, then tie."""
-    dtype = df.schema[value].dataType
-    return F.struct(
-        F.col(value).isNotNull().alias("nn"),
-        F.coalesce(F.col(value), F.lit(0).cast(dtype)).alias("v"),
-        F.col(tie).cast("long").alias("t"),
-    )
+def _key(value: str, tie: str) -> Column:
+    """The sort key of a row; a null value comes first, as in a struct's order."""
+    return F.struct(F.col(value).alias("v"), F.col(tie).alias("t"))
 
 
-def _is(value: str, v) -> Column:
-    """``value <=> v`` for a Python value (None matches null)."""
-    if v is None:
-        return F.col(value).isNull()
-    return F.isnan(F.col(value)) if isinstance(v, float) and v != v else (F.col(value) == F.lit(v))
+def boundary_ranks(n: int, k: int) -> list[int]:
+    """The 0-based ranks of the rows that open buckets 2..k, as far as there are rows."""
+    q, m = divmod(n, k)
+    ranks = [b * (q + 1) if b <= m else m * (q + 1) + (b - m) * q for b in range(1, k)]
+    return [r for r in ranks if r < n]
 
 
-def _norm(v):
-    """Python-side key of a value: NaN equals NaN, as in Spark SQL."""
-    return ("NaN",) if isinstance(v, float) and v != v else v
-
-
-def _any(conds: list[Column]) -> Column:
-    out = conds[0]
-    for c in conds[1:]:
-        out = out | c
-    return out
-
-
-def straddling_values(df: DataFrame, value: str, buckets: int,
-                      levels: Sequence[Level] = DEFAULT_LEVELS) -> DataFrame:
-    """``(value, _b, _j)``: boundary ``_b`` (first rank of bucket ``_b + 1``) falls on the
-    ``_j``-th row (0-based, by tie) of ``value``. At most ``buckets - 1`` rows."""
-    # q = N div k exactly (long arithmetic), m = N mod k.
-    ranks = value_ranks(df, value, levels).select(
-        value, "_n", "_start",
-        F.expr(f"_total div {buckets}").alias("_q"),
-        (F.col("_total") % buckets).alias("_m"),
-    ).withColumn("_last", F.col("_start") + F.col("_n") - 1) \
-        .withColumn("_before", F.greatest(F.col("_start") - 1, F.lit(0)))
-    # Boundaries with rank in [start, last] are b = bucket(start - 1) .. bucket(last) - 1
-    # (rank 0 is always in bucket 1, and no boundary has rank 0).
-    ranks = ranks.withColumn("_b_lo", _bucket_of("_before", "_q", "_m")) \
-        .withColumn("_b_hi", _bucket_of("_last", "_q", "_m"))
-    return (
-        ranks.filter(F.col("_b_hi") > F.col("_b_lo"))
-        .select(value, "_start", "_q", "_m",
-                F.explode(F.sequence(F.col("_b_lo"), F.col("_b_hi") - 1)).alias("_b"))
-        .select(
-            value, "_b",
-            (F.when(F.col("_b") <= F.col("_m"), F.col("_b") * (F.col("_q") + 1))
-             .otherwise(F.col("_m") * (F.col("_q") + 1) + (F.col("_b") - F.col("_m")) * F.col("_q"))
-             - F.col("_start")).alias("_j"),
-        )
-    )
-
-
-def _tie_bucket(t: Column) -> Column:
-    """One long per radix bucket of a tie (class+exponent, 16 high mantissa bits, 16 low),
-    ordered like the tie itself. A bucket holds at most 2^20 distinct ties."""
-    top, hi, lo = (lvl(t) for lvl in DEFAULT_LEVELS)
-    return (top * F.lit(1 << 35) + (hi + F.lit(1 << 17)) * F.lit(1 << 17) + (lo + F.lit(1 << 16))).cast("long")
-
-
-_BUCKET_LEVELS: tuple[Level, ...] = (
-    lambda b: F.shiftright(b, 35),
-    lambda b: F.shiftright(b, 17),
-)
-
-
-def boundaries(df: DataFrame, value: str, tie: str, buckets: int,
-               levels: Sequence[Level] = DEFAULT_LEVELS) -> list[tuple]:
-    """The keys ``(value is not null, value, tie)`` of the rows that open buckets 2..k, in order.
-
-    Three Spark jobs, each returning at most ``k - 1`` rows to the driver (a
-    bound set by the bucket count, not by the data):
-    1. the straddling values;
-    2. for each boundary, the tie bucket that holds it. Rows of the straddling
-       values are only counted per (value, tie bucket), a partial aggregate,
-       and the bucket counts are prefixed with bounded levels;
-    3. the boundary rows, ranked inside those at most ``k - 1`` buckets only
-       (<= 2^20 ties each).
-
-    A value holding a third of the table is therefore never shuffled row by row.
-    """
+def boundaries(df: DataFrame, value: str, tie: str, buckets: int) -> list[tuple]:
+    """The keys ``(value, tie)`` of the rows that open buckets 2..k, in order."""
     if buckets < 1:
         raise ValueError("buckets must be >= 1")
-    hot = straddling_values(df, value, buckets, levels).collect()
-    if not hot:
-        return []
-    hot_values = list({_norm(r[value]): r[value] for r in hot}.values())
-    rows = (df.select(value, F.col(tie).cast("long").alias("_t"))
-            .filter(_any([_is(value, v) for v in hot_values]))
-            .withColumn("_bk", _tie_bucket(F.col("_t"))))
-    bucket_ranks = value_ranks(rows, "_bk", _BUCKET_LEVELS, within=[value])
-    holds = [_is(value, r[value]) & (F.col("_start") <= r["_j"]) & (F.lit(r["_j"]) < F.col("_start") + F.col("_n"))
-             for r in hot]
-    chosen = bucket_ranks.filter(_any(holds)).select(value, "_bk", "_start", "_n").collect()
-    targets = []   # (boundary, value, bucket, offset inside the bucket)
-    for r in hot:
-        for c in chosen:
-            if _norm(c[value]) == _norm(r[value]) and c["_start"] <= r["_j"] < c["_start"] + c["_n"]:
-                targets.append((r["_b"], r[value], c["_bk"], r["_j"] - c["_start"]))
-    in_buckets = _any([_is(value, v) & (F.col("_bk") == bk) for _, v, bk, _ in targets])
-    ranked = rows.filter(in_buckets).withColumn(
-        "_rn", F.row_number().over(Window.partitionBy(value, "_bk").orderBy("_t")) - 1)
-    pick = _any([_is(value, v) & (F.col("_bk") == bk) & (F.col("_rn") == off) for _, v, bk, off in targets])
-    found = {(_norm(r[value]), r["_bk"], r["_rn"]): r["_t"]
-             for r in ranked.filter(pick).select(value, "_bk", "_rn", "_t").collect()}
-    keys = []
-    for b, v, bk, off in sorted(targets, key=lambda x: x[0]):
-        keys.append((v is not None, v if v is not None else 0, found[(_norm(v), bk, off)]))
-    return keys
-
-
-# Inputs of at most this many rows (checked by a count) use the plain window:
-# one task sorting two million rows is fast, and the plan has fewer stages.
-WINDOW_MAX_ROWS = 2_000_000
+    for c in (value, tie):
+        if isinstance(df.schema[c].dataType, _UNORDERED):
+            raise TypeError(f"{c} has no order: {df.schema[c].dataType.simpleString()}")
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "ntile")
+    dealt = df.select(F.col(value).alias("v"), F.col(tie).alias("t")).repartitionByRange(parts, "v", "t")
+    dealt.withColumn("part", F.spark_partition_id()).write.parquet(path)
+    try:
+        keys = spark.read.parquet(path)
+        counts = {r.part: r.n for r in keys.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
+        wanted, begin, ranks = [], 0, boundary_ranks(sum(counts.values()), buckets)
+        for part in sorted(counts):
+            wanted += [(part, r - begin) for r in ranks if begin <= r < begin + counts[part]]
+            begin += counts[part]
+        if not wanted:
+            return []
+        order = F.row_number().over(Window.partitionBy("part").orderBy("v", "t")) - 1
+        ranked = keys.where(F.col("part").isin(sorted({p for p, _ in wanted}))).withColumn("rank", order)
+        pick = reduce(lambda a, b: a | b, [(F.col("part") == p) & (F.col("rank") == r) for p, r in wanted])
+        found = {(r.part, r["rank"]): (r.v, r.t) for r in ranked.where(pick).collect()}
+    finally:
+        remove_path(spark, path)
+    return [found[w] for w in wanted]
+
+
+def ntile_column(df: DataFrame, value: str, tie: str, buckets: int) -> Column:
+    """The bucket (1..k) as an expression over ``value`` and ``tie``. Jobs run when it is called."""
+    types = df.schema[value].dataType, df.schema[tie].dataType
+    bucket = F.lit(1)
+    for v, t in boundaries(df, value, tie, buckets):
+        bound = F.struct(F.lit(v).cast(types[0]).alias("v"), F.lit(t).cast(types[1]).alias("t"))
+        bucket = bucket + F.when(bound <= _key(value, tie), 1).otherwise(0)
+    return bucket.cast("int")
 
 
-def ntile(df: DataFrame, value: str, tie: str, buckets: int, out: str = "ntile",
-          levels: Sequence[Level] = DEFAULT_LEVELS, strategy: str = "auto",
-          checkpoint_input: bool = True) -> DataFrame:
+def ntile(df: DataFrame, value: str, tie: str, buckets: int, out: str = "ntile") -> DataFrame:
     """``df`` plus ``out`` = ``ntile(buckets) OVER (ORDER BY value NULLS FIRST, tie)``.
 
-    ``strategy``: ``"distributed"`` (no row is shuffled), ``"window"`` (Spark's
-    window; every row goes to one task) or ``"auto"``: the window only when a
-    row count proves the input small (<= ``WINDOW_MAX_ROWS``), else distributed.
-    ``"auto"`` and ``"distributed"`` run small Spark jobs when called (the count,
-    the boundary search); the returned DataFrame is lazy.
-
-    The distributed path reads its input several times; ``checkpoint_input``
-    first writes it once to ``spark.checkpoint.dir`` (a reliable checkpoint,
-    lineage cut), so an expensive input (joins) is not recomputed per pass.
+    The boundaries are found when it is called (small jobs over the two key columns); the
+    returned DataFrame is lazy. An input that is expensive to build should be materialized
+    first, as it is read twice.
     """
-    if strategy == "auto":
-        # Size check: a distributed count (partial aggregation per partition).
-        strategy = "window" if df.count() <= WINDOW_MAX_ROWS else "distributed"
-    if strategy == "window":
-        w = Window.orderBy(F.asc_nulls_first(value), F.col(tie))
-        return df.withColumn(out, F.ntile(buckets).over(w))
-    if strategy != "distributed":
-        raise ValueError(f"unknown strategy {strategy!r}")
-    if checkpoint_input:
-        from riskspark.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-    dtype = df.schema[value].dataType
-    key = _order_key(df, value, tie)
-    # Bucket = 1 + number of boundary keys <= the row's key: a projection over literals.
-    bucket = F.lit(1)
-    for nn, v, t in boundaries(df, value, tie, buckets, levels):
-        bound = F.struct(F.lit(nn).alias("nn"), F.lit(v).cast(dtype).alias("v"), F.lit(t).cast("long").alias("t"))
-        bucket = bucket + F.when(bound <= key, F.lit(1)).otherwise(F.lit(0))
-    return df.withColumn(out, bucket.cast("int"))
+    return df.withColumn(out, ntile_column(df, value, tie, buckets))
 
 
-def ntile_summary(df: DataFrame, value: str, tie: str, buckets: int, bucket_col: str,
-                  flag: str, strategy: str = "auto") -> DataFrame:
+def ntile_summary(df: DataFrame, value: str, tie: str, buckets: int, bucket_col: str, flag: str) -> DataFrame:
     """G2 shape: per bucket ``COUNT``, ``AVG_RATIO`` (2 places), ``DEFAULT_RATE`` (% of ``flag``)."""
-    with_bucket = ntile(df, value, tie, buckets, bucket_col, strategy=strategy)
+    with_bucket = ntile(df, value, tie, buckets, bucket_col)
     return with_bucket.groupBy(bucket_col).agg(
         F.count(F.lit(1)).alias("COUNT"),
         F.round(F.avg(value), 2).alias("AVG_RATIO"),

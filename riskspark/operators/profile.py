@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.operators.skew import salted_join
+from riskspark.operators.skew import TARGET_ROWS, salted_join
 
 # Fixed value: message shown when the full card cannot be built.
 MISSING_CARD = ("Impossible de récupérer les informations complètes pour le client ID : {}. "
@@ -52,27 +52,27 @@ def unified_profiles(users: DataFrame) -> DataFrame:
 
 
 def client_card(clients: DataFrame, users: DataFrame, key: str = "CUST_ID",
-                salt_hot_keys: bool = True) -> DataFrame:
+                salt_hot_keys: bool = True, target_rows: int = TARGET_ROWS) -> DataFrame:
     """Clients that have a profile, with the profile fields (both sides required).
 
     The profile side comes out of an aggregate on the key, so AQE cannot split
-    a skewed key in this join. Keys holding over 1% of the clients are
-    therefore salted explicitly (``operators.skew``); ``salt_hot_keys=False``
-    gives the plain equi-join.
+    a skewed key in this join. Keys with more clients than one task should take
+    are therefore salted explicitly (``operators.skew``, one counting job when this is
+    called); ``salt_hot_keys=False`` gives the plain equi-join.
     """
     prof = unified_profiles(users)
     if salt_hot_keys:
-        return salted_join(clients, prof, key, "PROFILE_KEY", "inner").drop("PROFILE_KEY")
+        return salted_join(clients, prof, key, "PROFILE_KEY", "inner", target_rows=target_rows).drop("PROFILE_KEY")
     return clients.join(prof, F.col(key) == F.col("PROFILE_KEY"), "inner").drop("PROFILE_KEY")
 
 
 def missing_cards(clients: DataFrame, users: DataFrame, id_col: str = "SK_ID_CURR",
-                  key: str = "CUST_ID", salt_hot_keys: bool = True) -> DataFrame:
+                  key: str = "CUST_ID", salt_hot_keys: bool = True, target_rows: int = TARGET_ROWS) -> DataFrame:
     """Ids whose card cannot be built, with the page's error text (hot keys salted)."""
     prof = unified_profiles(users).select("PROFILE_KEY")
     prefix, suffix = MISSING_CARD.split("{}")
     if salt_hot_keys:
-        missing = salted_join(clients, prof, key, "PROFILE_KEY", "left_anti")
+        missing = salted_join(clients, prof, key, "PROFILE_KEY", "left_anti", target_rows=target_rows)
     else:
         missing = clients.join(prof, F.col(key) == F.col("PROFILE_KEY"), "left_anti")
     return missing.select(

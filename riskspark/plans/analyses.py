@@ -38,11 +38,11 @@ def by_age(df: DataFrame, filters: PortfolioFilters | None = None, null_label: s
 
 
 def by_credit_income_quintile(df: DataFrame, filters: PortfolioFilters | None = None,
-                              buckets: int = 5, strategy: str = "auto") -> DataFrame:
+                              buckets: int = 5) -> DataFrame:
     """``ntile(5)`` over the credit/income ratio, then count, mean ratio, rate.
 
-    Above a checked size the quintile is computed without a single-partition
-    window (see ``operators.ntile``): rows are never shuffled for it.
+    The quintile needs no single-partition window (see ``operators.ntile``); its
+    boundaries are found when this is called.
     """
     base = _filtered(df, filters).select(
         "SK_ID_CURR", P.credit_income_ratio().alias("CREDIT_INCOME_RATIO"),
@@ -50,7 +50,7 @@ def by_credit_income_quintile(df: DataFrame, filters: PortfolioFilters | None =
     )
     return ntile_summary(
         base, value="CREDIT_INCOME_RATIO", tie="SK_ID_CURR", buckets=buckets,
-        bucket_col="RATIO_CATEGORY", flag="_d", strategy=strategy,
+        bucket_col="RATIO_CATEGORY", flag="_d",
     )
 
 
@@ -149,7 +149,10 @@ def analysis(df: DataFrame, number: int, filters: PortfolioFilters | None = None
 
 def analysis_from_params(df: DataFrame, params) -> DataFrame:
     """``analysis_type`` (default 1) and the filter parameters of a request, as text."""
-    number = int(params.get("analysis_type") or 1)
+    try:
+        number = int(params.get("analysis_type") or 1)
+    except ValueError:  # not a number: the default
+        number = 1
     return analysis(df, number, PortfolioFilters.from_params(params))
 
 
@@ -169,16 +172,23 @@ def filter_options(df: DataFrame) -> DataFrame:
 def family_children_matrix(g7: DataFrame, statuses: list[str] | None = None) -> DataFrame:
     """Default rate per children (rows) x family status (columns), from G7.
 
-    Passing the status list (from G10) avoids the extra job ``pivot`` would
-    run to find the values. A null status becomes the column ``Unknown``.
+    ``statuses``: the non-null statuses (from G10); without it they are read from
+    ``g7`` (one small job). A null status has the column ``Unknown``, or, where that is
+    a status too, ``Unknown (null)``, and so on until the name is free. G7 has one row
+    for each pair, so no rate is lost; a status that is not among ``statuses`` is refused
+    when its row is met.
     """
-    src = g7.select("CNT_CHILDREN",
-                    F.coalesce(F.col("NAME_FAMILY_STATUS"), F.lit("Unknown")).alias("NAME_FAMILY_STATUS"),
-                    "DEFAULT_RATE")
-    grouped = src.groupBy("CNT_CHILDREN")
-    pivoted = grouped.pivot("NAME_FAMILY_STATUS", statuses) if statuses is not None \
-        else grouped.pivot("NAME_FAMILY_STATUS")
-    return pivoted.agg(F.first("DEFAULT_RATE"))
+    if statuses is None:
+        statuses = [r[0] for r in g7.select("NAME_FAMILY_STATUS").where(F.col("NAME_FAMILY_STATUS").isNotNull()).distinct().collect()]
+    null_name = "Unknown"
+    while null_name in statuses:
+        null_name += " (null)"
+    status = F.col("NAME_FAMILY_STATUS")
+    known = status.isNull() | status.isin(list(statuses))
+    src = g7.select("CNT_CHILDREN", "DEFAULT_RATE",
+                    F.when(known, F.coalesce(status, F.lit(null_name)))
+                    .otherwise(F.raise_error(F.concat(F.lit("status without a column: "), status))).alias("NAME_FAMILY_STATUS"))
+    return src.groupBy("CNT_CHILDREN").pivot("NAME_FAMILY_STATUS", sorted([*statuses, null_name])).agg(F.max("DEFAULT_RATE"))
 
 
 def portfolio_kpis(df: DataFrame, filters: PortfolioFilters | None = None) -> DataFrame:

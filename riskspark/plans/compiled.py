@@ -26,17 +26,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+class NotCompilable(ValueError):
+    """The model is not of the one shape whose expression is known; apply its fitted stages."""
+
+
 def _stages(model):
-    found = {}
-    for st in model.preprocessor.stages:
-        for cls in (ImputerModel, StringIndexerModel, OneHotEncoderModel, VectorAssembler, StandardScalerModel):
-            if isinstance(st, cls):
-                found[cls] = st
-    missing = [c.__name__ for c in (ImputerModel, StringIndexerModel, OneHotEncoderModel, VectorAssembler)
-               if c not in found]
-    if missing or not isinstance(model.classifier, LogisticRegressionModel):
-        raise ValueError(f"not a compilable pipeline (missing {missing})")
-    return found
+    """The stages by class, if the pipeline is exactly the supported one: its stages, their order, wiring and parameters."""
+    stages, clf = list(model.preprocessor.stages), model.classifier
+    shape = [ImputerModel, StringIndexerModel, OneHotEncoderModel, VectorAssembler, StandardScalerModel]
+    if [type(s) for s in stages] not in (shape, shape[:4]):
+        raise NotCompilable(f"stages {[type(s).__name__ for s in stages]}")
+    imputer, indexer, encoder, assembler = stages[:4]
+    features, scaler = assembler.getOutputCol(), stages[4] if len(stages) == 5 else None
+    last = scaler.getOutputCol() if scaler is not None else features
+    checks = {
+        "classifier": type(clf) is LogisticRegressionModel and clf.numClasses == 2 and clf.getFeaturesCol() == last,
+        "imputer": math.isnan(imputer.getMissingValue()) and bool(imputer.getInputCols()),
+        "indexer": indexer.getHandleInvalid() == "keep" and bool(indexer.getInputCols()),
+        "encoder": encoder.getHandleInvalid() == "keep" and list(encoder.getInputCols()) == list(indexer.getOutputCols()),
+        "scaler": scaler is None or (not scaler.getWithMean() and scaler.getInputCol() == features),
+        "names": not {*imputer.getOutputCols(), *indexer.getOutputCols(), *encoder.getOutputCols()} & {*imputer.getInputCols(), *indexer.getInputCols()},
+    }
+    wrong = [k for k, ok in checks.items() if not ok]
+    if wrong:
+        raise NotCompilable(f"unsupported: {wrong}")
+    return dict(zip(shape, stages))
 
 
 def margin_column(model) -> Column:
@@ -58,7 +72,7 @@ def margin_column(model) -> Column:
     coef = clf.coefficients.toArray()
     std = scaler.std.toArray() if scaler is not None and scaler.getWithStd() else None
     if scaler is not None and scaler.getWithMean():
-        raise ValueError("centering scalers are not compiled")
+        raise NotCompilable("centering scaler")
 
     def weight(pos: int) -> float:
         if std is None:
@@ -89,7 +103,7 @@ def margin_column(model) -> Column:
             terms.append(F.col(col).cast("double") * F.lit(weight(pos)))
             pos += 1
     if pos != len(coef):
-        raise ValueError(f"feature layout mismatch: {pos} slots for {len(coef)} coefficients")
+        raise NotCompilable(f"feature layout mismatch: {pos} slots for {len(coef)} coefficients")
     total = F.lit(float(clf.intercept))
     for t in terms:
         total = total + t

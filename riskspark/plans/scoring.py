@@ -121,14 +121,19 @@ def score(applications: DataFrame, model: RiskModel, *, compiled: bool = True) -
 
     ``compiled`` (default) evaluates the fitted linear pipeline as one built-in
     expression (``plans.compiled``): the same probabilities (to ~1e-16), in a
-    single codegen stage instead of six vector-building transformers.
-    ``compiled=False`` applies the fitted stages as the reference does.
+    single codegen stage instead of six vector-building transformers. A model of any
+    other shape, and any model with ``compiled=False``, is applied stage by stage; without
+    a probability column its score is the fixed fallback (M4).
     """
     if compiled:
-        from riskspark.plans.compiled import score_columns
-        probability, prediction = score_columns(model)
-        return preprocess(applications).withColumn("prediction", prediction) \
-            .withColumn("risk_score", probability)
+        from riskspark.plans.compiled import NotCompilable, score_columns
+        try:
+            probability, prediction = score_columns(model)
+        except NotCompilable:
+            pass
+        else:
+            return preprocess(applications).withColumn("prediction", prediction) \
+                .withColumn("risk_score", probability)
     predicted = classify(prepare(applications, model), model)
     return predicted.withColumn("risk_score", risk_score(predicted))
 

@@ -25,10 +25,10 @@ from riskspark.plans.scoring import (RiskModel, classify, first_per_key, fit, fl
 from riskspark.schema import CATEGORICAL_COLS, FLAG_COLS, NUMERIC_COLS
 from riskspark.session import scratch_path
 from riskspark.sources.cache import export, materialize
-from riskspark.sources.fixtures import FAMILY_STATUSES, application, feedback_from_events, users_data
+from riskspark.sources.fixtures import application, feedback_from_events, users_data
 from riskspark.sources.tables import read_application, read_table, write_application
-from riskspark.streaming.feedback import (feedback_records, request_bodies, run_feedback_stream,
-                                         start_request_stream)
+from riskspark.streaming.feedback import (feedback_records, parse_requests, rejected_requests, request_bodies,
+                                         run_feedback_stream, start_request_stream)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -96,14 +96,15 @@ def w1_ntile(spark, sf_dir):
 
 @query("w1_ntile_distributed")
 def w1_ntile_distributed(spark, sf_dir):
-    """W1 forced onto the distributed plan (the one used above the size check)."""
-    return ntile(_ratio_table(spark, sf_dir), "CREDIT_INCOME_RATIO", "SK_ID_CURR", 5, "RATIO_CATEGORY",
-                 strategy="distributed")
+    """W1 over a materialized input, which is built once and read twice."""
+    ratios = materialize(_ratio_table(spark, sf_dir), "ratios")
+    return ntile(ratios, "CREDIT_INCOME_RATIO", "SK_ID_CURR", 5, "RATIO_CATEGORY")
 
 
 @query("g2_credit_income_distributed")
 def g2_credit_income_distributed(spark, sf_dir):
-    return G.by_credit_income_quintile(application(spark, sf_dir), strategy="distributed")
+    """G2 over a materialized input."""
+    return G.by_credit_income_quintile(materialize(application(spark, sf_dir), "application"))
 
 
 # --- G9-G12 -----------------------------------------------------------------
@@ -120,8 +121,9 @@ def g10_filter_options(spark, sf_dir):
 
 @query("g11_heatmap")
 def g11_heatmap(spark, sf_dir):
-    return G.family_children_matrix(G.by_family_and_children(application(spark, sf_dir)),
-                                    statuses=sorted(FAMILY_STATUSES + ["Unknown"]))
+    apps = application(spark, sf_dir)
+    options = G.filter_options(apps).first().family_status_options
+    return G.family_children_matrix(G.by_family_and_children(apps), statuses=options)
 
 
 @query("g12_kpis")
@@ -203,8 +205,7 @@ def f10_lookup(spark, sf_dir):
 
 @query("f11_non_null_options")
 def f11_non_null_options(spark, sf_dir):
-    return application(spark, sf_dir).select("NAME_FAMILY_STATUS") \
-        .where(F.col("NAME_FAMILY_STATUS").isNotNull()).distinct()
+    return G.filter_options(application(spark, sf_dir)).select(F.explode("family_status_options").alias("NAME_FAMILY_STATUS"))
 
 
 @query("f12_missing_client")
@@ -432,12 +433,12 @@ def j2_missing_card(spark, sf_dir):
 
 # --- M: model fit and batch scoring (rows-only checks) -----------------------
 
-_MODELS: dict[tuple[int, str], tuple[object, str]] = {}
+_MODELS: dict[tuple[str, str], tuple[object, str]] = {}
 
 
 def fitted_model(spark, sf_dir):
     """M6 once per session and scale factor; saved under the checkpoint folder (S4/S5 read it back)."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
         model = fit(application(spark, sf_dir))
         path = scratch_path(spark, "risk-model")
@@ -550,3 +551,22 @@ def m3_risk_score_pipeline(spark, sf_dir):
     """M1-M3 applying the fitted stages one by one (the compiled path is the default)."""
     model, _ = fitted_model(spark, sf_dir)
     return score(scoring_table(spark, sf_dir), model, compiled=False).select("SK_ID_CURR", "risk_score", "prediction")
+
+
+#: One body for each remainder of ``event_id`` by 8; ``@`` is the id.
+BODIES = ["{}", "not json", "", '{"is_positive": null}', '{"is_positive": 0, "message": null}',
+          '{"is_positive": "no", "message": "m@"}', '{"is_positive": false, "custom_dimensions": {"k": "@"}}', "[1]"]
+
+
+@query("p23_feedback_bodies")
+def p23_feedback_bodies(spark, sf_dir):
+    """P23 over raw bodies: missing keys, nulls, odd types; bodies that are no JSON object come back as rejected."""
+    events = read_table(spark, sf_dir, "events")
+    body = F.get(F.array(*[F.lit(b) for b in BODIES]), (F.col("event_id") % 8).cast("int"))
+    raw = events.select("event_id", F.replace(body, F.lit("@"), F.col("event_id").cast("string")).alias("body"))
+    good = feedback_records(parse_requests(raw), null_is_missing=False).select(
+        "event_id", "message", "is_positive", "level", F.col("custom_dimensions").getItem("k").alias("dim_k"), F.lit(False).alias("rejected"))
+    none = F.lit(None)
+    bad = rejected_requests(raw).select("event_id", none.cast("string").alias("message"), none.cast("boolean").alias("is_positive"),
+                                        none.cast("string").alias("level"), none.cast("string").alias("dim_k"), F.lit(True).alias("rejected"))
+    return good.unionByName(bad)

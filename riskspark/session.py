@@ -61,6 +61,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a written table, through the file system layer that Spark writes with."""
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskspark.session import scratch_path
 
@@ -23,14 +25,20 @@ def materialize(df: DataFrame, name: str, columns: list[str] | None = None,
     ``partitions`` spreads the rows evenly over that many files (one shuffle,
     paid once) when the source arrives in too few, large files.
     ``partition_by`` writes one folder per value of low-cardinality columns,
-    so an equality filter on them reads only its folders (partition pruning).
+    so an equality filter on them reads only its folders (partition pruning). The rows are
+    then dealt by ranges of those columns and of ``sort_within``, or of a hash of the row, so
+    that a value with many rows has many files.
     ``sort_within`` sorts each file, so parquet min/max statistics let range
     filters (e.g. on ``AMT_CREDIT``) skip whole row groups.
     """
     spark = df.sparkSession
     out = df.select(*columns) if columns else df
     if partitions:
-        out = out.repartition(partitions, *(partition_by or []))
+        if partition_by:
+            hashed = [F.col(f"`{f.name}`") for f in out.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+            out = out.repartitionByRange(partitions, *partition_by, *(sort_within or []), F.xxhash64(*hashed))
+        else:
+            out = out.repartition(partitions)
     if sort_within:
         out = out.sortWithinPartitions(*sort_within)
     path = scratch_path(spark, name)

@@ -10,7 +10,7 @@ duplicates records.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,31 +22,67 @@ LEVEL_POSITIVE = "INFO"
 LEVEL_NEGATIVE = "ERROR"
 
 
-def feedback_records(requests: DataFrame) -> DataFrame:
-    """Apply the defaults and derive the level. Streaming-safe (row-local)."""
+def feedback_records(requests: DataFrame, null_is_missing: bool = True) -> DataFrame:
+    """Apply the defaults and derive the level. Streaming-safe (row-local).
+
+    ``null_is_missing``: a null field is one that the request lacks. Parsed bodies have their
+    defaults already; there a null message is a message of null.
+    """
+    default = F.coalesce if null_is_missing else (lambda c, _: c)
     positive = F.coalesce(F.col("is_positive"), F.lit(True))
-    dims = F.coalesce(F.col("custom_dimensions"), F.create_map().cast("map<string,string>"))
     keep = [c for c in requests.columns if c not in ("message", "custom_dimensions", "is_positive")]
     return requests.select(
         *keep,
-        F.coalesce(F.col("message"), F.lit(DEFAULT_MESSAGE)).alias("message"),
-        dims.alias("custom_dimensions"),
+        default(F.col("message"), F.lit(DEFAULT_MESSAGE)).alias("message"),
+        default(F.col("custom_dimensions"), F.create_map().cast("map<string,string>")).alias("custom_dimensions"),
         positive.alias("is_positive"),
         F.when(positive, F.lit(LEVEL_POSITIVE)).otherwise(F.lit(LEVEL_NEGATIVE)).alias("level"),
     )
 
 
-REQUEST_SCHEMA = "message string, custom_dimensions map<string,string>, is_positive boolean"
+def _field(v: Column, name: str) -> Column:
+    """A field of a parsed body as a variant: SQL null if the key is missing."""
+    return F.try_variant_get(v, f"$.{name}", "variant")
+
+
+def _truth(x: Column) -> Column:
+    """Whether a JSON value counts as true: not null, false, 0, or empty."""
+    kind = F.schema_of_variant(x)
+    text = F.try_variant_get(x, "$", "string")
+    return (F.when(kind == "VOID", False).when(kind == "BOOLEAN", F.try_variant_get(x, "$", "boolean"))
+            .when(kind == "STRING", text != "").when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), ~F.to_json(x).isin("[]", "{}"))
+            .otherwise(F.try_variant_get(x, "$", "double") != 0))
+
+
+def _parsed(body: Column) -> Column:
+    """The body as a variant; null if it is no JSON object."""
+    v = F.try_parse_json(body)
+    return F.when(F.schema_of_variant(v).startswith("OBJECT"), v)
 
 
 def parse_requests(raw: DataFrame, body: str = "body", extra: str = "") -> DataFrame:
     """JSON request bodies (one per row) -> ``message``, ``custom_dimensions``, ``is_positive``.
 
-    ``extra`` adds fields carried in the body (DDL, e.g. ``"event_id long"``).
+    A default takes the place of a missing key only: a null ``is_positive`` is not positive,
+    a null message stays null. Bodies that are no JSON object are left out; they are the rows
+    of ``rejected_requests``. ``extra`` adds fields carried in the body (DDL, e.g.
+    ``"event_id long"``).
     """
-    schema = f"{extra}, {REQUEST_SCHEMA}" if extra else REQUEST_SCHEMA
     keep = [c for c in raw.columns if c != body]
-    return raw.select(*keep, F.from_json(F.col(body), schema).alias("_r")).select(*keep, "_r.*")
+    v = F.col("_v")
+    fields = [_field(v, n) for n in ("message", "custom_dimensions", "is_positive")]
+    more = [F.try_variant_get(v, f"$.{n}", t).alias(n) for n, t in (x.strip().split(None, 1) for x in extra.split(",") if x.strip())]
+    return (raw.select(*keep, _parsed(F.col(body)).alias("_v")).where("_v is not null").select(
+        *keep, *more,
+        F.when(fields[0].isNull(), F.lit(DEFAULT_MESSAGE)).otherwise(F.try_variant_get(fields[0], "$", "string")).alias("message"),
+        F.when(fields[1].isNull(), F.create_map().cast("map<string,string>"))
+        .otherwise(F.try_variant_get(fields[1], "$", "map<string,string>")).alias("custom_dimensions"),
+        F.when(fields[2].isNull(), F.lit(True)).otherwise(_truth(fields[2])).alias("is_positive")))
+
+
+def rejected_requests(raw: DataFrame, body: str = "body") -> DataFrame:
+    """The rows whose body is no JSON object."""
+    return raw.where(_parsed(F.col(body)).isNull())
 
 
 def start_feedback_stream(spark: SparkSession, source_dir: str, sink_path: str, checkpoint_path: str,
@@ -86,17 +122,27 @@ def start_request_stream(spark: SparkSession, bodies_dir: str, sink_path: str, c
                          *, extra: str = "", available_now: bool = True) -> StreamingQuery:
     """S7 from raw request bodies: text files with one JSON body per line.
 
-    A key missing from a body takes its default, as the reference's
-    ``data.get(key, default)`` does.
+    A key missing from a body takes its default; bodies that are no JSON object go to
+    ``start_rejected_stream``, not here.
     """
     raw = spark.readStream.option("maxFilesPerTrigger", 64).text(bodies_dir).withColumnRenamed("value", "body")
-    records = feedback_records(parse_requests(raw, extra=extra))
+    records = feedback_records(parse_requests(raw, extra=extra), null_is_missing=False)
     writer = (records.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint_path))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start(sink_path)
 
 
+def start_rejected_stream(spark: SparkSession, bodies_dir: str, sink_path: str, checkpoint_path: str,
+                          *, available_now: bool = True) -> StreamingQuery:
+    """The bodies that ``start_request_stream`` leaves out, to a sink of their own."""
+    raw = spark.readStream.option("maxFilesPerTrigger", 64).text(bodies_dir).withColumnRenamed("value", "body")
+    writer = (rejected_requests(raw).writeStream.format("parquet").outputMode("append")
+              .option("checkpointLocation", checkpoint_path))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+    return writer.start(sink_path)
+
+
 def request_bodies(requests: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Feedback requests -> one JSON body per row; null fields are left out of the body.
 

@@ -457,3 +457,10 @@ oracle("g2_credit_income_distributed", ORACLE_SQL["g2_credit_income"])
 oracle("s7_feedback_json_stream", FEEDBACK_SQL)
 oracle("j1_client_card_salted", ORACLE_SQL["j1_client_card"])
 oracle("j1_client_card_plain", ORACLE_SQL["j1_client_card"])
+
+oracle("p23_feedback_bodies", """
+SELECT event_id, CASE event_id % 8 WHEN 0 THEN 'Message vide' WHEN 3 THEN 'Message vide' WHEN 5 THEN 'm' || event_id WHEN 6 THEN 'Message vide' END AS message,
+  CASE WHEN event_id % 8 IN (0, 5) THEN true WHEN event_id % 8 IN (3, 4, 6) THEN false END AS is_positive,
+  CASE WHEN event_id % 8 IN (0, 5) THEN 'INFO' WHEN event_id % 8 IN (3, 4, 6) THEN 'ERROR' END AS level,
+  CASE WHEN event_id % 8 = 6 THEN CAST(event_id AS VARCHAR) END AS dim_k, event_id % 8 IN (1, 2, 7) AS rejected
+FROM events""")
