@@ -127,8 +127,11 @@ def test_filters(spark):
     assert ids(PortfolioFilters(realty_status="Oui")) == [0]
     assert ids(PortfolioFilters(realty_status="Non")) == [1]
     assert ids(PortfolioFilters(realty_status="anything")) == [1]
-    many = ["Widow"] + [f"s{i}" for i in range(2000)]               # broadcast semi join path
-    assert ids(PortfolioFilters(family_statuses=many)) == [1]
+    many = ["Widow"] + [f"s{i}" for i in range(2000)]
+    f = PortfolioFilters(family_statuses=many)
+    assert ids(f) == [1] and f.predicate() is not None
+    assert f.apply(df).columns == df.columns and [r.SK_ID_CURR for r in df.filter(f.predicate()).collect()] == [1]
+    assert PortfolioFilters.from_params({"min_credit": "many", "max_credit": "5"}) == PortfolioFilters(max_credit=5.0)
 
 
 def test_filters_from_request_params(spark):

@@ -16,7 +16,7 @@ def _reference(df, k):
 
 def _check(spark, values, k):
     df = spark.createDataFrame([(i * 7 + 3, v) for i, v in enumerate(values)], "id long, v double")
-    got = ntile(df, "v", "id", k, "got", strategy="distributed")
+    got = ntile(df, "v", "id", k, "got")
     joined = _reference(got, k)
     bad = joined.filter(F.col("got") != F.col("want")).count()
     assert bad == 0
@@ -42,7 +42,7 @@ def test_all_null_and_small_inputs(spark):
     _check(spark, [1.0, 2.0, 3.0], 5)     # fewer rows than buckets
     _check(spark, [4.0], 1)
     df = spark.createDataFrame([], "id long, v double")
-    assert ntile(df, "v", "id", 5, "b", strategy="distributed").count() == 0
+    assert ntile(df, "v", "id", 5, "b").count() == 0
 
 
 def test_powers_of_two_infinities_and_signs(spark):
@@ -53,13 +53,24 @@ def test_powers_of_two_infinities_and_signs(spark):
         _check(spark, values, k)
 
 
-def test_coarse_levels_option(spark):
-    from riskspark.operators.ntile import COARSE_LEVELS
-    rnd = random.Random(9)
-    values = [round(rnd.uniform(0, 5e5), 2) for _ in range(800)]
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, v double")
-    got = ntile(df, "v", "id", 5, "got", levels=COARSE_LEVELS, strategy="distributed")
-    assert _reference(got, 5).filter(F.col("got") != F.col("want")).count() == 0
+@pytest.mark.parametrize("kind", ["string", "double", "decimal(10,3)", "date"])
+def test_values_and_ties_of_any_type(spark, kind):
+    rnd = random.Random(13)
+    day = F.date_add(F.lit("2020-01-01").cast("date"), F.col("i"))
+    df = spark.createDataFrame([(i, rnd.randint(0, 5)) for i in range(400)], "i int, v int")
+    tie = {"date": day, "string": F.concat(F.lit("k"), F.col("i").cast("string"))}.get(kind, (F.col("i") / 7).cast(kind))
+    value = F.when(F.col("v") > 0, F.concat(F.lit("w"), F.col("v").cast("string")) if kind == "string" else F.col("v"))
+    got = ntile(df.select(value.alias("v"), tie.alias("id")), "v", "id", 6, "got")
+    assert got.select("id").distinct().count() > 390
+    assert _reference(got.dropDuplicates(["v", "id"]), 6).count() > 390
+    want = got.withColumn("want", F.ntile(6).over(Window.orderBy(F.asc_nulls_first("v"), F.col("id"))))
+    assert want.filter(F.col("got") != F.col("want")).count() == 0
+
+
+def test_unordered_types_are_refused(spark):
+    df = spark.range(3).select("id", F.create_map(F.lit("a"), F.col("id")).alias("v"))
+    with pytest.raises(TypeError):
+        ntile(df, "v", "id", 2)
 
 
 def test_sparse_64bit_ids_with_hot_value(spark):
@@ -67,7 +78,7 @@ def test_sparse_64bit_ids_with_hot_value(spark):
     ids = list({rnd.randint(-(2 ** 62), 2 ** 62) for _ in range(2400)})
     rows = [(i, 7.25 if n % 3 == 0 else round(rnd.uniform(0, 50), 2)) for n, i in enumerate(ids)]
     df = spark.createDataFrame(rows, "id long, v double")
-    got = ntile(df, "v", "id", 6, "got", strategy="distributed")
+    got = ntile(df, "v", "id", 6, "got")
     assert _reference(got, 6).filter(F.col("got") != F.col("want")).count() == 0
 
 
@@ -86,7 +97,7 @@ def test_quintile_sizes_differ_by_at_most_one(spark):
     rnd = random.Random(5)
     df = spark.createDataFrame([(i, round(rnd.random() * 10, 2), rnd.randint(0, 1)) for i in range(1003)],
                                "id long, v double, d int")
-    summary = ntile_summary(df, "v", "id", 5, "b", "d", strategy="distributed").collect()
+    summary = ntile_summary(df, "v", "id", 5, "b", "d").collect()
     sizes = sorted(r.COUNT for r in summary)
     assert sum(sizes) == 1003 and sizes[-1] - sizes[0] <= 1
     assert all(0 <= r.DEFAULT_RATE <= 100 for r in summary)
@@ -94,15 +105,5 @@ def test_quintile_sizes_differ_by_at_most_one(spark):
 
 def test_plan_has_no_row_level_exchange(spark):
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 37 / 4).alias("v"))
-    for ckpt, source in ((False, "Range"), (True, "ExistingRDD")):
-        plan = ntile(df, "v", "id", 5, "b", strategy="distributed", checkpoint_input=ckpt) \
-            ._jdf.queryExecution().executedPlan().toString()
-        # The rows are read (from the source or the checkpoint) and projected: no exchange.
-        assert source in plan
-        assert "Exchange" not in plan
-
-
-def test_auto_uses_window_when_small(spark):
-    df = spark.range(10).select(F.col("id"), (F.col("id") % 3).cast("double").alias("v"))
-    plan = ntile(df, "v", "id", 3, "b")._jdf.queryExecution().executedPlan().toString()
-    assert "Window" in plan
+    plan = ntile(df, "v", "id", 5, "b")._jdf.queryExecution().executedPlan().toString()
+    assert "Range" in plan and "Exchange" not in plan and "Window" not in plan  # the rows are read and projected

@@ -8,10 +8,8 @@ from riskspark.queries import QUERIES
 from riskspark.testing.oracles import ORACLE_SQL
 
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"]
-# Global one-row aggregates (final step after partial aggregation) and the size-checked
-# window path of the ntile may use a single partition; nothing else may.
-SINGLE_PARTITION_OK = {"g2_credit_income", "w1_ntile", "g9_portfolio_report", "g10_filter_options",
-                       "g12_kpis", "o3_sorted_options"}
+# Global one-row aggregates (final step after partial aggregation) may use a single partition; nothing else may.
+SINGLE_PARTITION_OK = {"f11_non_null_options", "g10_filter_options", "g12_kpis", "o3_sorted_options"}
 
 
 @pytest.mark.parametrize("name", sorted(k for k in QUERIES if k in ORACLE_SQL))
@@ -67,7 +65,7 @@ def test_card_join_with_hot_customer(spark):
         .alias("LastName"), F.lit(None).cast("string").alias("PhotoURL"))
 
     def run():
-        card = client_card(clients, users)
+        card = client_card(clients, users, target_rows=1000)
         tasks = card.where("LastName = 'L7'").select(F.spark_partition_id().alias("p")).distinct().count()
         return card.collect(), tasks
 
@@ -117,17 +115,19 @@ def test_salted_card_join_equals_plain_join(spark):
                                           F.lit("F").alias("FirstName"),
                                           F.concat(F.lit("L"), F.col("id").cast("string")).alias("LastName"),
                                           F.lit(None).cast("string").alias("PhotoURL"))
-    hot = hot_keys(clients, "CUST_ID", 0.05)
-    assert 7 in hot and len(hot) <= 20            # all keys above 5%, at most ~1/0.05 candidates
+    assert hot_keys(clients, "CUST_ID") == {}      # none above the default: a plain join
+    assert hot_keys(clients, "CUST_ID", 1000) == {7: n // 3 + 1 + sum(1 for i in range(n) if i % 3 and i % 500 == 7)}
+    medium = hot_keys(clients, "CUST_ID", 20)      # a key of 0.13 % and one of a third, both exact
+    assert medium[7] > 6000 and medium[11] == 27
     plain = sorted(tuple(r) for r in client_card(clients, users, salt_hot_keys=False).collect())
-    salted = sorted(tuple(r) for r in client_card(clients, users).collect())
+    salted = sorted(tuple(r) for r in client_card(clients, users, target_rows=20).collect())
     assert plain == salted
     from riskspark.operators.profile import missing_cards
     miss_plain = sorted(tuple(r) for r in missing_cards(clients, users, salt_hot_keys=False).collect())
-    miss_salted = sorted(tuple(r) for r in missing_cards(clients, users).collect())
+    miss_salted = sorted(tuple(r) for r in missing_cards(clients, users, target_rows=20).collect())
     assert miss_plain == miss_salted and len(miss_plain) > n // 3     # hot key 7 has no profile
     small = users.select(F.col("SK_CURR_ID_INT").alias("k"), "LastName")
-    left = salted_join(clients, small, "CUST_ID", "k", "left")
+    left = salted_join(clients, small, "CUST_ID", "k", "left", target_rows=20)
     assert left.count() == n                       # left rows kept once, hot or not
 
 
@@ -140,6 +140,8 @@ def test_materialized_layout_prunes(spark):
     hot = materialize(app, "layout-test", partitions=4, partition_by=["FLAG_OWN_REALTY"],
                       sort_within=["AMT_CREDIT"])
     q = by_age(hot, PortfolioFilters(realty_status="Oui", min_credit=100000.0))
+    sizes = sorted(r["count"] for r in hot.groupBy(F.input_file_name()).count().collect())
+    assert sizes[-1] <= 2 * hot.count() / 4       # no file of more than twice its share, though one code has most rows
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(FLAG_OWN_REALTY" in plan and "(FLAG_OWN_REALTY#" in plan
     assert "GreaterThanOrEqual(AMT_CREDIT,100000.0)" in plan

@@ -94,3 +94,42 @@ def test_compiled_plan_is_one_codegen_projection(spark, model):
         spark.conf.unset("spark.sql.debug.maxToStringFields")
     assert "UDF(" not in plan and "Exchange" not in plan       # no ML transformer, no shuffle
     assert "UDF(" in pipeline                                 # the stage-by-stage path, for contrast
+
+
+def _fitted(df, change):
+    """The default pipeline with its stages changed, fitted on ``df``, and a classifier over it."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+
+    from riskspark.operators.preprocess import preprocess
+    from riskspark.plans.scoring import preprocessor_pipeline
+    train = preprocess(df).filter(F.col("TARGET").isNotNull()).withColumn("label", F.col("TARGET").cast("double"))
+    stages = change(preprocessor_pipeline(train).getStages())
+    pre = Pipeline(stages=stages).fit(train)
+    clf = LogisticRegression(featuresCol=stages[-1].getOutputCol(), maxIter=5, regParam=0.1).fit(pre.transform(train))
+    return RiskModel(pre, clf)
+
+
+def _extra_stage(stages):
+    from pyspark.ml.feature import MinMaxScaler
+    return [*stages, MinMaxScaler(inputCol="features", outputCol="ranged")]
+
+
+def _other_missing(stages):
+    return [stages[0].setMissingValue(0.0), *stages[1:]]
+
+
+def _skip(stages):
+    return [stages[0], stages[1].setHandleInvalid("skip"), stages[2].setHandleInvalid("keep"), *stages[3:]]
+
+
+@pytest.mark.parametrize("change", [_extra_stage, _other_missing, _skip])
+def test_foreign_pipelines_are_applied_stage_by_stage(spark, change):
+    from riskspark.plans.compiled import NotCompilable, score_columns
+    apps = application(spark, SF_SMALL)
+    other = _fitted(apps, change)
+    with pytest.raises(NotCompilable):
+        score_columns(other)
+    a = {r.SK_ID_CURR: r.risk_score for r in score(apps, other).select("SK_ID_CURR", "risk_score").collect()}
+    b = {r.SK_ID_CURR: r.risk_score for r in score(apps, other, compiled=False).select("SK_ID_CURR", "risk_score").collect()}
+    assert a == b and a

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF_ORACLE
 from riskspark.session import scratch_path
-from riskspark.streaming.feedback import feedback_records, parse_requests, run_feedback_stream
+from riskspark.streaming.feedback import (feedback_records, parse_requests, rejected_requests, run_feedback_stream,
+                                         start_rejected_stream, start_request_stream)
 
 
 def test_stream_then_restart(spark):
@@ -22,8 +23,29 @@ def test_request_defaults(spark):
         ('{"message": "hello", "is_positive": false, "custom_dimensions": {"page": "x"}}',),
         ("{}",),
     ], "body string")
-    rows = feedback_records(parse_requests(raw)).collect()
+    rows = feedback_records(parse_requests(raw), null_is_missing=False).collect()
     assert (rows[0].message, rows[0].is_positive, rows[0].level, rows[0].custom_dimensions) == \
         ("hello", False, "ERROR", {"page": "x"})
     assert (rows[1].message, rows[1].is_positive, rows[1].level, rows[1].custom_dimensions) == \
         ("Message vide", True, "INFO", {})
+
+
+BODIES = ['{"is_positive": null}', '{"is_positive": 0}', '{"is_positive": ""}', '{"is_positive": []}', '{"is_positive": "false"}',
+          '{"is_positive": 2.5}', '{"message": null}', '{"custom_dimensions": null}', "not json", "", "[1]", "3", None]
+
+
+def test_missing_is_not_null_and_bad_bodies_are_rejected(spark):
+    raw = spark.createDataFrame([(i, b) for i, b in enumerate(BODIES)], "n int, body string")
+    rows = {r.n: r for r in feedback_records(parse_requests(raw), null_is_missing=False).collect()}
+    assert [rows[i].level for i in range(8)] == ["ERROR"] * 4 + ["INFO"] * 4
+    assert rows[6].message is None and rows[7].custom_dimensions is None and rows[0].message == "Message vide"
+    assert sorted(r.n for r in rejected_requests(raw).collect()) == [8, 9, 10, 11, 12]
+
+
+def test_rejected_bodies_have_their_own_sink(spark):
+    base = scratch_path(spark, "bodies-test")
+    spark.createDataFrame([(b,) for b in BODIES if b is not None], "body string").write.text(f"{base}/bodies")
+    for start, name in ((start_request_stream, "good"), (start_rejected_stream, "bad")):
+        start(spark, f"{base}/bodies", f"{base}/{name}", f"{base}/{name}-ckpt").awaitTermination()
+    assert spark.read.parquet(f"{base}/good").count() == 8
+    assert sorted(r.body for r in spark.read.parquet(f"{base}/bad").collect()) == ["", "3", "[1]", "not json"]
