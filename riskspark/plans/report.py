@@ -1,10 +1,11 @@
 """All eight portfolio analyses over one filtered table.
 
-G1 and G3-G8 share one scan and one shuffle: the group columns are derived
-once, ``GROUPING SETS`` expands each row once per analysis before the partial
-aggregate, and ``grouping_id()`` tells the analyses apart (so a null key is not
-confused with an unused one). G2 needs the quintile first and is added with
-``unionByName``. Output: one row per group of any analysis.
+The filtered rows are read once: their group keys and measures are written, narrow, to the
+shared folder, where the quintile boundaries are found. Then one aggregate reduces them to
+the finest combination of all nine keys and the quintile, as counts and sums, and ``GROUPING
+SETS`` runs over those combinations (a number bounded by the categories, not by the rows).
+``grouping_id()`` tells the analyses apart, so a null key is not confused with an unused
+one. Output: one row per group of any analysis.
 """
 
 from __future__ import annotations
@@ -14,16 +15,18 @@ from pyspark.sql import functions as F
 
 from riskspark.functions import portfolio as P
 from riskspark.operators.filters import NO_FILTERS, PortfolioFilters
-from riskspark.plans.analyses import (FAMILY_CHILDREN_MIN_COUNT, INCOME_TYPE_MIN_COUNT,
-                                      by_credit_income_quintile)
+from riskspark.operators.ntile import ntile_column
+from riskspark.plans.analyses import FAMILY_CHILDREN_MIN_COUNT, INCOME_TYPE_MIN_COUNT
+from riskspark.sources.cache import materialize
 
 _KEYS = ["AGE_GROUP", "NAME_INCOME_TYPE", "EMPLOYMENT_LENGTH", "ENQUIRY_GROUP",
          "NAME_CONTRACT_TYPE", "FLAG_OWN_REALTY", "NAME_FAMILY_STATUS", "CNT_CHILDREN",
-         "WEEKDAY_APPR_PROCESS_START"]
+         "WEEKDAY_APPR_PROCESS_START", "RATIO_CATEGORY"]
 
 # analysis number -> (its key columns, avg column or None, having limit or None)
 _SETS = {
     1: (["AGE_GROUP"], None, None),
+    2: (["RATIO_CATEGORY"], "RATIO", None),
     3: (["NAME_INCOME_TYPE"], "AMT_INCOME_TOTAL", INCOME_TYPE_MIN_COUNT),
     4: (["EMPLOYMENT_LENGTH"], None, None),
     5: (["ENQUIRY_GROUP"], None, None),
@@ -40,23 +43,30 @@ def _gid(keys: list[str]) -> int:
 
 
 def portfolio_report(df: DataFrame, filters: PortfolioFilters | None = None) -> DataFrame:
-    """``ANALYSIS int, KEY1 string, KEY2 string, CLIENT_COUNT long, DEFAULT_RATE double, AVG_VALUE double``."""
-    base = (filters or NO_FILTERS).apply(df).select(
+    """``ANALYSIS int, KEY1 string, KEY2 string, CLIENT_COUNT long, DEFAULT_RATE double, AVG_VALUE double``.
+
+    Jobs run when it is called: the narrow copy and the quintile boundaries."""
+    base = materialize((filters or NO_FILTERS).apply(df).select(
+        "SK_ID_CURR",
         P.age_group().alias("AGE_GROUP"),
         "NAME_INCOME_TYPE",
         P.employment_length().alias("EMPLOYMENT_LENGTH"),
         P.enquiry_group().alias("ENQUIRY_GROUP"),
         "NAME_CONTRACT_TYPE", "FLAG_OWN_REALTY", "NAME_FAMILY_STATUS", "CNT_CHILDREN",
         "WEEKDAY_APPR_PROCESS_START",
-        P.default_flag().alias("_d"), "AMT_INCOME_TOTAL", "AMT_CREDIT",
-    )
+        P.default_flag().alias("_d"), "AMT_INCOME_TOTAL", "AMT_CREDIT", P.credit_income_ratio().alias("RATIO"),
+    ), "report")
+    base = base.withColumn("RATIO_CATEGORY", ntile_column(base, "RATIO", "SK_ID_CURR", 5))
+    measures = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "RATIO"]
+    finest = base.groupBy(*_KEYS).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_d").alias("d"),
+        *[f(m).alias(f"{p}_{m}") for m in measures for f, p in ((F.sum, "sum"), (F.count, "n"))])
     sets = [keys for keys, _, _ in _SETS.values()]
-    grouped = base.groupingSets(sets, *_KEYS).agg(
+    grouped = finest.groupingSets(sets, *_KEYS).agg(
         F.grouping_id().alias("_gid"),
-        F.count(F.lit(1)).alias("CLIENT_COUNT"),
-        F.round(F.avg("_d") * 100, 2).alias("DEFAULT_RATE"),
-        F.round(F.avg("AMT_INCOME_TOTAL"), 0).alias("_avg_income"),
-        F.round(F.avg("AMT_CREDIT"), 0).alias("_avg_credit"),
+        F.sum("n").alias("CLIENT_COUNT"),
+        F.round(F.sum("d") / F.sum("n") * 100, 2).alias("DEFAULT_RATE"),
+        *[F.round(F.sum(f"sum_{m}") / F.nullif(F.sum(f"n_{m}"), F.lit(0)), 2 if m == "RATIO" else 0).alias(f"_avg_{m}") for m in measures],
     )
     analysis = None
     key1 = key2 = avg = keep = None
@@ -70,20 +80,13 @@ def portfolio_report(df: DataFrame, filters: PortfolioFilters | None = None) ->
             k2 = F.col(keys[1]).cast("string")
         else:
             k2 = F.lit(None).cast("string")
-        a = {None: F.lit(None).cast("double"), "AMT_INCOME_TOTAL": F.col("_avg_income"),
-             "AMT_CREDIT": F.col("_avg_credit")}[avg_col]
+        a = F.col(f"_avg_{avg_col}") if avg_col else F.lit(None).cast("double")
         ok = F.col("CLIENT_COUNT") > having if having is not None else F.lit(True)
         key1 = F.when(hit, k1) if key1 is None else key1.when(hit, k1)
         key2 = F.when(hit, k2) if key2 is None else key2.when(hit, k2)
         avg = F.when(hit, a) if avg is None else avg.when(hit, a)
         keep = F.when(hit, ok) if keep is None else keep.when(hit, ok)
-    sets_out = grouped.filter(keep).select(
+    return grouped.filter(keep).select(
         analysis.cast("int").alias("ANALYSIS"), key1.alias("KEY1"), key2.alias("KEY2"),
         "CLIENT_COUNT", "DEFAULT_RATE", avg.alias("AVG_VALUE"),
     )
-    quintiles = by_credit_income_quintile(df, filters).select(
-        F.lit(2).alias("ANALYSIS"), F.col("RATIO_CATEGORY").cast("string").alias("KEY1"),
-        F.lit(None).cast("string").alias("KEY2"), F.col("COUNT").alias("CLIENT_COUNT"),
-        "DEFAULT_RATE", F.col("AVG_RATIO").alias("AVG_VALUE"),
-    )
-    return sets_out.unionByName(quintiles)

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -22,6 +21,7 @@ from riskspark.functions import client as C
 from riskspark.operators.filters import lookup_ids
 from riskspark.operators.preprocess import preprocess
 from riskspark.schema import CATEGORICAL_COLS, FLAG_COLS, NUMERIC_COLS
+from riskspark.sources.cache import materialize
 
 # Fallback scores when the model exposes no probability (M4).
 FALLBACK_POSITIVE = 0.75
@@ -86,17 +86,13 @@ def fit(portfolio: DataFrame, *, max_iter: int = 50, reg_param: float = 0.01) ->
     numeric, categorical, flags = _feature_columns(portfolio)
     train = preprocess(portfolio).filter(F.col("TARGET").isNotNull()) \
         .select(*numeric, *categorical, *flags, F.col("TARGET").cast("double").alias("label"))
-    # Each stage fit is a pass over the input: keep the pruned training rows for the
-    # duration of the fit (memory, spilling to disk), then release them.
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        pre = preprocessor_pipeline(train).fit(train)
-        lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter,
-                                regParam=reg_param, elasticNetParam=0.0)
-        model = RiskModel(pre, lr.fit(pre.transform(train)))
-    finally:
-        train.unpersist()
-    return model
+    # Each stage fit is a pass over the input: the pruned training rows are written once to
+    # the shared folder, so no pass repeats the joins that built them.
+    train = materialize(train, "training")
+    pre = preprocessor_pipeline(train).fit(train)
+    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter,
+                            regParam=reg_param, elasticNetParam=0.0)
+    return RiskModel(pre, lr.fit(pre.transform(train)))
 
 
 def prepare(applications: DataFrame, model: RiskModel) -> DataFrame:

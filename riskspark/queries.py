@@ -380,15 +380,14 @@ def o4_first_row(spark, sf_dir):
 def s1_read_portfolio(spark, sf_dir):
     path = scratch_path(spark, "portfolio-csv")
     write_application(application(spark, sf_dir), path)
-    return G.by_age(read_application(spark, path, with_target=True))
+    return read_application(spark, path, with_target=True)
 
 
 @query("s2_read_scoring")
 def s2_read_scoring(spark, sf_dir):
     path = scratch_path(spark, "scoring-csv")
     write_application(application(spark, sf_dir).drop("TARGET"), path)
-    return read_application(spark, path, with_target=False).select(
-        "SK_ID_CURR", "AMT_CREDIT", "CODE_GENDER", "DAYS_EMPLOYED", "EXT_SOURCE_1")
+    return read_application(spark, path, with_target=False)
 
 
 @query("s3_keep_hot")
@@ -479,13 +478,46 @@ def m3_risk_score(spark, sf_dir):
     return score(scoring_table(spark, sf_dir), model).select("SK_ID_CURR", "risk_score", "prediction")
 
 
+def scored_by_source(spark, sf_dir) -> DataFrame:
+    """Preprocessed applications with a prediction and a score that SQL can state: EXT_SOURCE_2, cut at one half."""
+    return preprocess(scoring_table(spark, sf_dir)).withColumns({
+        "prediction": F.when(F.col("EXT_SOURCE_2") > 0.5, 1.0).otherwise(0.0), "risk_score": F.col("EXT_SOURCE_2")})
+
+
 @query("m4_fallback_score")
 def m4_fallback_score(spark, sf_dir):
+    """The score of a classifier that gives predictions without probabilities."""
+    no_prob = scored_by_source(spark, sf_dir)
+    return no_prob.select("SK_ID_CURR", "prediction", risk_score(no_prob).alias("risk_score"))
+
+
+@query("m4_fallback_model")
+def m4_fallback_model(spark, sf_dir):
     model, _ = fitted_model(spark, sf_dir)
     no_prob = classify(prepare(scoring_table(spark, sf_dir), model), model).drop("probability")
     return no_prob.select("SK_ID_CURR", "prediction", risk_score(no_prob).alias("risk_score"))
 
 
+@query("m6_fitted_statistics")
+def m6_fitted_statistics(spark, sf_dir):
+    """What the preprocessor has learned: the mean of each number, the rank of each label."""
+    model, _ = fitted_model(spark, sf_dir)
+    imputer, indexer = model.preprocessor.stages[:2]
+    names = imputer.getInputCols()
+    means = imputer.surrogateDF.select(F.explode(F.array(*[F.struct(F.lit("mean").alias("kind"), F.lit(c).alias("column"), F.lit(None).cast("string").alias("label"),
+                                                                    F.round(c, 6).alias("value")) for c in names])).alias("x")).select("x.*")
+    ranks = [("rank", c, label, float(i)) for c, labels in zip(indexer.getInputCols(), indexer.labelsArray) for i, label in enumerate(labels)]
+    return means.unionByName(spark.createDataFrame(ranks, "kind string, column string, label string, value double"))
+
+
+@query("p12_numeric_repair_text")
+def p12_numeric_repair_text(spark, sf_dir):
+    """P12 over text: numbers, other text, and nothing."""
+    forms = F.array(F.col("AMT_CREDIT").cast("long").cast("string"), F.lit("n/a"), F.lit(""), F.lit("-1.5e2"), F.lit(None).cast("string"))
+    text = application(spark, sf_dir).select("SK_ID_CURR", F.get(forms, (F.col("SK_ID_CURR") % 5).cast("int")).alias("AMT_CREDIT"))
+    return preprocess(text)
+
+
 @query("m5_batch_score")
 def m5_batch_score(spark, sf_dir):
     model, _ = fitted_model(spark, sf_dir)
@@ -516,9 +548,7 @@ def s5_load_classifier(spark, sf_dir):
 
 @query("p15_profile_projection")
 def p15_profile_projection(spark, sf_dir):
-    model, _ = fitted_model(spark, sf_dir)
-    scored = score(scoring_table(spark, sf_dir), model)
-    return profile_projection(scored)
+    return profile_projection(scored_by_source(spark, sf_dir))
 
 
 @query("s7_feedback_json_stream")

@@ -8,6 +8,9 @@ and types are aligned with the Spark side.
 
 from __future__ import annotations
 
+from riskspark.operators.preprocess import PROFILE_COLS
+from riskspark.schema import application_schema
+
 APPLICATION_SQL = """
 SELECT o.o_orderkey AS SK_ID_CURR, o.o_custkey AS CUST_ID,
  CAST(CASE WHEN o.o_orderkey % 97 = 0 THEN NULL WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END AS INT) AS TARGET,
@@ -424,9 +427,8 @@ SELECT CUST_ID, SK_ID_CURR, AMT_CREDIT, NAME_CONTRACT_TYPE FROM (
 WHERE rn = 1"""))
 
 # --- S ------------------------------------------------------------------------
-oracle("s1_read_portfolio", ORACLE_SQL["g1_age"])
-oracle("s2_read_scoring", with_app(
-    "SELECT SK_ID_CURR, AMT_CREDIT, CODE_GENDER, DAYS_EMPLOYED, EXT_SOURCE_1 FROM application"))
+oracle("s1_read_portfolio", with_app("SELECT " + ", ".join(f.name for f in application_schema(True).fields) + " FROM application"))
+oracle("s2_read_scoring", with_app("SELECT " + ", ".join(f.name for f in application_schema(False).fields) + " FROM application"))
 oracle("s3_keep_hot", ORACLE_SQL["g4_employment"])
 PROFILES_SQL = f"""
 SELECT PROFILE_KEY, SK_CURR_ID, LastName, FirstName, PhotoURL FROM (
@@ -464,3 +466,18 @@ SELECT event_id, CASE event_id % 8 WHEN 0 THEN 'Message vide' WHEN 3 THEN 'Messa
   CASE WHEN event_id % 8 IN (0, 5) THEN 'INFO' WHEN event_id % 8 IN (3, 4, 6) THEN 'ERROR' END AS level,
   CASE WHEN event_id % 8 = 6 THEN CAST(event_id AS VARCHAR) END AS dim_k, event_id % 8 IN (1, 2, 7) AS rejected
 FROM events""")
+
+_PREPROCESSED = ("SELECT SK_ID_CURR, " + ", ".join(
+    [f"CAST({c} AS DOUBLE) AS {c}" for c in _NUMERIC] + [f"coalesce(CAST({c} AS VARCHAR), 'Unknown') AS {c}" for c in _CATEGORICAL]
+    + [f"CASE WHEN {c} IN ('Y', '1') THEN 1 ELSE 0 END AS {c}" for c in ("FLAG_OWN_CAR", "FLAG_OWN_REALTY")])
+    + ", CASE WHEN EXT_SOURCE_2 > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, TARGET FROM application")
+oracle("m4_fallback_score", with_app(f"""
+SELECT SK_ID_CURR, prediction, CASE WHEN prediction > 0 THEN 0.75::DOUBLE ELSE 0.25::DOUBLE END AS risk_score FROM ({_PREPROCESSED}) p"""))
+oracle("p15_profile_projection", with_app(f"""
+SELECT {", ".join(PROFILE_COLS)} FROM (SELECT *, EXT_SOURCE_2 AS risk_score FROM ({_PREPROCESSED}) p) q"""))
+oracle("p12_numeric_repair_text", with_app("""
+SELECT SK_ID_CURR, CASE SK_ID_CURR % 5 WHEN 0 THEN CAST(trunc(AMT_CREDIT) AS DOUBLE) WHEN 3 THEN -150.0::DOUBLE END AS AMT_CREDIT FROM application"""))
+oracle("m6_fitted_statistics", with_app(
+    " UNION ALL ".join([f"SELECT 'mean' AS kind, '{c}' AS \"column\", CAST(NULL AS VARCHAR) AS label, round(avg({c}), 6) AS value FROM p" for c in _NUMERIC]
+                       + [f"SELECT 'rank', '{c}', {c}, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS DOUBLE) FROM p GROUP BY {c}" for c in _CATEGORICAL]),
+    f"p AS (SELECT * FROM ({_PREPROCESSED}) x WHERE TARGET IS NOT NULL)"))
