@@ -11,6 +11,7 @@ from riskspark.llm.decontaminate import find_benchmark
 from riskspark.llm.license_scan import scan
 from riskspark.llm.maxent_lm import language_scores
 from riskspark.llm.minhash_dedup import near_duplicates
+from riskspark.llm.oracles import QUALITY_RULES, SUBSTRING_DEDUP
 from riskspark.llm.packing import pack
 from riskspark.llm.quality_classifier import fit, score
 from riskspark.llm.quality_rules import judge
@@ -104,4 +105,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_classifier": op10_quality_classifier,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_substring_dedup": SUBSTRING_DEDUP, "op8_quality_rules": QUALITY_RULES}
