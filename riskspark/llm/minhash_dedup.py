@@ -12,12 +12,18 @@ same point with a probability of just their similarity. A process stops as soon
 is after the latest of all components, so a shingle costs little more than one point.
 
 Bands of ``rows`` components are keys; texts with a key in common are candidates. Texts with equal
-content are one node from the start. A group of candidates is never paired off: each member is held
-against the group's leader, the pairs are verified by their whole multisets, and links join into
-components. Groups that still hold two components take more leaders, four times as many each round
-(not yet held against each other, of different components, in the same group), until no such pair is
-left; so the count of leaders has no bound, and no candidate is dropped. At the default bands a pair
-of similarity 0.8 is no candidate with a probability of 5e-6.
+content are one node from the start. Candidates are not paired off:
+
+1. Each member of a group is held against the group's hub, the member with the most company over all
+   its groups (of a text and its edited copies, the text). These pairs are verified by their whole
+   multisets, and links join into components.
+2. Groups that still hold several components are compared in blocks of at most about ``BLOCK`` members, by
+   longer signatures (``LONG`` components, a byte each). Only pairs of different components whose
+   estimate is at most four deviations below ``similarity`` leave a block, each from its first common
+   group alone; they are verified likewise. A hot group is many blocks, and no member is left out.
+
+At the default parameters a pair of similarity 0.8 is no candidate with a probability of 5e-6, and is
+passed over in a block with one of 3e-5.
 
 Defined results: null and empty texts, and those without words, are copies of each other only where
 their content is equal (null counts as empty). Equal rows are in one class; of several rows with the
@@ -37,6 +43,8 @@ from riskspark.llm.stage import carried, dropped, staged
 from riskspark.llm.words import U64, Words, as_bytes, in_chunks, mix, windows
 
 CHUNK_BYTES = 1 << 20
+BLOCK, LONG = 512, 1024
+SLOT_ROWS = 4096  # of members that one call compares, block after block
 _STEP, _SPLIT, _SHIFT = U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9)
 
 
@@ -123,6 +131,47 @@ def _bands(shingle: int, bands: int, rows: int):
     return run
 
 
+def _long(shingle: int):
+    """The longer signatures, the last byte of each component."""
+    def run(batches):
+        for batch in batches:
+            for part in in_chunks(batch, CHUNK_BYTES >> 1):
+                full = signatures(*bags(as_bytes(part.column("text")), shingle), part.num_rows, LONG)
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([x.tobytes() for x in full.astype(np.uint8)], pa.binary())], names=["node", "long"])
+    return run
+
+
+def _compared(similarity: float):
+    """The pairs of a slot's blocks that may be near copies of different components."""
+    least = similarity - 4 * np.sqrt(similarity * (1 - similarity) / LONG)
+    least = (least + (1 - least) / 256) * LONG  # components that agree, by chance those with another point too
+
+    def run(table: pa.Table) -> pa.Table:
+        key, lo, hi, block = (table.column(n).to_numpy() for n in ("key", "lo", "hi", "block"))
+        node, root = np.array(table.column("node").to_pylist(), object), np.unique(np.array(table.column("root").to_pylist(), object), return_inverse=True)[1]
+        long = np.frombuffer(b"".join(table.column("long").to_pylist()), np.uint8).reshape(-1, LONG)
+        bands = np.array(table.column("bands").to_pylist(), np.int64)
+        order = np.lexsort((hi, lo, key))
+        new = np.flatnonzero((np.diff(key[order], prepend=0) != 0) | (np.diff(lo[order], prepend=-1) != 0) | (np.diff(hi[order], prepend=-1) != 0) | (np.arange(len(order)) == 0))
+        out_a, out_b = [], []
+        for x, y in zip(new, np.append(new[1:], len(order))):
+            own = order[x:y]
+            left = own[block[own] == lo[own[0]]]
+            right = own if lo[own[0]] == hi[own[0]] else own[block[own] == hi[own[0]]]
+            for at in range(0, len(left), 32):
+                some = left[at : at + 32]
+                i, j = np.nonzero((long[some][:, None, :] == long[right][None, :, :]).sum(axis=2) >= least)
+                i, j = some[i], right[j]
+                keep = (root[i] != root[j]) & ((i < j) if right is own else True)
+                i, j = i[keep], j[keep]
+                same = bands[i] == bands[j]
+                first = bands[i, same.argmax(axis=1)] == key[i] if len(i) else np.empty(0, bool)
+                out_a += node[i[first]].tolist()
+                out_b += node[j[first]].tolist()
+        return pa.table({"a": pa.array(out_a, pa.binary()), "b": pa.array(out_b, pa.binary())})
+    return run
+
+
 def _similar(shingle: int):
     """The weighted Jaccard similarity of pairs of texts."""
     def run(batches):
@@ -173,36 +222,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = staged(base.mapInArrow(_bands(shingle, bands, rows), "id long, node binary, bands array<long>"), "signed")
     nodes = staged(signed.groupBy("node").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")), "nodes")
     keyed = nodes.select("node", F.explode("bands").alias("key"))
-    groups = keyed.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    groups = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = staged(keyed.join(groups, "key"), "members")
-    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("id").alias("of"))
+    company = members.groupBy("node").agg(F.sum("size").alias("company"))
+    wanted = nodes.join(company, "node", "left_semi").select("node", F.col("id").alias("of"))
     texts = staged(base.join(wanted, "node").where(F.col("id").eqNullSafe(F.col("of"))).select("node", "text").dropDuplicates(["node"]), "texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
         a, b = (texts.select(F.col("node").alias(x), F.col("text").alias(f"{x}_text")) for x in "ab")
         return staged(pairs.join(a, "a").join(b, "b").select("a", "b", "a_text", "b_text").mapInArrow(_similar(shingle), "a binary, b binary, similarity double"), "pairs")
 
-    tested = verified(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
-    leaders = 1
-    while True:
-        roots = components(tested.where(F.col("similarity") >= similarity).select("a", "b"))
-        labelled = members.join(roots, "node", "left").select("key", "node", "size", F.coalesce("root", "node").alias("root"))
-        mixed = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-        open_ = staged(labelled.join(mixed, "key"), "open")
-        leaders *= 4
-        # A node leads in its group where its place, drawn from its hash, is within the share of leaders.
-        rank = F.pmod(F.xxhash64("node", "key"), F.lit(1 << 30)) * F.col("size")
-        lead = open_.where(rank < F.lit(leaders << 30)).select("key", F.col("node").alias("a"), F.col("root").alias("a_root"))
-        pairs = (lead.join(open_, "key").where("a_root <> root and a <> node")
-                 .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-                 .join(tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
-        pairs = staged(pairs, "pairs")
-        if pairs.isEmpty():
-            # Every member leads where the share has reached the largest open group; else more leaders follow.
-            if leaders >= (open_.agg(F.max("size")).first()[0] or 0):
-                break
-            continue
-        tested = staged(tested.unionByName(verified(pairs)), "tested")
+    hubs = members.join(company, "node").groupBy("key").agg(F.max_by("node", F.struct("company", "node")).alias("hub"))
+    tested = verified(members.join(hubs, "key").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
+    links = tested.where(F.col("similarity") >= similarity).select("a", "b")
+    roots = components(links)
+
+    labelled = members.join(roots, "node", "left").select("key", "node", "size", F.coalesce("root", "node").alias("root"))
+    mixed = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    blocks = F.ceil(F.col("size") / BLOCK)
+    open_ = staged(labelled.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), blocks)), "open")
+    inside = open_.select("node").distinct()
+    details = staged(texts.join(inside, "node", "left_semi").mapInArrow(_long(shingle), "node binary, long binary").join(nodes.select("node", "bands"), "node"), "details")
+    slots = max(1, open_.count() // SLOT_ROWS)
+    dealt = (open_.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))).withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
+             .withColumn("slot", F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(slots))).drop("other", "size"))
+    pairs = dealt.join(details, "node").groupBy("slot").applyInArrow(_compared(similarity), "a binary, b binary")
+    done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = staged(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(done, ["a", "b"], "left_anti"), "pairs")
+    roots = components(links.unionByName(verified(pairs).where(F.col("similarity") >= similarity).select("a", "b")))
+    dropped(members, texts, open_, details)
     of = nodes.join(roots, "node", "left").select("node", "id", "copies", F.coalesce("root", "node").alias("root"))
     first = of.groupBy("root").agg(F.min_by(F.struct("id", "node"), F.struct(F.col("id").isNull(), "id", "node")).alias("first"))
     classes = of.join(first, "root").select("node", "first", "copies")
