@@ -2,8 +2,9 @@
 
 The reference exposes ``/get_dataviz``, ``/get_filter_options``,
 ``/predict_default`` and ``/feedback``. ``CreditRiskService`` offers the same
-calls on explicit DataFrames (no shared globals, no HTTP): each returns a lazy
-DataFrame, and ``predict`` takes any number of client ids at once.
+calls on explicit DataFrames (no shared globals, no HTTP): each returns a
+DataFrame, and ``predict`` takes any number of client ids at once. Fitting, the
+quintiles and the card run jobs when called; the rest is lazy.
 """
 
 from __future__ import annotations
@@ -41,7 +42,11 @@ class CreditRiskService:
 
     def dataviz_from_params(self, params: Mapping[str, Any]) -> tuple[DataFrame, dict]:
         """Same, from request-style parameters (numbers as text, lists as JSON text)."""
-        return self.dataviz(int(params.get("analysis_type") or 1), PortfolioFilters.from_params(params))
+        try:
+            number = int(params.get("analysis_type") or 1)
+        except ValueError:  # not a number: the default
+            number = 1
+        return self.dataviz(number, PortfolioFilters.from_params(params))
 
     # --- /get_filter_options ----------------------------------------------------
     def filter_options(self) -> DataFrame:
@@ -56,13 +61,21 @@ class CreditRiskService:
         return self.model
 
     def predict(self, client_ids=None, *, at: Column | None = None) -> DataFrame:
-        """Scored response per client (all clients when ``client_ids`` is None)."""
+        """One answer per requested client (all clients when ``client_ids`` is None): the scored
+        response, or, for an id that is not in the table, its ``error`` with the rest null."""
         table = self.scoring if self.scoring is not None else self.portfolio.drop("TARGET")
-        return score_clients(table, self.fitted(), client_ids, at=at)
-
-    def unknown_clients(self, client_ids: DataFrame) -> DataFrame:
-        """Requested ids that are not in the scoring table, with the reference's error text."""
+        found = score_clients(table, self.fitted(), client_ids, at=at)
+        if client_ids is None:
+            return found.withColumn("error", F.lit(None).cast("string"))
+        unknown = self.unknown_clients(client_ids).withColumnRenamed("SK_ID_CURR", "client_id")
+        return found.unionByName(unknown, allowMissingColumns=True)
+
+    def unknown_clients(self, client_ids) -> DataFrame:
+        """Requested ids (an int, a list or a DataFrame) that are not in the scoring table, with the reference's error text."""
         table = self.scoring if self.scoring is not None else self.portfolio
+        if not isinstance(client_ids, DataFrame):
+            ids = [client_ids] if isinstance(client_ids, int) else list(client_ids)
+            client_ids = table.sparkSession.createDataFrame([(int(i),) for i in ids], "SK_ID_CURR long")
         return missing_ids(client_ids, table)
 
     def cards(self, client_ids=None) -> DataFrame:

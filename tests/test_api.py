@@ -21,6 +21,10 @@ def test_service_end_to_end(spark):
     pred = svc.predict(ids)
     assert pred.count() == 5
     assert pred.filter(F.col("prediction.risk_score").between(0, 1)).count() == 5
+    both = svc.predict([ids[0], 10**12]).collect()
+    answers = {r.client_id: (r.prediction is not None, r.error) for r in both}
+    assert answers == {ids[0]: (True, None), 10**12: (False, f"Client ID {10**12} non trouvé dans les données")}
+    assert svc.dataviz_from_params({"analysis_type": "first", "min_credit": "much"})[1] == {"analysis_type": 1, "filters": {}}
     cards = svc.cards(ids)
     assert cards.count() <= 5 and "LastName" in cards.columns
     missing = svc.unknown_clients(spark.createDataFrame([(ids[0],), (10**12,)], "id long"))
