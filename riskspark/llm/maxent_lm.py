@@ -13,8 +13,8 @@ two bytes, hashed, and whether it ends with a mark), which also holds for words
 Training runs over all texts that may be learned from, in ``ROUNDS`` parts. In each round, every task
 starts from the same weights, takes gradient steps over batches of its tokens, and returns what it
 added to each feature, with the feature's count; the additions are averaged by count in steps of
-bounded groups. Counts of all tokens come from one aggregation. The ``KNOWN`` most frequent tokens
-(a bounded table) are sent to the tasks; every rarer token gets its count in a join, so none is left out.
+bounded groups. Counts of all tokens come from one aggregation. The most frequent tokens, ``KNOWN`` at
+most, are sent to the tasks; every rarer token gets its count in a join, so none is left out.
 
 Tokens are the words, A-Z lower-cased, and one end a text. They are told apart by 64-bit hashes.
 
@@ -234,9 +234,18 @@ def language_scores(docs: DataFrame, learn: Column, text_col: str = "text", keep
 
     counts = staged(train.select("text").mapInArrow(_counted, "hash long, kind int, n long").groupBy("hash", "kind").agg(F.sum("n").alias("n")), "counts")
     by_kind = {r.kind: (r.n, r.words) for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect()}
-    top = counts.orderBy(F.desc("n"), "hash").limit(KNOWN).toArrow()  # KNOWN rows of three numbers
-    hashes, n, kinds = top.column("hash").to_numpy().view(U64), top.column("n").to_numpy(), top.column("kind").to_numpy()
-    least = (int(n[-1]), int(top.column("hash")[-1].as_py())) if len(n) == KNOWN else None
+    # The known tokens are those from a count on that at most KNOWN tokens have; a histogram of counts tells it.
+    size = F.floor(F.log2("n") * 16)
+    cut, known = None, 0
+    for r in sorted(counts.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("words")).collect(), key=lambda r: -r["size"]):
+        known += r.words
+        if known > KNOWN:
+            break
+        cut = r["size"]
+    everything = known <= KNOWN
+    top = counts.where(F.lit(False) if cut is None else size >= cut).toArrow()
+    order = np.lexsort((top.column("hash").to_numpy(), -top.column("n").to_numpy()))
+    hashes, n, kinds = top.column("hash").to_numpy()[order].view(U64), top.column("n").to_numpy()[order], top.column("kind").to_numpy()[order]
     tokens, words = np.zeros(CLASSES), np.zeros(CLASSES)
     for kind, (a, b) in by_kind.items():
         tokens[kind], words[kind] = a, b
@@ -272,8 +281,8 @@ def language_scores(docs: DataFrame, learn: Column, text_col: str = "text", keep
               StructField("rare", ArrayType(LongType()))]
     scored = staged(base.mapInArrow(_scored(spark.sparkContext.broadcast(model)), StructType(fields)).withColumn("row", F.monotonically_increasing_id()), "scores")
     out = scored.withColumn("train_tokens", F.lit(int(model.total)).cast("long"))
-    if least:
-        rarer = counts.where((F.col("n") < least[0]) | ((F.col("n") == least[0]) & (F.col("hash") > least[1]))).select("hash", "n")
+    if not everything:
+        rarer = counts.where(F.lit(True) if cut is None else size < cut).select("hash", "n")
         found = (scored.select("row", F.explode("rare").alias("hash")).groupBy("row", "hash").agg(F.count(F.lit(1)).alias("times")).join(rarer, "hash")
                  .groupBy("row").agg(F.sum("times").alias("known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("up")))
         out = out.join(found, "row", "left")
