@@ -141,9 +141,10 @@ def _fitted(dims: int, epochs: int, rate: float):
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
         sample: int = 4000, dims: int = 8, epochs: int = 5, rate: float = 4.0) -> tuple[np.ndarray, float]:
     """The model: a weight for each bucket, and a bias. ``learn``: which rows of ``labels`` it may learn from."""
-    chosen = (labels.where(learn & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
-              .select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label"), F.xxhash64(id_col, label_col).alias("order"))
-              .orderBy("order").limit(sample))
+    allowed = (labels.where(learn & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
+               .select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label"), F.xxhash64(id_col, label_col).alias("order")))
+    share = min(1.0, 2 * sample / max(1, allowed.count()))  # so that few more than ``sample`` rows are sorted
+    chosen = allowed.where(F.pmod("order", F.lit(1 << 30)) < int(share * (1 << 30))).orderBy("order").limit(sample)
     rows = (docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("text"))
             .join(F.broadcast(chosen), "_id")  # at most ``sample`` rows of three numbers
             .select("label", "order", "text"))
