@@ -25,7 +25,7 @@ def test_every_oracle_has_a_query():
     assert set(ORACLE_SQL) <= set(QUERIES)
 
 
-def test_anchor_values_sf001(spark):
+def test_anchor_values_sf0_01(spark):
     """Anchors of the survey at sf0.01, no filters."""
     from conftest import SF_ORACLE
     g1 = {r.AGE_GROUP: (r.CLIENT_COUNT, r.DEFAULT_RATE) for r in QUERIES["g1_age"](spark, SF_ORACLE).collect()}

@@ -56,3 +56,21 @@ def test_null_label_gives_nulls_their_own_group(spark):
     assert default.get("> 55 ans", 0) == split.get("> 55 ans", 0) + nulls
     emp = {r.EMPLOYMENT_LENGTH: r.CLIENT_COUNT for r in G.by_employment_length(app, null_label="Inconnu").collect()}
     assert emp.get("Inconnu", 0) == app.filter(F.col("DAYS_EMPLOYED").isNull()).count()
+
+
+def test_orders_of_labels_and_weekdays(spark):
+    """O1, O2: the rows come in the order of the labels and of the week."""
+    app = application(spark, SF_SMALL)
+    labels = [r.EMPLOYMENT_LENGTH for r in G.by_employment_length(app).collect()]
+    assert labels == sorted(labels) and len(labels) == 5
+    days = [r.WEEKDAY_APPR_PROCESS_START for r in G.by_weekday(app).collect()]
+    assert days == ["MONDAY", "TUESDAY", "WEDNESDAY", "THURSDAY", "FRIDAY", "SATURDAY", "SUNDAY"]
+
+
+def test_heat_map_keeps_every_rate(spark):
+    """A real status ``Unknown`` and a null one have columns of their own."""
+    g7 = spark.createDataFrame([(0, "Unknown", 1.5), (0, None, 2.5), (0, "Widow", 3.5), (1, None, 4.5)],
+                               "CNT_CHILDREN int, NAME_FAMILY_STATUS string, DEFAULT_RATE double")
+    got = {r.CNT_CHILDREN: r.asDict() for r in G.family_children_matrix(g7, ["Unknown", "Widow"]).collect()}
+    assert (got[0]["Unknown"], got[0]["Unknown (null)"], got[0]["Widow"], got[1]["Unknown (null)"]) == (1.5, 2.5, 3.5, 4.5)
+    assert G.family_children_matrix(g7).columns == ["CNT_CHILDREN", "Unknown", "Unknown (null)", "Widow"]
