@@ -46,7 +46,7 @@ SHAPES = 16
 CLASSES = OWN + SHAPES
 RANKED, SHARED = 4096, 4096  # features of a word: its own, or a hashed one
 ROWS = 2 * (RANKED + SHARED) + CLASSES * CLASSES
-ROUNDS, RATE = 2, 0.5
+ROUNDS, RATE = 2, 0.2
 BLOCKS, GROUP = 16, 64
 END = 0x0E4D0E4D0E4D0E4D  # the hash of the end of a text
 _MARKS = np.zeros(256, bool)
