@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.session import scratch_path
+from riskspark.session import remove_path, scratch_path
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -24,16 +24,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
 
 
 def dropped(*tables: DataFrame) -> None:
-    """Remove staged tables that nothing reads any more (through Spark's own file system layer)."""
+    """Remove staged tables that nothing reads any more."""
     for t in tables:
-        sc = t.sparkSession.sparkContext
-        for f in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
-            path = sc._jvm.org.apache.hadoop.fs.Path(f)
-            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        remove_path(t.sparkSession, t.staged_path)
 
 
 def carried(docs: DataFrame, new: tuple[str, ...], but: tuple[str, ...] = ()) -> tuple[list[str], Column]:
