@@ -21,7 +21,7 @@ from riskspark.functions import client as C
 from riskspark.operators.filters import lookup_ids
 from riskspark.operators.preprocess import preprocess
 from riskspark.schema import CATEGORICAL_COLS, FLAG_COLS, NUMERIC_COLS
-from riskspark.sources.cache import materialize
+from riskspark.sources.cache import materialize, release
 
 # Fallback scores when the model exposes no probability (M4).
 FALLBACK_POSITIVE = 0.75
@@ -89,10 +89,13 @@ def fit(portfolio: DataFrame, *, max_iter: int = 50, reg_param: float = 0.01) ->
     # Each stage fit is a pass over the input: the pruned training rows are written once to
     # the shared folder, so no pass repeats the joins that built them.
     train = materialize(train, "training")
-    pre = preprocessor_pipeline(train).fit(train)
-    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter,
-                            regParam=reg_param, elasticNetParam=0.0)
-    return RiskModel(pre, lr.fit(pre.transform(train)))
+    try:
+        pre = preprocessor_pipeline(train).fit(train)
+        lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter,
+                                regParam=reg_param, elasticNetParam=0.0)
+        return RiskModel(pre, lr.fit(pre.transform(train)))
+    finally:
+        release(train)
 
 
 def prepare(applications: DataFrame, model: RiskModel) -> DataFrame:
@@ -163,16 +166,8 @@ def score_clients(applications: DataFrame, model: RiskModel, ids=None, *,
     apps = applications if ids is None else lookup_ids(applications, ids)
     if dedupe:
         apps = first_per_key(apps, "SK_ID_CURR", "SK_ID_CURR")
-    scored = score(apps, model, compiled=compiled)
     extra = list(carry or [])
-    raw = scored.select(
-        *extra,
-        F.col("SK_ID_CURR").alias("client_id"),
-        C.client_info().alias("client_info"),
-        F.struct(F.col("risk_score").cast("double").alias("risk_score"),
-                 F.col("prediction").cast("int").alias("predicted_default")).alias("prediction"),
-    )
-    return raw.select(
+    return nested_response(score(apps, model, compiled=compiled), extra).select(
         *extra,
         "client_id",
         C.formatted_client_info("client_info").alias("client_info"),
@@ -184,13 +179,22 @@ def score_clients(applications: DataFrame, model: RiskModel, ids=None, *,
     )
 
 
+def nested_response(scored: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """``client_id``, ``client_info`` and ``prediction`` of a scored, preprocessed table."""
+    return scored.select(
+        *(carry or []),
+        F.col("SK_ID_CURR").alias("client_id"),
+        C.client_info().alias("client_info"),
+        F.struct(F.col("risk_score").cast("double").alias("risk_score"),
+                 F.col("prediction").cast("int").alias("predicted_default")).alias("prediction"),
+    )
+
+
 def flatten_response(resp: DataFrame) -> DataFrame:
-    """P18 flattened: one column per leaf of ``client_info`` and ``prediction``."""
+    """The client response with one column per leaf."""
     nested = {"client_id", "client_info", "prediction", "recommendation", "risk_tag", "score_text", "metadata"}
     extra = [c for c in resp.columns if c not in nested]
     return resp.select(
         *extra, "client_id", "client_info.*", "prediction.*",
-        F.col("recommendation.decision").alias("decision"),
-        F.col("recommendation.risk_level").alias("risk_level"),
-        "risk_tag", "score_text",
+        "recommendation.*", "risk_tag", "score_text", "metadata.*",
     )

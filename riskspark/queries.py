@@ -21,7 +21,7 @@ from riskspark.operators.profile import client_card, missing_cards, unified_prof
 from riskspark.plans import analyses as G
 from riskspark.plans.report import portfolio_report
 from riskspark.plans.scoring import (RiskModel, classify, first_per_key, fit, flatten_response,
-                                     load_preprocessor, prepare, risk_score, score, score_clients)
+                                     load_preprocessor, nested_response, prepare, risk_score, score, score_clients)
 from riskspark.schema import CATEGORICAL_COLS, FLAG_COLS, NUMERIC_COLS
 from riskspark.session import scratch_path
 from riskspark.sources.cache import export, materialize
@@ -276,7 +276,7 @@ def p17_client_years_employed(spark, sf_dir):
 
 @query("p18_nested_response")
 def p18_nested_response(spark, sf_dir):
-    return _client_info(spark, sf_dir).select("client_id", "client_info.*")
+    return nested_response(scored_by_source(spark, sf_dir)).select("client_id", "client_info.*", "prediction.*")
 
 
 @query("p19_years_display")

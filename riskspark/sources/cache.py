@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.session import scratch_path
+from riskspark.session import remove_path, scratch_path
 
 
 def materialize(df: DataFrame, name: str, columns: list[str] | None = None,
@@ -46,7 +46,14 @@ def materialize(df: DataFrame, name: str, columns: list[str] | None = None,
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out.staged_path = path
+    return out
+
+
+def release(table: DataFrame) -> None:
+    """Remove a table that ``materialize`` returned and nothing reads any more."""
+    remove_path(table.sparkSession, table.staged_path)
 
 
 def keep_hot(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -320,7 +320,9 @@ _HOUSING = {"House / apartment": "Maison / appartement", "Rented apartment": "Lo
 
 oracle("p16_client_age", with_app(f"SELECT SK_ID_CURR, {CLIENT_AGE} AS CLIENT_AGE FROM application"))
 oracle("p17_client_years_employed", with_app(f"SELECT SK_ID_CURR, {CLIENT_YEARS} AS YEARS_EMPLOYED FROM application"))
-oracle("p18_nested_response", with_app(CLIENT_INFO))
+oracle("p18_nested_response", with_app(CLIENT_INFO.replace("\nFROM application", """,
+  EXT_SOURCE_2 AS risk_score, CASE WHEN EXT_SOURCE_2 > 0.5 THEN 1 ELSE 0 END AS predicted_default
+FROM application""")))
 # Python's round(): printf rounds the exact binary value half-even, as Python does.
 def py_round(x: str, places: int) -> str:
     return f"CAST(printf('%.{places}f', {x}) AS DOUBLE)"
