@@ -5,7 +5,8 @@ of the terms that the benchmark uses. A window is ``window`` consecutive words o
 (a shorter item is one window). For each window, the list of its rarest term in the chunk is
 taken first, each place less the term's offset, and intersected with the offset-adjusted
 lists of its other terms, from rare to frequent, until none or the phrase is left. A
-proximity match lets every term be up to ``slop`` places from its own.
+proximity match is a place of the text to which every term, at its own offset, is within
+``slop`` words.
 
 The benchmark is cut into shards of bounded size; each is sent to the executors in its own
 pass, so neither the driver nor a task ever holds more than a shard of it.
@@ -74,7 +75,7 @@ class Shard:
         return [str(self.names[i]) for i in np.unique(np.concatenate([self.owners[self.owner_start[x] : self.owner_start[x + 1]] for x in windows]))]
 
     def search(self, w: Words, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Exact matches (window, first word) and proximity matches (window, first word) in a chunk."""
+        """Exact matches (window, first word) and proximity matches (window, text) in a chunk."""
         none = np.empty(0, np.int64)
         if not len(w) or not len(self.windows):
             return none, none, none, none
@@ -94,12 +95,10 @@ class Shard:
         if not len(win):
             return none, none, none, none
         first_of = np.repeat(np.concatenate(([0], np.cumsum(size)[:-1])), size)
-        start = posted[begin[rare[win]] + np.arange(len(win)) - first_of] - by_rarity[win, 0]
-        last = start + self.length[win] - 1
-        ok = (start >= 0) & (last < len(w))
-        ok[ok] = w.doc[start[ok]] == w.doc[last[ok]]
+        place = posted[begin[rare[win]] + np.arange(len(win)) - first_of]
+        start, doc = place - by_rarity[win, 0], w.doc[place]
 
-        def matched(win, start, reach):
+        def matched(win, start, doc, reach):
             for k in range(1, self.windows.shape[1]):
                 if not len(win):
                     break
@@ -108,12 +107,16 @@ class Shard:
                 fits = want < 0
                 for d in range(-reach, reach + 1):
                     at = np.clip(start + off + d, 0, len(w) - 1)
-                    fits |= (term[at] == want) & (w.doc[at] == w.doc[np.clip(start, 0, len(w) - 1)])
-                win, start = win[fits], start[fits]
-            return win, start
+                    fits |= (term[at] == want) & (w.doc[at] == doc) & (at == start + off + d)
+                win, start, doc = win[fits], start[fits], doc[fits]
+            return win, start, doc
 
-        exact = matched(win[ok], start[ok], 0)
-        return *exact, *(matched(win[ok], start[ok], slop) if slop else exact)
+        exact = matched(win, start, doc, 0)[:2]
+        if not slop:
+            return *exact, exact[0], w.doc[exact[1]] if len(exact[1]) else none
+        # The rarest term too may be off by slop from the place that all terms are near to.
+        near = [matched(win, start + d, doc, slop) for d in range(-slop, slop + 1)]
+        return *exact, np.concatenate([n[0] for n in near]), np.concatenate([n[2] for n in near])
 
 
 def _find(shard, slop: int):
@@ -122,13 +125,12 @@ def _find(shard, slop: int):
         for batch in batches:
             for part in in_chunks(batch, CHUNK_BYTES):
                 w = Words(as_bytes(part.column("text")), ALNUM, lower=True)
-                win, start, near_win, near_start = s.search(w, slop)
+                win, start, near_win, near_doc = s.search(w, slop)
                 edge = np.zeros(len(w) + 1, np.int32)
                 np.add.at(edge, start, 1)
                 np.add.at(edge, start + s.length[win], -1)
                 by_doc = [{}, {}]
-                for out, (a, b) in zip(by_doc, ((win, start), (near_win, near_start))):
-                    docs = w.doc[b] if len(b) else np.empty(0, np.int32)
+                for out, (a, docs) in zip(by_doc, ((win, w.doc[start] if len(start) else start), (near_win, near_doc))):
                     order = np.argsort(docs, kind="stable")
                     cut = np.flatnonzero(np.diff(docs[order], prepend=-1))
                     for i, j in zip(cut, np.append(cut[1:], len(order))):

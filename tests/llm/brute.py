@@ -71,6 +71,24 @@ def benchmark(docs, items, window):
     return out
 
 
+def near(docs, items, window, slop):
+    """The items with a window whose terms are all within ``slop`` of their offsets from some place."""
+    out = []
+    for i, t in docs:
+        w, names = ITEM_WORD.findall(lower(t)), set()
+        for item, text in items:
+            if item is None or text is None:
+                continue
+            v = ITEM_WORD.findall(lower(text))
+            for p in range(max(1, len(v) - window + 1) if v else 0):
+                terms = v[p:p + window]
+                if any(all(any(0 <= s + k + d < len(w) and w[s + k + d] == x for d in range(-slop, slop + 1)) for k, x in enumerate(terms))
+                       for s in range(-window - slop, len(w) + slop)):
+                    names.add(str(item))
+        out.append((i, sorted(names)))
+    return out
+
+
 def rules(text):
     text = text or ""
     w = WORD.findall(text)

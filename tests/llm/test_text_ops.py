@@ -35,7 +35,8 @@ def test_benchmark_equals_brute_force(spark, monkeypatch):
     out = dec.find_benchmark(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), window=4, slop=1).collect()
     got = {r.doc_id: (r.doc_id, r.n_words, r.n_hit, r["items"], r.contaminated) for r in out}
     assert got == {x[0]: x for x in brute.benchmark(docs, items, 4)}
-    assert all(set(r["items"]) <= set(r.near_items) for r in out) and any(set(r["items"]) < set(r.near_items) for r in out)
+    assert {r.doc_id: r.near_items for r in out} == dict(brute.near(docs, items, 4, 1))
+    assert any(set(r["items"]) < set(r.near_items) for r in out)
 
 
 def test_proximity(spark):
