@@ -2,8 +2,8 @@
 
 A text is cut into sentences at line ends and after ``.``, ``!``, ``?``, ``:`` and ``;`` before white space.
 Sentences are normalised (A-Z lower-cased, all but letters and digits to one space) and looked up
-in a table of known licence sentences by hash; a sentence that lines wrap is found as up to
-``WRAP`` parts of which only the last has an end. Then the rules are tried in order on a text's
+in a table of known licence sentences by hash. Known sentences are cut in the same way, and parts are
+joined up to the longest of them, so one is found however its lines wrap. Then the rules are tried in order on a text's
 identifiers: a rule that finds its sequence, one identifier after the other with only unknown
 sentences in between, gives its licence and uses the sentences up.
 
@@ -24,8 +24,6 @@ from pyspark.sql import functions as F
 
 from riskspark.llm.stage import carried
 
-WRAP = 4
-
 #: Sentences of public licences and notices, by identifier.
 SENTENCES = {
     "mit-mention": ["Released under the MIT License", "Licensed under the MIT License", "This project is licensed under the MIT License"],
@@ -39,11 +37,10 @@ SENTENCES = {
                    "and/or other materials provided with the distribution."],
     "bsd-name": ["Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
                  "without specific prior written permission."],
-    "apache-mention": ["Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 (the \"License\");",
-                       "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."],
+    "apache-mention": ["Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 (the \"License\");"],
     "apache-copy": ["You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"],
     "gpl3-mention": ["This work is licensed under the GNU General Public License, version 3.", "Licensed under the GNU General Public License, version 3."],
-    "gpl3-later": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
+    "gpl3-later": ["you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
                    "Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
     "cc-by-nc-mention": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "cc-by-mention": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
@@ -67,6 +64,7 @@ RULES = [
 ]
 
 _CUT = r"\n|(?<=[.!?:;])[\x20\x09-\x0D]+"
+_END = r"[.!?:;][^0-9A-Za-z]*$"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _OTHER = r"[^0-9a-z\x{80}-\x{10FFFF}]+"
 
@@ -77,6 +75,16 @@ def normalised(sentence: str) -> str:
     return re.sub("[^0-9a-z\x80-\U0010ffff]+", " ", low).strip(" ")
 
 
+def _joined(sentence: str) -> str:
+    """A known sentence as the scan joins its parts: a point after one with an end, and one space between them."""
+    parts = [x for x in re.split(_CUT, sentence) if x.strip(" ")]
+    return "".join(normalised(x) + ("" if x is parts[-1] else ". " if re.search(_END, x) else " ") for x in parts)
+
+
+#: The most parts that lines can cut a known sentence into: its words.
+WRAP = max(len(_joined(s).split(" ")) for forms in SENTENCES.values() for s in forms)
+
+
 def _let(value: Column, body) -> Column:
     """``body(value)``, with the value worked out once a row."""
     return F.transform(F.array(value), body)[0]
@@ -86,23 +94,27 @@ def scan(docs: DataFrame, text_col: str = "text", sentences: dict[str, list[str]
     """``docs`` with ``n_sentences``, ``sentence_ids`` (the known ones, in order) and ``licences`` (in the rules' order)."""
     new = ("n_sentences", "sentence_ids", "licences")
     names, others = carried(docs, new)
-    known = {normalised(s): name for name, forms in sentences.items() for s in forms}
+    known = {_joined(s): name for name, forms in sentences.items() for s in forms}
+    longest, most = max(map(len, known), default=0), max((len(s.split(" ")) for s in known), default=1)
+    last = sorted({s.split(" ")[-1] for s in known})
     table = F.create_map(*(x for s, name in known.items() for x in (F.xxhash64(F.lit(s)), F.lit(name))))
 
     parts = F.filter(F.split(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), _CUT), lambda s: F.trim(s) != "")
     parts = F.transform(parts, lambda s: F.struct(
-        F.trim(F.regexp_replace(F.translate(s, _UPPER, _LOWER), _OTHER, " ")).alias("s"), s.rlike(r"[.!?:;][^0-9A-Za-z]*$").alias("end")))
+        F.trim(F.regexp_replace(F.translate(s, _UPPER, _LOWER), _OTHER, " ")).alias("s"), s.rlike(_END).alias("end")))
 
     def looked_up(p):
-        def at(i):
-            out, whole, open_ = [], F.get(p, i)["s"], F.lit(True)
-            out.append(F.try_element_at(table, F.xxhash64(whole)))
-            for back in range(1, WRAP):
-                open_ = open_ & (i >= back) & ~F.coalesce(F.get(p, i - back)["end"], F.lit(True))
-                whole = F.concat(F.get(p, i - back)["s"], F.lit(" "), whole)
-                out.append(F.when(open_, F.try_element_at(table, F.xxhash64(whole))))
-            return F.coalesce(*out)
-        every = F.when(F.size(p) > 0, F.transform(F.sequence(F.lit(0), F.size(p) - 1), at)).otherwise(F.array().cast("array<string>"))
+        def state(whole):
+            return F.struct(whole.alias("whole"), F.try_element_at(table, F.xxhash64(whole)).alias("id"))
+
+        def longer(acc, before):
+            done = acc["id"].isNotNull() | (F.char_length(acc["whole"]) >= longest)
+            return F.when(done, acc).otherwise(state(F.concat(before["s"], F.when(before["end"], ". ").otherwise(" "), acc["whole"])))
+
+        def at(part, i):
+            before = F.reverse(F.slice(p, F.greatest(i - (most - 2), F.lit(1)), F.least(i, F.lit(most - 1))))
+            return F.when(F.substring_index(part["s"], " ", -1).isin(last), F.aggregate(before, state(part["s"]), longer, lambda acc: acc["id"]))
+        every = F.transform(p, at)
         return F.struct(F.size(p).cast("long").alias("n"), F.filter(every, lambda x: x.isNotNull()).alias("ids"))
 
     steps = F.array(*(F.struct(F.lit(name).alias("name"), F.lit("".join(f",{x}," for x in ids)).alias("ids")) for name, ids in rules))

@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 import zlib
 
 import brute
@@ -160,6 +161,28 @@ def test_licences_equal_brute_force(spark, odd, empty):
     assert scan(empty).count() == 0
 
 
+def test_licences_are_found_as_published(spark):
+    wrapped = [(name, textwrap.fill(form, width, initial_indent=indent, subsequent_indent=indent, break_long_words=False))
+               for name, forms in SENTENCES.items() for form in forms for width in (1, 24, 50, 78) for indent in ("", " * ")]
+    wrapped += [(name, form) for name, forms in SENTENCES.items() for form in forms]
+    out = scan(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(wrapped)], "doc_id long, text string")).collect()
+    assert {r.doc_id: set(r.sentence_ids) for r in out} == {i: {name} for i, (name, _) in enumerate(wrapped)}
+
+    rules = [(name, "\n\n".join(textwrap.fill(SENTENCES[x][0], 78) for x in ids)) for name, ids in RULES]
+    rules += [("GPL-3.0-or-later", "    This program is free software: you can redistribute it and/or modify\n    it under the terms of the GNU General Public License as published by\n"
+               "    the Free Software Foundation, either version 3 of the License, or\n    (at your option) any later version.\n"),
+              ("Apache-2.0", '   Licensed under the Apache License, Version 2.0 (the "License");\n   you may not use this file except in compliance with the License.\n'
+               "   You may obtain a copy of the License at\n\n       http://www.apache.org/licenses/LICENSE-2.0\n")]
+    out = scan(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rules)], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.licences for r in out} == {i: [name] for i, (name, _) in enumerate(rules)}
+
+
+def test_known_sentences_with_ends_inside(spark):
+    texts = ["Free: you may\ncopy it. More.", "free:\nyou may copy; it.", "free you may copy it."]
+    out = scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), sentences={"x": ["Free: you may copy it."]}, rules=[("X", ["x"])]).collect()
+    assert {r.doc_id: r.licences for r in out} == {0: ["X"], 1: [], 2: []}
+
+
 def test_ordered_rules_use_sentences_up(spark):
     text = " ".join(f[0] for n, f in SENTENCES.items() if n.startswith("bsd")) + "\nLicensed under the MIT License"
     r = scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
