@@ -10,7 +10,8 @@ of windows rises by one and the block is dealt again.
 
 Tasks pack what they read, so nothing is shuffled and the padding is that of one block's
 rounding. The vocabulary is a file of ranks; the ids are those of the ``tokenizers`` file
-of the same vocabulary (texts that hold one of its special tokens are read with that file).
+of the same vocabulary (texts that hold one of its special tokens, and those that the ranks'
+regex cannot read, such as a run of a million spaces, are read with that file).
 
 Defined results: a null or empty text is the end token alone. Every row is a document of
 its own, whatever its id; ids may be null. Other columns are ignored. An empty table gives
@@ -48,9 +49,12 @@ def _encoder(path: str | None):
     plain = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(text: str) -> np.ndarray:
-        if any(s in text for s in special):
-            return np.array(whole.encode(text, add_special_tokens=False).ids, "<u4")
-        return plain.encode_to_numpy(text, allowed_special=set(), disallowed_special=()).astype("<u4")
+        if not any(s in text for s in special):
+            try:
+                return plain.encode_to_numpy(text, allowed_special=set(), disallowed_special=()).astype("<u4")
+            except ValueError:  # the regex's stack is full
+                pass
+        return np.array(whole.encode(text, add_special_tokens=False).ids, "<u4")
 
     return encode
 

@@ -101,6 +101,18 @@ def test_packing_round_trip(spark, odd, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_packing_of_very_long_runs(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a" + " " * 2_000_000 + "b", "\n" * 2_000_000, "x " + "\t " * 1_000_000, "z" * 2_000_000, "!" * 2_000_000]
+    out = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for i, text in enumerate(texts):
+        ids = np.concatenate([np.frombuffer(r.ids, "<u4") for r in sorted(out, key=lambda r: r.start) if r.doc_id == i])
+        assert ids.tolist() == [*t.encode(text, add_special_tokens=False).ids, 0]
+
+
 def test_rules_equal_brute_force(spark, odd, empty):
     rng = random.Random(4)
     common = ["Share this page", "Posted on 12 May", "All rights  reserved"]
