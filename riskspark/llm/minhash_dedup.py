@@ -36,7 +36,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.llm.stage import carried, dropped, staged
@@ -44,7 +44,7 @@ from riskspark.llm.words import U64, Words, as_bytes, in_chunks, mix, windows
 
 CHUNK_BYTES = 1 << 20
 BLOCK, LONG = 512, 1024
-SLOT_ROWS = 4096  # of members that one call compares, block after block
+SLOT_ROWS = 4096  # that one call compares, block after block; a member is a row for each block of its group
 _STEP, _SPLIT, _SHIFT = U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9)
 
 
@@ -213,6 +213,18 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
+def _blocks() -> Column:
+    """The blocks of a group."""
+    return F.ceil(F.col("size") / BLOCK)
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """``members`` once for each block that theirs is compared with, in slots of about ``SLOT_ROWS`` such rows. One job runs."""
+    rows = members.agg(F.sum(_blocks())).first()[0] or 0
+    return (members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), _blocks() - 1))).withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
+            .withColumn("slot", F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(max(1, rows // SLOT_ROWS)))).drop("other", "size"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8,
                     bands: int = 40, rows: int = 6) -> DataFrame:
     """One row for each document: the id column, ``node`` (its content), ``class_id``, ``copies`` (rows with its content)
@@ -239,14 +251,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     labelled = members.join(roots, "node", "left").select("key", "node", "size", F.coalesce("root", "node").alias("root"))
     mixed = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-    blocks = F.ceil(F.col("size") / BLOCK)
-    open_ = staged(labelled.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), blocks)), "open")
+    open_ = staged(labelled.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), _blocks())), "open")
     inside = open_.select("node").distinct()
     details = staged(texts.join(inside, "node", "left_semi").mapInArrow(_long(shingle), "node binary, long binary").join(nodes.select("node", "bands"), "node"), "details")
-    slots = max(1, open_.count() // SLOT_ROWS)
-    dealt = (open_.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))).withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-             .withColumn("slot", F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(slots))).drop("other", "size"))
-    pairs = dealt.join(details, "node").groupBy("slot").applyInArrow(_compared(similarity), "a binary, b binary")
+    pairs = _dealt(open_).join(details, "node").groupBy("slot").applyInArrow(_compared(similarity), "a binary, b binary")
     done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = staged(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(done, ["a", "b"], "left_anti"), "pairs")
     roots = components(links.unionByName(verified(pairs).where(F.col("similarity") >= similarity).select("a", "b")))

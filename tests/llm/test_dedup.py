@@ -4,6 +4,7 @@ import random
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 
 import riskspark.llm.minhash_dedup as near
 import riskspark.llm.substring_dedup as sub
@@ -94,6 +95,26 @@ def test_signatures_estimate_weighted_similarity():
         assert abs((s[0] == s[1]).mean() - brute.similarity(a, b)) < 0.04  # five deviations
 
 
+def test_calls_stay_small_in_a_hot_group(spark, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK", 16)
+    monkeypatch.setattr(near, "SLOT_ROWS", 128)
+    members = spark.range(2000).selectExpr("7L key", "id node", "2000L size", "id root").withColumn("block", F.pmod(F.xxhash64("node"), near._blocks()))
+    dealt = near._dealt(members)
+    assert dealt.count() == 2000 * 125
+    assert dealt.groupBy("slot").count().agg(F.max("count")).first()[0] < 8 * 128
+    assert dealt.groupBy("lo", "hi").agg(F.countDistinct("slot").alias("n")).where("n > 1").count() == 0
+
+
+def test_near_classes_of_a_hot_group(spark, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK", 4)
+    monkeypatch.setattr(near, "SLOT_ROWS", 16)
+    rng, template = random.Random(9), [f"t{i}" for i in range(120)]
+    rows = [(i, " ".join(rng.choice("pq") + str(k) if k // 6 in places else w for k, w in enumerate(template)))
+            for i, places in enumerate({rng.randrange(20)} for _ in range(60))]
+    got = {r.doc_id: r.class_id for r in near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute.classes(rows)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 105), (105, 103), (200, 201)]
     got = {r.node: r.root for r in near.components(spark.createDataFrame(edges, "a long, b long")).collect()}
