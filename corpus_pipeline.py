@@ -20,7 +20,7 @@ from riskspark.sources.tables import read_table
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go; the source is the host."""
-    return judge(docs).where("kept").select(*docs.columns)
+    return judge(docs, line_words=None).where("kept").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

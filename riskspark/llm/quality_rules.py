@@ -2,9 +2,8 @@
 
 Rules of a text: too few words, or too many of them in three-word windows that repeat.
 
-Line frequency: the lines of up to ``line_words`` words (longer repeated lines are passages,
-a matter for de-duplication) are normalised (A-Z lower-cased, digits to 0, white space to one
-space) and hashed; for each host the documents with a line are counted. Documents of one host
+Line frequency: the lines (only those of up to ``line_words`` words, if that is given) are
+normalised (A-Z lower-cased, digits to 0, white space to one space) and hashed; for each host the documents with a line are counted. Documents of one host
 with the same text count as one. A line is over the limit if more than ``limit`` documents and
 more than ``share`` of the host's documents have it. Such lines are removed, and a document
 that loses more than half of its words by that is rejected.
@@ -68,21 +67,20 @@ def repeated_lines(text: Column) -> Column:
     return _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long")
 
 
-def lines_of(text: Column, line_words: int) -> Column:
-    """The short lines, as structs of hash and words."""
+def lines_of(text: Column, line_words: int | None) -> Column:
+    """The lines with a word, as structs of hash and words; with ``line_words``, those of at most so many words."""
     norm = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.trim(F.regexp_replace(F.translate(x, _UPPER, _LOWER), _GAP, " ")))
     counted = F.transform(F.filter(norm, lambda x: x != ""), lambda x: F.struct(F.xxhash64(x).alias("line"), (F.char_length(x) - F.char_length(F.translate(x, " ", "")) + 1).alias("words")))
-    return F.filter(counted, lambda x: x["words"] <= line_words)
+    return counted if line_words is None else F.filter(counted, lambda x: x["words"] <= line_words)
 
 
-def judge(docs: DataFrame, host_col: str = "source", text_col: str = "text", line_words: int = 20, limit: int = 10, share: float = 0.005) -> DataFrame:
+def judge(docs: DataFrame, host_col: str = "source", text_col: str = "text", line_words: int | None = 20, limit: int = 10, share: float = 0.005) -> DataFrame:
     """``docs`` with ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``,
-    ``n_removed_words`` (in lines over the limits) and ``kept``. One job runs when it is called."""
+    ``n_removed_words`` (in lines over the limits) and ``kept``. ``line_words=None`` counts every line. One job runs when it is called."""
     new = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_removed_words", "kept")
     names, others = carried(docs, new)
     text, host = F.col(f"`{text_col}`"), F.col(f"`{host_col}`").cast("string")
     key = F.struct(host.alias("host"), F.xxhash64(text).alias("a"), F.hash(text).alias("b"))
-    # A line over the limits has more than ``limit`` documents, so texts without a short line need not be kept.
     texts = staged(docs.select(key.alias("_key"), lines_of(text, line_words).alias("lines")).groupBy("_key").agg(F.first("lines").alias("lines")), "lines")
     hosts = texts.groupBy(F.col("_key.host").alias("host")).agg(F.count(F.lit(1)).alias("docs"))
     lines = texts.select("_key", F.explode("lines").alias("x")).select("_key", F.col("_key.host").alias("host"), "x.line", "x.words")

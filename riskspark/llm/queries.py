@@ -73,9 +73,9 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rules over every document; the source is the host."""
+    """The rules over every document and all its lines; the source is the host."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return judge(docs).drop("source", "text")
+    return judge(docs, line_words=None).drop("source", "text")
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -136,6 +136,21 @@ def test_rules_equal_brute_force(spark, odd, empty):
     assert judge(empty).count() == 0
 
 
+def test_long_lines_are_counted(spark, tmp_path):
+    from riskspark.llm.queries import op8_quality_rules
+
+    rng = random.Random(12)
+    footer = " ".join(f"footer{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(70))
+    own = lambda n: " ".join(f"w{rng.choice('abcdefgh')}{rng.choice('ijklmnop')}{rng.choice('qrstuvwx')}" for _ in range(n))
+    rows = [(i, "h", own(60 if i % 2 else 100) + "\n" + (footer if i < 24 else own(30))) for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    gone = brute.frequent_lines([(h, t) for _, h, t in rows], 10**9, 10, 0.005)
+    assert gone == [70] * 24 + [0] * 16
+    out = {r.doc_id: r for r in op8_quality_rules(spark, str(tmp_path)).collect()}
+    assert [out[i].n_removed_words for i, *_ in rows] == gone
+    assert not any(r.base_failed for r in out.values()) and [i for i in out if not out[i].kept] == [i for i in out if i < 24 and i % 2]
+
+
 def licences(text):
     known = {normalised(s): n for n, forms in SENTENCES.items() for s in forms}
     parts = [s for s in re.split(r"\n|(?<=[.!?:;])[\x20\x09-\x0D]+", text or "") if s.strip(" ")]
