@@ -19,8 +19,10 @@ from riskspark.sources.tables import read_table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go; the source is the host."""
-    return judge(docs, line_words=None).where("kept").select(*docs.columns)
+    """Documents that the rules reject go, and the host's frequent lines; the source is the host. ``n_chars`` follows the text."""
+    lost = F.col("n_removed_words") > 0
+    text, size = F.when(lost, F.col("kept_text")).otherwise(F.col("text")), F.when(lost, F.char_length("kept_text").cast("long")).otherwise(F.col("n_chars"))
+    return judge(docs, line_words=None, cleaned=True).where("kept").withColumns({"text": text, "n_chars": size}).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

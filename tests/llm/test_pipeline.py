@@ -93,6 +93,22 @@ def test_stages_against_brute_force(spark, small, tmp_path):
         assert sum(x[1] for x in own) == own[0][2] and [x[0] for x in sorted(own)] == list(np.cumsum([0, *(x[1] for x in sorted(own))])[:-1])
 
 
+def test_frequent_lines_go(spark, tmp_path):
+    rng = random.Random(13)
+    line = lambda n: " ".join(f"{rng.choice('abcdefgh')}{rng.choice('ijklmnop')}{rng.choice('qrstuvwx')}" for _ in range(n))
+    footer, rows, want = line(30), [], []
+    for i in range(30):
+        own = [line(40), "", line(40) + "  "]
+        held = i < 20
+        rows.append((i, "\n".join([f"Posted on {i + 10} May", *own, footer, f"posted  ON {i + 10} may"] if held else own), "en", "s", -1))
+        want.append((i, "\n".join(own), "en", "s", len("\n".join(own)) if held else -1))
+    rows += [(100, footer + "\n" + line(29), "en", "s", -1), (101, None, "en", "s", -1), (102, f"{footer}\n{line(60)}", "en", None, -1)]
+    want += [rows[-1]]  # the lines of another host
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = dict(pipeline.STAGES)["quality_rules"](spark, docs, str(tmp_path))
+    assert sorted(map(tuple, out.collect())) == want
+
+
 def test_run_applies_all_stages(spark, small):
     out = pipeline.run(spark, small[0])
     assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
