@@ -6,20 +6,9 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
-
-
 @pytest.fixture(scope="session")
 def spark():
     from riskspark.session import local_session
     s = local_session("*", shuffle_partitions=8, app="riskspark-tests")
     yield s
     s.stop()
-
-
-def app_rows(spark, rows):
-    """A small application DataFrame: ``rows`` are dicts of the columns to set, others null."""
-    from riskspark.schema import APPLICATION
-    full = [tuple(r.get(f.name) for f in APPLICATION.fields) for r in rows]
-    return spark.createDataFrame(full, APPLICATION)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from riskspark.api import CreditRiskService, filters_metadata
 from riskspark.operators.filters import PortfolioFilters
 from riskspark.sources.fixtures import application, users_data

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import app_rows
+from paths import app_rows
 from riskspark.functions import client as C
 from riskspark.functions import portfolio as P
 from riskspark.operators.filters import PortfolioFilters

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from riskspark.queries import QUERIES
 from riskspark.testing.compare import compare, duckdb_connection
 from riskspark.testing.oracles import ORACLE_SQL
@@ -27,7 +27,7 @@ def test_every_oracle_has_a_query():
 
 def test_anchor_values_sf0_01(spark):
     """Anchors of the survey at sf0.01, no filters."""
-    from conftest import SF_ORACLE
+    from paths import SF_ORACLE
     g1 = {r.AGE_GROUP: (r.CLIENT_COUNT, r.DEFAULT_RATE) for r in QUERIES["g1_age"](spark, SF_ORACLE).collect()}
     assert g1["< 25 ans"] == (1906, 33.11) and g1["> 55 ans"] == (4343, 32.12)
     g2 = {r.RATIO_CATEGORY: (r.COUNT, r.AVG_RATIO, r.DEFAULT_RATE)

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from riskspark.queries import QUERIES
 from riskspark.testing.oracles import ORACLE_SQL
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from riskspark.operators.filters import PortfolioFilters
 from riskspark.plans import analyses as G
 from riskspark.plans.report import portfolio_report

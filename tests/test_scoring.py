@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from riskspark.plans.scoring import RiskModel, fit, score, score_clients
 from riskspark.session import scratch_path
 from riskspark.sources.fixtures import application

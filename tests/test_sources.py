@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from riskspark.schema import APPLICATION_COLUMNS
 from riskspark.session import scratch_path
 from riskspark.sources.cache import export, keep_hot, materialize

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_ORACLE
+from paths import SF_ORACLE
 from riskspark.session import scratch_path
 from riskspark.streaming.feedback import (feedback_records, parse_requests, rejected_requests, run_feedback_stream,
                                          start_rejected_stream, start_request_stream)
