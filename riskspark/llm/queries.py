@@ -17,6 +17,7 @@ from riskspark.llm.quality_classifier import fit, score
 from riskspark.llm.quality_rules import judge
 from riskspark.llm.substring_dedup import remove_repeats
 from riskspark.llm.suffix_dedup import remove_repeated_bytes
+from riskspark.llm.token_files import read_ids, token_files
 from riskspark.llm.url_filter import filter_urls
 from riskspark.sources.tables import read_table
 
@@ -92,6 +93,12 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs.select("doc_id", "text", held_out.alias("held_out")), model, keep=["doc_id", "held_out"])
 
 
+def op13_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of all documents, from the files that hold them."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return read_ids(spark, token_files(docs), checksums=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_license_scan": op2_license_scan,
@@ -103,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op13_token_ids": op13_token_ids,
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_substring_dedup": SUBSTRING_DEDUP, "op8_quality_rules": QUALITY_RULES}
