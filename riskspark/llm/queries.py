@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskspark.llm.decontaminate import find_benchmark
 from riskspark.llm.license_scan import scan
 from riskspark.llm.maxent_lm import language_scores
+from riskspark.llm.merkle import lower_case, manifest
 from riskspark.llm.minhash_dedup import near_duplicates
 from riskspark.llm.oracles import QUALITY_RULES, SUBSTRING_DEDUP
 from riskspark.llm.packing import pack
@@ -93,6 +94,13 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs.select("doc_id", "text", held_out.alias("held_out")), model, keep=["doc_id", "held_out"])
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof of inclusion; a third of the texts is lower-cased after the manifest was made."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    tampers = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    return manifest(docs, tampered={"text": lower_case(F.col("text"))}, tampers=tampers).drop("segment")
+
+
 def op13_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ids of all documents, from the files that hold them."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -110,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_token_ids": op13_token_ids,
 }
 
