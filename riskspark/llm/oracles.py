@@ -36,3 +36,61 @@ base AS (SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(list
 SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_removed_words * 2 <= n_words AS kept FROM base
 """
+
+
+def _centroids() -> str:
+    """Three rounds with 16 centroids over ``floor(64 * x)``."""
+    distance = "list_sum(list_transform(list_zip(v.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    near = f"""SELECT i, vec_id, v, cluster, distance FROM (SELECT v.i, v.vec_id, v.v, c.c AS cluster, {distance} AS distance,
+        row_number() OVER (PARTITION BY v.i ORDER BY {distance}, c.c) AS k FROM kept v CROSS JOIN %s c) WHERE k = 1"""
+    steps = [r"""kept AS MATERIALIZED (SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+        WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+             "c0 AS MATERIALIZED (SELECT * FROM (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v FROM kept) WHERE c < 16)"]
+    for r in range(3):
+        steps += [f"a{r} AS MATERIALIZED ({near % f'c{r}'})",
+                  f"m{r} AS (SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY p) AS v FROM (SELECT cluster, p, sum(x) AS s, count(*) AS n "
+                  f"FROM (SELECT cluster, unnest(v) AS x, unnest(range(64)) AS p FROM a{r}) GROUP BY 1, 2) GROUP BY 1)",
+                  f"c{r + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN m{r} m ON m.cluster = c.c)"]
+    return "WITH " + ",\n".join([*steps, f"a3 AS MATERIALIZED ({near % 'c3'})"]) + """
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c3.v, ',')) AS centroid_sha256 FROM a3 JOIN c3 ON c3.c = cluster
+"""
+
+
+CENTROIDS = _centroids()
+
+
+def _climb(name: str, levels: int) -> list[str]:
+    """The levels of the trees in ``name``\0 (tree, pos, n, digest), and the walk of ``name``\0_walk (key, tree, pos, n, proof, folded) up to their tops."""
+    steps = []
+    side = "coalesce(string_agg(digest, '') OVER (PARTITION BY tree, pos // 8 ORDER BY pos ROWS BETWEEN {}), '')"
+    for k in range(levels):
+        steps += [f"{name}{k}_sides AS (SELECT tree, pos, {side.format('UNBOUNDED PRECEDING AND 1 PRECEDING')} AS l, {side.format('1 FOLLOWING AND UNBOUNDED FOLLOWING')} AS r FROM {name}{k})",
+                  f"{name}{k + 1}_walk AS (SELECT key, w.tree, w.pos // 8 AS pos, (n + 7) // 8 AS n, proof || l || r AS proof, "
+                  f"CASE WHEN n > 1 THEN sha256(l || folded || r) ELSE folded END AS folded FROM {name}{k}_walk w JOIN {name}{k}_sides s ON s.tree = w.tree AND s.pos = w.pos)",
+                  f"{name}{k + 1} AS MATERIALIZED (SELECT tree, pos // 8 AS pos, (n + 7) // 8 AS n, CASE WHEN n > 1 THEN sha256(string_agg(digest, '' ORDER BY pos)) ELSE min(digest) END AS digest "
+                  f"FROM {name}{k} GROUP BY tree, pos // 8, n)"]
+    return steps
+
+
+def _merkle(levels: int = 8, high: int = 4) -> str:
+    """Trees of up to 8 ** ``levels`` documents a language, 8 ** ``high`` languages."""
+    field = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || {0} END"
+    leaf = lambda text: "sha256(" + " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = ("xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: CAST(ord(ch) AS BIGINT))), "
+           "lambda a, b: list_reduce(list_prepend(xor(a, b), [CAST(0 AS BIGINT) FOR _ IN range(8)]), lambda c, _: xor(c >> 1, 3988292384 * (c & 1)))))")
+    steps = [f"""docs AS MATERIALIZED (SELECT row_number() OVER () AS key, doc_id, {leaf('text')} AS leaf, CASE WHEN {crc} % 3 = 0 THEN {leaf(low)} END AS forged,
+        dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, lang FROM documents)""",
+             "low0_docs AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM docs)",
+             "low0 AS (SELECT tree, pos, n, leaf AS digest FROM low0_docs)",
+             "low0_walk AS (SELECT key, tree, pos, n, '' AS proof, coalesce(forged, leaf) AS folded FROM low0_docs)", *_climb("low", levels),
+             f"high0 AS MATERIALIZED (SELECT 0 AS tree, tree AS pos, count(*) OVER () AS n, digest FROM low{levels})",
+             f"high0_walk AS (SELECT key, 0 AS tree, w.tree AS pos, (SELECT count(*) FROM low{levels}) AS n, proof, folded FROM low{levels}_walk w)", *_climb("high", high)]
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT doc_id, leaf, s.digest AS subroot, r.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = r.digest AS verified
+FROM docs d JOIN low{levels} s ON s.tree = d.tree JOIN high{high}_walk w ON w.key = d.key CROSS JOIN high{high} r
+"""
+
+
+MERKLE = _merkle()

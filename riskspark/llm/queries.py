@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskspark.llm.centroids import cluster_vectors, with_inertia
 from riskspark.llm.decontaminate import find_benchmark
 from riskspark.llm.license_scan import scan
 from riskspark.llm.maxent_lm import language_scores
 from riskspark.llm.merkle import lower_case, manifest
 from riskspark.llm.minhash_dedup import near_duplicates
-from riskspark.llm.oracles import QUALITY_RULES, SUBSTRING_DEDUP
+from riskspark.llm.oracles import CENTROIDS, MERKLE, QUALITY_RULES, SUBSTRING_DEDUP
 from riskspark.llm.packing import pack
 from riskspark.llm.quality_classifier import fit, score
 from riskspark.llm.quality_rules import judge
@@ -94,6 +95,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs.select("doc_id", "text", held_out.alias("held_out")), model, keep=["doc_id", "held_out"])
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every vector after three rounds with 16 centroids."""
+    return with_inertia(*cluster_vectors(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's proof of inclusion; a third of the texts is lower-cased after the manifest was made."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
@@ -118,8 +124,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_centroid_clusters": op11_centroid_clusters,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_token_ids": op13_token_ids,
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_substring_dedup": SUBSTRING_DEDUP, "op8_quality_rules": QUALITY_RULES}
+ORACLE_SQL: dict[str, str] = {"op4_substring_dedup": SUBSTRING_DEDUP, "op8_quality_rules": QUALITY_RULES,
+                              "op11_centroid_clusters": CENTROIDS, "op12_merkle_manifest": MERKLE}
