@@ -14,14 +14,14 @@ from riskspark.session import remove_path, scratch_path
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and return the table that reads it."""
+def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` as Parquet (with the writer's ``options``) under ``spark.checkpoint.dir`` and return the table that reads it."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")  # this job's shuffle files go when it has ended
     try:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)

@@ -1,9 +1,9 @@
 """Token ids in binary files: frequency-ranked, byte-aligned codes with separate control bytes.
 
-``write_ids`` reads the texts twice. The first pass counts every id of the corpus; the most
-frequent id gets rank 0, and so on. The second deals the texts out by ranges of the document
-id, sorts each range, and codes it into one file: a rank takes 1 to 4 bytes, and the lengths
-of four ranks share one control byte, so that no code has to be taken bit by bit.
+``write_ids`` reads the texts once and keeps their ids in a staged table. Every id of the corpus
+is counted; the most frequent one gets rank 0, and so on. Then the ids are dealt out by ranges of
+the document id, and each range is sorted and coded into one file: a rank takes 1 to 4 bytes, and
+the lengths of four ranks share one control byte, so that no code has to be taken bit by bit.
 
 The files lie under ``path/ids`` and are written by Spark's own writer, so a lost task leaves
 no half file and any store that Spark writes to will do. A file is a run of blocks, each followed
@@ -29,6 +29,8 @@ An empty table gives an empty table (and no file).
 from __future__ import annotations
 
 import json
+import os
+import re
 import zlib
 from functools import lru_cache
 from itertools import chain
@@ -39,12 +41,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskspark.llm.stage import dropped, staged
 from riskspark.llm.words import LOWER, NOT_SPACE, as_bytes, in_chunks
 from riskspark.session import scratch_path
 
 CHUNK_BYTES = 1 << 22
 BLOCK_IDS = 1 << 20
-MEMORY = 400_000  # pieces remembered by a Python worker
+MEMORY = 800_000  # pieces remembered by a Python worker
 
 #: The header of a block: mark, shard, block in the shard, ids in the shard before it, documents, ids, data bytes.
 MARK = 0x31444954
@@ -54,6 +57,10 @@ HEADER = np.dtype([("mark", "<u4"), ("shard", "<u4"), ("block", "<u8"), ("before
 STEPS = [["NFC", None], ["Replace", r"\s+"], ["Lowercase", None],
          ["Split", r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"], ["ByteLevel", None]]
 
+#: Letters that these steps leave as they are, but for the names of their bytes: a to z and the small letters of Latin-1.
+LETTERS = "abcdefghijklmnopqrstuvwxyz" + "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+_WORD = re.compile(f"[{LETTERS}]+")
+
 _LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + np.uint8(1)
 
 
@@ -85,13 +92,16 @@ class _Reader:
         import public_tokenizers
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         path = path or public_tokenizers.path("word_bpe_49k.json")
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         with open(path) as f:
             spec = json.load(f)
-        steps = [[x.get("type"), x.get("pattern", {}).get("Regex")] for k in ("normalizer", "pre_tokenizer") for x in (spec.get(k) or {}).get(f"{k}s", [])]
+        parts = [*(spec.get("normalizer") or {}).get("normalizers", []), *(spec.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+        steps = [[x.get("type"), x.get("pattern", {}).get("Regex")] for x in parts]
         self.cuts = steps == STEPS  # a vocabulary with other steps reads whole texts
+        self.letters = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in LETTERS} if self.cuts else {}
         self._forget()
 
     def _forget(self) -> None:
@@ -99,9 +109,17 @@ class _Reader:
         self.pieces = self.used = 0
         self.ids, self.first, self.count = np.empty(1 << 16, "<u4"), np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
 
+    def _ids(self, pieces: list[bytes]) -> list[list[int]]:
+        """The library's ids of each piece. One word of letters that its steps leave alone goes to the merges at once."""
+        texts = [p.decode("utf-8", "replace") for p in pieces]
+        words = [bool(_WORD.fullmatch(t)) for t in texts] if self.cuts else [False] * len(texts)
+        other = iter(self.tokenizer.encode_batch_fast([t for t, w in zip(texts, words) if not w], add_special_tokens=False))
+        merges = self.tokenizer.model.tokenize
+        return [[x.id for x in merges(t.translate(self.letters))] if w else next(other).ids for t, w in zip(texts, words)]
+
     def _learn(self, pieces: list[bytes]) -> None:
         """Read pieces that are not known yet."""
-        lists = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False)]
+        lists = self._ids(pieces)
         n = np.array([len(x) for x in lists], np.int64)
         at, ends = self.pieces, self.used + np.cumsum(n)
         while ends[-1] > len(self.ids):
@@ -123,7 +141,7 @@ class _Reader:
     def read(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all ``texts``, one after the other, and the number of each text's."""
         if not self.cuts:
-            lists = [e.ids for e in self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
+            lists = self._ids(texts)
             return np.fromiter(chain.from_iterable(lists), "<u4"), np.array([len(x) for x in lists], np.int64)
         joined = b"\n".join(texts) + b"\n"
         buf = np.frombuffer(joined, np.uint8)
@@ -179,49 +197,58 @@ def _texts(reader: _Reader, part, end: int) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(ids, np.cumsum(n), end).astype("<u4"), n + 1
 
 
-def _counts(path: str | None, end: int):
-    """The ids of a task's texts and how often each occurs."""
+def _read(path: str | None, end: int, kind: str):
+    """The ids of each text as one binary value."""
     def run(batches):
-        reader, total = _reader(path), None
+        reader = _reader(path)
         for batch in batches:
             for part in in_chunks(batch, CHUNK_BYTES):
-                found = np.bincount(_texts(reader, part, end)[0], minlength=reader.size)
-                total = found if total is None else total + found
-        if total is not None:
-            have = np.flatnonzero(total)
+                flat, n = _texts(reader, part, end)
+                ends = np.concatenate(([0], np.cumsum(n))) * np.dtype(kind).itemsize
+                raw = flat.astype(kind).tobytes()
+                cells = pa.array([raw[a:b] for a, b in zip(ends, ends[1:])], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("key"), cells], names=["id", "key", "ids"])
+    return run
+
+
+def _counts(kind: str):
+    """The ids of a task's texts and how often each occurs."""
+    def run(batches):
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            found = np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), kind), minlength=len(total))
+            found[:len(total)] += total
+            total = found
+        have = np.flatnonzero(total)
+        if len(have):
             yield pa.RecordBatch.from_arrays([pa.array(have, pa.int64()), pa.array(total[have], pa.int64())], names=["id", "n"])
     return run
 
 
-def _blocks(path: str | None, end: int, rank: np.ndarray):
+def _blocks(kind: str, rank: np.ndarray):
     """The blocks of a sorted range of documents."""
     def run(batches):
-        reader, shard = _reader(path), TaskContext.get().partitionId()
-        number = before = held = 0
-        docs, lengths, ids = [], [], []
-
-        def block():
-            nonlocal number, before, held, docs, lengths, ids
-            flat, n = np.concatenate(ids), np.concatenate(lengths).astype("<u8")
-            keys = pa.chunked_array(docs)
+        shard = TaskContext.get().partitionId()
+        number = before = 0
+
+        def block(keys, cells):
+            nonlocal number, before
+            n = np.array([len(c) // np.dtype(kind).itemsize for c in cells], "<u8")
+            flat = np.frombuffer(b"".join(cells), kind)
             control, data = encode_ranks(rank[flat])
             head = np.array([(MARK, shard, number, before, len(n), len(flat), len(data))], HEADER)
-            null = keys.is_null().to_numpy().astype(np.uint8)
+            null = keys.is_null().to_numpy(zero_copy_only=False).astype(np.uint8)
             out = b"".join([head.tobytes(), keys.fill_null(0).to_numpy().astype("<i8").tobytes(), null.tobytes(), n.tobytes(), control, data])
-            number, before, held, docs, lengths, ids = number + 1, before + len(flat), 0, [], [], []
+            number, before = number + 1, before + len(flat)
             return pa.RecordBatch.from_arrays([pa.array([out], pa.binary())], names=["block"])
 
         for batch in batches:
-            for part in in_chunks(batch, CHUNK_BYTES):
-                flat, n = _texts(reader, part, end)
-                docs.append(part.column("id"))
-                lengths.append(n)
-                ids.append(flat)
-                held += len(flat)
-                if held >= BLOCK_IDS:
-                    yield block()
-        if held:
-            yield block()
+            cells = batch.column("ids").to_pylist()
+            held = np.cumsum([len(c) // np.dtype(kind).itemsize for c in cells])
+            cut = [0, *(np.flatnonzero(np.diff(held // BLOCK_IDS)) + 1), len(cells)]
+            for a, b in zip(cut, cut[1:]):
+                if b > a:
+                    yield block(batch.column("id").slice(a, b - a), cells[a:b])
     return run
 
 
@@ -231,18 +258,21 @@ def write_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     shuffle partitions than that makes, as many files). ``vocabulary``: the file for ``tokenizers``; by default the
     public word-level one of 49k."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    size = _reader(vocabulary).size
+    kind = "<u2" if max(size, end + 1) <= 1 << 16 else "<u4"
+    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("key"), F.col(f"`{text_col}`").alias("text"))
+    ids = staged(docs.mapInArrow(_read(vocabulary, end, kind), "id long, key long, ids binary"), "ids", compression="zstd")
     # At most one row for each id of the vocabulary comes back.
-    counts = docs.select("text").mapInArrow(_counts(vocabulary, end), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counts = ids.select("ids").mapInArrow(_counts(kind), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     order = sorted((-r.n, r.id) for r in counts)
-    rank = np.zeros(max((i for _, i in order), default=0) + 1, "<u4")
+    rank = np.zeros(max(size, end + 1), "<u4")
     rank[[i for _, i in order]] = np.arange(len(order))
-    ranks = spark.createDataFrame([(k, i) for k, (_, i) in enumerate(order)], "rank long, id long")
-    ranks.coalesce(1).write.parquet(f"{path}/ranks")
+    spark.createDataFrame([(k, i) for k, (_, i) in enumerate(order)], "rank long, id long").coalesce(1).write.parquet(f"{path}/ranks")
     parts = max(-(-sum(-n for n, _ in order) // shard_ids), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    key = F.xxhash64("text")
-    blocks = docs.repartitionByRange(parts, F.asc_nulls_first("id"), key).sortWithinPartitions(F.asc_nulls_first("id"), key).mapInArrow(_blocks(vocabulary, end, rank), "block binary")
+    by = F.asc_nulls_first("id"), F.col("key")
+    blocks = ids.repartitionByRange(parts, *by).sortWithinPartitions(*by).select("id", "ids").mapInArrow(_blocks(kind, rank), "block binary")
     blocks.select(F.col("block").cast("string").alias("value")).write.option("compression", "none").text(f"{path}/ids")
+    dropped(ids)
     shards = _files(spark, path).mapInArrow(_headers, "shard long, block long, before long, ids long").groupBy("shard").agg(F.max(F.col("before") + F.col("ids")).alias("ids"))
     shards.coalesce(1).write.parquet(f"{path}/shards")
 
