@@ -164,3 +164,59 @@ def url(u, rules_):
 
 def crc(i):
     return zlib.crc32(str(i).encode())
+
+
+def leaf(values):
+    return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+
+def tree(digests, fanout):
+    """The top of a tree, and for each leaf the (left, right) siblings from the leaf up."""
+    paths, cover, now = [[] for _ in digests], [[i] for i in range(len(digests))], list(digests)
+    while len(now) > 1:
+        runs = [(now[a:a + fanout], cover[a:a + fanout]) for a in range(0, len(now), fanout)]
+        for run, below in runs:
+            for k, leaves in enumerate(below):
+                for i in leaves:
+                    paths[i].append((run[:k], run[k + 1:]))
+        now, cover = [sha("".join(run)) for run, _ in runs], [sum(below, []) for _, below in runs]
+    return now[0], paths
+
+
+def merkle(rows, forge, fanout=8):
+    """Per row (id, leaf, subroot, root, proof, folded, verified); rows: (id, lang, other values...), ``forge(row)``: the row that is there later."""
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[1], []).append(r)
+    langs = sorted(groups, key=lambda v: (v is not None, (v or "").encode()))
+    low = {}
+    for v in langs:
+        groups[v].sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+        low[v] = tree([leaf(r) for r in groups[v]], fanout)
+    root, high = tree([low[v][0] for v in langs], fanout)
+    out = []
+    for v, up in zip(langs, high):
+        for r, path in zip(groups[v], low[v][1]):
+            folded = leaf(forge(r))
+            for left, right in path + up:
+                folded = sha("".join([*left, folded, *right]))
+            proof = sha("".join(d for left, right in path + up for d in left + right))
+            out.append((r[0], leaf(r), low[v][0], root, proof, folded, folded == root))
+    return out
+
+
+def clusters(rows, k, rounds, dims, scale, seed):
+    """Per kept row (id, cluster, squared distance), and the centroids; rows: (id, vector)."""
+    good = [(i, [math.floor(scale * float(x)) for x in v]) for i, v in rows
+            if v is not None and len(v) == dims and all(x is not None and math.isfinite(x) for x in v)]
+    start = sorted(good, key=lambda r: (sha(f"{seed}:{'null' if r[0] is None else r[0]}"), r[1]))[:k]
+    centroids = [list(v) for _, v in start]
+    away = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    for n in range(rounds + 1):
+        found = [min((away(v, c), j) for j, c in enumerate(centroids)) for _, v in good] if centroids else []
+        if n < rounds:
+            for j in range(len(centroids)):
+                mine = [v for (_, v), (_, c) in zip(good, found) if c == j]
+                if mine:
+                    centroids[j] = [sum(x) // len(mine) for x in zip(*mine)]
+    return [(i, c, d) for (i, _), (d, c) in zip(good, found)], centroids
