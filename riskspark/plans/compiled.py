@@ -1,4 +1,4 @@
-"""The fitted linear model as one Column expression (fast batch scoring).
+"""The fitted pipeline of Spark ML stages as plain numbers (``RiskParameters``).
 
 Applying the ``PipelineModel`` and ``LogisticRegressionModel`` runs each
 stage (imputer, indexer, one-hot encoder, assembler, scaler, classifier) as
@@ -8,11 +8,8 @@ same probability is a plain expression over the raw columns:
     margin = intercept + sum_k w_k * impute(x_k) + sum_c weight_c[value_c] + sum_f w_f * flag_f
     probability = 1 / (1 + exp(-margin))
 
-The one-hot and scaling steps fold into a per-category weight
-(``coefficient / std``) held in a map literal. The result is built-in
-expressions only, so the whole scoring projection runs in one whole-stage
-codegen stage. Parameters are read from the fitted stages (a few hundred
-numbers); no data passes through the driver.
+Parameters are read from the fitted stages (a few hundred numbers); no data
+passes through the driver.
 """
 
 from __future__ import annotations
@@ -23,7 +20,8 @@ from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.feature import (ImputerModel, OneHotEncoderModel, StandardScalerModel, StringIndexerModel,
                                 VectorAssembler)
 from pyspark.sql import Column
-from pyspark.sql import functions as F
+
+from riskspark.plans.parameters import Category, Flag, Number, RiskParameters
 
 
 class NotCompilable(ValueError):
@@ -53,8 +51,8 @@ def _stages(model):
     return dict(zip(shape, stages))
 
 
-def margin_column(model) -> Column:
-    """Linear margin of the fitted pipeline + classifier, from the preprocessed columns."""
+def parameters_of(model) -> RiskParameters:
+    """The numbers of the fitted pipeline and classifier."""
     st = _stages(model)
     imputer, indexer, encoder = st[ImputerModel], st[StringIndexerModel], st[OneHotEncoderModel]
     assembler, scaler = st[VectorAssembler], st.get(StandardScalerModel)
@@ -66,55 +64,40 @@ def margin_column(model) -> Column:
     labels = dict(zip(indexer.getOutputCols(), indexer.labelsArray))
     encoded_to_indexed = dict(zip(encoder.getOutputCols(), encoder.getInputCols()))
     sizes = dict(zip(encoder.getInputCols(), encoder.categorySizes))
-    keep = encoder.getHandleInvalid() == "keep"
-    drop_last = encoder.getDropLast()
+    keep, drop_last = encoder.getHandleInvalid() == "keep", encoder.getDropLast()
 
     coef = clf.coefficients.toArray()
     std = scaler.std.toArray() if scaler is not None and scaler.getWithStd() else None
-    if scaler is not None and scaler.getWithMean():
-        raise NotCompilable("centering scaler")
 
-    def weight(pos: int) -> float:
+    def scale(pos: int) -> float:
         if std is None:
-            return float(coef[pos])
-        return 0.0 if std[pos] == 0 else float(coef[pos] / std[pos])
+            return 1.0
+        return 0.0 if std[pos] == 0 else 1 / float(std[pos])
 
-    terms: list[Column] = []
+    numbers, categories, flags = [], [], []
     pos = 0
     for col in assembler.getInputCols():
         if col in imputed_to_input:
             src = imputed_to_input[col]
-            x = F.col(src).cast("double")
-            filled = F.when(x.isNull() | F.isnan(x), F.lit(float(surrogate_row[src]))).otherwise(x)
-            terms.append(filled * F.lit(weight(pos)))
+            numbers.append(Number(src, float(surrogate_row[src]), scale(pos), float(coef[pos])))
             pos += 1
         elif col in encoded_to_indexed:
             idx_col = encoded_to_indexed[col]
             names = labels[idx_col]
             width = sizes[idx_col] + (1 if keep else 0) - (1 if drop_last else 0)
-            # index of a label -> its weight; index len(names) is the "unseen / null" slot
-            w = {name: (weight(pos + i) if i < width else 0.0) for i, name in enumerate(names)}
-            unseen = weight(pos + len(names)) if len(names) < width else 0.0
-            lookup = F.create_map(*[F.lit(x) for kv in w.items() for x in kv])
-            src = F.col(indexed_to_input[idx_col]).cast("string")
-            terms.append(F.coalesce(F.try_element_at(lookup, src), F.lit(unseen)))
+            if len(names) < width and scale(pos + len(names)) * coef[pos + len(names)] != 0:
+                raise NotCompilable(f"{col} gives labels that it has not seen a weight")
+            listed = range(min(len(names), width))
+            categories.append(Category(indexed_to_input[idx_col], tuple(names[i] for i in listed), tuple(scale(pos + i) for i in listed), tuple(float(coef[pos + i]) for i in listed)))
             pos += width
         else:
-            terms.append(F.col(col).cast("double") * F.lit(weight(pos)))
+            flags.append(Flag(col, scale(pos), float(coef[pos])))
             pos += 1
     if pos != len(coef):
         raise NotCompilable(f"feature layout mismatch: {pos} slots for {len(coef)} coefficients")
-    total = F.lit(float(clf.intercept))
-    for t in terms:
-        total = total + t
-    return total
+    return RiskParameters(tuple(numbers), tuple(categories), tuple(flags), float(clf.intercept), clf.getThreshold())
 
 
 def score_columns(model) -> tuple[Column, Column]:
     """``(probability of class 1, prediction)`` as expressions over the preprocessed columns."""
-    margin = margin_column(model)
-    probability = F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
-    threshold = model.classifier.getThreshold()
-    cut = math.log(threshold / (1 - threshold)) if 0 < threshold < 1 else (math.inf if threshold >= 1 else -math.inf)
-    prediction = F.when(margin > F.lit(cut), F.lit(1.0)).otherwise(F.lit(0.0))
-    return probability, prediction
+    return (model if isinstance(model, RiskParameters) else parameters_of(model)).score_columns()

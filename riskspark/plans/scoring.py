@@ -1,9 +1,11 @@
 """Default model: fit (M6), save / load (S4, S5) and batch scoring (M1-M5).
 
 The reference scores one client per request with a loaded ``PipelineModel``
-and ``LogisticRegressionModel`` and a Python UDF for the probability. Here
-the same two model objects score a whole table in one lazy plan; the
-probability of class 1 is read with ``vector_to_array`` (JVM side, no UDF).
+and ``LogisticRegressionModel`` and a Python UDF for the probability. Here a
+model is either such a pair (``RiskModel``) or the same linear model as plain
+numbers (``RiskParameters``: what ``fit`` gives, and the published set), and
+scores a whole table in one lazy plan; the probability of class 1 is read
+with ``vector_to_array`` (JVM side, no UDF).
 """
 
 from __future__ import annotations
@@ -20,9 +22,14 @@ from pyspark.sql import functions as F
 from riskspark.functions import client as C
 from riskspark.operators.filters import lookup_ids
 from riskspark.operators.preprocess import preprocess
+from riskspark.plans.newton import fit
+from riskspark.plans.parameters import RiskParameters, scores_of
 from riskspark.schema import CATEGORICAL_COLS, FLAG_COLS, NUMERIC_COLS
 from riskspark.sources.cache import materialize, release
 
+__all__ = ["RiskModel", "RiskParameters", "classify", "first_per_key", "fit", "fit_pipeline", "flatten_response", "load_classifier",
+           "load_preprocessor", "nested_response", "prepare", "risk_score", "score", "score_clients"]
+
 # Fallback scores when the model exposes no probability (M4).
 FALLBACK_POSITIVE = 0.75
 FALLBACK_NEGATIVE = 0.25
@@ -76,10 +83,10 @@ def preprocessor_pipeline(df: DataFrame) -> Pipeline:
     ])
 
 
-def fit(portfolio: DataFrame, *, max_iter: int = 50, reg_param: float = 0.01) -> RiskModel:
-    """M6: fit preprocessor and classifier on the rows with a known target.
+def fit_pipeline(portfolio: DataFrame, *, max_iter: int = 50, reg_param: float = 0.01, tol: float = 1e-6) -> RiskModel:
+    """M6 with Spark ML's stages: preprocessor and classifier of the rows with a known target.
 
-    Every stage fits with distributed aggregates (means, category counts,
+    ``newton.fit`` gives the same model as plain numbers in a few passes. Here every stage fits with distributed aggregates (means, category counts,
     column statistics, gradient sums); logistic regression persists its own
     training instances while it iterates.
     """
@@ -91,31 +98,39 @@ def fit(portfolio: DataFrame, *, max_iter: int = 50, reg_param: float = 0.01) ->
     train = materialize(train, "training")
     try:
         pre = preprocessor_pipeline(train).fit(train)
-        lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter,
+        lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter, tol=tol,
                                 regParam=reg_param, elasticNetParam=0.0)
         return RiskModel(pre, lr.fit(pre.transform(train)))
     finally:
         release(train)
 
 
-def prepare(applications: DataFrame, model: RiskModel) -> DataFrame:
-    """M1: P12-P14 then the fitted preprocessor."""
+def prepare(applications: DataFrame, model: RiskModel | RiskParameters) -> DataFrame:
+    """M1: P12-P14 then the fitted preprocessor: ``features`` is a vector, or an array for ``RiskParameters``."""
+    if isinstance(model, RiskParameters):
+        return preprocess(applications).withColumn("features", model.features())
     return model.preprocessor.transform(preprocess(applications))
 
 
-def classify(prepared: DataFrame, model: RiskModel) -> DataFrame:
-    """M2: the logistic classifier adds ``rawPrediction``, ``probability``, ``prediction``."""
+def classify(prepared: DataFrame, model: RiskModel | RiskParameters) -> DataFrame:
+    """M2: the logistic classifier adds ``rawPrediction``, ``probability`` (vectors, or arrays), ``prediction``."""
+    if isinstance(model, RiskParameters):
+        margin = model.margin_of(F.col("features"))
+        probability, prediction = scores_of(F.col("rawPrediction")[1], model.threshold)
+        return prepared.withColumn("rawPrediction", F.array(-margin, margin)).withColumns(
+            {"probability": F.array(1 - probability, probability), "prediction": prediction})
     return model.classifier.transform(prepared)
 
 
 def risk_score(predicted: DataFrame) -> Column:
     """M3 / M4: probability of class 1, or the fixed fallback when there is no probability."""
     if "probability" in predicted.columns:
-        return vector_to_array(F.col("probability")).getItem(1)
+        p = F.col("probability")
+        return (p if predicted.schema["probability"].dataType.typeName() == "array" else vector_to_array(p)).getItem(1)
     return F.when(F.col("prediction") > 0, F.lit(FALLBACK_POSITIVE)).otherwise(F.lit(FALLBACK_NEGATIVE))
 
 
-def score(applications: DataFrame, model: RiskModel, *, compiled: bool = True) -> DataFrame:
+def score(applications: DataFrame, model: RiskModel | RiskParameters, *, compiled: bool = True) -> DataFrame:
     """M1-M3: applications with ``risk_score`` and ``prediction``.
 
     ``compiled`` (default) evaluates the fitted linear pipeline as one built-in
@@ -151,7 +166,7 @@ def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     return picked.select(key, *[F.col("_row")[c].alias(c) for c in others])
 
 
-def score_clients(applications: DataFrame, model: RiskModel, ids=None, *,
+def score_clients(applications: DataFrame, model: RiskModel | RiskParameters, ids=None, *,
                   at: Column | None = None, dedupe: bool = False,
                   carry: list[str] | None = None, compiled: bool = True) -> DataFrame:
     """M5: batch client response.

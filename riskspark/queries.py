@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,9 +18,11 @@ from riskspark.operators.ntile import ntile
 from riskspark.operators.preprocess import preprocess, profile_projection
 from riskspark.operators.profile import client_card, missing_cards, unified_profiles
 from riskspark.plans import analyses as G
+from riskspark.plans.newton import gradient
+from riskspark.plans.parameters import RiskParameters, feature_rows, published
 from riskspark.plans.report import portfolio_report
-from riskspark.plans.scoring import (RiskModel, classify, first_per_key, fit, flatten_response,
-                                     load_preprocessor, nested_response, prepare, risk_score, score, score_clients)
+from riskspark.plans.scoring import (classify, first_per_key, fit, fit_pipeline, flatten_response, nested_response, prepare,
+                                     risk_score, score, score_clients)
 from riskspark.schema import CATEGORICAL_COLS, FLAG_COLS, NUMERIC_COLS
 from riskspark.session import scratch_path
 from riskspark.sources.cache import export, materialize
@@ -430,19 +431,16 @@ def j2_missing_card(spark, sf_dir):
     return missing_cards(apps, users_data(spark, sf_dir))
 
 
-# --- M: model fit and batch scoring (rows-only checks) -----------------------
+# --- M: model fit and batch scoring --------------------------------------------
 
-_MODELS: dict[tuple[str, str], tuple[object, str]] = {}
+_MODELS: dict[tuple, object] = {}
 
 
-def fitted_model(spark, sf_dir):
-    """M6 once per session and scale factor; saved under the checkpoint folder (S4/S5 read it back)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _once(spark, sf_dir, how):
+    """A model that is fitted once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, how)
     if key not in _MODELS:
-        model = fit(application(spark, sf_dir))
-        path = scratch_path(spark, "risk-model")
-        model.save(path)
-        _MODELS[key] = (model, path)
+        _MODELS[key] = how(application(spark, sf_dir))
     return _MODELS[key]
 
 
@@ -452,30 +450,39 @@ def scoring_table(spark, sf_dir) -> DataFrame:
 
 @query("m6_fit")
 def m6_fit(spark, sf_dir):
-    model, _ = fitted_model(spark, sf_dir)
-    coef = model.classifier.coefficients.toArray().tolist()
-    rows = [(-1, float(model.classifier.intercept))] + [(i, float(c)) for i, c in enumerate(coef)]
-    return spark.createDataFrame(rows, "feature_index int, coefficient double")
+    """The slot dictionary of the model fitted on the whole table."""
+    return _once(spark, sf_dir, fit).slot_table(spark)
+
+
+@query("m6_fit_gradient")
+def m6_fit_gradient(spark, sf_dir):
+    """The slope of the fit's objective in every slot (0 at its optimum), worked out again from the table."""
+    model = _once(spark, sf_dir, fit)
+    slopes = gradient(application(spark, sf_dir), model).join(F.broadcast(model.slot_table(spark)), "slot", "right")
+    return slopes.select("column", "label", (F.round(F.coalesce("gradient", F.lit(0.0)), 6) + 0.0).alias("gradient"))
 
 
 @query("m1_prepare")
 def m1_prepare(spark, sf_dir):
-    model, _ = fitted_model(spark, sf_dir)
-    return prepare(scoring_table(spark, sf_dir), model).select(
-        "SK_ID_CURR", vector_to_array("features").alias("features"))
+    """The sparse features of every application under the published model."""
+    return feature_rows(preprocess(scoring_table(spark, sf_dir)), published())
 
 
 @query("m2_classify")
 def m2_classify(spark, sf_dir):
-    model, _ = fitted_model(spark, sf_dir)
-    return classify(prepare(scoring_table(spark, sf_dir), model), model).select(
-        "SK_ID_CURR", "prediction", vector_to_array("probability").alias("probability"))
+    p = F.col("probability")
+    return classify(prepare(scoring_table(spark, sf_dir), published()), published()).select(
+        "SK_ID_CURR", "prediction", F.round(p[0], 9).alias("probability_0"), F.round(p[1], 9).alias("probability_1"))
 
 
 @query("m3_risk_score")
 def m3_risk_score(spark, sf_dir):
-    model, _ = fitted_model(spark, sf_dir)
-    return score(scoring_table(spark, sf_dir), model).select("SK_ID_CURR", "risk_score", "prediction")
+    return _rounded(score(scoring_table(spark, sf_dir), published())).select("SK_ID_CURR", "risk_score", "prediction")
+
+
+def _rounded(scored: DataFrame) -> DataFrame:
+    """Scores at 9 decimals: the last bits of ``exp`` are not the same in every engine."""
+    return scored.withColumn("risk_score", F.round("risk_score", 9))
 
 
 def scored_by_source(spark, sf_dir) -> DataFrame:
@@ -493,21 +500,18 @@ def m4_fallback_score(spark, sf_dir):
 
 @query("m4_fallback_model")
 def m4_fallback_model(spark, sf_dir):
-    model, _ = fitted_model(spark, sf_dir)
-    no_prob = classify(prepare(scoring_table(spark, sf_dir), model), model).drop("probability")
+    no_prob = classify(prepare(scoring_table(spark, sf_dir), published()), published()).drop("probability")
     return no_prob.select("SK_ID_CURR", "prediction", risk_score(no_prob).alias("risk_score"))
 
 
 @query("m6_fitted_statistics")
 def m6_fitted_statistics(spark, sf_dir):
-    """What the preprocessor has learned: the mean of each number, the rank of each label."""
-    model, _ = fitted_model(spark, sf_dir)
-    imputer, indexer = model.preprocessor.stages[:2]
-    names = imputer.getInputCols()
-    means = imputer.surrogateDF.select(F.explode(F.array(*[F.struct(F.lit("mean").alias("kind"), F.lit(c).alias("column"), F.lit(None).cast("string").alias("label"),
-                                                                    F.round(c, 6).alias("value")) for c in names])).alias("x")).select("x.*")
-    ranks = [("rank", c, label, float(i)) for c, labels in zip(indexer.getInputCols(), indexer.labelsArray) for i, label in enumerate(labels)]
-    return means.unionByName(spark.createDataFrame(ranks, "kind string, column string, label string, value double"))
+    """What the fit has learned of the columns: the mean and the spread of each number, the rank of each label."""
+    model = _once(spark, sf_dir, fit)
+    rows = [("mean", n.column, None, n.fill) for n in model.numbers] + [("rank", c.column, label, float(i)) for c in model.categories for i, label in enumerate(c.labels)]
+    rows += [("spread", n.column, None, 1 / n.scale if n.scale else 0.0) for n in model.numbers]
+    return spark.createDataFrame(rows, "kind string, column string, label string, value double").withColumn(
+        "value", F.when(F.col("kind") == "spread", F.round("value", 4)).otherwise(F.round("value", 6)))
 
 
 @query("p12_numeric_repair_text")
@@ -518,32 +522,41 @@ def p12_numeric_repair_text(spark, sf_dir):
     return preprocess(text)
 
 
+#: The time that the scored responses are stamped with, so that they can be compared.
+STAMPED_AT = "2024-01-15 10:30:00"
+
+
+def _responses(spark, sf_dir, **more) -> DataFrame:
+    return _rounded(flatten_response(score_clients(scoring_table(spark, sf_dir), published(), at=F.lit(STAMPED_AT).cast("timestamp_ntz"), **more)))
+
+
 @query("m5_batch_score")
 def m5_batch_score(spark, sf_dir):
-    model, _ = fitted_model(spark, sf_dir)
-    return flatten_response(score_clients(scoring_table(spark, sf_dir), model))
+    return _responses(spark, sf_dir)
 
 
 @query("m5_client_card")
 def m5_client_card(spark, sf_dir):
     """M5 then J1: scored clients that also have a personal profile (the page's full card)."""
-    model, _ = fitted_model(spark, sf_dir)
-    scored = flatten_response(score_clients(scoring_table(spark, sf_dir), model, carry=["CUST_ID"]))
-    return client_card(scored, users_data(spark, sf_dir))
+    return client_card(_responses(spark, sf_dir, carry=["CUST_ID"]), users_data(spark, sf_dir))
+
+
+def _reloaded(spark) -> RiskParameters:
+    """The published model, written to the shared folder and read back."""
+    path = scratch_path(spark, "risk-parameters")
+    published().save(path, spark)
+    return RiskParameters.load(path, spark)
 
 
 @query("s4_load_preprocessor")
 def s4_load_preprocessor(spark, sf_dir):
-    _, path = fitted_model(spark, sf_dir)
-    pre = load_preprocessor(f"{path}/preprocessor")
-    return pre.transform(preprocess(scoring_table(spark, sf_dir))).select(
-        "SK_ID_CURR", vector_to_array("features").alias("features"))
+    """The sparse features that a loaded model gives."""
+    return feature_rows(preprocess(scoring_table(spark, sf_dir)), _reloaded(spark))
 
 
 @query("s5_load_classifier")
 def s5_load_classifier(spark, sf_dir):
-    _, path = fitted_model(spark, sf_dir)
-    return score(scoring_table(spark, sf_dir), RiskModel.load(path)).select("SK_ID_CURR", "risk_score")
+    return _rounded(score(scoring_table(spark, sf_dir), _reloaded(spark))).select("SK_ID_CURR", "risk_score")
 
 
 @query("p15_profile_projection")
@@ -578,8 +591,8 @@ def j1_client_card_plain(spark, sf_dir):
 
 @query("m3_risk_score_pipeline")
 def m3_risk_score_pipeline(spark, sf_dir):
-    """M1-M3 applying the fitted stages one by one (the compiled path is the default)."""
-    model, _ = fitted_model(spark, sf_dir)
+    """M1-M3 with Spark ML's own fit, applying its stages one by one."""
+    model = _once(spark, sf_dir, fit_pipeline)
     return score(scoring_table(spark, sf_dir), model, compiled=False).select("SK_ID_CURR", "risk_score", "prediction")
 
 

@@ -8,8 +8,10 @@ and types are aligned with the Spark side.
 
 from __future__ import annotations
 
-from riskspark.operators.preprocess import PROFILE_COLS
-from riskspark.schema import application_schema
+from riskspark.functions import client as C
+from riskspark.plans.parameters import published
+from riskspark.plans.sql_export import features_sql, scores_sql
+from riskspark.schema import CATEGORICAL_COLS, FLAG_COLS, NUMERIC_COLS, PROFILE_COLS, WEEKDAYS, application_schema
 
 APPLICATION_SQL = """
 SELECT o.o_orderkey AS SK_ID_CURR, o.o_custkey AS CUST_ID,
@@ -91,11 +93,15 @@ ENQUIRY_GROUP = f"""CASE WHEN {TOTAL_ENQUIRIES} = 0 THEN 'Aucune demande' WHEN {
 DEFAULT_FLAG = "CASE WHEN TARGET = 1 THEN 1 ELSE 0 END"
 DEFAULT_RATE = f"round(avg({DEFAULT_FLAG}) * 100, 2)"
 RATIO = "round(AMT_CREDIT / nullif(AMT_INCOME_TOTAL, 0), 2)"
-WEEKDAY_ORDER = """CAST(CASE WHEN WEEKDAY_APPR_PROCESS_START IS NULL THEN 0
-  ELSE list_position(['MONDAY','TUESDAY','WEDNESDAY','THURSDAY','FRIDAY','SATURDAY','SUNDAY'],
+WEEKDAY_ORDER = f"""CAST(CASE WHEN WEEKDAY_APPR_PROCESS_START IS NULL THEN 0
+  ELSE list_position([{", ".join(f"'{d}'" for d in WEEKDAYS)}],
                      upper(WEEKDAY_APPR_PROCESS_START)) - 1 END AS INT)"""
 
 
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
 def with_app(body: str, extra: str = "") -> str:
     """``WITH application AS (...) <body>``; ``extra`` adds further CTEs."""
     more = f",\n{extra}" if extra else ""
@@ -269,24 +275,14 @@ oracle("p11_rounding", with_app(
 
 
 # --- P12-P28 ------------------------------------------------------------------
-_NUMERIC = ["CNT_CHILDREN", "AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE",
-            "REGION_POPULATION_RELATIVE", "DAYS_BIRTH", "DAYS_EMPLOYED", "DAYS_REGISTRATION",
-            "DAYS_ID_PUBLISH", "OWN_CAR_AGE", "CNT_FAM_MEMBERS", "EXT_SOURCE_1", "EXT_SOURCE_2",
-            "EXT_SOURCE_3", "OBS_30_CNT_SOCIAL_CIRCLE", "DEF_30_CNT_SOCIAL_CIRCLE",
-            "OBS_60_CNT_SOCIAL_CIRCLE", "DEF_60_CNT_SOCIAL_CIRCLE", "DAYS_LAST_PHONE_CHANGE"]
-_CATEGORICAL = ["NAME_CONTRACT_TYPE", "CODE_GENDER", "NAME_TYPE_SUITE", "NAME_INCOME_TYPE",
-                "NAME_EDUCATION_TYPE", "NAME_FAMILY_STATUS", "NAME_HOUSING_TYPE", "OCCUPATION_TYPE",
-                "WEEKDAY_APPR_PROCESS_START", "ORGANIZATION_TYPE", "FONDKAPREMONT_MODE", "HOUSETYPE_MODE",
-                "WALLSMATERIAL_MODE", "EMERGENCYSTATE_MODE"]
-
 oracle("p12_numeric_repair", with_app(
-    "SELECT SK_ID_CURR, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _NUMERIC) + " FROM application"))
+    "SELECT SK_ID_CURR, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in NUMERIC_COLS) + " FROM application"))
 oracle("p13_categorical_repair", with_app(
-    "SELECT SK_ID_CURR, " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'Unknown') AS {c}" for c in _CATEGORICAL)
+    "SELECT SK_ID_CURR, " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'Unknown') AS {c}" for c in CATEGORICAL_COLS)
     + " FROM application"))
 oracle("p14_flag_encoding", with_app(
     "SELECT SK_ID_CURR, " + ", ".join(
-        f"CASE WHEN {c} IN ('Y', '1') THEN 1 ELSE 0 END AS {c}" for c in ["FLAG_OWN_CAR", "FLAG_OWN_REALTY"])
+        f"CASE WHEN {c} IN ('Y', '1') THEN 1 ELSE 0 END AS {c}" for c in FLAG_COLS)
     + " FROM application"))
 
 CLIENT_AGE = "-CAST(trunc(DAYS_BIRTH / 365.25::DOUBLE) AS INT)"
@@ -301,22 +297,10 @@ CLIENT_INFO = f"""SELECT SK_ID_CURR AS client_id, coalesce(CODE_GENDER, 'Unknown
 FROM application"""
 
 
-def _tr(col: str, pairs: dict[str, str]) -> str:
-    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in pairs.items())
-    return f"CASE {col} {whens} ELSE {col} END"
-
+def _tr(field: str) -> str:
+    whens = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in C.TRANSLATIONS[field].items())
+    return f"CASE {field} {whens} ELSE {field} END"
 
-_GENDER = {"M": "Homme", "F": "Femme"}
-_INCOME = {"Working": "Salarié", "Commercial associate": "Commercial", "Pensioner": "Retraité",
-           "State servant": "Fonctionnaire", "Entrepreneur": "Entrepreneur"}
-_EDUCATION = {"Higher education": "Enseignement supérieur", "Secondary / secondary special": "Secondaire",
-              "Incomplete higher": "Supérieur incomplet", "Lower secondary": "Premier cycle secondaire",
-              "Academic degree": "Diplôme universitaire"}
-_FAMILY = {"Married": "Marié(e)", "Single / not married": "Célibataire", "Civil marriage": "Pacs",
-           "Separated": "Séparé(e)", "Widow": "Veuf/veuve"}
-_HOUSING = {"House / apartment": "Maison / appartement", "Rented apartment": "Location",
-            "With parents": "Chez les parents", "Municipal apartment": "Logement social",
-            "Office apartment": "Logement de fonction", "Co-op apartment": "Coopérative"}
 
 oracle("p16_client_age", with_app(f"SELECT SK_ID_CURR, {CLIENT_AGE} AS CLIENT_AGE FROM application"))
 oracle("p17_client_years_employed", with_app(f"SELECT SK_ID_CURR, {CLIENT_YEARS} AS YEARS_EMPLOYED FROM application"))
@@ -336,47 +320,22 @@ oracle("p20_amounts", with_app(f"""
 SELECT client_id, age, CAST({py_round("income", 0)} AS BIGINT) AS income,
        CAST({py_round("credit_amount", 0)} AS BIGINT) AS credit_amount FROM ({CLIENT_INFO}) i"""))
 oracle("p21_labels", with_app(f"""
-SELECT client_id, {_tr('gender', _GENDER)} AS gender, {_tr('income_type', _INCOME)} AS income_type,
-       {_tr('education_type', _EDUCATION)} AS education_type, {_tr('family_status', _FAMILY)} AS family_status,
-       {_tr('housing_type', _HOUSING)} AS housing_type FROM ({CLIENT_INFO}) i"""))
-
-_REC = {
-    "refuse": ("Refus recommandé",
-               "Le niveau de risque est trop élevé pour accorder le crédit aux conditions demandées.",
-               "Proposer un montant réduit avec garanties supplémentaires.", "Élevé",
-               ["Refuser le crédit aux conditions demandées", "Proposer un montant réduit (max 30% du revenu)",
-                "Exiger des garanties supplémentaires (caution, hypothèque)",
-                "Orienter le client vers un accompagnement budgétaire"]),
-    "conditional": ("Acceptation conditionnelle",
-                    "Le dossier présente un risque modéré qui nécessite des garanties supplémentaires.",
-                    "Envisager un co-emprunteur ou une caution solidaire.", "Moyen",
-                    ["Accepter sous réserve de garanties supplémentaires",
-                     "Ajuster le taux d'intérêt pour compenser le risque",
-                     "Proposer une durée d'emprunt plus courte", "Mettre en place un suivi trimestriel"]),
-    "accept": ("Acceptation recommandée", "Le profil présente un faible risque de défaut.",
-               "Procéder à l'octroi du crédit aux conditions standards.", "Faible",
-               ["Accorder le crédit aux conditions standards",
-                "Proposer des produits complémentaires (assurance, épargne)",
-                "Appliquer le processus de suivi standard", "Réévaluer le risque annuellement"]),
-}
+SELECT client_id, {", ".join(f"{_tr(f)} AS {f}" for f in C.TRANSLATIONS)} FROM ({CLIENT_INFO}) i"""))
 
 
-def _q(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
-
-
-def _rec_field(i: int, score: str) -> str:
-    def val(k):
-        v = _REC[k][i]
+def _rec_field(name: str, score: str) -> str:
+    def val(band):
+        v = C.RECOMMENDATIONS[band][name]
         return "[" + ", ".join(_q(x) for x in v) + "]" if isinstance(v, list) else _q(v)
-    return (f"CASE WHEN {score} IS NULL THEN NULL WHEN {score} >= 0.70 THEN {val('refuse')} "
-            f"WHEN {score} >= 0.40 THEN {val('conditional')} ELSE {val('accept')} END")
+    return (f"CASE WHEN {score} IS NULL THEN NULL WHEN {score} >= {C.REFUSE_FROM} THEN {val('refuse')} "
+            f"WHEN {score} >= {C.CONDITIONAL_FROM} THEN {val('conditional')} ELSE {val('accept')} END")
+
 
+_REC_FIELDS = ["decision", "explanation", "alternative", "risk_level", "action_plan"]
 
 oracle("p22_recommendation", with_app(
     "SELECT SK_ID_CURR, " + ", ".join(
-        f"{_rec_field(i, 'EXT_SOURCE_2')} AS {name}"
-        for i, name in enumerate(["decision", "explanation", "alternative", "risk_level", "action_plan"]))
+        f"{_rec_field(name, 'EXT_SOURCE_2')} AS {name}" for name in _REC_FIELDS)
     + " FROM application"))
 
 FEEDBACK_SQL = """
@@ -470,8 +429,8 @@ SELECT event_id, CASE event_id % 8 WHEN 0 THEN 'Message vide' WHEN 3 THEN 'Messa
 FROM events""")
 
 _PREPROCESSED = ("SELECT SK_ID_CURR, " + ", ".join(
-    [f"CAST({c} AS DOUBLE) AS {c}" for c in _NUMERIC] + [f"coalesce(CAST({c} AS VARCHAR), 'Unknown') AS {c}" for c in _CATEGORICAL]
-    + [f"CASE WHEN {c} IN ('Y', '1') THEN 1 ELSE 0 END AS {c}" for c in ("FLAG_OWN_CAR", "FLAG_OWN_REALTY")])
+    [f"CAST({c} AS DOUBLE) AS {c}" for c in NUMERIC_COLS] + [f"coalesce(CAST({c} AS VARCHAR), 'Unknown') AS {c}" for c in CATEGORICAL_COLS]
+    + [f"CASE WHEN {c} IN ('Y', '1') THEN 1 ELSE 0 END AS {c}" for c in FLAG_COLS])
     + ", CASE WHEN EXT_SOURCE_2 > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, TARGET FROM application")
 oracle("m4_fallback_score", with_app(f"""
 SELECT SK_ID_CURR, prediction, CASE WHEN prediction > 0 THEN 0.75::DOUBLE ELSE 0.25::DOUBLE END AS risk_score FROM ({_PREPROCESSED}) p"""))
@@ -479,7 +438,37 @@ oracle("p15_profile_projection", with_app(f"""
 SELECT {", ".join(PROFILE_COLS)} FROM (SELECT *, EXT_SOURCE_2 AS risk_score FROM ({_PREPROCESSED}) p) q"""))
 oracle("p12_numeric_repair_text", with_app("""
 SELECT SK_ID_CURR, CASE SK_ID_CURR % 5 WHEN 0 THEN CAST(trunc(AMT_CREDIT) AS DOUBLE) WHEN 3 THEN -150.0::DOUBLE END AS AMT_CREDIT FROM application"""))
-oracle("m6_fitted_statistics", with_app(
-    " UNION ALL ".join([f"SELECT 'mean' AS kind, '{c}' AS \"column\", CAST(NULL AS VARCHAR) AS label, round(avg({c}), 6) AS value FROM p" for c in _NUMERIC]
-                       + [f"SELECT 'rank', '{c}', {c}, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS DOUBLE) FROM p GROUP BY {c}" for c in _CATEGORICAL]),
-    f"p AS (SELECT * FROM ({_PREPROCESSED}) x WHERE TARGET IS NOT NULL)"))
+_STATISTICS = (
+    [f"SELECT 'mean' AS kind, '{c}' AS \"column\", CAST(NULL AS VARCHAR) AS label, round(avg({c}), 6) AS value FROM p" for c in NUMERIC_COLS]
+    + [f"SELECT 'rank', '{c}', {c}, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS DOUBLE) FROM p GROUP BY {c}" for c in CATEGORICAL_COLS]
+    + [f"SELECT 'spread', '{c}', NULL, round(coalesce(stddev_samp(coalesce({c}, (SELECT avg({c}) FROM p))), 0), 4) FROM p" for c in NUMERIC_COLS])
+_TRAINING = f"p AS (SELECT * FROM ({_PREPROCESSED}) x WHERE TARGET IS NOT NULL)"
+oracle("m6_fitted_statistics", with_app(" UNION ALL ".join(_STATISTICS), _TRAINING))
+# The optimum's first-order condition: no slot has a slope.
+oracle("m6_fit_gradient", with_app(" UNION ALL ".join(
+    ["SELECT CAST(NULL AS VARCHAR) AS \"column\", CAST(NULL AS VARCHAR) AS label, CAST(0 AS DOUBLE) AS gradient"] + [f"SELECT '{c}', NULL, 0" for c in (*NUMERIC_COLS, *FLAG_COLS)]
+    + [f"SELECT DISTINCT '{c}', {c}, 0 FROM p" for c in CATEGORICAL_COLS]), _TRAINING))
+
+# --- the published model --------------------------------------------------------
+_READY = f"ready AS (SELECT *, CAST(CNT_CHILDREN AS INT) AS children FROM ({_PREPROCESSED}) x)"
+_SCORES = scores_sql(published(), "ready")
+oracle("m1_prepare", with_app(features_sql(published(), "ready"), _READY))
+oracle("s4_load_preprocessor", ORACLE_SQL["m1_prepare"])
+oracle("m2_classify", with_app(
+    f"SELECT SK_ID_CURR, prediction, round(1 - risk_score, 9) AS probability_0, round(risk_score, 9) AS probability_1 FROM ({_SCORES}) s", _READY))
+oracle("m3_risk_score", with_app(f"SELECT SK_ID_CURR, round(risk_score, 9) AS risk_score, prediction FROM ({_SCORES}) s", _READY))
+oracle("s5_load_classifier", with_app(f"SELECT SK_ID_CURR, round(risk_score, 9) AS risk_score FROM ({_SCORES}) s", _READY))
+oracle("m4_fallback_model", with_app(
+    f"SELECT SK_ID_CURR, prediction, CASE WHEN prediction > 0 THEN 0.75::DOUBLE ELSE 0.25::DOUBLE END AS risk_score FROM ({_SCORES}) s", _READY))
+_RESPONSE = f"""SELECT i.client_id, {", ".join(f"{_tr(f)} AS {f}" for f in C.TRANSLATIONS)}, age, children_count,
+  CAST({py_round("income", 0)} AS BIGINT) AS income, CAST({py_round("credit_amount", 0)} AS BIGINT) AS credit_amount,
+  {py_round("CASE WHEN years_employed > 100 THEN fmod(years_employed, 100) ELSE years_employed END", 1)} AS years_employed,
+  round(risk_score, 9) AS risk_score, CAST(s.prediction AS INT) AS predicted_default, {", ".join(f"{_rec_field(name, 'risk_score')} AS {name}" for name in _REC_FIELDS)},
+  CASE WHEN risk_score < {C.RISK_TAGS[0][0]} THEN '{C.RISK_TAGS[0][1]}' WHEN risk_score < {C.RISK_TAGS[1][0]} THEN '{C.RISK_TAGS[1][1]}' ELSE '{C.RISK_TAG_LAST}' END AS risk_tag,
+  printf('%.1f%%', risk_score * 100) AS score_text, '15/01/2024' AS analysis_date, '10:30' AS analysis_time, '{C.STAMP_VERSION}' AS version,
+  '{C.STAMP_MODEL_TYPE}' AS model_type, '{C.STAMP_DATA_SOURCE}' AS data_source{{more}}
+FROM ({CLIENT_INFO}) i JOIN ({_SCORES}) s ON s.SK_ID_CURR = i.client_id"""
+oracle("m5_batch_score", with_app(_RESPONSE.format(more=""), _READY))
+oracle("m5_client_card", with_app(f"""
+SELECT r.*, p.SK_CURR_ID, p.LastName, p.FirstName, p.PhotoURL FROM ({_RESPONSE.format(more=", a.CUST_ID")} JOIN application a ON a.SK_ID_CURR = i.client_id) r
+JOIN ({PROFILES_SQL}) p ON r.CUST_ID = p.PROFILE_KEY""", f"users AS ({USERS_SQL}), {_READY}"))

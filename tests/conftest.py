@@ -6,6 +6,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+
 @pytest.fixture(scope="session")
 def spark():
     from riskspark.session import local_session

@@ -4,14 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from paths import SF_SMALL
-from riskspark.plans.scoring import RiskModel, fit, score, score_clients
+from riskspark.plans.scoring import RiskModel, fit_pipeline, score, score_clients
 from riskspark.session import scratch_path
 from riskspark.sources.fixtures import application
 
 
 @pytest.fixture(scope="module")
 def model(spark):
-    return fit(application(spark, SF_SMALL), max_iter=20)
+    return fit_pipeline(application(spark, SF_SMALL), max_iter=20)
 
 
 def test_scores_are_probabilities(spark, model):
