@@ -1,9 +1,10 @@
 """All eight portfolio analyses over one filtered table.
 
-The filtered rows are read once: their group keys and measures are written, narrow, to the
-shared folder, where the quintile boundaries are found. Then one aggregate reduces them to
-the finest combination of all nine keys and the quintile, as counts and sums, and ``GROUPING
-SETS`` runs over those combinations (a number bounded by the categories, not by the rows).
+One scan gives all of them: every filtered row goes to its group of each analysis (``GROUPING
+SETS``), and each partition adds up its own map from (analysis, keys) to counts and sums before
+anything is shuffled, so that what leaves a partition is bounded by the categories. The quintile is
+an expression over literal boundaries, which are found beforehand by counting over the two key
+columns (``operators.ntile``). Nothing is written.
 ``grouping_id()`` tells the analyses apart, so a null key is not confused with an unused
 one. Output: one row per group of any analysis.
 """
@@ -17,7 +18,6 @@ from riskspark.functions import portfolio as P
 from riskspark.operators.filters import NO_FILTERS, PortfolioFilters
 from riskspark.operators.ntile import ntile_column
 from riskspark.plans.analyses import FAMILY_CHILDREN_MIN_COUNT, INCOME_TYPE_MIN_COUNT
-from riskspark.sources.cache import materialize
 
 _KEYS = ["AGE_GROUP", "NAME_INCOME_TYPE", "EMPLOYMENT_LENGTH", "ENQUIRY_GROUP",
          "NAME_CONTRACT_TYPE", "FLAG_OWN_REALTY", "NAME_FAMILY_STATUS", "CNT_CHILDREN",
@@ -45,28 +45,25 @@ def _gid(keys: list[str]) -> int:
 def portfolio_report(df: DataFrame, filters: PortfolioFilters | None = None) -> DataFrame:
     """``ANALYSIS int, KEY1 string, KEY2 string, CLIENT_COUNT long, DEFAULT_RATE double, AVG_VALUE double``.
 
-    Jobs run when it is called: the narrow copy and the quintile boundaries."""
-    base = materialize((filters or NO_FILTERS).apply(df).select(
-        "SK_ID_CURR",
+    The quintile's boundaries are found when it is called; the report itself is lazy. An input that is expensive to build
+    should be materialized first, as two of its columns are read a few times more."""
+    base = (filters or NO_FILTERS).apply(df).withColumn("RATIO", P.credit_income_ratio())
+    quintile = ntile_column(base.select("SK_ID_CURR", "RATIO"), "RATIO", "SK_ID_CURR", 5)
+    base = base.select(
         P.age_group().alias("AGE_GROUP"),
         "NAME_INCOME_TYPE",
         P.employment_length().alias("EMPLOYMENT_LENGTH"),
         P.enquiry_group().alias("ENQUIRY_GROUP"),
         "NAME_CONTRACT_TYPE", "FLAG_OWN_REALTY", "NAME_FAMILY_STATUS", "CNT_CHILDREN",
-        "WEEKDAY_APPR_PROCESS_START",
-        P.default_flag().alias("_d"), "AMT_INCOME_TOTAL", "AMT_CREDIT", P.credit_income_ratio().alias("RATIO"),
-    ), "report")
-    base = base.withColumn("RATIO_CATEGORY", ntile_column(base, "RATIO", "SK_ID_CURR", 5))
-    measures = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "RATIO"]
-    finest = base.groupBy(*_KEYS).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("_d").alias("d"),
-        *[f(m).alias(f"{p}_{m}") for m in measures for f, p in ((F.sum, "sum"), (F.count, "n"))])
+        "WEEKDAY_APPR_PROCESS_START", quintile.alias("RATIO_CATEGORY"),
+        P.default_flag().alias("_d"), "AMT_INCOME_TOTAL", "AMT_CREDIT", "RATIO",
+    )
     sets = [keys for keys, _, _ in _SETS.values()]
-    grouped = finest.groupingSets(sets, *_KEYS).agg(
+    grouped = base.groupingSets(sets, *_KEYS).agg(
         F.grouping_id().alias("_gid"),
-        F.sum("n").alias("CLIENT_COUNT"),
-        F.round(F.sum("d") / F.sum("n") * 100, 2).alias("DEFAULT_RATE"),
-        *[F.round(F.sum(f"sum_{m}") / F.nullif(F.sum(f"n_{m}"), F.lit(0)), 2 if m == "RATIO" else 0).alias(f"_avg_{m}") for m in measures],
+        F.count(F.lit(1)).alias("CLIENT_COUNT"),
+        F.round(F.avg("_d") * 100, 2).alias("DEFAULT_RATE"),
+        *[F.round(F.avg(m), 2 if m == "RATIO" else 0).alias(f"_avg_{m}") for m in ("AMT_INCOME_TOTAL", "AMT_CREDIT", "RATIO")],
     )
     analysis = None
     key1 = key2 = avg = keep = None

@@ -22,9 +22,6 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         # Small local files: let a scan split them over the cores (no effect on
         # large files, where spark.sql.files.maxPartitionBytes decides).
         .config("spark.sql.files.openCostInBytes", str(512 * 1024))
-        # The JVM compiles no method above 8,000 bytes of code: a stage whose one generated method
-        # is larger (the scoring projection) runs as split projections instead.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
