@@ -29,7 +29,7 @@ from riskspark.sources.cache import export, materialize
 from riskspark.sources.fixtures import application, feedback_from_events, users_data
 from riskspark.sources.tables import read_application, read_table, write_application
 from riskspark.streaming.feedback import (feedback_records, parse_requests, rejected_requests, request_bodies,
-                                         run_feedback_stream, start_request_stream)
+                                         read_outcomes, run_feedback_stream, start_outcome_stream, start_request_stream)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -601,12 +601,28 @@ BODIES = ["{}", "not json", "", '{"is_positive": null}', '{"is_positive": 0, "me
           '{"is_positive": "no", "message": "m@"}', '{"is_positive": false, "custom_dimensions": {"k": "@"}}', "[1]"]
 
 
+@query("s7_feedback_outcomes")
+def s7_feedback_outcomes(spark, sf_dir):
+    """S7 with both outputs from one stream, over bodies of every kind."""
+    base = scratch_path(spark, "feedback-outcomes")
+    _raw_bodies(spark, sf_dir).select("body").write.text(f"{base}/bodies")
+    start_outcome_stream(spark, f"{base}/bodies", f"{base}/sink", f"{base}/checkpoint").awaitTermination()
+    good, bad = read_outcomes(spark, f"{base}/sink")
+    rows = good.select("message", "is_positive", "level", F.col("custom_dimensions").getItem("k").alias("dim_k"), F.lit(None).cast("string").alias("body"))
+    rows = rows.unionByName(bad, allowMissingColumns=True)
+    return rows.groupBy("message", "is_positive", "level", "dim_k", "body").agg(F.count(F.lit(1)).alias("bodies"))
+
+
+def _raw_bodies(spark, sf_dir) -> DataFrame:
+    events = read_table(spark, sf_dir, "events")
+    body = F.get(F.array(*[F.lit(b) for b in BODIES]), (F.col("event_id") % 8).cast("int"))
+    return events.select("event_id", F.replace(body, F.lit("@"), F.col("event_id").cast("string")).alias("body"))
+
+
 @query("p23_feedback_bodies")
 def p23_feedback_bodies(spark, sf_dir):
     """P23 over raw bodies: missing keys, nulls, odd types; bodies that are no JSON object come back as rejected."""
-    events = read_table(spark, sf_dir, "events")
-    body = F.get(F.array(*[F.lit(b) for b in BODIES]), (F.col("event_id") % 8).cast("int"))
-    raw = events.select("event_id", F.replace(body, F.lit("@"), F.col("event_id").cast("string")).alias("body"))
+    raw = _raw_bodies(spark, sf_dir)
     good = feedback_records(parse_requests(raw), null_is_missing=False).select(
         "event_id", "message", "is_positive", "level", F.col("custom_dimensions").getItem("k").alias("dim_k"), F.lit(False).alias("rejected"))
     none = F.lit(None)

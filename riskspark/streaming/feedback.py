@@ -21,6 +21,9 @@ DEFAULT_MESSAGE = "Message vide"
 LEVEL_POSITIVE = "INFO"
 LEVEL_NEGATIVE = "ERROR"
 
+#: The columns of the event files that a feedback request is made of.
+EVENTS = "event_id long, ts timestamp_ntz, event_type string, props string"
+
 
 def feedback_records(requests: DataFrame, null_is_missing: bool = True) -> DataFrame:
     """Apply the defaults and derive the level. Streaming-safe (row-local).
@@ -87,7 +90,7 @@ def rejected_requests(raw: DataFrame, body: str = "body") -> DataFrame:
 
 def start_feedback_stream(spark: SparkSession, source_dir: str, sink_path: str, checkpoint_path: str,
                           *, pattern: str = "*.parquet", available_now: bool = True,
-                          processing_time: str | None = None) -> StreamingQuery:
+                          processing_time: str | None = None, schema: str = EVENTS) -> StreamingQuery:
     """Event files in ``source_dir`` (matching ``pattern``) -> feedback records -> parquet sink.
 
     Append mode with a checkpoint: the sink commits each micro-batch once.
@@ -96,7 +99,6 @@ def start_feedback_stream(spark: SparkSession, source_dir: str, sink_path: str,
     running with ``processing_time`` triggers.
     """
     base = source_dir.rstrip("/")
-    schema = spark.read.option("pathGlobFilter", pattern).parquet(base).schema
     stream = (spark.readStream.schema(schema).option("pathGlobFilter", pattern)
               .option("maxFilesPerTrigger", 64).parquet(base))
     records = feedback_records(feedback_from_events(stream))
@@ -118,6 +120,54 @@ def run_feedback_stream(spark: SparkSession, source_dir: str, sink_path: str, ch
     return spark.read.parquet(sink_path)
 
 
+def outcomes(raw: DataFrame, body: str = "body", extra: str = "") -> DataFrame:
+    """Every request body as one row, parsed once: ``outcome`` is ``accepted`` (with the fields of ``feedback_records``) or
+    ``rejected`` (no JSON object: its ``body``, the fields null)."""
+    fields = [x.strip().split(None, 1) for x in extra.split(",") if x.strip()]
+    parsed = raw.withColumn("_v", _parsed(F.col(body)))
+    good = F.col("_v").isNotNull()
+    v = F.col("_v")
+    message, dimensions, positive = (_field(v, n) for n in ("message", "custom_dimensions", "is_positive"))
+    sure = F.when(positive.isNull(), F.lit(True)).otherwise(_truth(positive))
+    values = {
+        **{n: F.try_variant_get(v, f"$.{n}", t) for n, t in fields},
+        "message": F.when(message.isNull(), F.lit(DEFAULT_MESSAGE)).otherwise(F.try_variant_get(message, "$", "string")),
+        "custom_dimensions": F.when(dimensions.isNull(), F.create_map().cast("map<string,string>")).otherwise(F.try_variant_get(dimensions, "$", "map<string,string>")),
+        "is_positive": sure,
+        "level": F.when(F.coalesce(sure, F.lit(True)), F.lit(LEVEL_POSITIVE)).otherwise(F.lit(LEVEL_NEGATIVE)),
+    }
+    keep = [c for c in raw.columns if c != body and c not in values]
+    return parsed.select(*keep, F.when(good, "accepted").otherwise("rejected").alias("outcome"), F.when(~good, F.col(body)).alias("body"),
+                         *(F.when(good, x).alias(n) for n, x in values.items()))
+
+
+def start_outcome_stream(spark: SparkSession, bodies_dir: str, sink_path: str, checkpoint_path: str,
+                         *, extra: str = "", available_now: bool = True, files_per_batch: int = 64) -> StreamingQuery:
+    """S7 with both outputs from one stream: accepted records and rejected bodies, each body parsed once.
+
+    A micro-batch writes its own folder, ``sink_path/batch=<id>``, with a folder for each outcome in it, by one job that
+    replaces what the folder holds. The checkpoint fixes which files a batch id stands for, so a batch that is run again
+    after a failure, whether it had written nothing, a part or all, leaves every row once in exactly one of the outputs.
+    """
+    raw = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(bodies_dir).withColumnRenamed("value", "body")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        outcomes(batch, extra=extra).write.partitionBy("outcome").mode("overwrite").parquet(f"{sink_path.rstrip('/')}/batch={batch_id}")
+
+    writer = raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_path)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+    return writer.start()
+
+
+def read_outcomes(spark: SparkSession, sink_path: str, extra: str = "") -> tuple[DataFrame, DataFrame]:
+    """The accepted records and the rejected bodies that ``start_outcome_stream`` has written."""
+    more = [x.strip() for x in extra.split(",") if x.strip()]
+    fields = [*more, "message string", "custom_dimensions map<string,string>", "is_positive boolean", "level string"]
+    rows = spark.read.schema(", ".join(["body string", *fields, "batch long", "outcome string"])).parquet(sink_path)
+    names = [f.split()[0] for f in fields]
+    return rows.where("outcome = 'accepted'").select(*names), rows.where("outcome = 'rejected'").select("body")
+
+
 def start_request_stream(spark: SparkSession, bodies_dir: str, sink_path: str, checkpoint_path: str,
                          *, extra: str = "", available_now: bool = True) -> StreamingQuery:
     """S7 from raw request bodies: text files with one JSON body per line.

@@ -428,6 +428,14 @@ SELECT event_id, CASE event_id % 8 WHEN 0 THEN 'Message vide' WHEN 3 THEN 'Messa
   CASE WHEN event_id % 8 = 6 THEN CAST(event_id AS VARCHAR) END AS dim_k, event_id % 8 IN (1, 2, 7) AS rejected
 FROM events""")
 
+oracle("s7_feedback_outcomes", """
+SELECT message, is_positive, level, dim_k, body, count(*) AS bodies FROM (
+  SELECT CASE event_id % 8 WHEN 0 THEN 'Message vide' WHEN 3 THEN 'Message vide' WHEN 5 THEN 'm' || event_id WHEN 6 THEN 'Message vide' END AS message,
+    CASE WHEN event_id % 8 IN (0, 5) THEN true WHEN event_id % 8 IN (3, 4, 6) THEN false END AS is_positive,
+    CASE WHEN event_id % 8 IN (0, 5) THEN 'INFO' WHEN event_id % 8 IN (3, 4, 6) THEN 'ERROR' END AS level,
+    CASE WHEN event_id % 8 = 6 THEN CAST(event_id AS VARCHAR) END AS dim_k, CASE event_id % 8 WHEN 1 THEN 'not json' WHEN 2 THEN '' WHEN 7 THEN '[1]' END AS body
+  FROM events) b GROUP BY ALL""")
+
 _PREPROCESSED = ("SELECT SK_ID_CURR, " + ", ".join(
     [f"CAST({c} AS DOUBLE) AS {c}" for c in NUMERIC_COLS] + [f"coalesce(CAST({c} AS VARCHAR), 'Unknown') AS {c}" for c in CATEGORICAL_COLS]
     + [f"CASE WHEN {c} IN ('Y', '1') THEN 1 ELSE 0 END AS {c}" for c in FLAG_COLS])

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from paths import SF_ORACLE
 from riskspark.session import scratch_path
 from riskspark.streaming.feedback import (feedback_records, parse_requests, rejected_requests, run_feedback_stream,
-                                         start_rejected_stream, start_request_stream)
+                                         start_rejected_stream, start_request_stream, outcomes, read_outcomes, start_outcome_stream)
 
 
 def test_stream_then_restart(spark):
@@ -49,3 +49,51 @@ def test_rejected_bodies_have_their_own_sink(spark):
         start(spark, f"{base}/bodies", f"{base}/{name}", f"{base}/{name}-ckpt").awaitTermination()
     assert spark.read.parquet(f"{base}/good").count() == 8
     assert sorted(r.body for r in spark.read.parquet(f"{base}/bad").collect()) == ["", "3", "[1]", "not json"]
+
+
+def _rows(frame):
+    return sorted((tuple(r) for r in frame.collect()), key=repr)
+
+
+def test_outcomes_equal_the_two_parsers(spark):
+    raw = spark.createDataFrame([(i, b) for i, b in enumerate(BODIES)], "n int, body string")
+    both = outcomes(raw)
+    good = feedback_records(parse_requests(raw), null_is_missing=False)
+    assert _rows(both.where("outcome = 'accepted'").select(*good.columns)) == _rows(good)
+    assert _rows(both.where("outcome = 'rejected'").select("n", "body")) == _rows(rejected_requests(raw).select("n", "body"))
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Union") == 0
+
+
+def test_a_batch_that_fails_after_writing_leaves_no_row_twice(spark, monkeypatch):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    import riskspark.streaming.feedback as module
+
+    base = scratch_path(spark, "outcomes-test")
+    bodies = [b for b in BODIES if b] + [f'{{"message": "m{i}"}}' for i in range(40)]
+    spark.createDataFrame([(b,) for b in bodies], "body string").repartition(5).write.text(f"{base}/bodies")
+    real, calls = module.outcomes, []
+
+    def dies(batch, **more):
+        calls.append(1)
+        out = real(batch, **more)
+        if len(calls) == 2:  # this batch is written, but not taken down as done
+            out.write.partitionBy("outcome").mode("overwrite").parquet(f"{base}/sink/batch=1")
+            raise RuntimeError("lost")
+        return out
+
+    def run():
+        start_outcome_stream(spark, f"{base}/bodies", f"{base}/sink", f"{base}/checkpoint", files_per_batch=1).awaitTermination()
+
+    monkeypatch.setattr(module, "outcomes", dies)
+    with pytest.raises(StreamingQueryException):
+        run()
+    run()
+    run()  # nothing is left to do
+    good, bad = read_outcomes(spark, f"{base}/sink")
+    want = real(spark.createDataFrame([(b,) for b in bodies], "body string"))
+    assert _rows(good) == _rows(want.where("outcome = 'accepted'").select(*good.columns))
+    assert _rows(bad) == _rows(want.where("outcome = 'rejected'").select("body")) and bad.count() == 3
+    assert len(calls) == 6
