@@ -21,7 +21,7 @@ again AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, list_slice(ws, p
 covered AS (SELECT doc_id, count(DISTINCT i) AS n FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS i FROM again WHERE n > 1) GROUP BY 1),
 text_lines AS (SELECT DISTINCT source, text, list_filter(list_transform(string_split(text, chr(10)),
     lambda x: trim(regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789', 'abcdefghijklmnopqrstuvwxyz0000000000'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ')),
-    lambda x: x <> '' AND len(string_split(x, ' ')) <= 20) AS ls FROM d),
+    lambda x: x <> '') AS ls FROM d),
 hosts AS (SELECT source, count(*) AS docs FROM text_lines GROUP BY 1),
 seen AS (SELECT source, line, count(*) AS n FROM (SELECT source, unnest(list_distinct(ls)) AS line FROM text_lines) GROUP BY 1, 2),
 frequent AS (SELECT seen.source, line FROM seen JOIN hosts ON seen.source IS NOT DISTINCT FROM hosts.source WHERE n > 10 AND n > 0.005 * docs),
@@ -37,6 +37,38 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_removed_words * 2 <= n_words AS kept FROM base
 """
 
+SUFFIX_DEDUP = """
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+win AS (SELECT k, p, md5(array_slice(b, p, p + 399)) AS h FROM (SELECT k, b, unnest(range(1, octet_length(b) - 398)) AS p FROM d)),
+again AS (SELECT k, p FROM (SELECT k, p, count(*) OVER (PARTITION BY h) AS n FROM win) WHERE n > 1),
+edge AS (SELECT k, p, CASE WHEN p <= lag(p) OVER (PARTITION BY k ORDER BY p) + 400 THEN 0 ELSE 1 END AS new FROM again),
+run AS (SELECT k, min(p) AS lo, max(p) + 399 AS hi FROM (SELECT k, p, sum(new) OVER (PARTITION BY k ORDER BY p) AS g FROM edge) GROUP BY k, g),
+gap AS (SELECT k, coalesce(lag(hi) OVER (PARTITION BY k ORDER BY lo), 0) + 1 AS a, lo - 1 AS z FROM run
+        UNION ALL SELECT d.k, coalesce(r.hi, 0) + 1, octet_length(b) FROM d LEFT JOIN (SELECT k, max(hi) AS hi FROM run GROUP BY k) r ON r.k = d.k),
+kept AS (SELECT gap.k, string_agg(hex(array_slice(b, a, z)), '' ORDER BY a) AS x FROM gap JOIN d ON d.k = gap.k WHERE a <= z GROUP BY gap.k),
+lost AS (SELECT k, sum(hi - lo + 1) AS n, count(*) AS spans FROM run GROUP BY k)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(lost.n, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(x, ''))) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.k = d.k LEFT JOIN lost ON lost.k = d.k
+"""
+
+DECONTAMINATION = r"""
+WITH words AS (SELECT translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t, * EXCLUDE text FROM documents),
+d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM words),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+term AS (SELECT DISTINCT item, size, md5(array_to_string(list_slice(ws, p, p + size - 1), ' ')) AS h
+         FROM (SELECT item, ws, least(len(ws), 13) AS size, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS p FROM b WHERE len(ws) > 0)),
+win AS (SELECT k, p, size, md5(array_to_string(list_slice(ws, p, p + size - 1), ' ')) AS h
+        FROM (SELECT k, ws, size, unnest(range(1, len(ws) - size + 2)) AS p FROM d CROSS JOIN (SELECT DISTINCT size FROM term))),
+hit AS (SELECT k, p, win.size, item FROM win JOIN term ON term.h = win.h AND term.size = win.size),
+covered AS (SELECT k, count(DISTINCT i) AS n FROM (SELECT k, unnest(range(p, p + size)) AS i FROM hit) GROUP BY k),
+found AS (SELECT k, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit WHERE item IS NOT NULL GROUP BY k)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(found.n, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(covered.n, 0) > 0 AND 20 * coalesce(covered.n, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN covered ON covered.k = d.k LEFT JOIN found ON found.k = d.k
+"""
+
 
 def _centroids() -> str:
     """Three rounds with 16 centroids over ``floor(64 * x)``."""

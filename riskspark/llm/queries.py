@@ -13,7 +13,7 @@ from riskspark.llm.license_scan import scan
 from riskspark.llm.maxent_lm import language_scores
 from riskspark.llm.merkle import lower_case, manifest
 from riskspark.llm.minhash_dedup import near_duplicates
-from riskspark.llm.oracles import CENTROIDS, MERKLE, QUALITY_RULES, SUBSTRING_DEDUP
+from riskspark.llm.oracles import CENTROIDS, MERKLE, QUALITY_RULES, SUBSTRING_DEDUP, SUFFIX_DEDUP
 from riskspark.llm.packing import pack
 from riskspark.llm.quality_classifier import fit, score
 from riskspark.llm.quality_rules import judge
@@ -129,5 +129,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_token_ids": op13_token_ids,
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_substring_dedup": SUBSTRING_DEDUP, "op8_quality_rules": QUALITY_RULES,
+ORACLE_SQL: dict[str, str] = {"op4_substring_dedup": SUBSTRING_DEDUP, "op8_quality_rules": QUALITY_RULES, "op9_suffix_dedup": SUFFIX_DEDUP,
                               "op11_centroid_clusters": CENTROIDS, "op12_merkle_manifest": MERKLE}

@@ -1,11 +1,13 @@
 """URL filter: host and path rules, and a path-template tree for what no rule decides. DataFrame functions only.
 
-The tree, per host and level by level to ``depth``: a path segment stays as it is if it has at least
-``support`` pages and ``share`` of its parent's pages; all others become ``*``. So a parent has at most
-1 / ``share`` named branches. A branch merges with the largest of its parent's branches that is
+The tree, per host and level by level: a path segment stays as it is if it has at least ``support``
+pages; all others become ``*``. There is no limit to the named branches of a parent. A branch merges
+with the largest of its parent's branches that is
 labelled alike (both have no labelled pages, or mostly good, mixed, or mostly bad ones) if the shapes
 of what follows (digits, letters, marks) are spread alike, up to ``spread`` in total variation.
-Paths below ``depth`` end in ``**``.
+The tree grows a level as long as some branch has ``support`` pages with a further segment (``depth``
+can end it sooner); what is longer ends in ``**``. A merged branch is named by its segments, or with
+more than ``NAMES`` of them by its largest and their number.
 
 Pages that a rule decides are the labelled ones. A template's purity is the share of blocked pages
 among its labelled ones, smoothed with ``weight`` pages, half of them blocked, so that a template
@@ -24,7 +26,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.stage import carried, staged
+from riskspark.llm.stage import carried, dropped, staged
+
+NAMES = 20  # segments that a merged branch's name lists
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -50,13 +54,12 @@ def _shape(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, r"[0-9]+", "0"), r"[^0-9/._-]+", "a")
 
 
-def _level(t: DataFrame, k: int, support: int, share: float, spread: float) -> DataFrame:
+def _level(t: DataFrame, k: int, support: int, spread: float) -> DataFrame:
     """``t`` with the template one segment longer."""
     here = t.where(F.size("segments") > k).withColumn("segment", F.get("segments", F.lit(k)))
     kids = here.groupBy("host", "template", "segment").agg(*(F.sum(c).alias(c) for c in ("n", "labelled", "bad")))
-    total = kids.groupBy("host", "template").agg(F.sum("n").alias("total"))
-    named = staged(kids.join(total, ["host", "template"]).where((F.col("n") >= support) & (F.col("n") >= share * F.col("total")))
-                   .withColumn("band", F.when(F.col("labelled") > 0, F.round(F.col("bad") / F.col("labelled") * 2)).otherwise(-1.0)).drop("total"), "named")
+    named = staged(kids.where(F.col("n") >= support)
+                   .withColumn("band", F.when(F.col("labelled") > 0, F.round(F.col("bad") / F.col("labelled") * 2)).otherwise(-1.0)), "named")
     chief = named.groupBy("host", "template", "band").agg(F.max_by("segment", F.struct("n", "segment")).alias("chief"))
     tail = _shape(F.array_join(F.slice("segments", k + 2, F.greatest(F.size("segments"), F.lit(1))), "/"))
     shapes = (here.join(named.select("host", "template", "segment"), ["host", "template", "segment"])
@@ -69,15 +72,27 @@ def _level(t: DataFrame, k: int, support: int, share: float, spread: float) -> D
     alike = F.coalesce("common", F.lit(0.0)) >= 1 - spread
     branch = (named.join(chief, ["host", "template", "band"]).join(common, ["host", "template", "segment"], "left")
               .select("host", "template", "segment", F.when(alike, F.col("chief")).otherwise(F.col("segment")).alias("with")))
-    names = branch.groupBy("host", "template", "with").agg(F.sort_array(F.collect_set("segment")).alias("all"))  # 1 / share names at most
+    branch = staged(branch, "branches")
+    sizes = branch.groupBy("host", "template", "with").agg(F.count(F.lit(1)).alias("m"))
+    spelled = (branch.join(sizes.where(F.col("m") <= NAMES), ["host", "template", "with"]).groupBy("host", "template", "with")
+               .agg(F.array_join(F.sort_array(F.collect_set("segment")), "|").alias("name")))
+    names = sizes.join(spelled, ["host", "template", "with"], "left").select(
+        "host", "template", "with", "m", F.coalesce("name", F.concat("with", F.lit("|+"), (F.col("m") - 1).cast("string"))).alias("name"))
     branch = branch.join(names, ["host", "template", "with"]).select(
-        "host", "template", "segment", F.when(F.size("all") > 1, F.concat(F.lit("{"), F.array_join("all", "|"), F.lit("}"))).otherwise(F.get("all", F.lit(0))).alias("name"))
+        "host", "template", "segment", F.when(F.col("m") > 1, F.concat(F.lit("{"), "name", F.lit("}"))).otherwise(F.col("name")).alias("name"))
+    branch = staged(branch, "branches")  # so that Spark can split the pages of a great host in the join
     longer = t.withColumn("segment", F.get("segments", F.lit(k))).join(branch, ["host", "template", "segment"], "left")
     step = F.when(F.col("segment").isNull(), "").otherwise(F.concat(F.lit("/"), F.coalesce("name", F.lit("*"))))
     return longer.withColumn("template", F.concat("template", step)).select(*t.columns)
 
 
-def filter_urls(pages: DataFrame, rules: dict[str, str], url_col: str = "url", depth: int = 3, support: int = 5, share: float = 0.05,
+def _grows(t: DataFrame, k: int, support: int) -> bool:
+    """Whether some branch has ``support`` pages with a segment after ``k``."""
+    deeper = t.where(F.size("segments") > k).groupBy("host", "template").agg(F.sum("n").alias("n"))
+    return not deeper.where(F.col("n") >= support).isEmpty()
+
+
+def filter_urls(pages: DataFrame, rules: dict[str, str], url_col: str = "url", depth: int | None = None, support: int = 5,
                 spread: float = 0.2, weight: float = 10.0, limit: float = 0.8) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``template``, ``purity`` and ``verdict`` (the rule's, else the template's).
     ``rules``: ``host/path-begin`` to ``allow`` or ``block``. Jobs run when it is called."""
@@ -91,10 +106,14 @@ def filter_urls(pages: DataFrame, rules: dict[str, str], url_col: str = "url", d
                      F.when(F.col("verdict") == "block", F.col("n")).otherwise(0).alias("bad"),
                      F.filter(F.split("path", "/"), lambda s: s != "").alias("segments"), F.lit("").alias("template"))
     t = staged(t, "paths")
-    for k in range(depth):
-        t = staged(_level(t, k, support, share, spread), "templates")
-    t = t.withColumn("template", F.when(F.size("segments") > depth, F.concat("template", F.lit("/**"))).otherwise(F.col("template")))
+    k = 0
+    while (depth is None or k < depth) and _grows(t, k, support):
+        longer = staged(_level(t, k, support, spread), "templates")
+        dropped(t)
+        t, k = longer, k + 1
+    t = t.withColumn("template", F.when(F.size("segments") > k, F.concat("template", F.lit("/**"))).otherwise(F.col("template")))
     pure = t.groupBy("host", "template").agg(((F.sum("bad") + weight / 2) / (F.sum("labelled") + weight)).alias("purity"))
+    pure = staged(pure, "purity")  # as above
     judged = t.join(pure, ["host", "template"]).select("host", "path", "template", "purity")
     out = base.withColumns({"rule": name, "by_rule": verdict}).join(judged, ["host", "path"], "left")
     by_tree = F.when(F.col("purity") > limit, "block").otherwise("allow")

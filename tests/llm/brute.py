@@ -220,3 +220,69 @@ def clusters(rows, k, rounds, dims, scale, seed):
                 if mine:
                     centroids[j] = [sum(x) // len(mine) for x in zip(*mine)]
     return [(i, c, d) for (i, _), (d, c) in zip(good, found)], centroids
+
+
+def shape(text):
+    return re.sub(r"[^0-9/._-]+", "a", re.sub(r"[0-9]+", "0", text))
+
+
+def templates(rows, support=5, spread=0.2, names=20):
+    """The template of each (host, path); rows: {(host, path): (pages, labelled, bad)}."""
+    segments = {k: [s for s in k[1].split("/") if s] for k in rows}
+    out, level = dict.fromkeys(rows, ""), 0
+    while True:
+        deeper = Counter()
+        for k, (n, _, _) in rows.items():
+            if len(segments[k]) > level:
+                deeper[k[0], out[k]] += n
+        if not any(n >= support for n in deeper.values()):
+            return {k: t + ("/**" if len(segments[k]) > level else "") for k, t in out.items()}
+        kids, tails = {}, {}
+        for k, counts in rows.items():
+            if len(segments[k]) > level:
+                at = k[0], out[k], segments[k][level]
+                kids[at] = [a + b for a, b in zip(kids.get(at, (0, 0, 0)), counts)]
+                tails.setdefault(at, Counter())[shape("/".join(segments[k][level + 1:]))] += counts[0]
+        kids = {at: v for at, v in kids.items() if v[0] >= support}
+        half = lambda x: math.floor(x + 0.5)
+        band = {at: half(bad / labelled * 2) if labelled else -1 for at, (_, labelled, bad) in kids.items()}
+        chief = {}
+        for at, v in kids.items():
+            key = (*at[:2], band[at])
+            chief[key] = max(chief.get(key, (0, "")), (v[0], at[2]))
+        merged, joins = {}, {}
+        for at, v in kids.items():
+            first = (*at[:2], chief[(*at[:2], band[at])][1])
+            common = sum(min(c / v[0], tails[first][s] / kids[first][0]) for s, c in tails[at].items())
+            joins[at] = first[2] if common >= 1 - spread else at[2]
+            merged.setdefault((*at[:2], joins[at]), []).append(at[2])
+        def name(at):
+            group = sorted(merged[(*at[:2], joins[at])])
+            if len(group) == 1:
+                return group[0]
+            return "{" + ("|".join(group) if len(group) <= names else f"{joins[at]}|+{len(group) - 1}") + "}"
+        out = {k: t + ("" if len(segments[k]) <= level else "/" + (name(at) if (at := (k[0], t, segments[k][level])) in kids else "*")) for k, t in out.items()}
+        level += 1
+
+
+def url_verdicts(urls, rules_, weight=10.0, limit=0.8):
+    """(template, verdict) of each URL."""
+    rows, at = Counter(), {}
+    for u in urls:
+        host, path, rule = url(u, rules_)
+        at[u] = host, path, rule
+        rows[host, path] += 1
+    counted = {}
+    for host, path, rule in at.values():
+        n, known = rows[host, path], rules_.get(rule)
+        counted[host, path] = (n, n if known else 0, n if known == "block" else 0)
+    named = templates(counted)
+    labelled, bad = Counter(), Counter()
+    for (host, path), (_, x, y) in counted.items():
+        labelled[host, named[host, path]] += x
+        bad[host, named[host, path]] += y
+    out = {}
+    for u, (host, path, rule) in at.items():
+        t = host, named[host, path]
+        out[u] = t[1], rules_[rule] if rule else "block" if (bad[t] + weight / 2) / (labelled[t] + weight) > limit else "allow"
+    return out

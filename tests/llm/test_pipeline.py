@@ -126,10 +126,10 @@ def test_stages_on_an_empty_table(spark, small, tmp_path):
 
 def test_all_queries_are_registered():
     names = entry.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13 and "pipeline" in names
 
 
-@pytest.mark.parametrize("name", ["op4_substring_dedup", "op8_quality_rules"])
+@pytest.mark.parametrize("name", ["op4_substring_dedup", "op8_quality_rules", "op9_suffix_dedup", "op11_centroid_clusters", "op12_merkle_manifest"])
 def test_queries_match_their_sql(spark, name):
     from riskspark.testing.compare import compare, duckdb_connection
 

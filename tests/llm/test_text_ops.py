@@ -245,6 +245,35 @@ def test_templates_are_rejected_by_labelled_purity(spark):
     assert unruled["http://h.org/bad/0"] == "block" and {unruled[u] for u in urls[40:]} == {"allow"}
 
 
+def test_tree_equals_brute_force(spark):
+    rng = random.Random(4)
+    urls = [f"http://many.net/s{x}/{i}" for x in range(25) for i in range(8)]  # 25 sections of 4 %
+    urls += [f"http://many.net/es/{i}.html" for i in range(40)] + [f"http://many.net/fr/{i}.html" for i in range(30)]
+    urls += [f"http://deep.net/a/{i}/b/{'comments' if i % 2 else 'es'}/c/{i % 3}" for i in range(40)] + ["http://deep.net/a/1/b/2/c/d/e/f/g/h"]
+    urls += [f"http://hot.org/{rng.choice(['x', 'y', 'z'])}/{rng.randint(0, 30)}/{rng.choice(['p', 'q.html', '7'])}" for _ in range(200)]  # a third of the pages
+    urls += [f"http://tie.net/{x}/{i}" for x in ("fr", "b", "c") for i in range(6)] + [None, "x", "http://", "http://one.net/fr/1/2/3"]
+    urls += urls[::7]
+    rules = {**URL_RULES, "hot.org/x/1": "block", "hot.org/y/": "allow", "many.net/s3/": "block"}
+    out = filter_urls(spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string").repartition(5), rules).collect()
+    want = brute.url_verdicts(urls, rules)
+    assert len(out) == len(urls)
+    assert {(r.url, r.template, r.verdict) for r in out} == {(u, *v) for u, v in want.items()}
+    named = {r.template for r in out}
+    assert any("|+" in t for t in named) and any(t.count("/") == 6 for t in named)
+    clean = [r.verdict for r in out if r.rule is None and r.url and "/s" in r.url]
+    assert clean and set(clean) == {"allow"}  # the sections beside the blocked ones stay
+
+
+def test_contamination_equals_its_sql(spark):
+    from riskspark.llm.oracles import DECONTAMINATION
+    from riskspark.llm.queries import op6_decontamination
+    from riskspark.testing.compare import compare, duckdb_connection
+
+    sf = "/root/testdata/sf0.001"
+    got = compare("op6", op6_decontamination(spark, sf).drop("n_near_items"), duckdb_connection(sf), DECONTAMINATION)
+    assert got.ok, got.detail
+
+
 def sentences(rng, n):
     words = {"a": ["the", "cat", "sat", "on", "a", "mat."], "b": ["der", "hund", "lief", "in", "das", "haus."]}
     return [(i, " ".join(words[k][j % 6] if rng.random() < 0.9 else rng.choice(words[k]) for j in range(rng.randint(0, 40)))) for i in range(n) for k in rng.choice("ab")]
