@@ -83,11 +83,11 @@ def without_lines(text: Column, places: Column) -> Column:
     return _let(F.split(text, "\n"), left)
 
 
-def judge(docs: DataFrame, host_col: str = "source", text_col: str = "text", line_words: int | None = 20, limit: int = 10, share: float = 0.005,
+def judge(docs: DataFrame, host_col: str = "source", text_col: str = "text", line_words: int | None = None, limit: int = 10, share: float = 0.005,
           cleaned: bool = False) -> DataFrame:
     """``docs`` with ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``,
     ``n_removed_words`` (in lines over the limits) and ``kept``. ``line_words=None`` counts every line. ``cleaned`` adds
-    ``kept_text``, the text without the lines over the limits (one that loses none is as it was). One job runs when it is called."""
+    ``kept_text``, the text without the lines over the limits (one that loses none is as it was). Jobs run when it is called."""
     new = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_removed_words", "kept", *["kept_text"] * cleaned)
     names, others = carried(docs, new)
     text, host = F.col(f"`{text_col}`"), F.col(f"`{host_col}`").cast("string")
@@ -101,8 +101,11 @@ def judge(docs: DataFrame, host_col: str = "source", text_col: str = "text", lin
     counts = seen.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
     frequent = (counts.alias("c").join(hosts.alias("h"), F.col("c.host").eqNullSafe(F.col("h.host")))
                 .where(F.col("n") > share * F.col("docs")).select("c.host", "c.line"))
+    # Both are staged, so that Spark can split the rows of a line, or of a text, that a great part of a host has.
+    frequent = staged(frequent, "frequent")
     removed = (lines.alias("l").join(frequent.alias("f"), F.col("l.host").eqNullSafe(F.col("f.host")) & (F.col("l.line") == F.col("f.line")))
                .groupBy(F.col("l._key").alias("_of")).agg(F.sum("words").cast("long").alias("_gone"), *[F.collect_list("at").alias("_places")] * cleaned))
+    removed = staged(removed, "removed")
     ws = words(text)
     base = docs.select(others, key.alias("_key"),
                        _let(ws, lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).alias("again"))).alias("_words"),

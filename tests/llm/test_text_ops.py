@@ -113,7 +113,8 @@ def test_packing_of_very_long_runs(spark):
         assert ids.tolist() == [*t.encode(text, add_special_tokens=False).ids, 0]
 
 
-def test_rules_equal_brute_force(spark, odd, empty):
+@pytest.mark.parametrize("line_words", [20, None])
+def test_rules_equal_brute_force(spark, odd, empty, line_words):
     rng = random.Random(4)
     common = ["Share this page", "Posted on 12 May", "All rights  reserved"]
     rows = []
@@ -122,8 +123,8 @@ def test_rules_equal_brute_force(spark, odd, empty):
         lines += rng.sample(common, rng.randint(0, 3)) + ["same line here"] * rng.choice([0, 0, 0, 3]) + (["x y z " * 40] if rng.random() < 0.1 else [])
         rows.append((i, rng.choice(["h", None, "g"]), "\n".join(lines)))
     rows += [(500, "h", rows[0][2]), (501, "h", None)]
-    out = judge(spark.createDataFrame(rows, "doc_id long, source string, text string"), limit=3, share=0.05).collect()
-    gone = dict(zip((r[0] for r in rows), brute.frequent_lines([(h, t) for _, h, t in rows], 20, 3, 0.05)))
+    out = judge(spark.createDataFrame(rows, "doc_id long, source string, text string"), line_words=line_words, limit=3, share=0.05).collect()
+    gone = dict(zip((r[0] for r in rows), brute.frequent_lines([(h, t) for _, h, t in rows], line_words or 10**9, 3, 0.05)))
     assert any(gone.values())
     for r in out:
         base = brute.rules(r.text)
@@ -149,6 +150,15 @@ def test_long_lines_are_counted(spark, tmp_path):
     out = {r.doc_id: r for r in op8_quality_rules(spark, str(tmp_path)).collect()}
     assert [out[i].n_removed_words for i, *_ in rows] == gone
     assert not any(r.base_failed for r in out.values()) and [i for i in out if not out[i].kept] == [i for i in out if i < 24 and i % 2]
+    import duckdb
+
+    from riskspark.llm.oracles import QUALITY_RULES
+    from riskspark.testing.compare import compare
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    same = compare("op8", op8_quality_rules(spark, str(tmp_path)), con, QUALITY_RULES)
+    assert same.ok, same.detail
 
 
 def licences(text):
