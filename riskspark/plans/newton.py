@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from riskspark.operators.preprocess import preprocess
 from riskspark.plans.parameters import Category, Flag, Number, RiskParameters, code_of, feature_rows
 from riskspark.schema import CATEGORICAL_COLS, FLAG_COLS, NUMERIC_COLS
+from riskspark.session import ship_package
 from riskspark.sources.cache import materialize, release
 
 
@@ -154,6 +155,7 @@ def fit(portfolio: DataFrame, *, max_iter: int = 50, reg_param: float = 0.01, to
 
     Jobs run when it is called: the statistics, the encoding and a pass a step. The driver holds the slots' numbers and
     one matrix of slots by slots."""
+    ship_package(portfolio.sparkSession)
     train = training_rows(portfolio)
     model, n, _ = slots_from(statistics(train).collect(), train.columns)
     rows = materialize(encoded(train, model), "training")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import re
+import site
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -61,6 +64,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let the Python workers import this package, once a session: its files go along with the job.
+
+    Nothing happens where the workers find it by themselves (installed, on ``PYTHONPATH``, or started in its folder)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd(), *site.getsitepackages()]
+    if any(p and os.path.realpath(p) == os.path.realpath(root) for p in known) or spark.conf.get("spark.riskspark.shipped", None):
+        return
+    package = os.path.join(tempfile.mkdtemp(prefix="riskspark-"), "riskspark.zip")  # read by the driver alone
+    with zipfile.ZipFile(package, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "riskspark")):
+            for n in names:
+                if not n.endswith(".pyc"):
+                    z.write(os.path.join(folder, n), os.path.relpath(os.path.join(folder, n), root))
+    spark.addArtifacts(package, pyfile=True)
+    spark.conf.set("spark.riskspark.shipped", "true")
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a written table, through the file system layer that Spark writes with."""
     sc = spark.sparkContext
