@@ -42,6 +42,38 @@ SENTENCES = {
     "gpl3-mention": ["This work is licensed under the GNU General Public License, version 3.", "Licensed under the GNU General Public License, version 3."],
     "gpl3-later": ["you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
                    "Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "gpl2-later": ["you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
+                   "Free Software Foundation; either version 2 of the License, or (at your option) any later version."],
+    "lgpl3-later": ["you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the "
+                    "Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "lgpl21-later": ["you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the "
+                     "Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."],
+    "agpl3-later": ["you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the "
+                    "Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "gpl3-title": ["GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "gpl2-title": ["GNU GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "lgpl3-title": ["GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "lgpl21-title": ["GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"],
+    "agpl3-title": ["GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"],
+    "apache-title": ["Apache License Version 2.0, January 2004"],
+    "mpl2-title": ["Mozilla Public License Version 2.0"],
+    "mpl2-notice": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+    "epl2-title": ["Eclipse Public License - v 2.0"],
+    "epl2-notice": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+                    "which is available at https://www.eclipse.org/legal/epl-2.0/"],
+    "isc-grant": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+                  "provided that the above copyright notice and this permission notice appear in all copies.",
+                  "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, "
+                  "provided that the above copyright notice and this permission notice appear in all copies."],
+    "unlicense": ["This is free and unencumbered software released into the public domain."],
+    "boost-title": ["Boost Software License - Version 1.0 - August 17th, 2003"],
+    "cc0-title": ["CC0 1.0 Universal"],
+    "cc0-mention": ["To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software "
+                    "to the public domain worldwide.", "Licensed under CC0 1.0."],
+    "cc-by-sa-title": ["Creative Commons Attribution-ShareAlike 4.0 International Public License"],
+    "cc-by-sa-mention": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+    "cc-by-nc-title": ["Creative Commons Attribution-NonCommercial 4.0 International Public License"],
+    "cc-by-title": ["Creative Commons Attribution 4.0 International Public License"],
     "cc-by-nc-mention": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "cc-by-mention": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "reserved": ["All rights reserved."],
@@ -56,10 +88,33 @@ RULES = [
     ("MIT", ["mit-mention"]),
     ("Apache-2.0", ["apache-mention", "apache-copy"]),
     ("Apache-2.0", ["apache-mention"]),
+    ("Apache-2.0", ["apache-title"]),
+    ("AGPL-3.0-or-later", ["agpl3-later"]),
+    ("LGPL-3.0-or-later", ["lgpl3-later"]),
+    ("LGPL-2.1-or-later", ["lgpl21-later"]),
     ("GPL-3.0-or-later", ["gpl3-later"]),
+    ("GPL-2.0-or-later", ["gpl2-later"]),
+    ("AGPL-3.0", ["agpl3-title"]),
+    ("LGPL-3.0", ["lgpl3-title"]),
+    ("LGPL-2.1", ["lgpl21-title"]),
     ("GPL-3.0", ["gpl3-mention"]),
+    ("GPL-3.0", ["gpl3-title"]),
+    ("GPL-2.0", ["gpl2-title"]),
+    ("MPL-2.0", ["mpl2-notice"]),
+    ("MPL-2.0", ["mpl2-title"]),
+    ("EPL-2.0", ["epl2-notice"]),
+    ("EPL-2.0", ["epl2-title"]),
+    ("ISC", ["isc-grant"]),
+    ("Unlicense", ["unlicense"]),
+    ("BSL-1.0", ["boost-title"]),
+    ("CC0-1.0", ["cc0-mention"]),
+    ("CC0-1.0", ["cc0-title"]),
+    ("CC-BY-SA-4.0", ["cc-by-sa-mention"]),
+    ("CC-BY-SA-4.0", ["cc-by-sa-title"]),
     ("CC-BY-NC-4.0", ["cc-by-nc-mention"]),
+    ("CC-BY-NC-4.0", ["cc-by-nc-title"]),
     ("CC-BY-4.0", ["cc-by-mention"]),
+    ("CC-BY-4.0", ["cc-by-title"]),
     ("All-rights-reserved", ["reserved"]),
 ]
 
@@ -108,7 +163,7 @@ def scan(docs: DataFrame, text_col: str = "text", sentences: dict[str, list[str]
             return F.struct(whole.alias("whole"), F.try_element_at(table, F.xxhash64(whole)).alias("id"))
 
         def longer(acc, before):
-            done = acc["id"].isNotNull() | (F.char_length(acc["whole"]) >= longest)
+            done = acc["id"].isNotNull() | (F.char_length(acc["whole"]) >= longest) | ((before["s"] == "") & ~before["end"])  # a line of marks adds nothing
             return F.when(done, acc).otherwise(state(F.concat(before["s"], F.when(before["end"], ". ").otherwise(" "), acc["whole"])))
 
         def at(part, i):

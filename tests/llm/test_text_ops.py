@@ -162,14 +162,19 @@ def test_long_lines_are_counted(spark, tmp_path):
 
 
 def licences(text):
-    known = {normalised(s): n for n, forms in SENTENCES.items() for s in forms}
-    parts = [s for s in re.split(r"\n|(?<=[.!?:;])[\x20\x09-\x0D]+", text or "") if s.strip(" ")]
+    cut = lambda t: [s for s in re.split(r"\n|(?<=[.!?:;])[\x20\x09-\x0D]+", t or "") if s.strip(" ")]
+    ended = lambda s: re.search(r"[.!?:;][^0-9A-Za-z]*$", s) is not None
+
+    def flat(xs):
+        """The words of the parts, with a point where a part but the last ends a sentence."""
+        return " ".join(w for j, x in enumerate(xs) for w in [*normalised(x).split(), *["."] * (j < len(xs) - 1 and ended(x))])
+
+    known = {flat(cut(s)): n for n, forms in SENTENCES.items() for s in forms}
+    parts = cut(text)
     ids = []
     for i in range(len(parts)):
-        for back in range(WRAP):
-            if back and (i < back or re.search(r"[.!?:;][^0-9A-Za-z]*$", parts[i - back])):
-                break
-            if k := known.get(" ".join(normalised(x) for x in parts[i - back:i + 1])):
+        for back in range(min(i + 1, WRAP)):
+            if k := known.get(flat(parts[i - back:i + 1])):
                 ids.append(k)
                 break
     left, out = "".join(f",{x}," for x in ids), []
@@ -214,6 +219,31 @@ def test_licences_are_found_as_published(spark):
     assert {r.doc_id: r.licences for r in out} == {i: [name] for i, (name, _) in enumerate(rules)}
 
 
+def test_headers_of_licences_and_near_misses(spark):
+    later = ("    This library is free software; you can redistribute it and/or\n    modify it under the terms of the GNU {} License as published by the Free Software\n"
+             "    Foundation{} either version {} of the License, or (at your option) any later\n    version.\n")
+    found = {
+        "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc.\n": ["GPL-3.0"],
+        "GNU LESSER GENERAL PUBLIC LICENSE\n\nVersion 2.1, February 1999": ["LGPL-2.1"],
+        "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n": ["Apache-2.0"],
+        "Mozilla Public License Version 2.0\n==================================\n": ["MPL-2.0"],
+        "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n * file, You can obtain one at "
+        "https://mozilla.org/MPL/2.0/. */": ["MPL-2.0"],
+        "Copyright (c) 2020, A. Author\n\nPermission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\n"
+        "copyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\"": ["ISC"],
+        "Creative Commons Legal Code\n\nCC0 1.0 Universal\n": ["CC0-1.0"],
+        "=====\n\nCreative Commons Attribution-ShareAlike 4.0 International Public\nLicense\n\nBy exercising": ["CC-BY-SA-4.0"],
+        "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy": ["Unlicense"],
+        later.format("Lesser General Public", ";", "2.1"): ["LGPL-2.1-or-later"], later.format("Lesser General Public", ",", "3"): ["LGPL-3.0-or-later"],
+        later.format("Affero General Public", ",", "3"): ["AGPL-3.0-or-later"], later.format("General Public", ";", "2"): ["GPL-2.0-or-later"],
+        later.format("General Public", ",", "4"): [],  # no such version
+        "GNU GENERAL PUBLIC LICENSE\nVersion 3, 30 June 2007": [], "We like the Mozilla Public License and others.": [],
+        "Permission to use, copy, modify, and distribute this software for any purpose is refused.": [],
+    }
+    out = scan(spark.createDataFrame(list(enumerate(found)), "doc_id long, text string")).collect()
+    assert {r.text: r.licences for r in out} == found
+
+
 def test_known_sentences_with_ends_inside(spark):
     texts = ["Free: you may\ncopy it. More.", "free:\nyou may copy; it.", "free you may copy it."]
     out = scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), sentences={"x": ["Free: you may copy it."]}, rules=[("X", ["x"])]).collect()
