@@ -82,6 +82,35 @@ def test_near_classes_equal_brute_force(spark):
     assert got == brute.classes(rows)
 
 
+def test_near_recall_on_a_given_table(spark):
+    """Every pair of documents that are alike to 0.8 or more is in one class, and every class is held together by such pairs."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    bags = {r.doc_id: brute.bag(r.text, 5) for r in docs.collect()}
+    where = {}
+    for i, b in bags.items():
+        for x in b:
+            where.setdefault(x, []).append(i)
+    pairs = {p for ids in where.values() for k, i in enumerate(ids) for p in ((i, j) for j in ids[k + 1:])}
+    alike = {p for p in pairs if brute.similarity(bags[p[0]], bags[p[1]]) >= 0.8}
+    named = {r.doc_id: r.class_id for r in near.near_duplicates(docs).select("doc_id", "class_id").collect()}
+    assert len(alike) > 90 and all(named[i] == named[j] for i, j in alike)
+    top = {i: i for i in bags if bags[i]}
+
+    def find(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for i, j in sorted(alike):
+        a, b = sorted((find(i), find(j)))
+        top[b] = a
+    want, got = {}, {}
+    for i in top:
+        want.setdefault(find(i), set()).add(i)
+        got.setdefault(named[i], set()).add(i)
+    assert sorted(map(sorted, want.values())) == sorted(map(sorted, got.values()))
+
+
 def test_signatures_estimate_weighted_similarity():
     import numpy as np
 
