@@ -114,7 +114,8 @@ def judge(docs: DataFrame, host_col: str = "source", text_col: str = "text", lin
                        repeated_lines(text).alias("n_dup_lines"), *[text.alias("_text")] * cleaned)
     n, again, gone = F.col("_words.n"), F.col("_words.again"), F.coalesce("_gone", F.lit(0))
     failed = (n < 50) | (again * 100 > n * 50)
-    out = base.join(removed, F.col("_key").eqNullSafe(F.col("_of")), "left")
+    # One plan for every size: what is removed grows with the corpus, so it is never sent to all tasks.
+    out = base.join(removed.hint("merge"), F.col("_key").eqNullSafe(F.col("_of")), "left")
     return out.select(*(F.col(f"others.`{c}`").alias(c) for c in names), n.alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", again.alias("n_repeat_words"),
                       failed.alias("base_failed"), gone.alias("n_removed_words"), (~failed & (gone * 2 <= n)).alias("kept"),
                       *[F.when(F.col("_places").isNull(), F.col("_text")).otherwise(without_lines(F.col("_text"), F.col("_places"))).alias("kept_text")] * cleaned)
