@@ -136,3 +136,28 @@ def test_scoring_stays_within_a_compiled_method(spark, apps):
     stages = frame._jdf.queryExecution().debug().codegenToSeq()
     sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
     assert sizes and max(sizes) < 8000, sizes
+
+
+def _method_sizes(frame):
+    stages = frame._jdf.queryExecution().debug().codegenToSeq()
+    return [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+
+
+@pytest.fixture
+def written(spark, monkeypatch):
+    """The largest generated method of each table that the fit or its check writes, by name."""
+    sizes = {}
+
+    def recorded(df, name, **more):
+        sizes[name] = max(_method_sizes(df))
+        return materialize(df, name, **more)
+    monkeypatch.setattr(newton, "materialize", recorded)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # whose plans show no code before they have run
+    yield sizes
+    spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_no_pass_of_the_fit_is_too_long_to_compile(spark, written):
+    newton.fit(application(spark, SF_SMALL))
+    assert written and max(written.values()) < 8000, written
