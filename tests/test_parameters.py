@@ -161,3 +161,10 @@ def written(spark, monkeypatch):
 def test_no_pass_of_the_fit_is_too_long_to_compile(spark, written):
     newton.fit(application(spark, SF_SMALL))
     assert written and max(written.values()) < 8000, written
+
+
+def test_no_pass_of_the_gradient_is_too_long_to_compile(spark, model, written):
+    apps = application(spark, SF_SMALL)
+    newton.gradient(apps, model)
+    assert written and max(written.values()) < 8000, written
+    assert max(_method_sizes(feature_rows(preprocess(apps.drop("TARGET")), published()))) < 8000
